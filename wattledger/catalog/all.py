@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from . import histories  # noqa: F401
+from . import feature_queries, histories  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
