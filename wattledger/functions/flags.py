@@ -34,3 +34,8 @@ def any_signal(*flags: str | Column) -> Column:
 def is_true(condition: Column) -> Column:
     """NULL counts as false."""
     return F.coalesce(condition, F.lit(False))
+
+
+def matches(value: str | Column, wanted=None) -> Column:
+    """Equality with a parameter, or any known value while the parameter is not given."""
+    return col(value).isNotNull() if wanted is None else col(value) == F.lit(wanted)

@@ -20,7 +20,7 @@ def local_session(app: str = "wattledger", cores: str | None = None) -> SparkSes
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.parquet.filterPushdown", "true")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     return builder.getOrCreate()
 
