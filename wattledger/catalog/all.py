@@ -1,4 +1,4 @@
 """Importing this module registers every query."""
 
-from . import feature_queries, histories, join_queries, value_queries  # noqa: F401
+from . import extract_queries, feature_queries, histories, join_queries, value_queries  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401

@@ -223,7 +223,7 @@ def union_distinct(t: Tables):
                                rows.where(F.col("k") > 50).select(*keys))
 
 
-@query("union_all_tagged", """SELECT branch, count(*) AS n_rows, sum(length(text)) AS chars FROM (
+@query("union_all_tagged", """SELECT branch, count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS chars FROM (
   SELECT 'turns' AS branch, text FROM conversations UNION ALL
   SELECT 'pages', html FROM pages UNION ALL SELECT 'items', text FROM benchmark) GROUP BY branch""")
 def union_all_tagged(t: Tables):
