@@ -1,4 +1,5 @@
 """Importing this module registers every query."""
 
-from . import extract_queries, feature_queries, histories, join_queries, value_queries  # noqa: F401
+from . import (check_queries, extract_queries, feature_queries, histories,  # noqa: F401
+               join_queries, upkeep_queries, value_queries)
 from .registry import QUERIES, SQL  # noqa: F401

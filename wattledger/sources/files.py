@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,11 +100,10 @@ def stale_files(spark: SparkSession, paths: dict[str, str], as_of: datetime,
 
 
 def newest_write(spark: SparkSession, path: str) -> datetime | None:
-    """Latest write time of the files below a path, from file metadata on the driver."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop):
+    """Latest write time of the files below a path; only file metadata is listed."""
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+                 .select("modificationTime"))
+    except AnalysisException:
         return None
-    status = fs.listStatus(hadoop)
-    times = [s.getModificationTime() for s in status if not s.getPath().getName().startswith(("_", "."))]
-    return datetime.utcfromtimestamp(max(times) / 1000) if times else None
+    return files.agg(F.max("modificationTime")).first()[0]
