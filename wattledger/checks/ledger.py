@@ -35,7 +35,7 @@ def last_run(log: DataFrame) -> DataFrame:
     """All rows of the run that ended last; run names have no order of their own."""
     newest = (log.where(F.col("ended_at").isNotNull())
               .agg(series.latest_value("run", "ended_at", "log_id").alias("run")))
-    return joins.keep_keys(log, newest, ["run"])
+    return log.where(F.col("run") == newest.scalar())
 
 
 def run_totals(log: DataFrame, done: str = DONE) -> DataFrame:
@@ -85,11 +85,9 @@ def recent_failures(log: DataFrame, as_of: datetime, days: int = 7, failed: str
 def laggards(log: DataFrame, hours: int = 6) -> DataFrame:
     """Objects whose last write lies more than ``hours`` before the newest write of all."""
     last = log.groupBy("object").agg(F.max("ended_at").alias("last_write"))
-    newest = last.agg(F.max("last_write").alias("newest"))
-    behind = (F.unix_timestamp("newest") - F.unix_timestamp("last_write")) / 3600
-    # One row on the right: the maximum over all objects.
-    return (last.join(F.broadcast(newest), F.col("last_write") <= F.col("newest"))
-            .withColumn("late", behind > hours).drop("newest"))
+    newest = log.agg(F.max("ended_at")).scalar()
+    behind = (F.unix_timestamp(newest) - F.unix_timestamp("last_write")) / 3600
+    return last.withColumn("late", behind > hours)
 
 
 def writers(log: DataFrame) -> DataFrame:

@@ -65,14 +65,17 @@ def spread(rows: DataFrame, totals: DataFrame, keys: list[str], size: str,
     """``attach_totals`` that also keeps the slot of each row, in ``__slot``."""
     extra = [c for c in totals.columns if c not in keys]
     slots = F.greatest(F.lit(1), F.ceil(F.coalesce(F.col(size), F.lit(0)) / hot_rows)).cast("int")
+    # The seed makes the hot list need every column of the totals, so that both uses of the
+    # totals have the same plan and Spark runs their shuffle once.
     hot = (totals.where(F.col(size) > hot_rows)
-           .select(*[F.col(k).alias(f"__h_{k}") for k in keys], slots.alias("__slots")))
+           .select(*[F.col(k).alias(f"__h_{k}") for k in keys], slots.alias("__slots"),
+                   F.xxhash64(*extra).alias("__seed")))
     repeated = totals.select(
         *[F.col(k).alias(f"__t_{k}") for k in keys], *extra,
         F.explode(F.sequence(F.lit(0), slots - 1)).alias("__t_slot"))
     same_hot = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in keys])
     same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__t_{k}")) for k in keys])
-    slot = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns], F.spark_partition_id()),
+    slot = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns], F.spark_partition_id(), "__seed"),
                   F.coalesce(F.col("__slots"), F.lit(1)))
     slotted = (rows.join(F.broadcast(hot), same_hot, "left")
                .select(*rows.columns, slot.cast("int").alias("__slot")))

@@ -37,8 +37,8 @@ def first_available(key: str, *candidates: DataFrame, k: int = 1) -> DataFrame:
     ranked = [df.select(key).distinct().orderBy(F.col(key).asc()).limit(k)
               .withColumn("preference", F.lit(i)) for i, df in enumerate(candidates, 1)]
     every = reduce(lambda a, b: a.unionByName(b), ranked)
-    best = every.agg(F.min("preference").alias("preference"))
-    return every.join(best, "preference", "left_semi").select(key, "preference")
+    best = every.agg(F.min("preference")).scalar()
+    return every.where(F.col("preference") == best).select(key, "preference")
 
 
 def column_difference(wanted: list[str], found: list[str]) -> dict[str, list[str]]:

@@ -74,18 +74,17 @@ def consumption_history(readings: DataFrame, consumption: DataFrame,
     rows = clean_readings(readings)
     per_device = rows.groupBy(*CELL, "device").agg(
         F.count(F.lit(1)).alias("grain_rows"),
-        F.sum("billed_use").alias("billed_use"),
-        F.bool_and("device_unknown").alias("device_unknown"))
+        F.sum("billed_use").alias("__use"),
+        F.bool_and("device_unknown").alias("__unknown"))
     per_cell = per_device.groupBy(*CELL).agg(
-        groups.count_where(~F.col("device_unknown")).alias("n_devices"),
-        F.sum("billed_use").alias("device_use"),
-        F.sum("grain_rows").alias("__cell_rows"))
+        groups.count_where(~F.col("__unknown")).alias("n_devices"),
+        F.sum("__use").alias("device_use"))
     cell = per_cell.join(use_by_cell(consumption, settings), CELL, "left")
-    with_cell = groups.attach_totals(rows, cell, CELL, "__cell_rows", hot_rows)
-    grain = per_device.select(*CELL, "device", "grain_rows")
-    with_grain = groups.attach_totals(with_cell, grain, [*CELL, "device"], "grain_rows", hot_rows)
+    # One row per device of a cell, so the readings meet a single table of totals.
+    totals = per_device.drop("__use", "__unknown").join(cell, CELL)
+    with_totals = groups.attach_totals(rows, totals, [*CELL, "device"], "grain_rows", hot_rows)
     check = amounts.reconciles("period_use", "device_use", settings["reconcile_tolerance"])
-    return with_grain.withColumn("use_reconciles", check).drop("__cell_rows")
+    return with_totals.withColumn("use_reconciles", check)
 
 
 def period_view(history: DataFrame) -> DataFrame:
