@@ -168,19 +168,28 @@ def test_order_roster_by_activity(spark):
 def feature_rows(spark, reads, use=None, lines=None, asked=None, settings=DEFAULTS):
     h = history.consumption_history(readings(spark, *reads), consumption(spark, *(use or ({},))), settings)
     c = history.charge_history(charges(spark, *(lines or ({"service": 99},))), bills(spark), settings)
-    got = features.features(h, c, requests(spark, *(asked or ({"service": 99},))), settings)
+    got = features.features(features.collapse(h, settings), c, requests(spark, *(asked or ({"service": 99},))), settings)
     return {(r["service"], r["period"], r["kind"]): r for r in got.collect()}
 
 
 def test_features_have_one_row_per_cell_in_contract_order(spark):
     h = history.consumption_history(readings(spark, {}, {"device": "M-2"}, {"period": 2}), consumption(spark))
     c = history.charge_history(charges(spark, {}, {}), bills(spark))
-    out = contracts.publish(features.features(h, c, requests(spark, {}, {"request": 2})), "features", "run", datetime(2026, 1, 1))
+    out = contracts.publish(features.features(features.collapse(h), c, requests(spark, {}, {"request": 2})), "features", "run", datetime(2026, 1, 1))
     assert out.count() == 2
     assert contracts.type_differences(out, "features") == []
     assert out.columns == [stored for _, stored, _ in contracts.fields("features")]
 
 
+def test_both_ways_to_the_cells_agree(spark):
+    reads = readings(spark, {}, {}, {"device": "M-2", "digits": 4, "current_reading": 5.0, "computed_use": -5.0},
+                     {"device": None, "note_2": "31-X"}, {"period": 2}, {"period": 2, "factor": "7", "days": 30})
+    use = consumption(spark, {}, {"rating": "5055-I"}, {"period": 2, "calc_function": "[P_SOLICITUD_DE_INVESTIGACION]"})
+    a = features.collapse(history.consumption_history(reads, use))
+    b = features.cells(reads, use).select(*a.columns)
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
 def test_false_lap(spark):
     read = {"digits": 5, "previous_reading": 26483.0, "current_reading": 43.0, "computed_use": -26440.0, "billed_use": 6735.0}
     row = feature_rows(spark, [read])[1, 1, 3]
@@ -343,7 +352,7 @@ def test_one_closer_per_order(spark):
 
 def test_plans_hold_no_nested_loop(spark):
     plans = [extract.review_orders(*review_inputs(spark, [(1, 9, 7400027, 1, 7, 0)])),
-             features.features(history.consumption_history(readings(spark), consumption(spark)),
+             features.features(features.cells(readings(spark), consumption(spark)),
                                history.charge_history(charges(spark), bills(spark)), requests(spark))]
     for df in plans:
         text = df._jdf.queryExecution().executedPlan().toString()

@@ -14,7 +14,7 @@ from ..plans import features as plan
 from ..plans import history
 from . import roles
 from .feature_queries import CELLS, ENRICHED, built_features
-from .histories import C_SQL, HISTORY, built_charges, built_history
+from .histories import C_SQL, HISTORY, built_history
 from .registry import Tables, query
 
 
@@ -145,14 +145,14 @@ CHARGE_FLAGS = ["is_loss", "is_recovery", "is_regular", "has_recovery_token", "p
   FROM charge_history)
   {both_sql(*[row_sql(f'flag {f}', 'charge_history', f'n_{f} = 0', 'no NULL', f"t_{f} || ' of ' || n", 'REVISAR') for f in CHARGE_FLAGS])}""")
 def flag_profile(t: Tables):
-    return quality.flag_profile(built_charges(t), "charge_history", CHARGE_FLAGS)
+    return quality.flag_profile(history.flagged_charges(roles.charges(t), roles.bills(t)), "charge_history", CHARGE_FLAGS)
 
 
 @query("flag_parts_check", f"""WITH {C_SQL}, m AS (SELECT count(CASE WHEN is_recovery <> (has_recovery_token AND period_differs)
   THEN 1 END) AS bad FROM charge_history)
   {row_sql('is_recovery is the AND of its parts', 'charge_history', 'bad = 0', '0', 'bad')}""")
 def flag_parts_check(t: Tables):
-    return quality.composed(built_charges(t), "charge_history", "is_recovery", ["has_recovery_token", "period_differs"])
+    return quality.composed(history.flagged_charges(roles.charges(t), roles.bills(t)), "charge_history", "is_recovery", ["has_recovery_token", "period_differs"])
 
 
 SIGNALS = ["n_devices", "factor_min", "falling_streak", "mean_before", "reconnected_on"]
@@ -177,7 +177,7 @@ def signal_check(t: Tables):
   FROM fresh JOIN shown USING (service, period))
   {row_sql('measured_units matches its source', 'features', 'bad = 0', '0', 'bad')}""")
 def reconcile_measure(t: Tables):
-    charges = history.charge_history(roles.event_charges(t), roles.event_bills(t))
+    charges = history.flagged_charges(roles.event_charges(t), roles.event_bills(t))
     cells = roles.events(t).select("service", "period", "kind").distinct()
     shown = cells.join(plan.charges_by_period(charges), ["service", "period"], "left")
     source = charges.where(F.col("concept_code").isin(87, 90, 545, 546)).select(

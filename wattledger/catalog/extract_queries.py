@@ -39,11 +39,11 @@ def reading_lines(t: Tables):
     rows = roles.events(t).where(k % 2 == 0).groupBy(
         "service", (F.col("service") % 4 * 100 + F.col("period")).alias("period"), "kind",
         (k % 9).alias("device_id")).agg(
-            F.max_by(F.struct("k", "value"), F.struct("ts", "event_id")).alias("last"))
-    k = F.col("last.k")
+            F.max_by("k", "event_id").alias("k"), F.max_by("value", "event_id").alias("value"))
+    k = F.col("k")
     return rows.select(
         "service", "period", "kind", "device_id", F.when(k % 10 != 4, "F").otherwise("X").alias("status"),
-        (k * 10.0 + F.col("last.value")).alias("current_reading"), (k * 10.0).alias("previous_reading"),
+        (k * 10.0 + F.col("value")).alias("current_reading"), (k * 10.0).alias("previous_reading"),
         F.lit(2.0).alias("read_factor"), F.lit(0.0).alias("low_limit"), (k + 20.0).alias("high_limit"),
         (k % 3).alias("note_code_1"), (k % 7).alias("note_code_2"), F.when(k % 5 == 0, k % 3).alias("note_code_3"))
 
@@ -60,7 +60,7 @@ SOURCES = PERIODS + """, use_lines AS (
          k * 10.0::DOUBLE AS previous_reading, 0.0::DOUBLE AS low_limit, k + 20.0::DOUBLE AS high_limit,
          k % 3 AS note_code_1, k % 7 AS note_code_2, CASE WHEN k % 5 = 0 THEN k % 3 END AS note_code_3
   FROM (SELECT * FROM ev WHERE k % 2 = 0 QUALIFY row_number() OVER (
-    PARTITION BY service, period, kind, k % 9 ORDER BY ts DESC, event_id DESC) = 1)), periods AS (
+    PARTITION BY service, period, kind, k % 9 ORDER BY event_id DESC) = 1)), periods AS (
   SELECT * FROM (
     SELECT s.service, s.kind, u.period, u.starts, u.ends, b.bill_period, b.year, b.month, u.cycle,
            dense_rank() OVER (PARTITION BY s.service ORDER BY u.ends DESC) AS place

@@ -36,7 +36,8 @@ def day_after(days: Column) -> Column:
 
 
 def events(t: Tables) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
+    # A flat object with one number: a pattern reads it several times faster than a JSON parser.
+    k = F.regexp_extract("props", r'"k"\s*:\s*(\d+)', 1).try_cast("int")
     kind = F.lit(None).cast("int")
     for name, code in KINDS.items():
         kind = F.when(F.col("event_type") == name, code).otherwise(kind)
@@ -49,6 +50,13 @@ def events(t: Tables) -> DataFrame:
         F.floor(F.datediff(day, F.lit(FIRST_DAY)) / PERIOD_DAYS).cast("bigint").alias("period"))
 
 
+def kind_name() -> Column:
+    text = F.lit(None).cast("string")
+    for name, code in KINDS.items():
+        text = F.when(F.col("kind") == code, f"{code}-{name.upper()}").otherwise(text)
+    return text
+
+
 EV = """ev AS (
   SELECT event_id, ts, user_id AS service, event_type, value,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
@@ -76,11 +84,11 @@ PERIOD_SQL = """strftime(DATE '2024-01-01' + CAST(period * 3 AS INTEGER), '%Y-%m
 def readings(t: Tables) -> DataFrame:
     """One reading per service, period, type and device: the last event of the cell."""
     cells = (events(t).withColumn("slot", F.col("k") % 3)
-             .groupBy("service", "period", "kind", "kind_text", "slot").agg(
-                 F.max_by(F.struct("k", "value"), F.struct("ts", "event_id")).alias("last"),
+             .groupBy("service", "period", "kind", "slot").agg(
                  F.sum(F.when(F.col("k") % 4 != 3, F.col("value"))).alias("billed_use"),
-                 F.count(F.when(F.col("k") % 4 == 3, 1)).alias("losses"))
-             .withColumn("k", F.col("last.k")).withColumn("value", F.col("last.value")))
+                 F.count(F.when(F.col("k") % 4 == 3, 1)).alias("losses"),
+                 F.max_by("k", "event_id").alias("k"), F.max_by("value", "event_id").alias("value"))
+             .withColumn("kind_text", kind_name()))
     k, previous = F.col("k"), F.col("k") * F.lit(10.0)
     current = F.when(k % 4 == 0, F.col("value")).otherwise(previous + F.col("value"))
     read_factor = F.when((F.col("kind") == 6) & (k % 5 == 0), 10.0).otherwise(1.0)
@@ -109,7 +117,7 @@ READINGS = EV + """, reading_cells AS (
          count(CASE WHEN k % 4 = 3 THEN 1 END) AS losses
   FROM ev GROUP BY ALL), reading_last AS (
   SELECT service, period, kind, k % 3 AS slot, k, value FROM ev
-  QUALIFY row_number() OVER (PARTITION BY service, period, kind, k % 3 ORDER BY ts DESC, event_id DESC) = 1
+  QUALIFY row_number() OVER (PARTITION BY service, period, kind, k % 3 ORDER BY event_id DESC) = 1
 ), readings AS (
   SELECT service, period, """ + PERIOD_SQL + """, CAST(2 AS BIGINT) AS days, kind_text, kind,
          CASE WHEN slot <> 0 THEN 'M-' || slot END AS device,

@@ -106,8 +106,12 @@ def last_rows(rows: DataFrame, keys: list[str], newest_first: list[Column], n: i
 
 
 def latest_value(value: str | Column, *newest: str | Column) -> Column:
-    """Value at the greatest of the ordering columns; an aggregate, so it needs no window."""
-    return F.max_by(col(value), F.struct(*[col(c) for c in newest]))
+    """Value at the greatest of the ordering columns; an aggregate, so it needs no window.
+
+    One ordering column without ties is cheapest: it aggregates by hash, several by sort.
+    """
+    order = col(newest[0]) if len(newest) == 1 else F.struct(*[col(c) for c in newest])
+    return F.max_by(col(value), order)
 
 
 def latest_rows(rows: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:

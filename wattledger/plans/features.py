@@ -8,31 +8,32 @@ the partitioning by service.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import amounts, codes, dates, flags
 from ..operators import groups, joins, series
 from ..settings import DEFAULTS, Settings
-from .history import CELL
+from .history import CELL, clean_readings, use_by_cell
 
 SERIES = series.Series(keys=("service", "kind"), end="period_end", period="period")
 
 
-def collapse(history: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """One row per service, period and type from the rows per device."""
+# Constant within a cell, so the maximum only collapses them.
+DEVICE_CONSTANT = ["kind_text", "bill_period", "bill_year", "bill_month", "period_end", "days",
+                   "high_limit", "digits", "factor"]
+USE_COLUMNS = ["period_use", "ratings", "calc_function"]
+
+
+def device_measures(settings: Settings) -> list[Column]:
+    """Aggregates over the devices of a cell."""
     known = F.when(~F.col("device_unknown"), F.col("device"))
     steep = groups.steepness("computed_use", "previous_reading", "current_reading")
     lap = groups.full_lap("digits", "previous_reading", "current_reading")
     notes = [codes.leading_code(f"note_{i}") for i in (1, 2, 3)]
-    rated = codes.any_element(
-        "ratings", lambda x: codes.leading_code(x) == settings["investigation_rating"])
-    marked = codes.col("calc_function").contains(settings["investigation_marker"])
-    constant = ["kind_text", "bill_period", "bill_year", "bill_month", "period_end", "days",
-                "period_use", "high_limit", "n_devices", "digits", "factor"]
-    return history.groupBy(*CELL).agg(
-        *[F.max(c).alias(c) for c in constant],
+    return [
+        *[F.max(c).alias(c) for c in DEVICE_CONSTANT],
         F.min("period_start").alias("period_start"),
         F.sum("computed_use").alias("computed_use"),
         groups.sorted_set(known).alias("devices"),
@@ -41,8 +42,35 @@ def collapse(history: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         groups.any_true(F.col("current_reading") < F.col("previous_reading")).alias("reading_fell"),
         F.max(F.col("billed_use") / lap).alias("lap_ratio"),
         groups.any_true(codes.in_any(settings["device_change_note"], *notes)).alias("note_device_change"),
-        groups.any_true(codes.in_any(settings["lower_reading_note"], *notes)).alias("note_lower_reading"),
-        groups.any_true(rated | flags.is_true(marked)).alias("investigated"))
+        groups.any_true(codes.in_any(settings["lower_reading_note"], *notes)).alias("note_lower_reading")]
+
+
+def under_investigation(settings: Settings) -> Column:
+    """By any rating of the cell, or by the marker in its only calculation function."""
+    rated = codes.any_element(
+        "ratings", lambda x: codes.leading_code(x) == settings["investigation_rating"])
+    marked = F.col("calc_function").contains(settings["investigation_marker"])
+    return rated | flags.is_true(marked)
+
+
+def collapse(history: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """One row per service, period and type from a stored consumption history."""
+    return history.groupBy(*CELL).agg(
+        *device_measures(settings), F.max("n_devices").alias("n_devices"),
+        F.max("period_use").alias("period_use"),
+        groups.any_true(under_investigation(settings)).alias("investigated"))
+
+
+def cells(readings: DataFrame, consumption: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The same rows straight from readings and consumption, without the rows per device.
+
+    Both sides are aggregated to the cell before they meet.
+    """
+    collapsed = clean_readings(readings).groupBy(*CELL).agg(*device_measures(settings))
+    use = use_by_cell(consumption, settings).select(*CELL, *USE_COLUMNS)
+    return collapsed.join(use, CELL, "left").select(
+        *collapsed.columns, "period_use", F.size("devices").cast("bigint").alias("n_devices"),
+        under_investigation(settings).alias("investigated"))
 
 
 def charges_by_period(charges: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -113,10 +141,9 @@ def series_features(cells: DataFrame, settings: Settings = DEFAULTS) -> DataFram
             tolerance, F.col("negative_use") & (F.col("lap_ratio") > F.lit(tolerance)))})
 
 
-def features(history: DataFrame, charges: DataFrame, requests: DataFrame,
+def features(cells: DataFrame, charges: DataFrame, requests: DataFrame,
              settings: Settings = DEFAULTS) -> DataFrame:
-    """The feature table from the consumption history, the charge history and requests."""
-    cells = collapse(history, settings)
+    """The feature table from the rows per cell, the flagged charge lines and requests."""
     charged = cells.join(charges_by_period(charges, settings), ["service", "period"], "left")
     compared = factor_differs(charged)
     rows = series_features(with_requests(compared, requests, settings), settings)

@@ -49,11 +49,15 @@ def use_by_cell(consumption: DataFrame, settings: Settings = DEFAULTS) -> DataFr
         F.when(billed, F.col("rating")).alias("rating"),
         F.when(billed, F.col("calc_function")).alias("calc_function"),
         dates.text_to_date("recorded_on").alias("recorded_on"))
-    # Sets per cell hold catalogue codes; their sizes give the distinct counts without the
-    # extra expansion several count(distinct) would need.
-    cells = lines.groupBy(*CELL).agg(
-        F.sum("amount").alias("period_use"),
+    # Summed first per rating and function, by hash and with map-side sums, so that the sets
+    # of catalogue texts are collected from a few rows per cell.
+    parts = lines.groupBy(*CELL, "rating", "calc_function").agg(
+        F.sum("amount").alias("amount"),
         groups.count_where(F.col("billed")).alias("billed_rows"),
+        F.max("recorded_on").alias("recorded_on"))
+    cells = parts.groupBy(*CELL).agg(
+        F.sum("amount").alias("period_use"),
+        F.sum("billed_rows").alias("billed_rows"),
         groups.sorted_set("rating").alias("ratings"),
         groups.sorted_set("calc_function").alias("calc_functions"),
         F.max("recorded_on").alias("last_recorded_on"))
@@ -110,6 +114,12 @@ CHARGE_GRAIN = ["bill", "concept_code", "cause_code", "period", "document", "tar
 
 def charge_history(charges: DataFrame, bills: DataFrame, settings: Settings = DEFAULTS,
                    hot_rows: int = groups.HOT_ROWS) -> DataFrame:
+    """Flagged charge lines, and how many lines share the best candidate for a key."""
+    flagged = flagged_charges(charges, bills, settings)
+    return groups.with_group_size(flagged, CHARGE_GRAIN, "grain_rows", hot_rows)
+
+
+def flagged_charges(charges: DataFrame, bills: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Charge lines with codes, sign, their bill's columns and five flags."""
     lines = charges.dropna(subset=["service", "bill"]).select(
         *[F.col(c).cast("bigint").alias(c)
@@ -135,7 +145,7 @@ def charge_history(charges: DataFrame, bills: DataFrame, settings: Settings = DE
         F.col("recovered_amount").cast("double").alias("account_recovered"),
         dates.text_to_date("paid_at").alias("account_paid_on"))
     on_account = lines.join(account, "bill", "left")
-    flagged = on_account.withColumns({
+    return on_account.withColumns({
         "signed_amount": amounts.credit_negative("sign", "amount", settings["credit_sign"]),
         "is_regular": F.col("program_code") == settings["regular_program"],
         "is_loss": loss_charge("cause_code", "program_code", settings),
@@ -144,7 +154,6 @@ def charge_history(charges: DataFrame, bills: DataFrame, settings: Settings = DE
         "is_recovery": (codes.token_is("document", 1, settings["recovery_token"])
                         & period_differs("period", "account_period")),
     })
-    return groups.with_group_size(flagged, CHARGE_GRAIN, "grain_rows", hot_rows)
 
 
 def loss_charge(cause_code: str, program_code: str, settings: Settings = DEFAULTS):
