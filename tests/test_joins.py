@@ -16,11 +16,10 @@ def test_lookup_raises_on_a_repeated_key(spark):
     assert {r["k"]: r["t"] for r in quiet.collect()} == {1: None, 2: "c"}
 
 
-@pytest.mark.parametrize("large", [False, True])
-def test_lookup_keeps_rows(spark, large):
+def test_lookup_keeps_rows(spark):
     rows = spark.createDataFrame([(1, "S"), (1, "N"), (9, "S"), (None, "S"), (None, "S")], "k int, s string")
     names = spark.createDataFrame([(1, "S", "yes"), (2, "S", "no")], "code int, st string, text string")
-    got = joins.lookup(rows, names, {"k": "code", "s": "st"}, {"text": "t"}, large=large)
+    got = joins.lookup(rows, names, {"k": "code", "s": "st"}, {"text": "t"})
     assert sorted(tuple(r) for r in got.fillna("-").fillna(-1).collect()) == [
         (-1, "S", "-"), (-1, "S", "-"), (1, "N", "-"), (1, "S", "yes"), (9, "S", "-")]
 
@@ -71,6 +70,40 @@ def test_no_join_compares_all_pairs(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_hot_keys_of_joins_are_split(spark, tmp_path):
+    """Adaptive execution splits the hot partition, since both sides have shuffles of their own."""
+    path = str(tmp_path / "rows")
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))
+    spark.range(60_000, numPartitions=8).select(hot.alias("k"), F.xxhash64("id").alias("v")).write.parquet(path)
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+               "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+               "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k"}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.read.parquet(path)
+        for got, n in ((joins.keep_keys(rows, rows.where("k % 2 = 1"), ["k"]), 20_000 + 20_000),
+                       (joins.drop_keys(rows, rows.where("k % 2 = 0"), ["k"]), 20_000 + 20_000),
+                       (joins.lookup(rows, rows.where("k <> 7"), {"k": "k"}, {"v": "found"}), 60_000)):
+            assert len(got.collect()) == n
+            assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in changed:
+            spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("key", [1, None])
+def test_keys_kept_and_dropped(spark, key):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, v string")
+    keys = spark.createDataFrame([(key,), (key,)], "k int")
+    kept = {r["v"] for r in joins.keep_keys(rows, keys, ["k"]).collect()}
+    assert kept == ({"a", "b"} if key else set())
+    dropped = {r["v"] for r in joins.drop_keys(rows, keys, ["k"]).collect()}
+    assert dropped == {"a", "b", "c", "d"} - kept
+
+
 def test_sets(spark):
     a = spark.createDataFrame([(1, "x"), (1, "x")], "k int, v string")
     b = spark.createDataFrame([("x", 1), ("y", None)], "v string, k int")

@@ -177,7 +177,7 @@ LEFT JOIN part ON p_partkey = l_partkey AND p_size > 25""")
 def large_lookup(t: Tables):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return joins.lookup(lines, t.part.where(F.col("p_size") > 25), {"l_partkey": "p_partkey"},
-                        {"p_name": "p_name"}, large=True)
+                        {"p_name": "p_name"})
 
 
 @query("type_self_join", f"""WITH {roles.EV}, cells AS (

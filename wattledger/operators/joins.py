@@ -9,30 +9,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .groups import attach_totals
-
 
 def keep_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key occurs in ``keys``: one join in place of one query per key."""
-    return rows.join(keys.select(*on).dropna().distinct(), on, "left_semi")
+    return rows.join(distinct_apart(keys.select(*on).dropna()), on, "left_semi")
 
 
 def drop_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key does not occur in ``keys``."""
-    return rows.join(keys.select(*on).distinct(), on, "left_anti")
+    return rows.join(distinct_apart(keys.select(*on)), on, "left_anti")
+
+
+def distinct_apart(keys: DataFrame) -> DataFrame:
+    """Distinct keys that are not yet partitioned by the key alone.
+
+    Joined directly, the shuffle of a distinct would also serve the join, and adaptive
+    execution splits a hot partition only where both sides of a join come straight from
+    shuffles of their own. The hash among the grouping columns keeps the two apart.
+    """
+    return keys.withColumn("__mix", F.xxhash64(*keys.columns)).distinct().drop("__mix")
 
 
 def lookup(rows: DataFrame, names: DataFrame, on: dict[str, str], take: dict[str, str],
-           on_repeat: str = "error", large: bool = False) -> DataFrame:
+           on_repeat: str = "error") -> DataFrame:
     """Left join to a lookup table that must hold one row per key.
 
     ``on`` maps row column to lookup column, ``take`` maps lookup column to result column.
     A repeated key raises, as a scalar lookup would; ``on_repeat="null"`` gives NULL where
-    the repeated rows differ. Spark broadcasts a lookup whose size allows it. Name a lookup
-    that grows with the data ``large``: then rows of a hot or missing key are spread.
+    the repeated rows differ. Spark broadcasts a lookup whose size allows it. A larger one is
+    shuffled apart from its grouping, as in ``distinct_apart``, so that rows of a hot or
+    missing key can be split.
     """
     keys = list(on.values())
-    single = names.groupBy(*keys).agg(
+    single = names.withColumn("__mix", F.xxhash64(*keys)).groupBy(*keys, "__mix").agg(
         F.count(F.lit(1)).alias("__n"),
         *[F.min(c).alias(f"__lo_{out}") for c, out in take.items()],
         *[F.max(c).alias(f"__hi_{out}") for c, out in take.items()])
@@ -46,11 +55,6 @@ def lookup(rows: DataFrame, names: DataFrame, on: dict[str, str], take: dict[str
                  for out in take.values()}
     single = single.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
                            *[v.alias(out) for out, v in value.items()])
-    if large:
-        sizes = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("__n_rows"))
-        cond = reduce(and_, [sizes[a] == F.col(f"__k_{b}") for a, b in on.items()])
-        totals = sizes.join(single, cond, "left").drop(*[f"__k_{k}" for k in keys])
-        return attach_totals(rows, totals, list(on), "__n_rows").drop("__n_rows")
     cond = reduce(and_, [rows[a] == F.col(f"__k_{b}") for a, b in on.items()])
     return rows.join(single, cond, "left").drop(*[f"__k_{k}" for k in keys])
 

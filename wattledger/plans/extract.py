@@ -72,7 +72,7 @@ def readings(cells: DataFrame, use_lines: DataFrame, reading_lines: DataFrame,
             .join(losses, ["service", "kind", "bill_period"], "left"))
     rows = joins.lookup(rows, kinds, {"kind": "code"}, {"text": "__kind"})
     rows = joins.lookup(rows, devices, {"device_id": "id"},
-                        {"device": "device", "digits": "digits", "factor": "factor"}, large=True)
+                        {"device": "device", "digits": "digits", "factor": "factor"})
     for i in (1, 2, 3):
         rows = joins.lookup(rows, notes, {f"note_code_{i}": "code"}, {"text": f"__note_{i}"})
     advance = F.col("current_reading") - F.col("previous_reading")
@@ -259,7 +259,7 @@ def requests(packages: DataFrame, motives: DataFrame, kinds: DataFrame, states:
     rows = joins.lookup(rows, people, {"person_code": "code"}, {"text": "__person"})
     rows = joins.lookup(rows, areas, {"area_code": "code"}, {"text": "__area"})
     rows = joins.lookup(rows, customers, {"customer_id": "customer_id"},
-                        {"first_name": "__first", "last_name": "__last"}, large=True)
+                        {"first_name": "__first", "last_name": "__last"})
     dash = F.lit(" - ")
     return rows.select(
         "service", "request", codes.glue("__first", F.lit(" "), "__last").alias("customer"),
@@ -312,32 +312,40 @@ def review_orders(drivers: DataFrame, criticals: DataFrame, cases: DataFrame, or
     """Review orders of the driving (service, billing period, type) keys, from four sources.
 
     ``drivers`` carries the period and window of the billing period; a driver without a
-    period matches every period of its service and type.
+    period matches every period of its service and type. The result has no repeated rows, so
+    every source is made distinct before it is joined: many lines of one order would
+    otherwise meet each other.
     """
     keyed = drivers.select(F.col("service").alias("d_service"), F.col("kind").alias("d_kind"),
                            F.col("period").alias("d_period"), "window_start", "window_end")
-    open_cells = keyed.select("d_service", "d_kind", "d_period").distinct()
     spans = keyed.select("d_service", "d_kind", "window_start", "window_end").distinct()
     wide = keyed.select("d_service", "d_period", "window_start", "window_end").distinct()
     same_cell = ((F.col("service") == F.col("d_service")) & (F.col("kind") == F.col("d_kind")))
-    any_period = F.col("d_period").isNull() | (F.col("period") == F.col("d_period"))
+    without = drivers.where(F.col("period").isNull())
+
+    def driven(rows: DataFrame) -> DataFrame:
+        """Rows of a driving cell: by equality on the period, or on any period."""
+        dated = rows.where(F.col("period").isNotNull())
+        return (joins.keep_keys(dated, drivers, ["service", "kind", "period"])
+                .unionByName(joins.keep_keys(dated, without, ["service", "kind"])))
 
     layout = ["order", "service", "kind", "period"]
-    in_cells = criticals.where(F.col("period").isNotNull()).join(open_cells, same_cell & any_period)
-    review = (in_cells.join(
+    cases = cases.select("service", "kind", "period", "request", "recorded_at").distinct()
+    review = (driven(criticals.select("service", "kind", "period", "activity_ref").distinct()).join(
         activities.where(F.col("activity") == settings["review_activity"])
-        .select("order", F.col("service").alias("a_service"), F.col("activity_ref").alias("a_ref")),
+        .select("order", F.col("service").alias("a_service"), F.col("activity_ref").alias("a_ref")).distinct(),
         (F.col("activity_ref") == F.col("a_ref")) & (F.col("service") == F.col("a_service")))
         .select(*layout))
     by_request = (activities.where(F.col("task").isin(*INVESTIGATION_TASKS))
-                  .select("order", F.col("service").alias("a_service"), F.col("request").alias("a_request")))
+                  .select("order", F.col("service").alias("a_service"), F.col("request").alias("a_request")).distinct())
     same_request = (F.col("request") == F.col("a_request")) & (F.col("service") == F.col("a_service"))
-    by_period = (cases.where(F.col("period").isNotNull()).join(open_cells, same_cell & any_period)
-                 .join(by_request, same_request).select(*layout))
-    by_date = (cases.join(spans, same_cell & F.col("recorded_at").between(
-        F.col("window_start"), F.col("window_end"))).join(by_request, same_request).select(*layout))
+    cell = ["service", "kind", "period", "request"]
+    by_period = driven(cases.select(*cell).distinct()).join(by_request, same_request).select(*layout)
+    in_span = same_cell & F.col("recorded_at").between(F.col("window_start"), F.col("window_end"))
+    by_date = (cases.join(spans, in_span, "left_semi").select(*cell).distinct()
+               .join(by_request, same_request).select(*layout))
     decisions = (activities.where(F.col("activity") == settings["decision_activity"])
-                 .select("order", "service").join(orders.select("order", "created_at"), "order")
+                 .select("order", "service").distinct().join(orders.select("order", "created_at"), "order")
                  .join(wide, (F.col("service") == F.col("d_service")) & F.col("created_at").between(
                      F.col("window_start"), F.col("window_end")))
                  .select("order", "service", F.lit(None).cast("bigint").alias("kind"),
@@ -362,7 +370,8 @@ def order_comments(reviews: DataFrame, comments: DataFrame, observations: DataFr
         reviews, ["order", "service", "kind", "period", "opened_at", "ended_at"], ["order"])
     spans = spans.select("order", F.col("service").alias("r_service"), F.col("kind").alias("r_kind"),
                          F.col("period").alias("r_period"), "opened_at", "ended_at")
-    seen = joins.inside(observations, spans,
+    told = observations.select("service", "kind", "period", "observed_at", "comment").distinct()
+    seen = joins.inside(told, spans,
                         {"service": "r_service", "kind": "r_kind", "period": "r_period"},
                         "observed_at", "opened_at", "ended_at", open_end=F.lit(as_of))
     seen = seen.select("order", "service", F.col("observed_at").alias("recorded_at"),
