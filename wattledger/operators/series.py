@@ -86,16 +86,13 @@ def precedent(reached: Column, comparable: Column, series: Series) -> tuple[Colu
 def last_distinct(rows: DataFrame, entity: str, end: str, n: int) -> DataFrame:
     """Rows of the n latest distinct ends of each entity.
 
-    The distinct ends are ranked, not the rows; ``row_number <= n`` lets Spark drop all but
-    n ends per entity before the shuffle.
+    For collapsed rows, such as distinct cells. ``dense_rank <= n`` lets Spark drop the rows
+    of all other ends in every task before the shuffle.
     """
-    latest = W.partitionBy("__entity").orderBy(F.col("__end").desc())
-    ends = (rows.select(F.col(entity).alias("__entity"), F.col(end).alias("__end"))
-            .where(F.col("__end").isNotNull()).distinct()
-            .withColumn("rank", F.row_number().over(latest))
-            .where(F.col("rank") <= n))
-    on = (F.col(entity) == F.col("__entity")) & (F.col(end) == F.col("__end"))
-    return rows.join(ends, on, "inner").drop("__entity", "__end")
+    latest = W.partitionBy(entity).orderBy(F.col(end).desc())
+    return (rows.where(F.col(end).isNotNull())
+            .withColumn("__rank", F.dense_rank().over(latest))
+            .where(F.col("__rank") <= n).drop("__rank"))
 
 
 def last_rows(rows: DataFrame, keys: list[str], newest_first: list[Column], n: int,
