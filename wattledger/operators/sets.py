@@ -25,8 +25,9 @@ def distinct_keys(rows: DataFrame, keys: list[str], needed: list[str] | None = N
 
 
 def shared_values(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
-    return (left.select(F.col(left_col).cast("string").alias("value"))
-            .intersect(right.select(F.col(right_col).cast("string").alias("value"))))
+    """Values both columns hold; each side is made distinct before the two meet."""
+    return (left.select(F.col(left_col).cast("string").alias("value")).distinct()
+            .intersect(right.select(F.col(right_col).cast("string").alias("value")).distinct()))
 
 
 def first_available(key: str, *candidates: DataFrame, k: int = 1) -> DataFrame:
