@@ -75,8 +75,8 @@ def spread(rows: DataFrame, totals: DataFrame, keys: list[str], size: str,
         F.explode(F.sequence(F.lit(0), slots - 1)).alias("__t_slot"))
     same_hot = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in keys])
     same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__t_{k}")) for k in keys])
-    slot = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns], F.spark_partition_id(), "__seed"),
-                  F.coalesce(F.col("__slots"), F.lit(1)))
+    mixed = F.xxhash64(*[F.col(c) for c in rows.columns], F.spark_partition_id(), "__seed")
+    slot = F.when(F.col("__slots").isNotNull(), F.pmod(mixed, F.col("__slots"))).otherwise(0)
     slotted = (rows.join(F.broadcast(hot), same_hot, "left")
                .select(*rows.columns, slot.cast("int").alias("__slot")))
     joined = slotted.join(repeated, same_key & (F.col("__slot") == F.col("__t_slot")), "left")

@@ -114,14 +114,22 @@ CHARGE_GRAIN = ["bill", "concept_code", "cause_code", "period", "document", "tar
 
 def charge_history(charges: DataFrame, bills: DataFrame, settings: Settings = DEFAULTS,
                    hot_rows: int = groups.HOT_ROWS) -> DataFrame:
-    """Flagged charge lines, and how many lines share the best candidate for a key."""
-    flagged = flagged_charges(charges, bills, settings)
-    return groups.with_group_size(flagged, CHARGE_GRAIN, "grain_rows", hot_rows)
+    """Flagged charge lines, and how many lines share the best candidate for a key.
+
+    The lines are counted before they meet their bills, which the count does not need.
+    """
+    sized = groups.with_group_size(typed_charges(charges), CHARGE_GRAIN, "grain_rows", hot_rows)
+    return flag_charges(sized, bills, settings)
 
 
 def flagged_charges(charges: DataFrame, bills: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Charge lines with codes, sign, their bill's columns and five flags."""
-    lines = charges.dropna(subset=["service", "bill"]).select(
+    return flag_charges(typed_charges(charges), bills, settings)
+
+
+def typed_charges(charges: DataFrame) -> DataFrame:
+    """Charge lines with declared types and the codes read from their texts."""
+    return charges.dropna(subset=["service", "bill"]).select(
         *[F.col(c).cast("bigint").alias(c)
           for c in ("service", "bill", "bill_period", "period", "bill_year", "bill_month")],
         *[F.col(c).cast("string").alias(c)
@@ -134,6 +142,10 @@ def flagged_charges(charges: DataFrame, bills: DataFrame, settings: Settings = D
         dates.text_to_date("period_end").alias("period_end"),
         F.col("units").cast("double").alias("units"),
         F.col("amount").cast("double").alias("amount"))
+
+
+def flag_charges(lines: DataFrame, bills: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Adds the columns of the bill, which is unique, and the flags."""
     account = bills.select(
         F.col("bill").cast("bigint").alias("bill"),
         F.col("period").cast("bigint").alias("account_period"),
@@ -144,8 +156,7 @@ def flagged_charges(charges: DataFrame, bills: DataFrame, settings: Settings = D
         F.col("own_amount").cast("double").alias("account_own"),
         F.col("recovered_amount").cast("double").alias("account_recovered"),
         dates.text_to_date("paid_at").alias("account_paid_on"))
-    on_account = lines.join(account, "bill", "left")
-    return on_account.withColumns({
+    return lines.join(account, "bill", "left").withColumns({
         "signed_amount": amounts.credit_negative("sign", "amount", settings["credit_sign"]),
         "is_regular": F.col("program_code") == settings["regular_program"],
         "is_loss": loss_charge("cause_code", "program_code", settings),
