@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality
+from . import contamination, quality
 
 QUERIES = {}
 SQL = {}
@@ -19,3 +19,33 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_quality"] = op7_quality
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+QUERIES["op5_decontamination"] = op5_decontamination
+
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+SQL["op5_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+cut AS (SELECT item_id, w, least(len(w), 13) AS l, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS a
+        FROM b WHERE len(w) > 0),
+phrase AS (SELECT DISTINCT item_id, l, array_to_string(w[a:a + l - 1], ' ') AS p FROM cut),
+start AS (SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM phrase)
+          WHERE len(w) >= l),
+occ AS (SELECT r, i, l, item_id FROM (SELECT r, i, l, array_to_string(w[i:i + l - 1], ' ') AS p FROM start)
+        JOIN phrase USING (l, p)),
+hit AS (SELECT r, count(DISTINCT pos) AS n FROM (SELECT r, unnest(range(i, i + l)) AS pos FROM occ) GROUP BY r),
+ids AS (SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS list
+        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM occ) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(ids.n, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)"""
