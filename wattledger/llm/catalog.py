@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import contamination, quality
+from . import contamination, packing, quality
 
 QUERIES = {}
 SQL = {}
@@ -49,3 +49,10 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, c
        sha256(coalesce(list, '')) AS items_sha256,
        coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)"""
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op10_packing"] = op10_packing
