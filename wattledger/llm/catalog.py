@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import contamination, packing, quality
+from . import contamination, jaccard, packing, quality
 
 QUERIES = {}
 SQL = {}
@@ -56,3 +56,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_packing"] = op10_packing
+
+
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op1_jaccard"] = op1_jaccard
