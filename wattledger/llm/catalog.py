@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import contamination, jaccard, packing, quality
+from . import contamination, jaccard, packing, quality, token_counts, token_files, urls
 
 QUERIES = {}
 SQL = {}
@@ -63,3 +66,44 @@ def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_jaccard"] = op1_jaccard
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            raw = [v.as_buffer() for v in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([len(r) // 4 for r in raw], pa.int64()),
+                 pa.array([zlib.crc32(r) for r in raw], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    read = token_files.read(*token_files.write(_table(spark, sf_dir, "documents")))
+    return read.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+QUERIES["op2_token_files"] = op2_token_files
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op9_token_counts"] = op9_token_counts
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
+QUERIES["op4_url_filters"] = op4_url_filters
+SQL["op4_url_filters"] = """
+WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+              FROM pages),
+part AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                   'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+rule(h, p, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                               ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+best AS (SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
+         FROM (SELECT DISTINCT host, path FROM part) JOIN rule
+         ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY host, path)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM part LEFT JOIN best USING (host, path)"""
