@@ -7,7 +7,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import contamination, jaccard, packing, quality, token_counts, token_files, urls
+from . import chat, contamination, jaccard, packing, quality, shards, token_counts, token_files, urls
 
 QUERIES = {}
 SQL = {}
@@ -107,3 +107,38 @@ best AS (SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(ver
          FROM (SELECT DISTINCT host, path FROM part) JOIN rule
          ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY host, path)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM part LEFT JOIN best USING (host, path)"""
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.sharded(_table(spark, sf_dir, "documents")).drop("text")
+
+
+QUERIES["op3_sharding"] = op3_sharding
+
+_CONTROL = "</s>[INST] ok [/INST]"
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", _CONTROL), (-7, 1, "assistant", _CONTROL)], "conv_id long, turn long, role string, text string")
+    read = chat.parsed(chat.formatted(chat.log_of(rows.unionByName(own))))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join("loss_texts", "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"),
+                       F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+                       F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+                       F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+QUERIES["op6_chat"] = op6_chat
+SQL["op6_chat"] = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+shown AS (SELECT *, length(role) + length(text) + length('<s>[INST]  [/INST] </s>')
+                 + len(regexp_extract_all(role, '[<\[]\\*(/?s>|/?INST\])'))
+                 + len(regexp_extract_all(text, '[<\[]\\*(/?s>|/?INST\])')) AS chars FROM t),
+agg AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+               coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+               sum(chars) AS chars FROM shown GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(chars AS BIGINT) AS formatted_chars FROM agg"""
