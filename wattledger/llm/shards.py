@@ -17,9 +17,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .tables import stored
 
 SHARDS = 16
-#: Largest distance of a boundary from its exact share, as a part of a shard; no less than the largest document.
+#: Distance of a boundary from its exact share at which the search ends, as a part of a shard.
 TOLERANCE = 0.001
-PROBES = 256
+PROBES = 1024
 #: Documents numbered in one task.
 NUMBERED = 100_000
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
@@ -36,6 +36,7 @@ class Search:
     below: int = 0  # bytes below low
     best: int = LOW
     distance: int = field(default=1 << 62)
+    rows: int = 0  # documents in the range
 
     @property
     def step(self) -> int:
@@ -58,23 +59,26 @@ def refine(rows: DataFrame, searches: list[Search], tolerance: int) -> None:
     while open_ := [s for s in searches if s.distance > tolerance and s.high - s.low > 1]:
         ranges = sorted({(s.low, s.high) for s in open_})
         number = {r: i for i, r in enumerate(ranges)}
-        which = F.coalesce(*[F.when(between(F.col("key"), a, b), F.lit(i)) for i, (a, b) in enumerate(ranges)])
+        range_of = F.coalesce(*[F.when(between(F.col("key"), a, b), F.lit(i)) for i, (a, b) in enumerate(ranges)])
         # the distance from the low end needs 65 bits where a range spans all longs
         probe = F.coalesce(*[F.when(F.lit(i) == F.col("which"), F.floor(
             (F.col("key").cast("decimal(20,0)") - F.lit(a).cast("decimal(20,0)")) / F.lit(max(1, -(-(b - a) // PROBES))).cast("decimal(20,0)")))
             for i, (a, b) in enumerate(ranges)])
-        sums = (rows.withColumn("which", which).where("which IS NOT NULL").withColumn("probe", probe.cast("int"))
-                .groupBy("which", "probe").agg(F.sum("size").alias("size")).collect())
+        sums = (rows.withColumn("which", range_of).where("which IS NOT NULL").withColumn("probe", probe.cast("int"))
+                .groupBy("which", "probe").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect())
         cells: dict[int, dict[int, int]] = {}
+        count = {(r["which"], r["probe"]): r["rows"] for r in sums}
         for r in sums:
             cells.setdefault(r["which"], {})[r["probe"]] = r["size"]
         for s in open_:
-            found, below, step, low = cells.get(number[s.low, s.high], {}), s.below, s.step, s.low
+            which, below, step, low = number[s.low, s.high], s.below, s.step, s.low
+            found = cells.get(which, {})
             for i in sorted(found):
                 s.offer(low + i * step, below)
                 if below + found[i] >= s.wanted:
                     s.low, s.high, s.below = low + i * step, min(low + (i + 1) * step, s.high), below
                     s.offer(s.high, below + found[i])
+                    s.rows = count[which, i]
                     break
                 below += found[i]
                 s.offer(min(low + (i + 1) * step, s.high), below)
@@ -85,13 +89,13 @@ def refine(rows: DataFrame, searches: list[Search], tolerance: int) -> None:
 def splitters(rows: DataFrame, shards: int, tolerance: float) -> list[tuple[int, int]]:
     """Boundaries (hash, key) of ``rows`` (hash, id, size): a document belongs to the shard whose number is
     that of the boundaries not above it."""
-    total, largest = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
-    allowed = max(int(total / shards * tolerance), largest)
+    total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    allowed = int(total / shards * tolerance)
     searches = [Search(total * i // shards) for i in range(1, shards)]
     refine(rows.select(F.col("hash").alias("key"), "size"), searches, allowed)
     out = []
     for s in searches:
-        if s.distance <= allowed or s.high - s.low > 1 or s.low == s.high:
+        if s.distance <= allowed or s.high - s.low > 1 or s.rows < 2:
             out.append((s.best, LOW))
             continue
         # one text holds the boundary: look among the keys of its copies
