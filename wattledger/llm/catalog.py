@@ -7,7 +7,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, contamination, jaccard, packing, quality, shards, token_counts, token_files, urls
+from . import chat, contamination, jaccard, licenses, packing, quality, shards, token_counts, token_files, urls
 
 QUERIES = {}
 SQL = {}
@@ -142,3 +142,12 @@ agg AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text
                sum(chars) AS chars FROM shown GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
        CAST(chars AS BIGINT) AS formatted_chars FROM agg"""
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
+QUERIES["op8_licenses"] = op8_licenses
