@@ -107,11 +107,11 @@ def test_plan_against_log(spark):
     assert ledger.plan_matches(live, "active", wanted, "p").first()["status"] == "REVISAR"
 
 
-def test_attempts_are_appended_with_a_cut_message(spark, tmp_path):
+def test_attempts_are_appended_with_their_whole_message(spark, tmp_path):
     path = str(tmp_path / "log")
     start = datetime(2026, 1, 1)
     ledger.append_attempt(spark, path, object="a", run="1", started_at=start, status=ledger.STARTED)
     ledger.append_attempt(spark, path, object="a", run="1", started_at=start, ended_at=datetime(2026, 1, 1, 0, 1),
                           status=ledger.FAILED, message="x" * 5000)
     got = {r["status"]: (r["seconds"], r["message"]) for r in spark.read.parquet(path).collect()}
-    assert got == {ledger.STARTED: (None, None), ledger.FAILED: (60.0, "x" * 4000)}
+    assert got == {ledger.STARTED: (None, None), ledger.FAILED: (60.0, "x" * 5000)}

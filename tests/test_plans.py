@@ -16,7 +16,7 @@ USE = dict(service=1, period=1, bill_period=10, bill_year=2026, bill_month=1, cy
            recorded_on="2026-02-01", method="4-BILLED", kind_text="3-ACTIVE", amount=10.0, calc_function="P_USE",
            rating="1-NORMAL", period_start="2026-01-01", period_end="2026-01-30")
 CHARGE = dict(service=1, bill=7, bill_period=10, period=1.0, concept="87-USE", cause="-1", sign="DB", period_label="2026-01",
-              document="CO-202606-TC-0007", created_at="2026-02-01 00:00:00", program="5-REGULAR", tariff=1.0, units=10.0,
+              document="AA-311-K", created_at="2026-02-01 00:00:00", program="5-REGULAR", tariff=1.0, units=10.0,
               amount=100.0, period_start="2026-01-01", period_end="2026-01-30", bill_year=2026, bill_month=1)
 BILL = dict(service=1, bill=7, bill_period=10, bill_year=2026, bill_month=1, paid_at=None, total=100.0, paid=0.0,
             claimed=0.0, pending=100.0, due_on="2026-03-01", own_amount=100.0, recovered_amount=0.0, period=1,
@@ -59,10 +59,9 @@ def test_equal_readings_are_one_fact(spark):
     assert len(got) == 1 and got[0]["grain_rows"] == 1
 
 
-@pytest.mark.parametrize("hot_rows", [1, 1000])
-def test_repeated_grain_is_counted_not_dropped(spark, hot_rows):
+def test_repeated_grain_is_counted_not_dropped(spark):
     rows = readings(spark, {}, {"current_reading": 21.0}, {"device": None}, {"period": 2})
-    got = history.consumption_history(rows, consumption(spark), hot_rows=hot_rows).collect()
+    got = history.consumption_history(rows, consumption(spark)).collect()
     assert sorted((r["period"], r["device"], r["grain_rows"], r["n_devices"], r["device_use"]) for r in got) == [
         (1, "(sin medidor)", 1, 1, 30.0), (1, "M-1", 2, 1, 30.0), (1, "M-1", 2, 1, 30.0), (2, "M-1", 1, 1, 10.0)]
 
@@ -102,19 +101,19 @@ def test_period_view_adds_devices_up(spark):
 
 def test_charge_flags(spark):
     rows = charges(
-        spark, {}, {"sign": "CR"}, {"document": "CO-PR-202606-TC-0007", "period": 2.0},
-        {"document": "CO-PR-202606-TC-0007", "period": None}, {"cause": "74-LOSS", "program": "307-LOSS"},
+        spark, {}, {"sign": "CR"}, {"document": "AA-PR-311-K", "period": 2.0},
+        {"document": "AA-PR-311-K", "period": None}, {"cause": "74-LOSS", "program": "307-LOSS"},
         {"program": "-26-EXTERNAL"}, {"document": None, "period": 2.0}, {"bill": 99})
     got = [r.asDict() for r in history.charge_history(rows, bills(spark)).collect()]
     assert len(got) == 8
     by = {(r["sign"], r["document"], r["period"], r["cause_code"], r["program_code"], r["bill"]): r for r in got}
-    assert by["CR", "CO-202606-TC-0007", 1, -1, 5, 7]["signed_amount"] == -100.0
-    assert by["DB", "CO-PR-202606-TC-0007", 2, -1, 5, 7]["is_recovery"] is True
-    assert by["DB", "CO-PR-202606-TC-0007", None, -1, 5, 7]["is_recovery"] is False
-    assert by["DB", "CO-202606-TC-0007", 1, 74, 307, 7]["is_loss"] is True
-    assert by["DB", "CO-202606-TC-0007", 1, -1, -26, 7]["is_regular"] is False
+    assert by["CR", "AA-311-K", 1, -1, 5, 7]["signed_amount"] == -100.0
+    assert by["DB", "AA-PR-311-K", 2, -1, 5, 7]["is_recovery"] is True
+    assert by["DB", "AA-PR-311-K", None, -1, 5, 7]["is_recovery"] is False
+    assert by["DB", "AA-311-K", 1, 74, 307, 7]["is_loss"] is True
+    assert by["DB", "AA-311-K", 1, -1, -26, 7]["is_regular"] is False
     assert by["DB", None, 2, -1, 5, 7]["has_recovery_token"] is False
-    assert by["DB", "CO-202606-TC-0007", 1, -1, 5, 99]["period_differs"] is None
+    assert by["DB", "AA-311-K", 1, -1, 5, 99]["period_differs"] is None
 
 
 def test_candidate_key_of_charges_is_counted(spark):
@@ -133,15 +132,33 @@ def test_bill_history_multiplies_only_by_readings(spark):
                                readings(spark, {}, {"device": "M-2"}))
     rows = got.collect()
     assert len(rows) == 2
-    assert {len(r["charge_lines"]) for r in rows} == {2} and {r["kind_use"] for r in rows} == {10.0}
+    assert {r["n_lines"] for r in rows} == {2} and {r["kind_use"] for r in rows} == {10.0}
 
 
-def test_review_history_sorts_comments(spark):
+@pytest.mark.parametrize("lines", [5, 50_000])
+def test_a_bill_with_many_lines_stays_one_bill(spark, lines):
+    many = charges(spark, {}).crossJoin(spark.range(lines).select(F.col("id").alias("n")))
+    got = history.bill_history(bills(spark), many.withColumn("amount", F.lit(1.0)).drop("n"), consumption(spark, {}),
+                               readings(spark, {}, {"device": "M-2"})).collect()
+    assert len(got) == 2 and sum(r["kind_use"] for r in got) == 20.0
+    assert {(r["n_lines"], r["line_amount"]) for r in got} == {(lines, float(lines))}
+
+
+def test_detail_has_one_row_for_each_grain(spark):
+    rows = charges(spark, {}, {"amount": 5.0}, {"concept": "90-X"}, {"period": 2.0}, {"cause": "74-LOSS"})
+    got = history.charge_detail(rows).collect()
+    assert sorted(len(r["charge_lines"]) for r in got) == [1, 1, 1, 2]
+
+
+def test_review_history_counts_comments_and_detail_holds_them(spark):
     orders = spark.createDataFrame([(1,), (2,)], "order int")
-    comments = spark.createDataFrame([(1, 5, "b", "y"), (1, 2, "a", "x")],
-                                     "order int, recorded_at int, comment_kind string, comment string")
-    got = {r["order"]: r["comments"] for r in history.review_history(orders, comments).collect()}
-    assert got[2] is None and [c["recorded_at"] for c in got[1]] == [2, 5]
+    comments = spark.createDataFrame(
+        [(1, datetime(2026, 1, 2, 9), "b", "y"), (1, datetime(2026, 1, 2, 8), "b", "z"), (1, datetime(2026, 1, 1), "a", "x")],
+        "order int, recorded_at timestamp, comment_kind string, comment string")
+    got = {r["order"]: (r["n_comments"], r["first_comment_at"]) for r in history.review_history(orders, comments).collect()}
+    assert got == {1: (3, datetime(2026, 1, 1)), 2: (0, None)}
+    detail = {(r["day"].day, r["comment_kind"]): [c["comment"] for c in r["comments"]] for r in history.comment_detail(comments).collect()}
+    assert detail == {(1, "a"): ["x"], (2, "b"): ["z", "y"]}
 
 
 def test_contract_roster(spark):
@@ -357,7 +374,3 @@ def test_plans_hold_no_nested_loop(spark):
     for df in plans:
         text = df._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in text and "Cartesian" not in text
-
-
-def test_group_totals_use_the_same_default(spark):
-    assert groups.HOT_ROWS > groups.PART_ENTRIES

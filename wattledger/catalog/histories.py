@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -178,50 +178,53 @@ def loss_flag(t: Tables):
 
 
 @query("nested_charge_detail", f"""WITH {roles.LINES}
-SELECT bill, CAST(0 AS BIGINT) AS part, count(*) AS n_entries, string_agg(concept_code || '/' || sign || '/' || units,
-       ';' ORDER BY concept_code, sign, units, amount) AS detail
-FROM lines GROUP BY bill""")
+SELECT bill, concept_code || '-CONCEPT' AS concept, CASE cause_code WHEN 74 THEN '74-LOSS' ELSE '-1' END AS cause, period,
+       count(*) AS n_entries, string_agg(sign || '/' || coalesce(document, '') || '/' || amount || '/' || units,
+       ';' ORDER BY sign, document NULLS FIRST, amount, units) AS detail
+FROM lines GROUP BY bill, concept_code, cause_code, period""")
 def nested_charge_detail(t: Tables):
-    lines = t.lineitem.withColumns(roles.line_columns()).select(
-        F.col("l_orderkey").alias("bill"), "concept_code", "sign", F.col("l_quantity").alias("units"),
-        F.col("l_extendedprice").alias("amount"))
-    nested = groups.nest(lines, ["bill"], ["concept_code", "sign", "units", "amount"], "entries")
-    text = F.transform("entries", lambda e: F.concat_ws(
-        "/", e["concept_code"].cast("string"), e["sign"], e["units"].cast("string")))
-    return nested.select("bill", "part", F.size("entries").cast("bigint").alias("n_entries"),
-                         F.array_join(text, ";").alias("detail"))
-
-
-@query("nested_comments", """SELECT conv_id, CAST(0 AS BIGINT) AS part, count(*) AS n_comments,
-       string_agg(turn || ':' || role || ':' || length(text), ';' ORDER BY turn, role, text) AS comments
-FROM conversations GROUP BY conv_id""")
-def nested_comments(t: Tables):
-    nested = groups.nest(t.conversations, ["conv_id"], ["turn", "role", "text"], "entries")
-    text = F.transform("entries", lambda e: F.concat_ws(
-        ":", e["turn"].cast("string"), e["role"], F.length(e["text"]).cast("string")))
-    return nested.select("conv_id", "part", F.size("entries").cast("bigint").alias("n_comments"),
-                         F.array_join(text, ";").alias("comments"))
-
-
-@query("review_history", f"""WITH {roles.BILLS}, nested AS (
-  SELECT conv_id, count(*) AS n_comments,
-         string_agg(turn || ':' || role, ';' ORDER BY turn, role, text) AS comments
-  FROM conversations GROUP BY conv_id)
-SELECT bill AS "order", service, state, coalesce(n_comments, 0) AS n_comments, comments
-FROM bills LEFT JOIN nested ON conv_id = bill""")
-def review_history(t: Tables):
-    orders = roles.bills(t).select(F.col("bill").alias("order"), "service", "state")
-    comments = t.conversations.select(
-        F.col("conv_id").alias("order"), F.col("turn").alias("recorded_at"),
+    text = F.transform("charge_lines", lambda e: F.concat_ws(
+        "/", e["sign"], F.coalesce(e["document"], F.lit("")), e["amount"].cast("string"), e["units"].cast("string")))
+    return history.charge_detail(roles.charges(t)).select(
+        "bill", "concept", "cause", F.col("period").cast("bigint").alias("period"),
+        F.size("charge_lines").cast("bigint").alias("n_entries"), F.array_join(text, ";").alias("detail"))
+
+
+def turn_comments(t: Tables):
+    """Turns as comments of an order, 12 hours apart."""
+    hours = (F.col("turn") * 12).cast("int")
+    return t.conversations.select(
+        F.col("conv_id").alias("order"), F.timestamp_add("HOUR", hours, F.lit(datetime(2024, 1, 1))).alias("recorded_at"),
         F.col("role").alias("comment_kind"), F.col("text").alias("comment"))
+
+
+TURN_COMMENTS = """turn_comments AS (
+  SELECT conv_id AS "order", TIMESTAMP '2024-01-01' + turn * INTERVAL 12 HOUR AS recorded_at, role AS comment_kind, text AS comment
+  FROM conversations)"""
+
+
+@query("nested_comments", f"""WITH {TURN_COMMENTS}
+SELECT "order", CAST(recorded_at AS DATE) AS day, comment_kind, count(*) AS n_comments,
+       string_agg(hour(recorded_at) || ':' || length(comment), ';' ORDER BY recorded_at, comment) AS comments
+FROM turn_comments GROUP BY ALL""")
+def nested_comments(t: Tables):
     text = F.transform("comments", lambda e: F.concat_ws(
-        ":", e["recorded_at"].cast("string"), e["comment_kind"]))
-    return history.review_history(orders, comments).select(
-        "order", "service", "state",
-        F.coalesce(F.size("comments"), F.lit(0)).cast("bigint").alias("n_comments"),
+        ":", F.hour(e["recorded_at"]).cast("string"), F.length(e["comment"]).cast("string")))
+    return history.comment_detail(turn_comments(t)).select(
+        "order", "day", "comment_kind", F.size("comments").cast("bigint").alias("n_comments"),
         F.array_join(text, ";").alias("comments"))
 
 
+@query("review_history", f"""WITH {roles.BILLS}, {TURN_COMMENTS}, seen AS (
+  SELECT "order", count(*) AS n, min(recorded_at) AS first_comment_at, max(recorded_at) AS last_comment_at
+  FROM turn_comments GROUP BY "order")
+SELECT bill AS "order", service, state, coalesce(n, 0) AS n_comments, first_comment_at, last_comment_at
+FROM bills LEFT JOIN seen ON "order" = bill""")
+def review_history(t: Tables):
+    orders = roles.bills(t).select(F.col("bill").alias("order"), "service", "state")
+    return history.review_history(orders, turn_comments(t))
+
+
 @query("bill_history", f"""WITH {roles.READINGS}, {roles.CONSUMPTION}, event_bills AS (
   SELECT service, service * 1000 + period // 2 AS bill, 100 + period // 2 AS bill_period,
          round(sum(value), 4) AS total FROM ev GROUP BY service, period // 2), detail AS (
@@ -240,10 +243,9 @@ def bill_history(t: Tables):
     bills = roles.event_bills(t).withColumn("bill_period", F.floor(F.col("period") / 2) + 100)
     bills = bills.withColumn("due_on", F.lit(None).cast("string"))
     rows = history.bill_history(bills, roles.event_charges(t), roles.consumption(t), roles.readings(t))
-    amount = F.aggregate("charge_lines", F.lit(0.0), lambda s, e: s + e["amount"])
     return rows.select(
-        "service", "bill", "bill_period", F.round("total", 4).alias("total"),
-        F.size("charge_lines").cast("bigint").alias("n_lines"), F.round(amount, 4).alias("line_amount"),
+        "service", "bill", "bill_period", F.round("total", 4).alias("total"), "n_lines",
+        F.round("line_amount", 4).alias("line_amount"),
         "kind_text", "period", F.round("kind_use", 4).alias("kind_use"), "period_start", "period_end",
         "days", *rounded("previous_reading", "current_reading", "computed_use", "reading_use"),
         "high_limit", "low_limit", "note_1")

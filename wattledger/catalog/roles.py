@@ -177,7 +177,7 @@ def event_charges(t: Tables) -> DataFrame:
         F.when(k % 5 == 0, "74-LOSS").otherwise("-1").alias("cause"),
         F.when(k % 6 == 0, "CR").otherwise("DB").alias("sign"),
         F.lit(None).cast("string").alias("period_label"),
-        pick(k % 4, "CO-PR-202401-TC-0007", "CO-202401-TC-0007", "PRESTAMO", None).alias("document"),
+        pick(k % 4, "AB-PR-250-M", "AB-250-M", "PLAIN", None).alias("document"),
         dates.time_text("ts").alias("created_at"),
         F.when(k % 3 == 0, "307-LOSS CONTROL").when(k % 6 == 2, "-26-EXTERNAL")
         .otherwise("5-REGULAR").alias("program"),
@@ -267,8 +267,8 @@ def line_columns() -> dict[str, Column]:
         "sign": F.when(F.col("l_returnflag") == "R", "CR").otherwise("DB"),
         "program_code": F.when(F.col("l_suppkey") % 5 == 0, 307)
         .when(F.col("l_suppkey") % 5 == 1, -26).otherwise(5),
-        "document": pick((F.col("l_partkey") % 4).cast("int"), "CO-PR-202606-TC-0007",
-                         "CO-202606-TC-0007", "PRESTAMO", None),
+        "document": pick((F.col("l_partkey") % 4).cast("int"), "AA-PR-311-K",
+                         "AA-311-K", "PLAIN", None),
         "tariff": (F.col("l_partkey") % 10).cast("double")}
 
 
@@ -293,8 +293,8 @@ LINES = """lines AS (
          CASE WHEN l_linestatus = 'F' AND l_suppkey % 4 = 0 THEN 74 ELSE -1 END AS cause_code,
          CASE WHEN l_returnflag = 'R' THEN 'CR' ELSE 'DB' END AS sign,
          CASE l_suppkey % 5 WHEN 0 THEN 307 WHEN 1 THEN -26 ELSE 5 END AS program_code,
-         CASE l_partkey % 4 WHEN 0 THEN 'CO-PR-202606-TC-0007' WHEN 1 THEN 'CO-202606-TC-0007'
-              WHEN 2 THEN 'PRESTAMO' END AS document,
+         CASE l_partkey % 4 WHEN 0 THEN 'AA-PR-311-K' WHEN 1 THEN 'AA-311-K'
+              WHEN 2 THEN 'PLAIN' END AS document,
          CAST(l_partkey % 10 AS DOUBLE) AS tariff, l_quantity AS units, l_extendedprice AS amount,
          l_shipdate AS created_at
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""

@@ -238,7 +238,7 @@ def group_size(t: Tables):
        count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS grain_rows FROM lineitem""")
 def grain_rows(t: Tables):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    return groups.with_group_size(lines, ["l_orderkey", "l_linenumber"], "grain_rows")
+    return groups.with_grain_rows(lines, ["l_orderkey", "l_linenumber"], "grain_rows")
 
 
 @query("partition_totals", f"""WITH {roles.READINGS}
@@ -249,10 +249,8 @@ FROM readings WINDOW w AS (PARTITION BY service, period, kind)""")
 def partition_totals(t: Tables):
     keys = ["service", "period", "kind"]
     rows = roles.readings(t).select(*keys, "device", "billed_use")
-    totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"),
-                                     F.countDistinct("device").alias("n_devices"),
-                                     F.sum("billed_use").alias("cell_use"))
-    out = groups.attach_totals(rows, totals, keys, "n_rows")
+    totals = rows.groupBy(*keys).agg(F.countDistinct("device").alias("n_devices"), F.sum("billed_use").alias("cell_use"))
+    out = groups.attach_totals(rows, totals, keys)
     return out.select(*keys, "device", F.round("billed_use", 4).alias("billed_use"), "n_devices",
                       F.round("cell_use", 4).alias("cell_use"),
                       amounts.reconciles("billed_use", "cell_use", 0.01).alias("alone"))

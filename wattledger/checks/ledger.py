@@ -7,7 +7,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import texts
 from ..operators import groups, joins, series
 from .quality import LOOK, entry, report
 
@@ -17,9 +16,9 @@ SCHEMA = ("object string, run string, started_at timestamp, ended_at timestamp,
 
 
 def append_attempt(spark: SparkSession, path: str, **attempt) -> None:
-    """Add one attempt to the log; long messages are cut."""
+    """Add one attempt to the log, with its whole message."""
     row = [tuple(attempt.get(f.split()[0]) for f in SCHEMA.split(", "))]
-    df = spark.createDataFrame(row, SCHEMA).withColumn("message", texts.cut("message"))
+    df = spark.createDataFrame(row, SCHEMA).withColumn("message", F.nullif("message", F.lit("")))
     seconds = F.unix_timestamp("ended_at") - F.unix_timestamp("started_at")
     df.withColumn("seconds", seconds.cast("double")).write.mode("append").parquet(path)
 

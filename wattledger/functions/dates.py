@@ -17,7 +17,7 @@ NEVER_WITHDRAWN = date(4732, 12, 31)
 
 def text_to_date(text: str | Column) -> Column:
     """Date of a ``YYYY-MM-DD`` text, with or without a time part; NULL when unreadable."""
-    return F.substring(col(text).cast("string"), 1, 10).try_cast("date")
+    return col(text).cast("string").try_cast("date")
 
 
 def day_text(ts: str | Column) -> Column:

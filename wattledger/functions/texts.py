@@ -16,15 +16,6 @@ def clean(text: str | Column) -> Column:
     return F.translate(col(text), DROPPED, "")
 
 
-def has_marker(text: str | Column, marker: str) -> Column:
-    return col(text).contains(marker)
-
-
-def cut(text: str | Column, length: int = 4000) -> Column:
-    """Message field of the run log; an empty message is stored as NULL."""
-    return F.nullif(F.substring(col(text), 1, length), F.lit(""))
-
-
 def drawn_from(text: str | Column, prefix: str | None = None, part: str | None = None,
                pattern: str | None = None) -> Column:
     """Prefix, contained text and pattern conditions, joined by AND."""

@@ -1,8 +1,8 @@
 """Aggregations, and totals put back on each row.
 
-A window that counts over a group would move the whole group into one task. Here the
-totals are aggregated first (partial sums on the map side) and joined back; groups with
-very many rows are spread over several tasks.
+A grain that is small by meaning (a bill's line, a cell's device) is counted by a window. A group
+that may be large (a contract, a category) is aggregated first, with partial sums on the map side,
+and its totals are joined back, where adaptive execution splits a hot key.
 """
 
 from __future__ import annotations
@@ -16,12 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import col
 
-# Rows of one group a single task takes in ``attach_totals``. At most rows/HOT_ROWS
-# groups can be above it, which bounds the list of hot groups that is broadcast.
-HOT_ROWS = 5_000_000
-# Entries one nested row holds; longer groups continue in further parts.
-PART_ENTRIES = 10_000
-
 
 def sum_where(condition: Column, value: str | Column) -> Column:
     return F.sum(F.when(condition, col(value)))
@@ -60,47 +54,28 @@ def full_lap(digits: str, previous: str, current: str) -> Column:
     return F.when(went_back, lap)
 
 
-def spread(rows: DataFrame, totals: DataFrame, keys: list[str], size: str,
-           hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``attach_totals`` that also keeps the slot of each row, in ``__slot``."""
+def attach_totals(rows: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of rows to one-row-per-key totals; NULL keys match NULL keys.
+
+    The totals are dealt anew for the join, apart from the shuffle that aggregated them: adaptive
+    execution splits a hot key only where both sides of a join come straight from shuffles of their own.
+    """
     extra = [c for c in totals.columns if c not in keys]
-    slots = F.greatest(F.lit(1), F.ceil(F.coalesce(F.col(size), F.lit(0)) / hot_rows)).cast("int")
-    # The seed makes the hot list need every column of the totals, so that both uses of the
-    # totals have the same plan and Spark runs their shuffle once.
-    hot = (totals.where(F.col(size) > hot_rows)
-           .select(*[F.col(k).alias(f"__h_{k}") for k in keys], slots.alias("__slots"),
-                   F.xxhash64(*extra).alias("__seed")))
-    repeated = totals.select(
-        *[F.col(k).alias(f"__t_{k}") for k in keys], *extra,
-        F.explode(F.sequence(F.lit(0), slots - 1)).alias("__t_slot"))
-    same_hot = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__h_{k}")) for k in keys])
+    mixed = totals.withColumn("__mix", F.xxhash64(*extra)).groupBy(*keys, "__mix").agg(*[F.max(c).alias(c) for c in extra])
+    named = mixed.select(*[F.col(k).alias(f"__t_{k}") for k in keys], *extra)
     same_key = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__t_{k}")) for k in keys])
-    mixed = F.xxhash64(*[F.col(c) for c in rows.columns], F.spark_partition_id(), "__seed")
-    slot = F.when(F.col("__slots").isNotNull(), F.pmod(mixed, F.col("__slots"))).otherwise(0)
-    slotted = (rows.join(F.broadcast(hot), same_hot, "left")
-               .select(*rows.columns, slot.cast("int").alias("__slot")))
-    joined = slotted.join(repeated, same_key & (F.col("__slot") == F.col("__t_slot")), "left")
     kept = [c for c in extra if c not in rows.columns]
-    return joined.select(*[F.col(c) for c in rows.columns], *kept, "__slot")
+    return rows.join(named, same_key, "left").select(*rows.columns, *kept)
 
 
-def attach_totals(rows: DataFrame, totals: DataFrame, keys: list[str], size: str,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Left join of rows to one-row-per-key totals; NULL keys match NULL keys.
-
-    ``size`` is the column of ``totals`` with the number of rows per key. Keys above
-    ``hot_rows`` are split: their rows get a slot, and their totals row is repeated once
-    per slot, so no task receives more than about ``hot_rows`` rows of a key. The slot is
-    a hash of the row and its partition number, which a repeated task computes again.
-    """
-    return spread(rows, totals, keys, size, hot_rows).drop("__slot")
+def with_group_size(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Number of rows that share the keys, on each row; for groups of any size."""
+    return attach_totals(rows, rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys)
 
 
-def with_group_size(rows: DataFrame, keys: list[str], name: str,
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Number of rows that share the keys, on each row."""
-    totals = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return attach_totals(rows, totals, keys, name, hot_rows)
+def with_grain_rows(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Number of rows that share the keys, on each row; for grains that hold few rows by meaning."""
+    return rows.withColumn(name, F.count(F.lit(1)).over(W.partitionBy(*keys)))
 
 
 def distinct_rows(rows: DataFrame) -> DataFrame:
@@ -108,21 +83,13 @@ def distinct_rows(rows: DataFrame) -> DataFrame:
     return rows.distinct()
 
 
-def nest(rows: DataFrame, keys: list[str], entries: list[str], name: str,
-         part_entries: int = PART_ENTRIES, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Sorted list of structs per key, in parts of at most ``part_entries`` entries.
+def nest(rows: DataFrame, keys: list[str], entries: list[str], name: str) -> DataFrame:
+    """One row per key with the sorted list of its entries.
 
-    A key with up to ``part_entries`` rows gives one row with ``part`` 0. Longer keys give
-    several rows with a list each; all entries are kept.
+    The keys are a business grain whose lists are short by meaning (the lines of a bill for one
+    concept, cause and period; a day's comments of a kind), whatever the size of the data.
     """
-    slim = rows.select(*keys, *[c for c in entries if c not in keys])
-    totals = slim.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    slotted = spread(slim, totals, keys, "__n", hot_rows)
-    within = W.partitionBy(*keys, "__slot").orderBy(*entries)
-    section = F.floor((F.row_number().over(within) - 1) / part_entries)
-    return (slotted.withColumn("part", F.col("__slot").cast("long") * 1_000_000 + section)
-            .groupBy(*keys, "part")
-            .agg(F.sort_array(F.collect_list(F.struct(*entries))).alias(name)))
+    return rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*entries))).alias(name))
 
 
 def cross_tab(rows: DataFrame, keys: list, name: str = "n_rows") -> DataFrame:

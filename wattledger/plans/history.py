@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import amounts, codes, dates, flags
@@ -17,20 +18,24 @@ CELL = ["service", "period", "kind"]
 
 def clean_readings(readings: DataFrame) -> DataFrame:
     """Typed readings with a complete key; rows equal in every column become one."""
+    return groups.distinct_rows(typed_readings(readings))
+
+
+def typed_readings(readings: DataFrame) -> DataFrame:
+    """Readings with a complete key and declared types."""
     device, unknown = flags.or_unknown("device", NO_DEVICE)
     longs = ["service", "period", "kind", "bill_period", "bill_year", "bill_month", "cycle",
              "days", "digits"]
     doubles = ["previous_reading", "current_reading", "computed_use", "billed_use", "factor",
                "low_limit", "high_limit"]
     texts = ["kind_text", "note_1", "note_2", "note_3", "loss_mark"]
-    typed = readings.dropna(subset=CELL).select(
+    return readings.dropna(subset=CELL).select(
         *[F.col(c).try_cast("bigint").alias(c) for c in longs],
         device.alias("device"), unknown.alias("device_unknown"),
         *[F.col(c).cast("string").alias(c) for c in texts],
         *[F.col(c).try_cast("double").alias(c) for c in doubles],
         dates.text_to_date("period_start").alias("period_start"),
         dates.text_to_date("period_end").alias("period_end"))
-    return groups.distinct_rows(typed)
 
 
 def use_by_cell(consumption: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -72,23 +77,20 @@ def use_by_cell(consumption: DataFrame, settings: Settings = DEFAULTS) -> DataFr
 
 
 def consumption_history(readings: DataFrame, consumption: DataFrame,
-                        settings: Settings = DEFAULTS,
-                        hot_rows: int = groups.HOT_ROWS) -> DataFrame:
-    """Readings per device with the billed use of their cell and a check of the two."""
-    rows = clean_readings(readings)
-    per_device = rows.groupBy(*CELL, "device").agg(
-        F.count(F.lit(1)).alias("grain_rows"),
-        F.sum("billed_use").alias("__use"),
-        F.bool_and("device_unknown").alias("__unknown"))
-    per_cell = per_device.groupBy(*CELL).agg(
-        groups.count_where(~F.col("__unknown")).alias("n_devices"),
-        F.sum("__use").alias("device_use"))
-    cell = per_cell.join(use_by_cell(consumption, settings), CELL, "left")
-    # One row per device of a cell, so the readings meet a single table of totals.
-    totals = per_device.drop("__use", "__unknown").join(cell, CELL)
-    with_totals = groups.attach_totals(rows, totals, [*CELL, "device"], "grain_rows", hot_rows)
+                        settings: Settings = DEFAULTS) -> DataFrame:
+    """Readings per device with the billed use of their cell and a check of the two.
+
+    A cell holds the few devices of a service, type and period. Readings are dealt by cell once; that
+    serves dropping equal rows, both counts and the join.
+    """
+    device, cell = W.partitionBy(*CELL, "device"), W.partitionBy(*CELL)
+    known = F.when(~F.col("device_unknown"), F.col("device"))
+    rows = typed_readings(readings).repartition(*CELL).distinct().withColumns({
+        "grain_rows": F.count(F.lit(1)).over(device),
+        "n_devices": F.size(F.collect_set(known).over(cell)).cast("bigint"),
+        "device_use": F.sum("billed_use").over(cell)})
     check = amounts.reconciles("period_use", "device_use", settings["reconcile_tolerance"])
-    return with_totals.withColumn("use_reconciles", check)
+    return rows.join(use_by_cell(consumption, settings), CELL, "left").withColumn("use_reconciles", check)
 
 
 def period_view(history: DataFrame) -> DataFrame:
@@ -112,14 +114,13 @@ def period_view(history: DataFrame) -> DataFrame:
 CHARGE_GRAIN = ["bill", "concept_code", "cause_code", "period", "document", "tariff", "sign"]
 
 
-def charge_history(charges: DataFrame, bills: DataFrame, settings: Settings = DEFAULTS,
-                   hot_rows: int = groups.HOT_ROWS) -> DataFrame:
+def charge_history(charges: DataFrame, bills: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Flagged charge lines, and how many lines share the best candidate for a key.
 
-    The lines are counted before they meet their bills, which the count does not need.
+    Lines are dealt by their bill once, which serves the count and the join with the bills.
     """
-    sized = groups.with_group_size(typed_charges(charges), CHARGE_GRAIN, "grain_rows", hot_rows)
-    return flag_charges(sized, bills, settings)
+    lines = typed_charges(charges).repartition("bill")
+    return flag_charges(groups.with_grain_rows(lines, CHARGE_GRAIN, "grain_rows"), bills, settings)
 
 
 def flagged_charges(charges: DataFrame, bills: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -177,18 +178,24 @@ def period_differs(own: str, account: str):
     return F.coalesce(F.col(own), F.col(account)) != F.col(account)
 
 
-DETAIL = ["concept", "cause", "sign", "document", "amount", "units"]
+DETAIL_GRAIN = ["bill", "concept", "cause", "period"]
+DETAIL = ["sign", "document", "amount", "units"]
+
+
+def charge_detail(charges: DataFrame) -> DataFrame:
+    """The lines of a bill for each concept, cause and period, as a sorted list."""
+    return groups.nest(charges, DETAIL_GRAIN, DETAIL, "charge_lines")
 
 
 def bill_history(bills: DataFrame, charges: DataFrame, consumption: DataFrame,
-                 readings: DataFrame, settings: Settings = DEFAULTS,
-                 part_entries: int = groups.PART_ENTRIES) -> DataFrame:
-    """Bills with nested charge lines, billed use per type and the readings of the type.
+                 readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """Bills with the number and amount of their charge lines, billed use per type and its readings.
 
-    The reading join keeps the older definition: several devices of a type give several
-    rows. A bill whose charge lines fill several parts has one row per part.
+    The lines themselves are in :func:`charge_detail`, however many a bill has. The reading join keeps
+    the older definition: several devices of a type give several rows.
     """
-    detail = groups.nest(charges, ["bill"], DETAIL, "charge_lines", part_entries)
+    detail = charges.groupBy("bill").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("amount").alias("line_amount"), F.sum("units").alias("line_units"))
     billed = consumption.where(
         codes.token("method", 0) == F.lit(str(settings["billed_method"])))
     by_kind = billed.groupBy("service", "bill_period", "kind_text").agg(
@@ -204,16 +211,20 @@ def bill_history(bills: DataFrame, charges: DataFrame, consumption: DataFrame,
             .join(read, ["service", "bill_period", "kind_text"], "left"))
 
 
-def review_history(orders: DataFrame, comments: DataFrame,
-                   part_entries: int = groups.PART_ENTRIES) -> DataFrame:
-    """Review orders with their comments as a sorted list."""
-    entries = ["recorded_at", "comment_kind", "comment"]
-    nested = groups.nest(comments, ["order"], entries, "comments", part_entries)
-    return orders.join(nested, "order", "left")
+def comment_detail(comments: DataFrame) -> DataFrame:
+    """An order's comments of a day and kind, as a sorted list."""
+    dated = comments.withColumn("day", F.to_date("recorded_at"))
+    return groups.nest(dated, ["order", "day", "comment_kind"], ["recorded_at", "comment"], "comments")
+
+
+def review_history(orders: DataFrame, comments: DataFrame) -> DataFrame:
+    """Review orders with the number and the times of their comments; the texts are in :func:`comment_detail`."""
+    seen = comments.groupBy("order").agg(F.count(F.lit(1)).alias("n_comments"), F.min("recorded_at").alias("first_comment_at"),
+                                         F.max("recorded_at").alias("last_comment_at"))
+    return orders.join(seen, "order", "left").withColumn("n_comments", F.coalesce("n_comments", F.lit(0)))
 
 
-def contract_roster(services: DataFrame, as_of, settings: Settings = DEFAULTS,
-                    hot_rows: int = groups.HOT_ROWS) -> DataFrame:
+def contract_roster(services: DataFrame, as_of, settings: Settings = DEFAULTS) -> DataFrame:
     """Services of each contract, active on a date or not, with the size of the contract."""
     from datetime import date
     never = date.fromisoformat(settings["never_withdrawn"])
@@ -222,7 +233,7 @@ def contract_roster(services: DataFrame, as_of, settings: Settings = DEFAULTS,
         "never_withdrawn": dates.is_never("withdrawn_on", never),
         "active": dates.active_on("withdrawn_on", as_of),
         "withdrawn_on": dates.text_to_date("withdrawn_on")})
-    return groups.with_group_size(rows, ["contract"], "contract_services", hot_rows)
+    return groups.with_group_size(rows, ["contract"], "contract_services")
 
 
 def order_roster(orders: DataFrame, services: DataFrame, activity: int | None = None) -> DataFrame:
