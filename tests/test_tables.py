@@ -14,13 +14,12 @@ def test_order_contract():
         def __init__(self, *columns):
             self.columns = list(columns)
 
-    contracts.check_order(Frame("COL1", "id"), ["col1", "id"])
-    with pytest.raises(ValueError, match="missing \\['col1'\\]"):
-        contracts.check_order(Frame("id"), ["col1", "id"])
-    with pytest.raises(ValueError, match="column 0 is id, expected col1"):
-        contracts.check_order(Frame("id", "col1"), ["col1", "id"])
-    with pytest.raises(ValueError, match="surplus \\['x'\\]"):
-        contracts.check_order(Frame("col1", "id", "x"), ["col1", "id"])
+    wanted = ["bill", "total", "paid"]
+    contracts.check_order(Frame("BILL", "total", "Paid"), wanted)
+    for found, said in ((("bill", "paid"), "missing \\['total'\\]"), (("bill", "total", "paid", "note"), "surplus \\['note'\\]"),
+                        (("bill", "paid", "total"), "column 1 is paid, expected total")):
+        with pytest.raises(ValueError, match=said):
+            contracts.check_order(Frame(*found), wanted)
 
 
 @pytest.mark.parametrize("table, columns", [
@@ -112,14 +111,14 @@ def test_checkpoint_goes_to_the_shared_folder(spark):
 
 
 @pytest.mark.parametrize("value, kind, want", [
-    ("8", "INT", 8), ("87,90, 546", "INT_LIST", [87, 90, 546]), ("0.01", "DOUBLE", 0.01), ("false", "BOOLEAN", False),
-    ("it's \\ fine", "STRING", "it's \\ fine")])
+    ("-12", "BIGINT", -12), (" 4, 6,31 ", "INT_LIST", [4, 6, 31]), ("1e-3", "DOUBLE", 0.001), ("1", "BOOLEAN", True),
+    ("100 % \\ \"as is\"", "STRING", "100 % \\ \"as is\"")])
 def test_typed_settings(value, kind, want):
     assert settings.typed(value, kind, "k") == want
 
 
-@pytest.mark.parametrize("value, kind", [("ocho", "INT"), ("1 OR 1=1", "INT"), ("", "INT_LIST"), ("1,x", "INT_LIST"),
-                                         ("much", "DOUBLE"), ("maybe", "BOOLEAN"), (None, "INT")])
+@pytest.mark.parametrize("value, kind", [("3.5", "INT"), ("7; 8", "LONG"), (" , ", "INT_LIST"), ("4-6", "INT_LIST"),
+                                         ("1,5", "DOUBLE"), ("2", "BOOLEAN"), (None, "BIGINT")])
 def test_bad_settings_raise(value, kind):
     with pytest.raises(ValueError, match="setting k"):
         settings.typed(value, kind, "k")
@@ -133,6 +132,14 @@ def test_inactive_settings_resolve_to_none(spark):
         loaded["unknown"]
 
 
+def test_settings_are_joined_on_their_stored_keys(spark):
+    table = settings.seed(spark)
+    with pytest.raises(ValueError, match="without a row: recovery_token"):
+        settings.load(table.where("clave <> 'token_recuperacion'"))
+    other = spark.createDataFrame([("otro", "clave_ajena", "x", "INT", True)], table.schema)
+    assert settings.load(table.union(other)).values == settings.DEFAULTS.values
+
+
 # --- upkeep ------------------------------------------------------------------------------
 
 
