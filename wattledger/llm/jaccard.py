@@ -4,8 +4,9 @@
    within a slice. Equal sets are one entity from here on.
 2. Shingles are ordered: rare ones by their hash, the frequent ones behind them by their count. Two
    sets that are similar enough share a shingle among the first ones of both (the prefix), so a
-   pass emits (shingle, entity) for prefixes. Entities that share one are joined in a star, and the
-   stars' connected components bound where links can be.
+   pass emits (shingle, entity) for prefixes. Entities that share one meet at the smallest of them,
+   each with a parity bitmap of its set: bits that differ are shingles that differ, so pairs with too
+   many are no link. What is left falls into connected components, and links lie within them.
 3. The sets of entities in components of two or more go to cells. A cell stores the sets of a
    component in a trie and sends every set down it; sets share the overlaps of their common
    beginnings, and a subtree is left when what remains of either side can no longer reach the
@@ -30,8 +31,9 @@ PERCENT = 80
 FREQUENT_IN_SLICE, FREQUENT_KEPT = 8, 65_536
 #: Bits of the map of candidate entities; a false mark costs a row in a shuffle.
 MAP_BITS = 24
-#: Shingles in a cell: sets of small components are put together up to it, large ones cut.
+#: Shingles in a cell, and bitmaps in a cell: small groups are put together up to it, large ones cut.
 CELL_SHINGLES = 4_000_000
+CELL_BITMAPS = 20_000
 #: Symbols of a trie edge compared before the bounds are looked at again.
 STRIDE = 64
 
@@ -92,24 +94,33 @@ def digests(sets: Sets) -> np.ndarray:
     return chain([*[t[sets.bounds[1:]] - t[sets.bounds[:-1]] for t in total], sets.size.astype(np.uint64)]).view(np.int64)
 
 
+def bitmaps(sets: Sets) -> list[bytes]:
+    """For each set, how often (odd or even) its shingles fall on each of 64, 128, .. bits, no fewer than shingles."""
+    bits = 1 << np.maximum(np.ceil(np.log2(np.maximum(sets.size, 1))).astype(np.int64), 6)
+    begin = np.cumsum(bits) - bits
+    at = begin[sets.row] + (mix(sets.key) & (bits[sets.row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8)
+    raw = np.packbits(odd, bitorder="little").tobytes()
+    return [raw[a:a + n] for a, n in zip((begin // 8).tolist(), (bits // 8).tolist())]
+
+
 def profile(docs: DataFrame, ngram: int) -> DataFrame:
-    """(doc_id, size, entity) of every row, and (shingle, times) of the frequent shingles of slices."""
-    schema = "doc_id long, size long, entity long, shingle long, times long"
+    """(doc_id, size, entity, bitmap) of every row, and (shingle, times) of the frequent shingles of slices."""
+    schema = "doc_id long, size long, entity long, bitmap binary, shingle long, times long"
 
     def run(batches):
         for batch in batches:
             for s in slices(batch.column(1), lower=True):
                 sets = Sets(s, ngram)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(s.first, s.rows), pa.array(sets.size), pa.array(digests(sets)),
+                     pa.array(bitmaps(sets), pa.binary()), *[pa.nulls(s.rows, pa.int64())] * 2],
+                    names=[c.split()[0] for c in schema.split(", ")])
                 shingle, times = np.unique(sets.key, return_counts=True)
                 often = times >= FREQUENT_IN_SLICE
-                shingle, times = shingle[often].view(np.int64), times[often]
-                none, nothing = pa.nulls(len(shingle), pa.int64()), pa.nulls(s.rows, pa.int64())
+                n = int(often.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.chunked_array([batch.column(0).slice(s.first, s.rows), none]).combine_chunks(),
-                     pa.chunked_array([pa.array(sets.size), none]).combine_chunks(),
-                     pa.chunked_array([pa.array(digests(sets)), none]).combine_chunks(),
-                     pa.chunked_array([nothing, pa.array(shingle)]).combine_chunks(),
-                     pa.chunked_array([nothing, pa.array(times)]).combine_chunks()],
+                    [*[pa.nulls(n, pa.int64())] * 3, pa.nulls(n, pa.binary()), pa.array(shingle[often].view(np.int64)), pa.array(times[often])],
                     names=[c.split()[0] for c in schema.split(", ")])
 
     return docs.mapInArrow(run, schema)
@@ -290,7 +301,7 @@ def joined(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 
 def candidates_of(docs: DataFrame, frequent, marked, ngram: int) -> DataFrame:
-    """(entity, size, shingles) of the documents whose entity is marked; a task emits each entity once."""
+    """(entity, size, payload: its shingles) of the documents whose entity is marked; a task emits each entity once."""
 
     def run(batches):
         met: set[int] = set()
@@ -310,31 +321,80 @@ def candidates_of(docs: DataFrame, frequent, marked, ngram: int) -> DataFrame:
                         met.add(int(entity[i]))
                         out.append((int(entity[i]), int(sets.size[i]), sets.key[sets.bounds[i]:sets.bounds[i + 1]].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.binary()))],
-                                                 names=["entity", "size", "shingles"])
-
-    return docs.mapInArrow(run, "entity long, size long, shingles binary")
-
-
-def cells(candidates: DataFrame, percent: int) -> DataFrame:
-    """(low, high) links of ``candidates`` (root, entity, size, shingles), as stars of what each cell found connected."""
-    spark = candidates.sparkSession
-    sizes = candidates.groupBy("root").agg(F.sum("size").alias("volume"))
-    sizes = sizes.withColumn("blocks", F.ceil(F.col("volume") / CELL_SHINGLES).cast("int"))
-    small = sizes.where("blocks = 1").agg(F.coalesce(F.sum("volume"), F.lit(0))).first()[0]
-    groups = int(small) // CELL_SHINGLES * 2 + 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = candidates.join(sizes.select("root", "blocks"), "root")
-    own = F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int")
-    # blocks meet two by two; a component of one block shares a cell with others
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.when(
-        F.col("blocks") > 1, F.array_except(F.sequence(F.lit(0), F.col("blocks") - 1), F.array("own"))).otherwise(F.array(F.lit(0)))))
+                                                 names=["entity", "size", "payload"])
+
+    return docs.mapInArrow(run, "entity long, size long, payload binary")
+
+
+def alike(size: np.ndarray, raw: list[bytes], percent: int) -> np.ndarray:
+    """For each bitmap, the first one that pairs with few enough differing bits lead to.
+
+    Sets whose Jaccard reaches the threshold differ in at most (100 - percent) / (100 + percent) of the
+    sum of their sizes, and no bit differs without a shingle. A longer bitmap is folded onto a shorter one.
+    """
+    label = np.full(len(size), -1, dtype=np.int64)
+    width = np.array([len(r) for r in raw]) // 8
+    rows = {w: np.flatnonzero(width == w) for w in np.unique(width).tolist()}
+    bits = {w: np.frombuffer(b"".join([raw[i] for i in r]), dtype="<u8").reshape(len(r), w) for w, r in rows.items()}
+    place = np.empty(len(size), dtype=np.int64)
+    for r in rows.values():
+        place[r] = np.arange(len(r))
+    free = {w: np.ones(len(r), dtype=bool) for w, r in rows.items()}
+    for root in range(len(size)):
+        if label[root] >= 0:
+            continue
+        label[root] = root
+        free[int(width[root])][place[root]] = False
+        todo = [root]
+        while todo:
+            x = todo.pop()
+            w = int(width[x])
+            own = bits[w][place[x]]
+            for other in (w // 2, w, w * 2):
+                if other not in rows:
+                    continue
+                left = np.flatnonzero(free[other])
+                n = size[rows[other][left]]
+                left = left[(100 * n >= percent * size[x]) & (percent * n <= 100 * size[x])]
+                if not len(left):
+                    continue
+                theirs, mine = bits[other][left], own
+                if other < w:
+                    mine = own[:other] ^ own[other:]
+                elif other > w:
+                    theirs = theirs[:, :w] ^ theirs[:, w:]
+                differ = np.bitwise_count(theirs ^ mine).sum(axis=1, dtype=np.int64)
+                near = left[(100 + percent) * differ <= (100 - percent) * (size[rows[other][left]] + size[x])]
+                free[other][near] = False
+                found = rows[other][near]
+                label[found] = root
+                todo += found.tolist()
+    return label
+
+
+def cells(rows: DataFrame, weight: str, limit: int, run) -> DataFrame:
+    """(low, high) that ``run`` finds in the groups of ``rows`` (root, entity, size, payload).
+
+    ``run`` gets the sizes and payloads of a group and returns, for each, the first one it is connected to.
+    Groups up to ``limit`` (the sum of ``weight``) are put together in a cell; a larger one is cut
+    into blocks by a hash, and every two blocks meet in a cell.
+    """
+    spark = rows.sparkSession
+    sizes = rows.groupBy("root").agg(F.sum(F.expr(weight)).alias("volume"))
+    sizes = sizes.withColumn("blocks", F.ceil(F.col("volume") / limit).cast("int"))
+    small = sizes.where("blocks <= 1").agg(F.coalesce(F.sum("volume"), F.lit(0))).first()[0]
+    groups = int(small) // limit * 2 + 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.join(sizes.select("root", "blocks"), "root").withColumn("own", F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.when(F.col("blocks") > 1, F.array_except(
+        F.sequence(F.lit(0), F.col("blocks") - 1), F.array("own"))).otherwise(F.array(F.lit(0)))))
     rows = rows.select(
         F.when(F.col("blocks") > 1, F.col("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(groups))).alias("cell"),
         F.when(F.col("blocks") > 1, F.least("own", "other")).otherwise(F.lit(-1)).alias("a"),
-        F.greatest("own", "other").alias("b"), "root", "entity", "shingles")
+        F.greatest("own", "other").alias("b"), "root", "entity", "size", "payload")
 
-    def run(table: pa.Table) -> pa.Table:
-        root, entity = table.column("root").to_numpy(), table.column("entity").to_numpy()
-        raw = table.column("shingles")
+    def meet(table: pa.Table) -> pa.Table:
+        root, entity, size = (table.column(c).to_numpy() for c in ("root", "entity", "size"))
+        raw = table.column("payload").to_pylist()
         order = np.lexsort((entity, root))
         fresh = np.ones(len(order), dtype=bool)
         fresh[1:] = (entity[order][1:] != entity[order][:-1]) | (root[order][1:] != root[order][:-1])
@@ -343,14 +403,14 @@ def cells(candidates: DataFrame, percent: int) -> DataFrame:
         low, high = [], []
         for a, b in zip(cuts[:-1], cuts[1:]):
             mine = order[a:b]
-            label = joined([np.frombuffer(raw[int(i)].as_py(), dtype=np.uint64) for i in mine], percent)
+            label = run(size[mine], [raw[i] for i in mine.tolist()])
             linked = np.flatnonzero(label != np.arange(len(label)))
             low.append(entity[mine[label[linked]]])
             high.append(entity[mine[linked]])
         return pa.table({"low": np.concatenate(low) if low else np.empty(0, np.int64),
                          "high": np.concatenate(high) if high else np.empty(0, np.int64)})
 
-    return rows.groupBy("cell", "a", "b").applyInArrow(run, "low long, high long")
+    return rows.groupBy("cell", "a", "b").applyInArrow(meet, "low long, high long")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
@@ -370,7 +430,10 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int
     table = np.array([(r[0], len(often) - i) for i, r in enumerate(often)], dtype=np.int64).reshape(-1, 2)
     frequent = spark.sparkContext.broadcast(table[np.argsort(table[:, 0])].view(np.uint64))  # the most frequent one last
 
-    near = stored(components(stars(postings(docs, frequent, ngram, percent))), "near")
+    met = stars(postings(docs, frequent, ngram, percent)).select("low", F.explode(F.array("low", "high")).alias("entity")).distinct()
+    bitmap = (first.where("shingle IS NULL").groupBy("entity").agg(F.first("size").alias("size"), F.first("bitmap").alias("payload")))
+    met = stored(met.select(F.col("low").alias("root"), "entity").join(bitmap, "entity"), "met")
+    near = stored(components(cells(met, "1", CELL_BITMAPS, lambda size, raw: alike(size, raw, percent))), "near")
     slot = F.shiftrightunsigned("node", 64 - MAP_BITS)
     bits = (near.groupBy(F.shiftright(slot, 6).alias("word"))
             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(node, {64 - MAP_BITS}) & 63 as int))")).alias("bits")).collect())
@@ -381,7 +444,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int
 
     sets = candidates_of(docs, frequent, marked, ngram)
     candidates = stored(sets.join(near.select(F.col("node").alias("entity"), "root"), "entity"), "candidates")
-    links = components(cells(candidates, percent))
+    links = components(cells(candidates, "size", CELL_SHINGLES, lambda size, raw: joined(
+        [np.frombuffer(r, dtype=np.uint64) for r in raw], percent)))
     rows = first.where("shingle IS NULL").select("doc_id", "size", "entity")
     rows = rows.join(links.select(F.col("node").alias("entity"), "root"), "entity", "left")
     rows = rows.withColumn("class", F.coalesce("root", "entity"))
