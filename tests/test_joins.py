@@ -1,5 +1,5 @@
 import random
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,13 +7,24 @@ from pyspark.sql import functions as F
 from wattledger.operators import joins, sets
 
 
-def test_lookup_raises_on_a_repeated_key(spark):
-    rows = spark.createDataFrame([(1,), (2,)], "k int")
-    names = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "code int, text string")
-    with pytest.raises(Exception, match="several rows"):
-        joins.lookup(rows, names, {"k": "code"}, {"text": "t"}).collect()
-    quiet = joins.lookup(rows, names, {"k": "code"}, {"text": "t"}, on_repeat="null")
-    assert {r["k"]: r["t"] for r in quiet.collect()} == {1: None, 2: "c"}
+def test_repeated_keys_of_a_lookup_are_found(spark):
+    names = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "code int, text string")
+    assert [tuple(r) for r in joins.repeated_keys(names, ["code"]).collect()] == [(1, 2)]
+    assert joins.repeated_keys(names, ["code", "text"]).count() == 0
+
+
+def test_windows_over_months_meet_each_point_once(spark):
+    rnd = random.Random(8)
+    day = datetime(2026, 1, 1)
+    points = [(rnd.randrange(3), day + timedelta(hours=rnd.randrange(4000)), i) for i in range(80)] + [(1, None, 99), (None, day, 98)]
+    spans = [(rnd.randrange(3), day + timedelta(hours=a), day + timedelta(hours=a + rnd.randrange(-50, 3000)), i)
+             for i, a in enumerate(rnd.randrange(4000) for _ in range(30))] + [(0, day, None, 50)]
+    p = spark.createDataFrame(points, "e int, at timestamp, p int")
+    w = spark.createDataFrame(spans, "w_e int, s timestamp, n timestamp, w int")
+    last = datetime(2026, 9, 1)
+    got = joins.inside(p, w, {"e": "w_e"}, "at", "s", "n", open_end=F.lit(last)).select("p", "w").collect()
+    want = [(i, j) for e, at, i in points for x, a, b, j in spans if at and e == x and a <= at <= (b or last)]
+    assert sorted(tuple(r) for r in got) == sorted(want)
 
 
 def test_lookup_keeps_rows(spark):
@@ -57,15 +68,16 @@ def test_overlap(spark):
 
 
 def test_inside_uses_the_open_end(spark):
-    points = spark.createDataFrame([(1, 5), (1, 50)], "e int, at int")
-    windows = spark.createDataFrame([(1, 1, None), (1, 40, 45)], "o int, s int, t int")
-    got = joins.inside(points, windows, {"e": "o"}, "at", "s", "t", open_end=F.lit(20)).collect()
-    assert [(r["at"], r["s"]) for r in got] == [(5, 1)]
+    day = [date(2026, 1, 1) + timedelta(days=i) for i in range(60)]
+    points = spark.createDataFrame([(1, day[5]), (1, day[50])], "e int, at date")
+    windows = spark.createDataFrame([(1, day[1], None), (1, day[40], day[45])], "o int, s date, t date")
+    got = joins.inside(points, windows, {"e": "o"}, "at", "s", "t", open_end=F.lit(day[20])).collect()
+    assert [(r["at"], r["s"]) for r in got] == [(day[5], day[1])]
 
 
 def test_no_join_compares_all_pairs(spark):
-    a = spark.createDataFrame([(1, 5)], "e int, at int")
-    b = spark.createDataFrame([(1, 1, 9)], "o int, s int, t int")
+    a = spark.createDataFrame([(1, date(2026, 1, 5))], "e int, at date")
+    b = spark.createDataFrame([(1, date(2026, 1, 1), date(2026, 1, 9))], "o int, s date, t date")
     plan = joins.inside(a, b, {"e": "o"}, "at", "s", "t")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 

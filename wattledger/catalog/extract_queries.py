@@ -17,9 +17,10 @@ from .registry import Tables, query
 # --- consumption and readings: events -------------------------------------------------
 
 
-def names(t: Tables, rows, code, text):
-    """A lookup table of the codes that occur, built by Spark from the rows."""
-    return rows.select(code.alias("code")).distinct().withColumn("text", text)
+def codes_below(t: Tables, n: int):
+    """Codes 0 to n - 1: the keys of the nations, of which there are 25. Lookups are cut on purpose,
+    so that some codes have no name."""
+    return t.nation.where(F.col("n_nationkey") < n).select(F.col("n_nationkey").cast("bigint").alias("code"))
 
 
 def use_lines(t: Tables):
@@ -76,18 +77,16 @@ def cells(t: Tables):
 
 def kind_names(t: Tables):
     """All kinds but 8, so that one code has no name."""
-    rows = roles.events(t).where(F.col("kind") != 8)
-    return rows.select(F.col("kind").alias("code"), F.upper("event_type").alias("text")).distinct()
+    text = F.create_map(*[F.lit(x) for name, code in roles.KINDS.items() if code != 8 for x in (code, name.upper())])
+    return codes_below(t, 25).withColumn("text", F.try_element_at(text, F.col("code").cast("int"))).where("text IS NOT NULL")
 
 
 def note_names(t: Tables):
-    rows = names(t, roles.events(t).where(F.col("k") < 5), F.col("k"), F.lit("x"))
-    return rows.select("code", F.concat(F.lit("NOTE "), F.col("code").cast("string")).alias("text"))
+    return codes_below(t, 5).select("code", F.concat(F.lit("NOTE "), F.col("code").cast("string")).alias("text"))
 
 
 def devices(t: Tables):
-    rows = names(t, roles.events(t).where(F.col("k") < 8), F.col("k"), F.lit("x"))
-    return rows.select(F.col("code").alias("id"), F.concat(F.lit("M-"), F.col("code").cast("string")).alias("device"),
+    return codes_below(t, 8).select(F.col("code").alias("id"), F.concat(F.lit("M-"), F.col("code").cast("string")).alias("device"),
                        (F.col("code") % 2 + 4).alias("digits"), (F.col("code") + 1.0).alias("factor"))
 
 
@@ -138,14 +137,11 @@ USE_NAMES = """CASE method WHEN 4 THEN '4-BILLED' WHEN 17 THEN '17-LOSS' END AS
 
 
 def method_names(t: Tables):
-    code = roles.use_columns()["method_code"]
-    rows = names(t, roles.events(t), code, F.lit("x"))
-    return rows.select("code", F.when(F.col("code") == 4, "BILLED").otherwise("LOSS").alias("text"))
+    return codes_below(t, 25).where(F.col("code").isin(4, 17)).select("code", F.when(F.col("code") == 4, "BILLED").otherwise("LOSS").alias("text"))
 
 
 def rating_names(t: Tables):
-    code = F.when(F.col("k") % 10 < 7, 1).when(F.col("k") % 10 == 7, 5055)
-    rows = names(t, roles.events(t).where(F.col("k") % 10 <= 7), code, F.lit("x"))
+    rows = codes_below(t, 2).select(F.when(F.col("code") == 0, 1).otherwise(5055).alias("code"))
     return rows.select("code", F.when(F.col("code") == 1, "NORMAL").otherwise("INVESTIGATION").alias("text"))
 
 
@@ -190,8 +186,8 @@ def investigation_extract(t: Tables):
     cases = roles.events(t).where(F.col("kind").isin(7, 8, 9)).select(
         "service", "kind", (F.col("service") % 4 * 100 + F.col("period")).alias("period"),
         F.col("event_id").alias("request"), (F.col("k") % 4).alias("state"), F.col("ts").alias("recorded_at"))
-    states = names(t, roles.events(t).where(F.col("k") % 4 != 0), F.col("k") % 4, F.lit("x")).select(
-        "code", roles.pick(F.col("code") - 1, "OPEN", "CUSTOMER", "COMPANY").alias("text"))
+    states = codes_below(t, 4).where("code > 0").select(
+        "code", roles.pick((F.col("code") - 1).cast("int"), "OPEN", "CUSTOMER", "COMPANY").alias("text"))
     return extract.investigations(cases, kind_names(t), states, use_periods(t), datetime(2024, 7, 15).date())
 
 
@@ -284,14 +280,10 @@ def open_balances(t: Tables):
                        F.round("overdue_balance", 2).alias("overdue_balance"))
 
 
-def code_names(t: Tables, column: str, known: dict):
-    """Names of the codes of a line column, for the codes that occur."""
-    code = roles.line_columns()[column]
-    text = F.lit(None).cast("string")
-    for value, name in known.items():
-        text = F.when(F.col("code") == value, name).otherwise(text)
-    return t.lineitem.select(code.alias("code")).distinct().where(F.col("code").isin(list(known))).withColumn(
-        "text", text)
+def code_names(t: Tables, known: dict):
+    """A lookup table of the given names."""
+    at = F.col("code").cast("int")
+    return codes_below(t, len(known)).select(roles.pick(at, *known).alias("code"), roles.pick(at, *known.values()).alias("text"))
 
 
 @query("charges_extract", f"""WITH {roles.LINES}, {MONTHS}
@@ -307,8 +299,8 @@ def charges_extract(t: Tables):
     programs = {k: v for k, v in roles.CODE_NAMES["program"].items() if k > 0}
     return extract.charges(
         roles.charge_lines(t).drop("bill_period"), accounts(t), invoices(t), month_windows(t), month_periods(t),
-        code_names(t, "concept_code", roles.CODE_NAMES["concept"]),
-        code_names(t, "cause_code", roles.CODE_NAMES["cause"]), code_names(t, "program_code", programs))
+        code_names(t, roles.CODE_NAMES["concept"]),
+        code_names(t, roles.CODE_NAMES["cause"]), code_names(t, programs))
 
 
 @query("master_extract", f"""WITH {roles.BILLS}, balance AS (
@@ -403,8 +395,8 @@ def requests_extract(t: Tables):
         F.concat(F.lit("remark "), F.col("k").cast("string")).alias("comment"), (F.col("k") % 7).alias("channel_code"),
         (F.col("service") % 200).alias("person_code"), (F.col("service") % 30).alias("area_code"),
         (F.col("service") * 20).alias("customer_id"))
-    states = names(t, rows.where(F.col("k") % 5 != 4), F.col("k") % 5, F.lit("STATE"))
-    channels = names(t, rows.where(F.col("k") % 7 < 4), F.col("k") % 7, F.lit("CHANNEL"))
+    states = codes_below(t, 4).withColumn("text", F.lit("STATE"))
+    channels = codes_below(t, 4).withColumn("text", F.lit("CHANNEL"))
     people = t.supplier.select(F.col("s_suppkey").alias("code"), F.col("s_name").alias("text"))
     areas = t.nation.select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("text"))
     customers = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("first_name"),

@@ -67,8 +67,7 @@ def last_n_bills(t: Tables):
 @query("latest_value", """SELECT user_id, arg_max(value, (ts, event_id)) AS value, max(ts) AS ts
 FROM events GROUP BY user_id""")
 def latest_value(t: Tables):
-    return t.events.groupBy("user_id").agg(
-        series.latest_value("value", "ts", "event_id").alias("value"), F.max("ts").alias("ts"))
+    return series.latest(t.events, ["user_id"], ["ts", "event_id"], ["value", "ts"])
 
 
 WEEK = """DATE '2024-01-01' + CAST(7 * w AS INTEGER) AS starts, DATE '2024-01-01' + CAST(7 * w + 6 AS INTEGER) AS ends"""

@@ -25,9 +25,7 @@ def append_attempt(spark: SparkSession, path: str, **attempt) -> None:
 
 def latest_status(log: DataFrame) -> DataFrame:
     """State of each object: that of its latest attempt."""
-    return log.groupBy("object").agg(
-        series.latest_value("status", "started_at", "log_id").alias("status"),
-        F.max("started_at").alias("started_at"))
+    return series.latest(log, ["object"], ["started_at", "log_id"], ["status", "started_at"])
 
 
 def last_run(log: DataFrame) -> DataFrame:

@@ -30,33 +30,22 @@ def distinct_apart(keys: DataFrame) -> DataFrame:
     return keys.withColumn("__mix", F.xxhash64(*keys.columns)).distinct().drop("__mix")
 
 
-def lookup(rows: DataFrame, names: DataFrame, on: dict[str, str], take: dict[str, str],
-           on_repeat: str = "error") -> DataFrame:
-    """Left join to a lookup table that must hold one row per key.
-
-    ``on`` maps row column to lookup column, ``take`` maps lookup column to result column.
-    A repeated key raises, as a scalar lookup would; ``on_repeat="null"`` gives NULL where
-    the repeated rows differ. Spark broadcasts a lookup whose size allows it. A larger one is
-    shuffled apart from its grouping, as in ``distinct_apart``, so that rows of a hot or
-    missing key can be split.
+def lookup(rows: DataFrame, names: DataFrame, on: dict[str, str], take: dict[str, str]) -> DataFrame:
+    """Left join to a lookup table that holds one row per key.
+
+    ``on`` maps row column to lookup column, ``take`` maps lookup column to result column. The
+    table is joined as it is, so Spark knows its size and broadcasts a small one; that its keys
+    are unique is checked once per table, by :func:`repeated_keys`.
     """
-    keys = list(on.values())
-    single = names.withColumn("__mix", F.xxhash64(*keys)).groupBy(*keys, "__mix").agg(
-        F.count(F.lit(1)).alias("__n"),
-        *[F.min(c).alias(f"__lo_{out}") for c, out in take.items()],
-        *[F.max(c).alias(f"__hi_{out}") for c, out in take.items()])
-    if on_repeat == "error":
-        stop = F.raise_error(F.lit(f"lookup by {', '.join(keys)} found several rows"))
-        value = {out: F.when(F.col("__n") > 1, stop).otherwise(F.col(f"__hi_{out}"))
-                 for out in take.values()}
-    else:
-        value = {out: F.when(F.col(f"__lo_{out}").eqNullSafe(F.col(f"__hi_{out}")),
-                             F.col(f"__hi_{out}"))
-                 for out in take.values()}
-    single = single.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
-                           *[v.alias(out) for out, v in value.items()])
+    named = names.select(*[F.col(b).alias(f"__k_{b}") for b in on.values()], *[F.col(c).alias(out) for c, out in take.items()])
     cond = reduce(and_, [rows[a] == F.col(f"__k_{b}") for a, b in on.items()])
-    return rows.join(single, cond, "left").drop(*[f"__k_{k}" for k in keys])
+    return rows.join(named, cond, "left").drop(*[f"__k_{b}" for b in on.values()])
+
+
+def repeated_keys(names: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that several rows of a lookup table share, with their number; NULL keys are never looked up."""
+    return (names.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+            .where(F.col("n_rows") > 1))
 
 
 def inside(points: DataFrame, windows: DataFrame, equal: dict[str, str], at: str,
@@ -64,13 +53,19 @@ def inside(points: DataFrame, windows: DataFrame, equal: dict[str, str], at: str
            how: str = "inner") -> DataFrame:
     """Rows of ``points`` with the windows they lie in, both ends included.
 
-    A missing window end is replaced by ``open_end``. The two sides must not share names.
+    A missing window end is replaced by ``open_end``. The two sides must not share names. Points and
+    windows meet by entity and month: a window stands in each month it touches, a point in its own, so
+    a point is compared only with windows near it, and each pair meets once.
     """
     stop = F.col(end) if open_end is None else F.coalesce(F.col(end), open_end)
-    cond = (F.col(at) >= F.col(start)) & (F.col(at) <= stop)
+    months = F.sequence(F.trunc(F.to_date(start), "month"), F.trunc(F.to_date(stop), "month"), F.expr("interval 1 month"))
+    ordered = F.col(start) <= stop
+    spread = windows.where(ordered).withColumn("__month", F.explode(months))
+    dated = points.withColumn("__at", F.trunc(F.to_date(at), "month"))
+    cond = (F.col("__at") == F.col("__month")) & (F.col(at) >= F.col(start)) & (F.col(at) <= stop)
     for left, right in equal.items():
         cond = cond & (F.col(left) == F.col(right))
-    return points.join(windows, cond, how)
+    return dated.join(spread, cond, how).drop("__at", "__month")
 
 
 def both_sides(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -103,14 +103,24 @@ def last_rows(rows: DataFrame, keys: list[str], newest_first: list[Column], n: i
 
 
 def latest_value(value: str | Column, *newest: str | Column) -> Column:
-    """Value at the greatest of the ordering columns; an aggregate, so it needs no window.
-
-    One ordering column without ties is cheapest: it aggregates by hash, several by sort.
-    """
+    """Value at the greatest of the ordering columns, as an aggregate over all rows."""
     order = col(newest[0]) if len(newest) == 1 else F.struct(*[col(c) for c in newest])
     return F.max_by(col(value), order)
 
 
+def latest(rows: DataFrame, keys: list[str], newest: list[str], take: list[str]) -> DataFrame:
+    """For each key, the columns ``take`` of its row with the greatest ordering columns.
+
+    The ordering columns are numbers or times, which aggregate by hash; each leaves only the rows at
+    its greatest value, so the table is read, not sorted. Rows that tie in all of them must agree in
+    ``take``, or the key has several. Rows without a key or an ordering value drop out.
+    """
+    left = rows.select(*dict.fromkeys([*keys, *newest, *take]))
+    for column in newest:
+        left = left.join(left.groupBy(*keys).agg(F.max(column).alias(column)), [*keys, column])
+    return left.select(*dict.fromkeys([*keys, *take])).distinct()
+
+
 def latest_rows(rows: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
     """The latest whole row per key."""
     rest = [c for c in rows.columns if c not in keys and c not in newest]

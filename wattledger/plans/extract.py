@@ -149,8 +149,7 @@ def services(subscriptions: DataFrame, premises: DataFrame, customers: DataFrame
     if premises_keys is not None:
         rows = joins.keep_keys(rows, premises_keys, ["premises"])
     rows = rows.join(premises, "premises").join(customers, "customer_id")
-    newest = frequencies.groupBy("service").agg(
-        series.latest_value("frequency", "recorded_at", "id").alias("frequency"))
+    newest = series.latest(frequencies, ["service"], ["recorded_at", "id"], ["frequency"])
     rows = rows.join(newest, "service", "left").join(balances(bills, as_of), "service", "left")
     rows = joins.lookup(rows, products, {"product_code": "code"}, {"text": "__product"})
     rows = joins.lookup(rows, billable, {"cutoff_code": "cutoff_code", "product_code": "product_code"},
@@ -302,8 +301,8 @@ def closers(changes: DataFrame, people: DataFrame, users: DataFrame) -> DataFram
     moved = changes.where((F.col("from_state") == STATE_BEFORE_CLOSE)
                           & (F.col("to_state") == STATE_CLOSED))
     known = moved.join(users.select("user", "user_id"), "user").join(people, "user_id")
-    return known.groupBy("order").agg(
-        series.latest_value("name", "changed_at", "name").alias("closed_by"))
+    return (series.latest(known, ["order"], ["changed_at", "user_id"], ["name"])
+            .withColumnRenamed("name", "closed_by"))
 
 
 def review_orders(drivers: DataFrame, criticals: DataFrame, cases: DataFrame, orders: DataFrame,
@@ -311,47 +310,49 @@ def review_orders(drivers: DataFrame, criticals: DataFrame, cases: DataFrame, or
                   settings: Settings = DEFAULTS) -> DataFrame:
     """Review orders of the driving (service, billing period, type) keys, from four sources.
 
-    ``drivers`` carries the period and window of the billing period; a driver without a
-    period matches every period of its service and type. The result has no repeated rows, so
-    every source is made distinct before it is joined: many lines of one order would
-    otherwise meet each other.
+    ``drivers`` carries the period and window of the billing period; a driver without a period matches
+    every period of its service and type. A service has few drivers by meaning (the analysed periods),
+    so they are gathered per service and type, and every source meets them once: by its period, or for
+    cases by the window of their day. The activities are read once for all sources, as are the orders.
+    The result has no repeated rows, so sources are made distinct before they are joined.
     """
-    keyed = drivers.select(F.col("service").alias("d_service"), F.col("kind").alias("d_kind"),
-                           F.col("period").alias("d_period"), "window_start", "window_end")
-    spans = keyed.select("d_service", "d_kind", "window_start", "window_end").distinct()
-    wide = keyed.select("d_service", "d_period", "window_start", "window_end").distinct()
-    same_cell = ((F.col("service") == F.col("d_service")) & (F.col("kind") == F.col("d_kind")))
-    without = drivers.where(F.col("period").isNull())
-
-    def driven(rows: DataFrame) -> DataFrame:
-        """Rows of a driving cell: by equality on the period, or on any period."""
-        dated = rows.where(F.col("period").isNotNull())
-        return (joins.keep_keys(dated, drivers, ["service", "kind", "period"])
-                .unionByName(joins.keep_keys(dated, without, ["service", "kind"])))
-
+    window = F.struct("window_start", "window_end")
+    per_cell = drivers.groupBy("service", "kind").agg(
+        F.collect_set("period").alias("d_periods"), F.bool_or(F.col("period").isNull()).alias("d_any"),
+        F.collect_set(window).alias("d_windows"))
+    per_service = drivers.groupBy(F.col("service").alias("d_service")).agg(
+        F.collect_set(F.struct("period", "window_start", "window_end")).alias("d_spans"))
+
+    def within(at: str, spans: str):
+        return F.filter(spans, lambda w: F.col(at).between(w["window_start"], w["window_end"]))
+
+    critical, case, decision = F.lit("critical"), F.lit("case"), F.lit("decision")
+    sources = criticals.select(critical.alias("source"), "service", "kind", "period", F.col("activity_ref").alias("ref"),
+                               F.lit(None).cast("timestamp").alias("recorded_at")).unionByName(
+        cases.select(case.alias("source"), "service", "kind", "period", F.col("request").alias("ref"), "recorded_at"))
+    by_period = F.col("period").isNotNull() & (F.col("d_any") | F.array_contains("d_periods", F.col("period")))
+    by_day = (F.size(within("recorded_at", "d_windows")) > 0)
+    met = (sources.distinct().join(per_cell, ["service", "kind"])
+           .where(F.coalesce(by_period, F.lit(False)) | F.coalesce(by_day, F.lit(False)))
+           .select("source", "service", "kind", "period", "ref").distinct())
+
+    serves = F.array_compact(F.array(
+        F.when(F.col("activity") == settings["review_activity"], F.struct(critical.alias("source"), F.col("activity_ref").alias("ref"))),
+        F.when(F.col("task").isin(*INVESTIGATION_TASKS), F.struct(case.alias("source"), F.col("request").alias("ref"))),
+        F.when(F.col("activity") == settings["decision_activity"],
+               F.struct(decision.alias("source"), F.lit(None).cast("bigint").alias("ref")))))
+    tagged = activities.select("order", "service", F.explode(serves).alias("serves")).select("order", "service", "serves.*").distinct()
     layout = ["order", "service", "kind", "period"]
-    cases = cases.select("service", "kind", "period", "request", "recorded_at").distinct()
-    review = (driven(criticals.select("service", "kind", "period", "activity_ref").distinct()).join(
-        activities.where(F.col("activity") == settings["review_activity"])
-        .select("order", F.col("service").alias("a_service"), F.col("activity_ref").alias("a_ref")).distinct(),
-        (F.col("activity_ref") == F.col("a_ref")) & (F.col("service") == F.col("a_service")))
-        .select(*layout))
-    by_request = (activities.where(F.col("task").isin(*INVESTIGATION_TASKS))
-                  .select("order", F.col("service").alias("a_service"), F.col("request").alias("a_request")).distinct())
-    same_request = (F.col("request") == F.col("a_request")) & (F.col("service") == F.col("a_service"))
-    cell = ["service", "kind", "period", "request"]
-    by_period = driven(cases.select(*cell).distinct()).join(by_request, same_request).select(*layout)
-    in_span = same_cell & F.col("recorded_at").between(F.col("window_start"), F.col("window_end"))
-    by_date = (cases.join(spans, in_span, "left_semi").select(*cell).distinct()
-               .join(by_request, same_request).select(*layout))
-    decisions = (activities.where(F.col("activity") == settings["decision_activity"])
-                 .select("order", "service").distinct().join(orders.select("order", "created_at"), "order")
-                 .join(wide, (F.col("service") == F.col("d_service")) & F.col("created_at").between(
-                     F.col("window_start"), F.col("window_end")))
-                 .select("order", "service", F.lit(None).cast("bigint").alias("kind"),
-                         F.col("d_period").alias("period")))
-    found = sets.union_distinct(review, by_period, by_date, decisions)
-    rows = (found.join(orders.select("order", "created_at", "closed_at", "state"), "order")
+    nothing = F.lit(None).cast("bigint")
+    found = (met.join(tagged.where(F.col("source") != decision), ["source", "service", "ref"])
+             .select(*layout, F.lit(False).alias("decided")).distinct().unionByName(
+        tagged.where(F.col("source") == decision).select(
+            "order", "service", nothing.alias("kind"), nothing.alias("period"), F.lit(True).alias("decided"))))
+    dated = (found.join(orders.select("order", "created_at", "closed_at", "state"), "order")
+             .join(per_service, F.col("decided") & (F.col("service") == F.col("d_service")), "left"))
+    # a decision belongs to every period in whose window its order was created
+    periods = F.array_distinct(F.transform(within("created_at", "d_spans"), lambda w: w["period"]))
+    rows = (dated.withColumn("period", F.explode(F.when(F.col("decided"), periods).otherwise(F.array("period"))))
             .join(closed_by, "order", "left"))
     rows = joins.lookup(rows, use_periods, {"period": "period"}, {"starts": "__starts", "ends": "__ends"})
     return rows.select(*layout, dates.time_text("created_at").alias("created_at"),
