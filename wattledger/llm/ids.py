@@ -16,9 +16,10 @@ import numpy as np
 
 from .words import Slice, hashes, mix, words
 
-#: Parts of one generation a worker remembers, and the longest part worth remembering.
-MEMORY_PARTS = 350_000
-MEMORY_LENGTH = 48
+#: Parts a worker remembers before it starts anew.
+MEMORY_PARTS = 1_000_000
+#: Bytes of text encoded at once; ids take several times the room of their text.
+SLICE_BYTES = 2 << 20
 
 #: A blank or line end at which the byte tokenizer's rule for runs of white space could apply.
 _RUN = re.compile(r"[ \n](?:\s|\Z)")
@@ -55,31 +56,78 @@ BYTE_LETTERS = _byte_letters()
 
 class Memory(dict):
     """A dict that works out missing values, in two generations: a key not met for a whole
-    generation is forgotten. Words with a mark or line end are put together anew each time."""
+    generation is forgotten."""
 
-    def __init__(self, work_out):
+    def __init__(self, work_out, size: int = 100_000):
         super().__init__()
-        self.work_out, self.older = work_out, {}
+        self.work_out, self.size, self.older = work_out, size, {}
 
-    def __missing__(self, part: bytes):
-        value = self.older.get(part)
+    def __missing__(self, key):
+        value = self.older.get(key)
         if value is None:
-            value = self.work_out(part)
-        if len(part) <= MEMORY_LENGTH and part[:1] != b"\n" and part[-1:] not in (b",", b"."):
-            if len(self) >= MEMORY_PARTS:
-                self.older = dict(self)
-                self.clear()
-            self[part] = value
+            value = self.work_out(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
-def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray, marked: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(distinct byte ranges, their marks, number of the distinct one for each range)."""
-    h = hashes(data, start, end)
-    h = np.where(marked, mix(h), h)
-    _, at, number = np.unique(h, return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    return [raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())], marked[at], number
+class Known:
+    """Numbers 0, 1, .. of the hashes met so far: sorted arrays, a large one and a recent one."""
+
+    def __init__(self):
+        self.keys, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.new_keys, self.new_numbers = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.keys) + len(self.new_keys)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for a new one."""
+        out = np.full(len(h), -1, dtype=np.int64)
+        for keys, numbers in ((self.keys, self.numbers), (self.new_keys, self.new_numbers)):
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                same = keys[at] == h
+                out[same] = numbers[at[same]]
+        return out
+
+    def add(self, h: np.ndarray) -> np.ndarray:
+        """Gives the next numbers to new hashes."""
+        numbers = np.arange(len(self), len(self) + len(h))
+        self.new_keys, self.new_numbers = self._merged(self.new_keys, self.new_numbers, h, numbers)
+        if len(self.new_keys) > 50_000 + len(self.keys) // 8:
+            self.keys, self.numbers = self._merged(self.keys, self.numbers, self.new_keys, self.new_numbers)
+            self.new_keys, self.new_numbers = np.empty(0, np.uint64), np.empty(0, np.int64)
+        return numbers
+
+    @staticmethod
+    def _merged(a: np.ndarray, x: np.ndarray, b: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        keys, numbers = np.concatenate([a, b]), np.concatenate([x, y])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], numbers[order]
+
+
+class Distinct:
+    """Distinct byte ranges of a slice, by hash; ``number[i]`` is that of range i."""
+
+    def __init__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, marked: np.ndarray | None = None):
+        h = hashes(data, start, end)
+        if marked is not None:
+            h[marked] = mix(h[marked])
+        order = np.argsort(h)
+        ordered = h[order]
+        fresh = np.ones(len(h), dtype=bool)
+        fresh[1:] = ordered[1:] != ordered[:-1]
+        self.number = np.empty(len(h), dtype=np.int64)
+        self.number[order] = np.cumsum(fresh) - 1
+        self.hash = ordered[fresh]
+        self._data, self._start, self._end = data, start[order[fresh]], end[order[fresh]]
+
+    def parts(self, which: np.ndarray) -> list[bytes]:
+        raw = self._data.tobytes()
+        return [raw[a:b] for a, b in zip(self._start[which].tolist(), self._end[which].tolist())]
 
 
 class Encoder:
@@ -99,26 +147,54 @@ class Encoder:
         self.merge = self.tokenizer.model.tokenize
         self.marks = {m: self.whole(m) for m in ",."}
         self.newline = self.whole("\n")
-        self.memory = Memory(self._part)
+        self.words = Memory(self._word)
+        self.forget()
+
+    def forget(self) -> None:
+        """Starts the memory of parts anew."""
+        self.known = Known()
+        self.ids = np.empty(1 << 16, dtype="<u4")
+        self.used = 0
+        self.begin, self.length = np.empty(0, np.int64), np.empty(0, np.int64)
 
     def whole(self, text: str) -> bytes:
         """Ids of a text encoded at once, as little-endian unsigned 32-bit integers."""
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a plain word, which no rule splits or changes: straight from the library's merges."""
+        letters = word if self.leading else word.lower()
+        return array("I", [t.id for t in self.merge(letters.encode().decode("latin-1").translate(BYTE_LETTERS))]).tobytes()
+
     def _part(self, part: bytes) -> bytes:
-        """Ids of a part. A plain word goes straight to the library's merges, since no rule splits
-        or changes it; a mark behind it and a line end before it are words of their own."""
+        """Ids of a part; a mark behind a plain word and a line end before it are words of their own."""
         text = part.decode()
         lead = text[:1] if self.leading and text[:1] in " \n" else ""
         plain = _PLAIN.fullmatch(text, len(lead))
         if not plain:
             return self.whole(text)
         if lead == "\n":
-            return self.newline + self.memory[part[1:]]
-        if plain[2]:
-            return self.memory[part[:-1]] + self.marks[plain[2]]
-        letters = text if self.leading else text.lower()
-        return array("I", [t.id for t in self.merge(letters.encode().decode("latin-1").translate(BYTE_LETTERS))]).tobytes()
+            return self.newline + self.words[plain[1]] + self.marks.get(plain[2], b"")
+        return self.words[lead + plain[1]] + self.marks.get(plain[2], b"")
+
+    def remembered(self, parts: Distinct) -> np.ndarray:
+        """The place of each distinct part in ``begin`` and ``length``; new ones are encoded."""
+        if len(self.known) > MEMORY_PARTS:
+            self.forget()
+        number = self.known.find(parts.hash)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            got = list(map(self._part, parts.parts(new)))
+            length = np.fromiter(map(len, got), np.int64, len(got)) // 4
+            flat = np.frombuffer(b"".join(got), dtype="<u4")
+            while self.used + len(flat) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+            self.ids[self.used:self.used + len(flat)] = flat
+            self.begin = np.concatenate([self.begin, self.used + np.cumsum(length) - length])
+            self.length = np.concatenate([self.length, length])
+            self.used += len(flat)
+            number[new] = self.known.add(parts.hash[new])
+        return number
 
     def one(self, text: str) -> bytes:
         """Ids of one text that may have runs of white space, by the library in the parts between them."""
@@ -137,11 +213,9 @@ class Encoder:
             start = start - ~first
             for row in self._uneven(data, edges):
                 alone[row] = self.one(data[edges[row]:edges[row + 1]].tobytes().decode())
-        parts, _, number = distinct(data, start, w.end, first)
-        got = list(map(self.memory.__getitem__, parts))
-        length = np.fromiter(map(len, got), np.int64, len(got)) // 4
-        ids = np.frombuffer(b"".join(got), dtype="<u4")
-        return gathered(ids, np.cumsum(length) - length, length, number, w.bounds, alone)
+        parts = Distinct(data, start, w.end, first)
+        number = self.remembered(parts)[parts.number]
+        return gathered(self.ids, self.begin[number], self.length[number], w.bounds, alone)
 
     @staticmethod
     def _uneven(data: np.ndarray, edges: np.ndarray) -> list[int]:
@@ -154,13 +228,12 @@ class Encoder:
         return [r for r in rows if _RUN.search(data[edges[r]:edges[r + 1]].tobytes().decode())]
 
 
-def gathered(ids: np.ndarray, begin: np.ndarray, length: np.ndarray, number: np.ndarray, bounds: np.ndarray,
+def gathered(ids: np.ndarray, begin: np.ndarray, each: np.ndarray, bounds: np.ndarray,
              alone: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of texts from those of their parts; the texts in ``alone`` bring their own."""
-    each = length[number]
     ends = np.cumsum(each)
     total = int(ends[-1]) if len(ends) else 0
-    out = ids[np.arange(total) + np.repeat(begin[number] - ends + each, each)]
+    out = ids[np.arange(total) + np.repeat(begin - ends + each, each)]
     at = np.concatenate([[0], ends])[bounds]
     if alone:
         pieces = [np.frombuffer(alone[r], dtype="<u4") if r in alone else out[at[r]:at[r + 1]] for r in range(len(at) - 1)]

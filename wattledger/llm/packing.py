@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .ids import encoder, public_path
+from .ids import SLICE_BYTES, encoder, public_path
 from .tables import only, stored
 from .words import slices
 
@@ -51,7 +51,7 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
         for batch in batches:
             keys = batch.column(0).to_pylist()
-            for s in slices(batch.column(1)):
+            for s in slices(batch.column(1), size=SLICE_BYTES):
                 flat, at = texts(s)
                 rows = []
                 for doc, a, b in zip(keys[s.first:s.last], at[:-1].tolist(), at[1:].tolist()):

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import shared_folder
 
 
+#: Bytes a Parquet writer holds before it writes a row group; several writers share an executor.
+ROW_GROUP_BYTES = 16 << 20
+
+
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Writes ``df`` into the shared folder (spark.checkpoint.dir) and reads it back.
 
@@ -17,7 +21,7 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    df.write.option("compression", codec).option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .ids import BYTE_LETTERS, Memory, distinct, public_path
+from .ids import BYTE_LETTERS, MEMORY_PARTS, SLICE_BYTES, Distinct, Known, Memory, public_path
 from .tables import only
 from .words import SPACED, slices, sums, words
 
@@ -46,7 +46,8 @@ class Counter:
         self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.memory = Memory(self.part)
+        self.plain = Memory(self._plain)
+        self.known, self.counts = Known(), np.empty(0, np.int64)
 
     def merged(self, letters: str) -> int:
         """Tokens of one word, given as its byte letters."""
@@ -76,13 +77,27 @@ class Counter:
                 heapq.heappush(heap, (r, h))
         return n - merges
 
+    def _plain(self, word: str) -> int:
+        return self.merged(word.lower().encode().decode("latin-1").translate(BYTE_LETTERS))
+
+    def remembered(self, parts: Distinct) -> np.ndarray:
+        """The count of each distinct part; new ones are merged."""
+        if len(self.known) > MEMORY_PARTS:
+            self.known, self.counts = Known(), np.empty(0, np.int64)
+        number = self.known.find(parts.hash)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            self.counts = np.concatenate([self.counts, np.fromiter(map(self.part, parts.parts(new)), np.int64, len(new))])
+            number[new] = self.known.add(parts.hash[new])
+        return self.counts[number]
+
     def part(self, part: bytes) -> int:
         """Tokens of a part of a text that holds no ASCII white space."""
         text = part.decode()
         if _PLAIN.fullmatch(text):
-            return self.merged(text.lower().encode().decode("latin-1").translate(BYTE_LETTERS))
+            return self.plain[text]
         if text[-1] in ",." and _PLAIN.fullmatch(text, 0, len(text) - 1):
-            return self.memory[part[:-1]] + 1
+            return self.plain[text[:-1]] + 1
         pieces = self.special.split(text) if self.special else [text]
         return len(pieces) - 1 + sum(self.merged(w) for p in pieces if p for w, _ in self.split(self.normal(p)))
 
@@ -108,13 +123,12 @@ def count(docs: DataFrame, tokenizer: str | None = None, key: str = "doc_id", te
     tokenizer = tokenizer or public_path(TOKENIZER)
 
     def run(batches):
-        memory = counter(tokenizer).memory
+        remembered = counter(tokenizer).remembered
         for batch in batches:
-            for s in slices(batch.column(1)):
+            for s in slices(batch.column(1), size=SLICE_BYTES):
                 w = words(s, _SOLID, hashed=False)
-                parts, _, number = distinct(s.data, w.start, w.end, np.zeros(len(w.start), dtype=bool))
-                each = np.fromiter(map(memory.__getitem__, parts), np.int64, len(parts))
-                n = sums(each[number], w.bounds)
+                parts = Distinct(s.data, w.start, w.end)
+                n = sums(remembered(parts)[parts.number], w.bounds)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s.first, s.rows), pa.array(np.diff(s.offsets)), pa.array(n), pa.array(n > limit)],
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit"])

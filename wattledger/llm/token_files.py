@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .ids import encoder, public_path
+from .ids import SLICE_BYTES, encoder, public_path
 from .tables import only, stored
 from .words import slices
 
@@ -87,7 +87,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, wide: bool) -> DataFra
     def run(batches):
         texts = encoder(tokenizer, leading=False).texts
         for batch in batches:
-            for s in slices(batch.column(1)):
+            for s in slices(batch.column(1), size=SLICE_BYTES):
                 flat, at = texts(s)
                 flat = np.insert(flat, at[1:], end_id).astype(kind)
                 ends = at[1:] + np.arange(1, s.rows + 1)
