@@ -35,9 +35,9 @@ def use_lines(t: Tables):
 
 
 def reading_lines(t: Tables):
-    """One reading per cell and device of the events with an even k."""
+    """One reading per cell and device: its last event."""
     k = F.col("k")
-    rows = roles.events(t).where(k % 2 == 0).groupBy(
+    rows = roles.events(t).groupBy(
         "service", (F.col("service") % 4 * 100 + F.col("period")).alias("period"), "kind",
         (k % 9).alias("device_id")).agg(
             F.max_by("k", "event_id").alias("k"), F.max_by("value", "event_id").alias("value"))
@@ -60,7 +60,7 @@ SOURCES = PERIODS + """, use_lines AS (
          CASE WHEN k % 10 <> 4 THEN 'F' ELSE 'X' END AS status, k * 10.0::DOUBLE + value AS current_reading,
          k * 10.0::DOUBLE AS previous_reading, 0.0::DOUBLE AS low_limit, k + 20.0::DOUBLE AS high_limit,
          k % 3 AS note_code_1, k % 7 AS note_code_2, CASE WHEN k % 5 = 0 THEN k % 3 END AS note_code_3
-  FROM (SELECT * FROM ev WHERE k % 2 = 0 QUALIFY row_number() OVER (
+  FROM (SELECT * FROM ev QUALIFY row_number() OVER (
     PARTITION BY service, period, kind, k % 9 ORDER BY event_id DESC) = 1)), periods AS (
   SELECT * FROM (
     SELECT s.service, s.kind, u.period, u.starts, u.ends, b.bill_period, b.year, b.month, u.cycle,
@@ -175,15 +175,15 @@ def contract_consumption_extract(t: Tables):
 
 
 @query("investigation_extract", f"""WITH {PERIODS}
-SELECT service, CASE kind WHEN 7 THEN '7-PURCHASE' WHEN 9 THEN '9-ERROR' END AS kind_text,
+SELECT service, CASE kind WHEN 3 THEN '3-CLICK' WHEN 6 THEN '6-VIEW' WHEN 7 THEN '7-PURCHASE' WHEN 9 THEN '9-ERROR' END AS kind_text,
        (service % 4) * 100 + e.period AS period, event_id AS request, k % 4 AS state,
        CASE k % 4 WHEN 1 THEN '1-OPEN' WHEN 2 THEN '2-CUSTOMER' WHEN 3 THEN '3-COMPANY' END AS state_text,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS recorded_at, strftime(u.starts, '%Y-%m-%d') AS period_start,
        strftime(u.ends, '%Y-%m-%d') AS period_end
 FROM ev e LEFT JOIN use_periods u ON u.period = (service % 4) * 100 + e.period
-WHERE kind IN (7, 8, 9) AND day >= DATE '2024-01-15'""")
+WHERE day >= DATE '2024-01-15'""")
 def investigation_extract(t: Tables):
-    cases = roles.events(t).where(F.col("kind").isin(7, 8, 9)).select(
+    cases = roles.events(t).select(
         "service", "kind", (F.col("service") % 4 * 100 + F.col("period")).alias("period"),
         F.col("event_id").alias("request"), (F.col("k") % 4).alias("state"), F.col("ts").alias("recorded_at"))
     states = codes_below(t, 4).where("code > 0").select(

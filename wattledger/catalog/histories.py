@@ -304,10 +304,10 @@ SELECT service, period, kind_text, CAST(kind AS INTEGER) AS kind, event_id AS re
        (k % 3 + 1) || '-STATE' AS state_text, day AS recorded_at,
        DATE '2024-01-01' + CAST(period * 3 AS INTEGER) AS period_start,
        DATE '2024-01-01' + CAST(period * 3 + 2 AS INTEGER) AS period_end
-FROM ev WHERE event_type = 'purchase'""")
+FROM ev""")
 def investigation_view(t: Tables):
     state = F.col("k") % 3 + 1
-    cases = roles.events(t).where(F.col("event_type") == "purchase").withColumns(
+    cases = roles.events(t).withColumns(
         roles.period_columns()).select(
         "service", "kind_text", "period", F.col("event_id").alias("request"), state.alias("state"),
         F.concat(state.cast("string"), F.lit("-STATE")).alias("state_text"),
@@ -320,12 +320,12 @@ def investigation_view(t: Tables):
        CAST(l_shipdate AS DATE) AS fraud_start,
        CASE WHEN l_linenumber <> 7 THEN CAST(l_shipdate AS DATE) + CAST(l_quantity AS INTEGER) END AS fraud_end,
        CASE WHEN l_linenumber <> 7 THEN CAST(l_quantity AS INTEGER) END AS fraud_days
-FROM lineitem WHERE l_returnflag = 'R'""")
+FROM lineitem""")
 def loss_file_view(t: Tables):
     code = F.col("l_partkey") % 7
     start = F.to_date("l_shipdate")
     ends = F.when(F.col("l_linenumber") != 7, F.date_add(start, F.col("l_quantity").cast("int")))
-    files = t.lineitem.where(F.col("l_returnflag") == "R").select(
+    files = t.lineitem.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("loss_file"),
         F.col("l_suppkey").alias("service"), F.col("l_returnflag").alias("state"),
         F.lit("R-EN INSPECCION").alias("state_text"),

@@ -105,11 +105,11 @@ def period_range_join(t: Tables):
 
 @query("event_in_window", f"""WITH {roles.EV}, {roles.REQUESTS}, cells AS (
   SELECT DISTINCT service, period, DATE '2024-01-01' + CAST(period * 3 AS INTEGER) AS starts,
-         DATE '2024-01-01' + CAST(period * 3 + 2 AS INTEGER) AS ends FROM ev WHERE kind = 3)
+         DATE '2024-01-01' + CAST(period * 3 + 2 AS INTEGER) AS ends FROM ev)
 SELECT r.request, r.service, c.period FROM requests r
 JOIN cells c ON c.service = r.service AND r.attended_on BETWEEN c.starts AND c.ends""")
 def event_in_window(t: Tables):
-    windows = roles.events(t).where(F.col("kind") == 3).select(
+    windows = roles.events(t).select(
         F.col("service").alias("owner"), "period").distinct().withColumns({
             "starts": roles.day_after(F.col("period") * 3), "ends": roles.day_after(F.col("period") * 3 + 2)})
     dated = roles.event_requests(t).withColumn("attended_on", F.to_date("attended_at"))
@@ -206,8 +206,11 @@ def value_intersect(t: Tables):
     return sets.shared_values(t.orders, "o_custkey", t.lineitem, "l_suppkey")
 
 
-@query("preferred_pick", """SELECT user_id, 2 AS preference FROM events WHERE value > 300 GROUP BY user_id
-ORDER BY user_id LIMIT 1""")
+@query("preferred_pick", """WITH candidate AS (
+  SELECT user_id, 1 AS preference FROM events WHERE value > 100000 UNION ALL
+  SELECT user_id, 2 FROM events WHERE value > 300 UNION ALL SELECT user_id, 3 FROM events)
+SELECT min(user_id) AS user_id, preference FROM candidate
+WHERE preference = (SELECT min(preference) FROM candidate) GROUP BY preference""")
 def preferred_pick(t: Tables):
     return sets.first_available("user_id", t.events.where(F.col("value") > 100000),
                                 t.events.where(F.col("value") > 300), t.events)

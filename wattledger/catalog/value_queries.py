@@ -220,12 +220,11 @@ def meter_period_sums(t: Tables):
             .agg(F.round(F.sum("value"), 4).alias("used")))
 
 
-@query("period_lookup", """SELECT min(CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT)) AS period,
-       min(CAST(date_trunc('month', o_orderdate) AS DATE)) AS starts, min(last_day(CAST(o_orderdate AS DATE))) AS ends
-FROM orders WHERE year(o_orderdate) = 1998""")
+@query("period_lookup", """WITH m AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS starts FROM orders)
+SELECT CAST(year(starts) AS BIGINT) AS year, min(CAST(year(starts) * 100 + month(starts) AS BIGINT)) AS period,
+       min(starts) AS starts, min(last_day(starts)) AS ends FROM m GROUP BY ALL""")
 def period_lookup(t: Tables):
-    months = roles.months(t.orders.where(F.year("o_orderdate") == 1998), "o_orderdate")
-    return months.agg(*[F.min(c).alias(c) for c in ("period", "starts", "ends")])
+    return extract.first_periods(roles.months(t.orders, "o_orderdate"), ["year"])
 
 
 @query("group_size", """SELECT c_custkey, c_nationkey, count(*) OVER (PARTITION BY c_nationkey) AS group_size

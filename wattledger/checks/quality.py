@@ -110,14 +110,14 @@ def orphans(df: DataFrame, name: str, master: DataFrame, key: str) -> DataFrame:
     return report(n, [entry(f"{key} known", name, F.col("n") == 0, "0", F.col("n"))])
 
 
-def row_preservation(before: DataFrame, after: DataFrame, name: str) -> DataFrame:
-    """A left join to a unique table keeps the number of rows."""
-    n = (before.agg(F.count(F.lit(1)).alias("rows")).withColumn("side", F.lit("before"))
-         .unionByName(after.agg(F.count(F.lit(1)).alias("rows")).withColumn("side", F.lit("after")))
-         .agg(groups.sum_where(F.col("side") == "before", "rows").alias("before"),
-              groups.sum_where(F.col("side") == "after", "rows").alias("after")))
+def row_preservation(rows: DataFrame, other: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """A left join of ``rows`` to ``other`` keeps the number of rows; counted per key, not joined out."""
+    matches = other.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    n = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).join(matches, keys, "left")
+         .agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("before"),
+              F.coalesce(F.sum(F.col("__rows") * F.coalesce("__n", F.lit(1))), F.lit(0)).alias("after")))
     return report(n, [entry("join keeps rows", name, F.col("before") == F.col("after"), "same count",
-                            F.concat_ws(" to ", "before", "after"))])
+                            F.concat_ws(" to ", F.col("before").cast("string"), F.col("after").cast("string")))])
 
 
 def ambiguity(df: DataFrame, name: str, value: str, count: str) -> DataFrame:
@@ -157,10 +157,13 @@ def signals(df: DataFrame, name: str, empty: list[str], filled: list[str],
 
 def recompute(published: DataFrame, source: DataFrame, keys: list[str], measure: str, name: str,
               tolerance: float = 0.001) -> DataFrame:
-    """A published measure against the same measure summed from its source."""
+    """A published measure against the same measure summed from its source.
+
+    A key that only one side holds counts as a difference, unless its measure is 0 or missing there.
+    """
     fresh = source.groupBy(*keys).agg(F.sum(measure).alias("__fresh"))
     shown = published.groupBy(*keys).agg(F.max(measure).alias("__shown"))
-    met = fresh.join(shown, keys)
+    met = fresh.join(shown, keys, "full")
     n = met.agg(groups.count_where(~amounts.reconciles("__fresh", "__shown", tolerance)).alias("bad"))
     return report(n, [entry(f"{measure} matches its source", name, F.col("bad") == 0, "0", F.col("bad"))])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -38,8 +39,9 @@ def first_available(key: str, *candidates: DataFrame, k: int = 1) -> DataFrame:
     ranked = [df.select(key).distinct().orderBy(F.col(key).asc()).limit(k)
               .withColumn("preference", F.lit(i)) for i, df in enumerate(candidates, 1)]
     every = reduce(lambda a, b: a.unionByName(b), ranked)
-    best = every.agg(F.min("preference")).scalar()
-    return every.where(F.col("preference") == best).select(key, "preference")
+    # a window over at most k rows of each candidate
+    best = F.min("preference").over(W.partitionBy(F.lit(1)))
+    return every.withColumn("__best", best).where(F.col("preference") == F.col("__best")).select(key, "preference")
 
 
 def column_difference(wanted: list[str], found: list[str]) -> dict[str, list[str]]:

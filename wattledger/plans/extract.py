@@ -42,6 +42,11 @@ def period_lookup(use_periods: DataFrame, bill_windows: DataFrame) -> DataFrame:
                         "window_end").drop("__cycle")
 
 
+def first_periods(windows: DataFrame, by: list[str]) -> DataFrame:
+    """One row per billing period (or other columns ``by``): the smallest period, start and end of its windows."""
+    return windows.groupBy(*by).agg(*[F.min(c).alias(c) for c in ("period", "starts", "ends")])
+
+
 def analysed_cells(use_lines: DataFrame, reading_lines: DataFrame, use_periods: DataFrame,
                    bill_windows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """(service, period, type) cells of the last analysed period ends of each service."""

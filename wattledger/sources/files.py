@@ -83,6 +83,21 @@ def require_rows(df: DataFrame, name: str, allow_empty: bool = False) -> None:
         raise ValueError(f"{name}: no rows after the load")
 
 
+def freshness(spark: SparkSession, paths: dict[str, str], as_of: datetime, max_hours: float) -> DataFrame:
+    """(object, n_files, stale) of each named path; a path without files is stale. Only metadata is listed."""
+    limit = F.lit(as_of - timedelta(hours=max_hours))
+    rows = None
+    for name, path in paths.items():
+        try:
+            found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("modificationTime")
+        except AnalysisException:
+            found = spark.createDataFrame([], "modificationTime timestamp")
+        row = found.agg(F.count(F.lit(1)).alias("n_files"), F.max("modificationTime").alias("newest")).select(
+            F.lit(name).alias("object"), "n_files", F.coalesce(F.col("newest") < limit, F.lit(True)).alias("stale"))
+        rows = row if rows is None else rows.unionByName(row)
+    return rows
+
+
 def stale_files(spark: SparkSession, paths: dict[str, str], as_of: datetime,
                 max_hours: float) -> list[tuple[str, str]]:
     """All (name, reason) whose newest file is missing or too old; 0 hours switches it off."""
