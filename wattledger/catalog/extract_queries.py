@@ -97,32 +97,24 @@ def code_text_sql(code: str, found: str, text: str) -> str:
 R_ROUND = ["previous_reading", "current_reading", "computed_use", "billed_use", "low_limit", "high_limit"]
 
 
-@query("readings_extract", f"""WITH {SOURCES}, lecturas AS (
-  SELECT DISTINCT r.* FROM periods p JOIN reading_lines r ON r.service = p.service AND r.period = p.period
-    AND r.kind = p.kind WHERE r.status = 'F'), consumos AS (
-  SELECT u.service, u.period, u.kind, u.device_id, sum(u.amount) AS billed_use
-  FROM (SELECT DISTINCT service, period, kind FROM periods) p JOIN use_lines u ON u.service = p.service
-    AND u.period = p.period AND u.kind = p.kind WHERE u.method = 4 GROUP BY ALL), cruce AS (
-  SELECT r.*, c.service AS c_service, c.period AS c_period, c.kind AS c_kind, c.device_id AS c_device, c.billed_use
-  FROM lecturas r FULL JOIN consumos c ON r.service = c.service AND r.period = c.period AND r.kind = c.kind
-    AND r.device_id = c.device_id), out_ AS (
-  SELECT p.service, p.period, p.bill_period, strftime(p.starts, '%Y-%m-%d') AS period_start,
-         strftime(p.ends, '%Y-%m-%d') AS period_end, CAST(2 AS BIGINT) AS days, p.kind, p.cycle,
-         coalesce(x.device_id, c_device) AS dev, previous_reading, current_reading,
-         (current_reading - previous_reading) * 2.0 AS computed_use, billed_use, low_limit, high_limit,
-         note_code_1, note_code_2, note_code_3, p.year AS bill_year, p.month AS bill_month
-  FROM periods p JOIN cruce x ON (x.service = p.service OR c_service = p.service)
-    AND (x.period = p.period OR c_period = p.period) AND (x.kind = p.kind OR c_kind = p.kind))
-SELECT service, period, bill_period, period_start, period_end, days, kind, cycle, bill_year, bill_month,
+@query("readings_extract", f"""WITH {SOURCES}, measured AS (
+  SELECT service, period, kind, device_id AS dev, max(previous_reading) AS previous_reading, max(current_reading) AS current_reading,
+         max(low_limit) AS low_limit, max(high_limit) AS high_limit, max(note_code_1) AS note_code_1,
+         max(note_code_2) AS note_code_2, max(note_code_3) AS note_code_3, sum(amount) AS billed_use
+  FROM (SELECT * EXCLUDE (status), CAST(NULL AS DOUBLE) AS amount FROM reading_lines WHERE status = 'F'
+        UNION ALL BY NAME SELECT service, period, kind, device_id, amount FROM use_lines WHERE method = 4) GROUP BY ALL),
+losses AS (SELECT service, kind, bill_period, CAST(count(*) AS VARCHAR) AS loss_mark FROM use_lines WHERE method = 17 GROUP BY ALL)
+SELECT service, period, bill_period, strftime(starts, '%Y-%m-%d') AS period_start, strftime(ends, '%Y-%m-%d') AS period_end,
+       CAST(2 AS BIGINT) AS days, kind, cycle, year AS bill_year, month AS bill_month,
        CASE kind WHEN 3 THEN '3-CLICK' WHEN 6 THEN '6-VIEW' WHEN 7 THEN '7-PURCHASE' WHEN 9 THEN '9-ERROR' END AS kind_text,
        {code_text_sql("'M'", 'dev < 8', 'dev')} AS device, CASE WHEN dev < 8 THEN dev % 2 + 4 END AS digits,
-       CASE WHEN dev < 8 THEN CAST(dev + 1 AS DOUBLE) END AS factor, {rounded_sql(*R_ROUND)},
+       CASE WHEN dev < 8 THEN CAST(dev + 1 AS DOUBLE) END AS factor,
+       {rounded_sql(*[c for c in R_ROUND if c != 'computed_use'])},
+       round((current_reading - previous_reading) * 2.0, 4) AS computed_use,
        {code_text_sql('note_code_1', 'note_code_1 < 5', "'NOTE ' || note_code_1")} AS note_1,
        {code_text_sql('note_code_2', 'note_code_2 < 5', "'NOTE ' || note_code_2")} AS note_2,
-       {code_text_sql('note_code_3', 'note_code_3 < 5', "'NOTE ' || note_code_3")} AS note_3,
-       (SELECT nullif(CAST(count(*) AS VARCHAR), '0') FROM use_lines u WHERE u.service = out_.service
-          AND u.kind = out_.kind AND u.bill_period = out_.bill_period AND u.method = 17) AS loss_mark
-FROM out_""")
+       {code_text_sql('note_code_3', 'note_code_3 < 5', "'NOTE ' || note_code_3")} AS note_3, loss_mark
+FROM periods JOIN measured USING (service, period, kind) LEFT JOIN losses USING (service, kind, bill_period)""")
 def readings_extract(t: Tables):
     rows = extract.readings(cells(t), use_lines(t), reading_lines(t), devices(t), kind_names(t), note_names(t))
     return rows.select(
@@ -508,7 +500,7 @@ def review_union(t: Tables):
          CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 30 DAY END AS ended_at
   FROM found f JOIN orders ON o_orderkey = f."order"), both_ AS (
   SELECT conv_id AS "order", o_custkey AS service, o_orderdate + turn * INTERVAL 1 DAY AS recorded_at, role AS comment_kind,
-         replace(replace(replace(replace(text, chr(10), ''), chr(13), ''), chr(9), ''), '|', '') AS comment
+         regexp_replace(text, '[\\n\\r\\t|]', '', 'g') AS comment
   FROM conversations JOIN orders ON o_orderkey = conv_id WHERE conv_id IN (SELECT "order" FROM spans)
   UNION ALL SELECT DISTINCT s."order", s.service, l_shipdate, 'REVISION ANALISTA', l_returnflag || l_linestatus
   FROM spans s JOIN lineitem ON TRUE JOIN orders ON o_orderkey = l_orderkey AND o_custkey = s.service
