@@ -279,14 +279,25 @@ def test_billable_matrix_needs_both_keys(spark):
         "cutoff_code int, billable string, product_code int")
     subs = spark.createDataFrame([(1, 1, 101), (2, 96, 701), (3, 96, 101), (4, 7, 501)],
                                  "service int, cutoff_code int, product_code int").withColumns({
-        "contract": F.lit(1), "premises": F.lit(1), "customer_id": F.lit(1), "installed_at": F.lit(datetime(2020, 1, 1))})
-    one = spark.createDataFrame([(1, "t")], "premises int, town string")
-    who = spark.createDataFrame([(1, "Ana", None)], "customer_id int, first_name string, last_name string")
+        "contract": F.lit(1), "premises": F.lit(1), "customer_id": F.lit(1), "installed_at": F.lit(datetime(2020, 1, 1)),
+        "withdrawn_at": F.lit(None).cast("timestamp"), "category_code": F.col("service"), "subcategory_code": F.lit(1),
+        "cycle": F.lit(4), "plan_code": F.lit(5), "product_plan_code": F.lit(6)})
+    one = spark.createDataFrame([(1, "t", "street 1", "p1")], "premises int, town string, address string, page string")
+    who = spark.createDataFrame([(1, "Ana", None, "77")], "customer_id int, first_name string, last_name string, customer_document string")
     freq = spark.createDataFrame([(1, 1.0, 1, 1), (1, 2.0, 2, 2)], "service int, frequency double, recorded_at int, id int")
     owed = spark.createDataFrame([(1, 5.0, date(2020, 1, 1)), (1, 7.0, date(2030, 1, 1)), (1, 0.0, date(2020, 1, 1))],
                                  "service int, pending double, due_at date")
-    names = spark.createDataFrame([(101, "WATER")], "code int, text string")
-    got = {r["service"]: r for r in extract.services(subs, one, who, freq, owed, matrix, names, date(2026, 1, 1)).collect()}
+    def named(*rows):
+        return spark.createDataFrame(list(rows), "code int, text string")
+
+    names = {"product": named((101, "WATER")), "cutoff": named((1, "ON")), "category": named((1, "HOME"), (2, "TRADE")), "plan": named((5, "BASIC")),
+             "subcategory": spark.createDataFrame([(1, 1, "LOW"), (9, 1, "X")], "category_code int, code int, text string")}
+    rows = extract.services(subs, one, who, freq, owed, matrix, names, date(2026, 1, 1))
+    assert contracts.publish(rows, "services").columns == [stored for _, stored, _ in contracts.fields("services")]
+    got = {r["service"]: r for r in rows.collect()}
+    assert {s: (r["category"], r["subcategory"]) for s, r in got.items()} == {
+        1: ("1-HOME", "1-LOW"), 2: ("2-TRADE", None), 3: (None, None), 4: (None, None)}
+    assert (got[1]["cutoff_state"], got[2]["cutoff_state"], got[1]["plan"], got[1]["product_plan"]) == ("1-ON", None, "5-BASIC", None)
     assert {s: r["billable"] for s, r in got.items()} == {1: "S", 2: "N", 3: None, 4: None}
     assert got[1]["billable_text"] == "S-FACTURABLE" and got[3]["billable_text"] is None
     assert (got[1]["pending_balance"], got[1]["overdue_bills"], got[1]["overdue_balance"]) == (12.0, 1, 5.0)
@@ -294,6 +305,19 @@ def test_billable_matrix_needs_both_keys(spark):
     assert got[1]["frequency"] == 2.0 and got[1]["customer"] == "Ana " and got[1]["product"] == "101-WATER"
 
 
+def test_open_orders_fill_their_contract(spark):
+    orders = spark.createDataFrame([(1, 5, None), (2, 12, None), (3, 5, datetime(2026, 1, 2))], "order int, state int, closed_at timestamp")
+    acts = spark.createDataFrame([(1, 9, 993, 883, 4, "note"), (1, 8, 7, 883, 4, None), (2, 9, 993, 883, 4, "x"), (3, 9, 993, 883, 4, "x"),
+                                  (1, 9, 993, 1, 4, "other task")],
+                                 "order int, service int, activity int, task int, contract int, order_comment string")
+    subs = spark.createDataFrame([(9, 70)], "service int, premises int")
+    names = spark.createDataFrame([(993, "VARIATION"), (5, "OPEN")], "code int, text string")
+    rows = extract.open_orders(orders.withColumn("created_at", F.lit(datetime(2026, 1, 1))), acts, subs, names, names)
+    assert contracts.publish(rows, "open_orders").columns == [stored for _, stored, _ in contracts.fields("open_orders")]
+    assert sorted((r["service"], r["premises"], r["activity"], r["order_state"], r["order_comment"]) for r in rows.collect()) == [
+        (8, None, " - ", "5 - OPEN", None), (9, 70, "993 - VARIATION", "5 - OPEN", "note")]
+
+
 def review_inputs(spark, acts):
     orders = spark.createDataFrame([(o, datetime(2026, 1, 10), None, 5) for o in (1, 2)],
                                    "order int, created_at timestamp, closed_at timestamp, state int")

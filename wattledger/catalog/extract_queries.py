@@ -303,7 +303,13 @@ latest AS (SELECT o_custkey AS service, arg_max(CAST(o_orderkey % 3 AS DOUBLE),
   FROM orders GROUP BY 1)
 SELECT c_custkey AS service, c_nationkey AS contract, n_nationkey AS premises,
        CASE WHEN c_custkey % 3 < 2 THEN c_custkey % 3 || '-PRODUCT ' || c_custkey % 3 END AS product,
-       '1995-01-01' AS installed_on, frequency, c_custkey % 4 AS cutoff_code, c_name || ' ' || c_mktsegment AS customer,
+       '1995-01-01' AS installed_on, CASE WHEN c_custkey % 5 = 1 THEN '4732-12-31' WHEN c_custkey % 5 > 1 THEN '2001-08-20' END AS withdrawn_on,
+       frequency, CASE WHEN c_custkey % 4 < 3 THEN c_custkey % 4 || '-CUTOFF ' || c_custkey % 4 END AS cutoff_state,
+       c_custkey % 6 || '-CATEGORY ' || c_custkey % 6 AS category,
+       CASE WHEN c_custkey % 6 < 5 AND c_custkey % 7 < 5 THEN c_custkey % 7 || '-' || c_custkey % 6 || '/' || c_custkey % 7 END AS subcategory,
+       c_custkey % 4 AS cycle, CASE WHEN c_custkey % 9 < 8 THEN c_custkey % 9 || '-PLAN ' || c_custkey % 9 END AS plan,
+       CASE WHEN c_custkey % 11 < 8 THEN c_custkey % 11 || '-PLAN ' || c_custkey % 11 END AS product_plan,
+       c_name || ' ' || c_mktsegment AS customer, 'D' || c_custkey AS customer_document, n_name AS address, 'P' || n_nationkey AS page,
        r_name AS town, CASE WHEN c_custkey % 4 < 2 AND c_custkey % 3 < 2 THEN CASE c_custkey % 4 WHEN 0 THEN 'N' ELSE 'S' END END AS billable,
        CASE WHEN c_custkey % 4 < 2 AND c_custkey % 3 < 2
             THEN CASE c_custkey % 4 WHEN 0 THEN 'N-NO FACTURABLE' ELSE 'S-FACTURABLE' END END AS billable_text,
@@ -315,20 +321,29 @@ def master_extract(t: Tables):
     subscriptions = t.customer.select(
         key.alias("service"), F.col("c_nationkey").alias("contract"), F.col("c_nationkey").alias("premises"),
         key.alias("customer_id"), (key % 3).alias("product_code"), (key % 4).alias("cutoff_code"),
-        F.lit("1995-01-01").cast("timestamp").alias("installed_at"))
+        (key % 6).alias("category_code"), (key % 7).alias("subcategory_code"), (key % 4).alias("cycle"),
+        (key % 9).alias("plan_code"), (key % 11).alias("product_plan_code"),
+        F.lit("1995-01-01").cast("timestamp").alias("installed_at"),
+        F.when(key % 5 == 1, "4732-12-31").when(key % 5 > 1, "2001-08-20").cast("timestamp").alias("withdrawn_at"))
     premises = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_nationkey").alias("premises"), F.col("r_name").alias("town"))
+        F.col("n_nationkey").alias("premises"), F.col("r_name").alias("town"), F.col("n_name").alias("address"),
+        F.concat(F.lit("P"), F.col("n_nationkey").cast("string")).alias("page"))
     customers = t.customer.select(key.alias("customer_id"), F.col("c_name").alias("first_name"),
-                                  F.col("c_mktsegment").alias("last_name"))
+                                  F.col("c_mktsegment").alias("last_name"),
+                                  F.concat(F.lit("D"), key.cast("string")).alias("customer_document"))
     frequencies = t.orders.select(
         F.col("o_custkey").alias("service"), (F.col("o_orderkey") % 3).cast("double").alias("frequency"),
         F.col("o_orderdate").alias("recorded_at"), F.col("o_orderkey").alias("id"))
-    matrix = t.customer.where((key % 4 < 2) & (key % 3 < 2)).select(
-        (key % 4).alias("cutoff_code"), (key % 3).alias("product_code")).distinct().withColumn(
+    matrix = codes_below(t, 4).select((F.col("code") % 2).alias("cutoff_code"), F.floor(F.col("code") / 2).alias("product_code")).withColumn(
         "billable", F.when(F.col("cutoff_code") == 0, "N").otherwise("S"))
-    products = t.customer.where(key % 3 < 2).select((key % 3).alias("code")).distinct().withColumn(
-        "text", F.concat(F.lit("PRODUCT "), F.col("code").cast("string")))
-    rows = extract.services(subscriptions, premises, customers, frequencies, roles.bills(t), matrix, products,
+
+    def named(word: str, n: int):
+        return codes_below(t, n).withColumn("text", F.concat(F.lit(word + " "), F.col("code").cast("string")))
+
+    pair = codes_below(t, 25).select(F.floor(F.col("code") / 5).alias("category_code"), (F.col("code") % 5).alias("code"))
+    names = {"product": named("PRODUCT", 2), "cutoff": named("CUTOFF", 3), "category": named("CATEGORY", 6), "plan": named("PLAN", 8),
+             "subcategory": pair.withColumn("text", F.concat_ws("/", F.col("category_code").cast("string"), F.col("code").cast("string")))}
+    rows = extract.services(subscriptions, premises, customers, frequencies, roles.bills(t), matrix, names,
                             roles.AS_OF_ORDERS)
     return rows.withColumns({"pending_balance": F.round("pending_balance", 2),
                              "overdue_balance": F.round("overdue_balance", 2)})
@@ -351,21 +366,25 @@ def order_activities(t: Tables):
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("order"), activity.alias("activity"),
         F.when(line <= 4, 883).otherwise(roles.pick(line - 5, 769, 803, 1)).alias("task"),
-        (F.col("l_orderkey") * 10 + line).alias("activity_ref"), F.col("l_orderkey").alias("request"))
-    owner = t.orders.select(F.col("o_orderkey").alias("order"), F.col("o_custkey").alias("service"))
+        (F.col("l_orderkey") * 10 + line).alias("activity_ref"), F.col("l_orderkey").alias("request"),
+        F.concat("l_returnflag", F.lit("/"), "l_linestatus").alias("order_comment"))
+    owner = t.orders.select(F.col("o_orderkey").alias("order"), F.col("o_custkey").alias("service"),
+                            (F.col("o_custkey") % 25).alias("contract"))
     return lines.join(owner, "order")
 
 
 @query("open_order_extract", """SELECT l_orderkey AS "order", o_custkey AS service, o_orderdate AS created_at,
        CASE l_linenumber WHEN 1 THEN '102010 - REVIEW' WHEN 3 THEN '993 - VARIATION' WHEN 2 THEN ' - ' ELSE ' - ' END AS activity,
-       '5 - OPEN' AS order_state
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_linenumber <= 4 AND o_orderstatus = 'O'""")
+       '5 - OPEN' AS order_state, c_nationkey AS premises, o_custkey % 25 AS contract, l_returnflag || '/' || l_linestatus AS order_comment
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey
+WHERE l_linenumber <= 4 AND o_orderstatus = 'O'""")
 def open_order_extract(t: Tables):
-    activity_names = order_activities(t).select(F.col("activity").alias("code")).distinct().where(
-        F.col("code").isin(102010, 993)).withColumn("text", F.when(F.col("code") == 993, "VARIATION").otherwise("REVIEW"))
-    states = order_states(t).select(F.col("state").alias("code")).distinct().withColumn(
+    activity_names = codes_below(t, 2).select(
+        F.when(F.col("code") == 0, 993).otherwise(102010).alias("code"), roles.pick(F.col("code").cast("int"), "VARIATION", "REVIEW").alias("text"))
+    states = codes_below(t, 25).where(F.col("code").isin(5, 8, 12)).withColumn(
         "text", F.when(F.col("code") == 5, "OPEN").otherwise("OTHER"))
-    return extract.open_orders(order_states(t), order_activities(t), activity_names, states)
+    subscriptions = t.customer.select(F.col("c_custkey").alias("service"), F.col("c_nationkey").alias("premises"))
+    return extract.open_orders(order_states(t), order_activities(t), subscriptions, activity_names, states)
 
 
 @query("requests_extract", f"""WITH {roles.EV}

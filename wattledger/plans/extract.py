@@ -147,42 +147,54 @@ def balances(bills: DataFrame, as_of: date) -> DataFrame:
 
 
 def services(subscriptions: DataFrame, premises: DataFrame, customers: DataFrame,
-             frequencies: DataFrame, bills: DataFrame, billable: DataFrame, products: DataFrame,
+             frequencies: DataFrame, bills: DataFrame, billable: DataFrame, names: dict[str, DataFrame],
              as_of: date, premises_keys: DataFrame | None = None) -> DataFrame:
-    """Service master: inner chain to premises and customer, lookups and balances beside it."""
+    """Service master: inner chain to premises and customer, lookups and balances beside it.
+
+    ``names`` holds the lookup tables (code, text) of product, cutoff, category and plan, and that of
+    subcategory, whose key is (category_code, code).
+    """
     rows = subscriptions
     if premises_keys is not None:
         rows = joins.keep_keys(rows, premises_keys, ["premises"])
     rows = rows.join(premises, "premises").join(customers, "customer_id")
     newest = series.latest(frequencies, ["service"], ["recorded_at", "id"], ["frequency"])
     rows = rows.join(newest, "service", "left").join(balances(bills, as_of), "service", "left")
-    rows = joins.lookup(rows, products, {"product_code": "code"}, {"text": "__product"})
+    for name, code, out in (("product", "product_code", "__product"), ("cutoff", "cutoff_code", "__cutoff"),
+                            ("category", "category_code", "__category"), ("plan", "plan_code", "__plan"),
+                            ("plan", "product_plan_code", "__product_plan")):
+        rows = joins.lookup(rows, names[name], {code: "code"}, {"text": out})
+    rows = joins.lookup(rows, names["subcategory"], {"category_code": "category_code", "subcategory_code": "code"},
+                        {"text": "__subcategory"})
     rows = joins.lookup(rows, billable, {"cutoff_code": "cutoff_code", "product_code": "product_code"},
                         {"billable": "billable"})
     return rows.select(
-        "service", "contract", "premises",
-        with_text("product_code", "__product").alias("product"),
-        dates.day_text("installed_at").alias("installed_on"), "frequency", "cutoff_code",
-        codes.glue("first_name", F.lit(" "), "last_name").alias("customer"), "town", "billable",
+        "service", "contract", "premises", with_text("product_code", "__product").alias("product"),
+        dates.day_text("installed_at").alias("installed_on"), dates.day_text("withdrawn_at").alias("withdrawn_on"),
+        "frequency", with_text("cutoff_code", "__cutoff").alias("cutoff_state"),
+        with_text("category_code", "__category").alias("category"),
+        with_text("subcategory_code", "__subcategory").alias("subcategory"), "cycle",
+        with_text("plan_code", "__plan").alias("plan"), with_text("product_plan_code", "__product_plan").alias("product_plan"),
+        codes.glue("first_name", F.lit(" "), "last_name").alias("customer"), "customer_document", "town", "address", "page",
+        "pending_balance", F.coalesce("overdue_bills", F.lit(0)).alias("overdue_bills"), "overdue_balance", "billable",
         F.when(F.col("billable").isNotNull(),
                codes.glue("billable", F.lit("-"),
-                          codes.status_text("billable", BILLABLE, BILLABLE_OTHER))).alias("billable_text"),
-        "pending_balance", F.coalesce("overdue_bills", F.lit(0)).alias("overdue_bills"),
-        "overdue_balance")
+                          codes.status_text("billable", BILLABLE, BILLABLE_OTHER))).alias("billable_text"))
 
 
-def open_orders(orders: DataFrame, activities: DataFrame, activity_names: DataFrame,
+def open_orders(orders: DataFrame, activities: DataFrame, subscriptions: DataFrame, activity_names: DataFrame,
                 state_names: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Activities of the quality task whose order is neither cancelled nor closed."""
     live = orders.where((F.col("state") != settings["cancelled_state"]) & F.col("closed_at").isNull())
     mine = activities.where(F.col("task") == settings["quality_task"])
     rows = mine.join(live.select("order", "state", "created_at"), "order")
+    rows = joins.lookup(rows, subscriptions, {"service": "service"}, {"premises": "premises"})
     rows = joins.lookup(rows, activity_names, {"activity": "code"}, {"text": "__activity"})
     rows = joins.lookup(rows, state_names, {"state": "code"}, {"text": "__state"})
     known = F.when(F.col("__activity").isNotNull(), F.col("activity"))
-    return rows.select("order", "service", "created_at",
+    return rows.select("order", "service", "premises", "contract", "created_at",
                        codes.glue(known, F.lit(" - "), "__activity").alias("activity"),
-                       codes.glue("state", F.lit(" - "), "__state").alias("order_state"))
+                       codes.glue("state", F.lit(" - "), "__state").alias("order_state"), "order_comment")
 
 
 def bills(accounts: DataFrame, invoices: DataFrame, bill_windows: DataFrame,
