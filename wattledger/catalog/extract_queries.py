@@ -138,20 +138,22 @@ def rating_names(t: Tables):
 
 
 @query("consumption_extract", f"""WITH {SOURCES}
-SELECT u.service, u.period, u.bill_period, b.year AS bill_year, b.month AS bill_month, b.cycle,
-       strftime(recorded_at, '%Y-%m-%d') AS recorded_on, {USE_NAMES}, amount, calc_function,
+SELECT u.service, p.period, u.bill_period, b.year AS bill_year, b.month AS bill_month, b.cycle,
+       CASE WHEN c_custkey % 5 > 0 THEN CAST(c_custkey % 5 AS INTEGER) END AS route_cycle, strftime(recorded_at, '%Y-%m-%d') AS recorded_on, {USE_NAMES}, amount, calc_function,
        strftime(p.starts, '%Y-%m-%d') AS period_start, strftime(p.ends, '%Y-%m-%d') AS period_end
 FROM use_lines u LEFT JOIN bill_windows b ON b.bill_period = u.bill_period
-LEFT JOIN use_periods p ON p.period = u.period
+LEFT JOIN use_periods p ON p.period = u.period LEFT JOIN customer ON c_custkey = u.service
 WHERE (u.service, u.period) IN (SELECT (service, period) FROM periods)""")
 def consumption_extract(t: Tables):
-    return extract.consumption(use_lines(t), cells(t), use_periods(t), bill_windows(t), method_names(t),
+    routes = t.customer.where(F.col("c_custkey") % 5 > 0).select(
+        F.col("c_custkey").alias("service"), (F.col("c_custkey") % 5).cast("int").alias("route_cycle"))
+    return extract.consumption(use_lines(t), cells(t), routes, use_periods(t), bill_windows(t), method_names(t),
                                kind_names(t), rating_names(t))
 
 
 @query("contract_consumption_extract", f"""WITH {SOURCES}, drivers AS (
   SELECT service FROM ev GROUP BY service HAVING max(value) > 200)
-SELECT u.service, u.period, u.bill_period, b.year AS bill_year, b.month AS bill_month,
+SELECT u.service, p.period, u.bill_period, b.year AS bill_year, b.month AS bill_month,
        strftime(recorded_at, '%Y-%m-%d') AS recorded_on, {USE_NAMES}, amount,
        strftime(p.starts, '%Y-%m-%d') AS period_start, strftime(p.ends, '%Y-%m-%d') AS period_end
 FROM use_lines u LEFT JOIN bill_windows b ON b.bill_period = u.bill_period
@@ -210,7 +212,7 @@ MONTHS = """month_windows AS (
 def accounts(t: Tables):
     return roles.bills(t).withColumns({
         "invoice": F.col("bill") + 5_000_000, "paid": F.col("total") - F.col("pending"),
-        "claimed": F.lit(0.0)}).select("service", "bill", "invoice", "state", "total", "paid", "claimed",
+        "claimed": (F.col("bill") % 7).cast("double")}).select("service", "bill", "invoice", "state", "total", "paid", "claimed",
                                        "pending", "paid_at", "due_at")
 
 
@@ -231,7 +233,8 @@ WANTED_BILLS = roles.BILLS + """, wanted AS (
 @query("bill_extract", f"""WITH {WANTED_BILLS}, {roles.LINES}, {MONTHS}, last_ AS (
   SELECT w.*, m.starts, m.ends, m.period AS m_period FROM wanted w JOIN month_windows m ON m.period = w.bill_period
   QUALIFY row_number() OVER (PARTITION BY service ORDER BY m.ends DESC, bill DESC) <= 8)
-SELECT service, bill, bill_period, bill_year, bill_month, paid_on, total, round(total - pending, 2) AS paid, pending,
+SELECT service, bill, bill_period, bill_year, bill_month, CAST(paid_on AS TIMESTAMP) AS paid_at, total, round(total - pending, 2) AS paid,
+       CAST(bill % 7 AS DOUBLE) AS claimed, pending,
        strftime(due_at, '%Y-%m-%d') AS due_on,
        (SELECT round(sum(CASE sign WHEN 'DB' THEN amount WHEN 'CR' THEN -amount END), 2) FROM lines l
         WHERE l.service = last_.service AND l.bill_period = last_.bill_period AND l.bill = last_.bill
@@ -244,8 +247,8 @@ FROM last_""")
 def bill_extract(t: Tables):
     rows = extract.bills(accounts(t), invoices(t), month_windows(t), month_periods(t), roles.charge_lines(t))
     return rows.select(
-        "service", "bill", "bill_period", "bill_year", "bill_month", F.to_date("paid_at").alias("paid_on"), "total",
-        F.round("paid", 2).alias("paid"), "pending", "due_on", F.round("own_amount", 2).alias("own_amount"),
+        "service", "bill", "bill_period", "bill_year", "bill_month", "paid_at", "total",
+        F.round("paid", 2).alias("paid"), "claimed", "pending", "due_on", F.round("own_amount", 2).alias("own_amount"),
         F.round("recovered_amount", 2).alias("recovered_amount"), "period", "period_start", "period_end")
 
 
@@ -420,18 +423,17 @@ def requests_extract(t: Tables):
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS recorded_at, strftime(o_orderdate, '%Y-%m-%d') AS fraud_start,
        strftime(o_orderdate + INTERVAL 10 DAY, '%Y-%m-%d') AS fraud_end,
        o_orderstatus || '-' || CASE o_orderstatus WHEN 'F' THEN 'FRAUDE CONFIRMADO' WHEN 'P' THEN 'PENDIENTE'
-         ELSE 'DESCONOCIDO' END AS state_text
+         ELSE 'DESCONOCIDO' END AS state_text, o_orderkey * 3 AS request, o_orderkey AS "order", o_orderpriority AS comment
 FROM orders""")
 def loss_file_extract(t: Tables):
     key = F.col("o_custkey") % 7
     files = t.orders.select(
         F.col("o_custkey").alias("service"), F.col("o_orderkey").alias("loss_file"), F.col("o_orderstatus").alias("state"),
-        key.alias("irregularity_code"), F.lit(None).cast("bigint").alias("request"),
+        key.alias("irregularity_code"), (F.col("o_orderkey") * 3).alias("request"),
         F.col("o_orderdate").alias("recorded_at"), F.col("o_orderdate").alias("fraud_from"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 10 DAYS")).alias("fraud_to"), F.lit(None).cast("bigint").alias("order"),
-        F.lit(None).cast("string").alias("comment"))
-    kinds = t.orders.where(key < 5).select(key.alias("code")).distinct().withColumn("text", F.lit("KIND"))
-    return extract.loss_files(files, kinds).drop("request", "order", "comment")
+        (F.col("o_orderdate") + F.expr("INTERVAL 10 DAYS")).alias("fraud_to"), F.col("o_orderkey").alias("order"),
+        F.col("o_orderpriority").alias("comment"))
+    return extract.loss_files(files, codes_below(t, 5).withColumn("text", F.lit("KIND")))
 
 
 # --- review orders and their comments --------------------------------------------------

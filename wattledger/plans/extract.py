@@ -98,25 +98,31 @@ def with_text(code: str, text: str):
     return F.when(F.col(text).isNotNull(), codes.glue(code, F.lit("-"), text))
 
 
-def consumption(use_lines: DataFrame, cells: DataFrame, use_periods: DataFrame,
+def consumption(use_lines: DataFrame, cells: DataFrame, routes: DataFrame, use_periods: DataFrame,
                 bill_windows: DataFrame, methods: DataFrame, kinds: DataFrame,
                 ratings: DataFrame) -> DataFrame:
-    """Consumption lines of the given (service, period) keys, of every method and type."""
+    """Consumption lines of the given (service, period) keys, of every method and type.
+
+    ``routes`` has the operating cycle of a service, where it has one.
+    """
     rows = joins.keep_keys(use_lines, cells, ["service", "period"])
-    return decorate_use(rows, use_periods, bill_windows, methods, kinds, ratings)
+    rows = joins.lookup(rows, routes, {"service": "service"}, {"route_cycle": "route_cycle"})
+    return decorate_use(rows, use_periods, bill_windows, methods, kinds, ratings, ["route_cycle"])
 
 
 def decorate_use(rows: DataFrame, use_periods: DataFrame, bill_windows: DataFrame,
-                 methods: DataFrame, kinds: DataFrame, ratings: DataFrame) -> DataFrame:
+                 methods: DataFrame, kinds: DataFrame, ratings: DataFrame,
+                 more: list[str] | None = None) -> DataFrame:
+    """Names and dates beside consumption lines; a period without a master row is not shown."""
     rows = joins.lookup(rows, bill_windows, {"bill_period": "bill_period"},
                         {"year": "bill_year", "month": "bill_month", "cycle": "cycle"})
     rows = joins.lookup(rows, use_periods, {"period": "period"},
-                        {"starts": "__starts", "ends": "__ends"})
+                        {"period": "__period", "starts": "__starts", "ends": "__ends"})
     for names, code, text in ((methods, "method", "__method"), (kinds, "kind", "__kind"),
                               (ratings, "rating_code", "__rating")):
         rows = joins.lookup(rows, names, {code: "code"}, {"text": text})
     return rows.select(
-        "service", "period", "bill_period", "bill_year", "bill_month", "cycle",
+        "service", F.col("__period").alias("period"), "bill_period", "bill_year", "bill_month", "cycle", *(more or []),
         dates.day_text("recorded_at").alias("recorded_on"),
         with_text("method", "__method").alias("method"),
         with_text("kind", "__kind").alias("kind_text"),
