@@ -330,7 +330,8 @@ def review_inputs(spark, acts):
                                   "service int, kind bigint, period bigint, request int, recorded_at timestamp")
     periods = spark.createDataFrame([(1, date(2026, 1, 1), date(2026, 1, 31))], "period bigint, starts date, ends date")
     closed = spark.createDataFrame([(1, "Eva")], "order int, closed_by string")
-    return drivers, criticals, cases, orders, activities, closed, periods
+    text = spark.createDataFrame([(1, "TASK"), (102010, "REVIEW"), (3, "ACTIVE"), (5, "OPEN")], "code int, text string")
+    return drivers, criticals, cases, orders, activities, closed, periods, dict.fromkeys(("task", "activity", "kind", "state"), text)
 
 
 def test_a_decision_reached_from_two_types_is_one_row(spark):
@@ -340,7 +341,11 @@ def test_a_decision_reached_from_two_types_is_one_row(spark):
 
 def test_review_branches(spark):
     acts = [(1, 9, 102010, 1, 100, 0), (2, 9, 102010, 1, 101, 0), (2, 9, 0, 769, 8, 500), (1, 8, 7400027, 1, 9, 0)]
-    rows = extract.review_orders(*review_inputs(spark, acts)).collect()
+    df = extract.review_orders(*review_inputs(spark, acts))
+    assert contracts.publish(df, "review_orders").columns == [stored for _, stored, _ in contracts.fields("review_orders")]
+    rows = df.collect()
+    assert {(r["kind"], r["kind_text"], r["task"], r["activity"], r["order_state"]) for r in rows} == {
+        (3, "3-ACTIVE", "1-TASK", "102010-REVIEW", "5-OPEN"), (6, None, None, None, "5-OPEN")}
     assert sorted((r["order"], r["kind"], r["period"]) for r in rows) == [(1, 3, 1), (2, 6, 1)]
 
 

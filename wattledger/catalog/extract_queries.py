@@ -376,18 +376,22 @@ def order_activities(t: Tables):
     return lines.join(owner, "order")
 
 
+def activity_names(t: Tables):
+    return code_names(t, {993: "VARIATION", 102010: "REVIEW"})
+
+
+def state_names(t: Tables):
+    return code_names(t, {5: "OPEN", 8: "OTHER", 12: "OTHER"})
+
+
 @query("open_order_extract", """SELECT l_orderkey AS "order", o_custkey AS service, o_orderdate AS created_at,
        CASE l_linenumber WHEN 1 THEN '102010 - REVIEW' WHEN 3 THEN '993 - VARIATION' WHEN 2 THEN ' - ' ELSE ' - ' END AS activity,
        '5 - OPEN' AS order_state, c_nationkey AS premises, o_custkey % 25 AS contract, l_returnflag || '/' || l_linestatus AS order_comment
 FROM lineitem JOIN orders ON o_orderkey = l_orderkey LEFT JOIN customer ON c_custkey = o_custkey
 WHERE l_linenumber <= 4 AND o_orderstatus = 'O'""")
 def open_order_extract(t: Tables):
-    activity_names = codes_below(t, 2).select(
-        F.when(F.col("code") == 0, 993).otherwise(102010).alias("code"), roles.pick(F.col("code").cast("int"), "VARIATION", "REVIEW").alias("text"))
-    states = codes_below(t, 25).where(F.col("code").isin(5, 8, 12)).withColumn(
-        "text", F.when(F.col("code") == 5, "OPEN").otherwise("OTHER"))
     subscriptions = t.customer.select(F.col("c_custkey").alias("service"), F.col("c_nationkey").alias("premises"))
-    return extract.open_orders(order_states(t), order_activities(t), subscriptions, activity_names, states)
+    return extract.open_orders(order_states(t), order_activities(t), subscriptions, activity_names(t), state_names(t))
 
 
 @query("requests_extract", f"""WITH {roles.EV}
@@ -445,8 +449,8 @@ REVIEW = """drivers AS (
          CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) + INTERVAL 1 MONTH AS window_end
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderpriority = '1-URGENT'), act AS (
   SELECT l_orderkey AS "order", o_custkey AS service, l_orderkey AS request, l_orderkey * 10 + l_linenumber AS activity_ref,
-         CASE l_linenumber WHEN 1 THEN 102010 WHEN 2 THEN 7400027 ELSE 0 END AS activity,
-         CASE l_linenumber WHEN 5 THEN 769 WHEN 6 THEN 803 ELSE 1 END AS task
+         CASE l_linenumber WHEN 1 THEN 102010 WHEN 2 THEN 7400027 WHEN 4 THEN 1019 WHEN 6 THEN 0 WHEN 7 THEN 0 ELSE 993 END AS activity,
+         CASE l_linenumber WHEN 5 THEN 769 WHEN 6 THEN 803 WHEN 7 THEN 1 ELSE 883 END AS task
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey), criticals AS (
   SELECT o_custkey AS service, CASE WHEN l_suppkey % 2 = 0 THEN 3 ELSE 6 END AS kind,
          CAST(year(l_shipdate) * 100 + month(l_shipdate) AS BIGINT) AS period, l_orderkey * 10 + l_linenumber AS activity_ref
@@ -456,16 +460,16 @@ REVIEW = """drivers AS (
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'A'), closed AS (
   SELECT l_orderkey AS "order", arg_max(s_name, (l_shipdate, s_name)) AS closed_by
   FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_returnflag = 'R' AND l_linestatus = 'F' GROUP BY 1), found AS (
-  SELECT a."order", c.service, c.kind, c.period FROM criticals c
+  SELECT a."order", c.service, c.kind, c.period, a.task, a.activity FROM criticals c
   JOIN drivers d ON d.service = c.service AND d.kind = c.kind AND c.period = coalesce(d.period, c.period)
   JOIN act a ON a.activity_ref = c.activity_ref AND a.service = c.service AND a.activity = 102010
-  UNION SELECT a."order", p.service, p.kind, p.period FROM cases p
+  UNION SELECT a."order", p.service, p.kind, p.period, a.task, a.activity FROM cases p
   JOIN drivers d ON d.service = p.service AND d.kind = p.kind AND p.period = coalesce(d.period, p.period)
   JOIN act a ON a.request = p.request AND a.service = p.service AND a.task IN (769, 803)
-  UNION SELECT a."order", p.service, p.kind, p.period FROM cases p
+  UNION SELECT a."order", p.service, p.kind, p.period, a.task, a.activity FROM cases p
   JOIN drivers d ON d.service = p.service AND d.kind = p.kind AND p.recorded_at BETWEEN d.window_start AND d.window_end
   JOIN act a ON a.request = p.request AND a.service = p.service AND a.task IN (769, 803)
-  UNION SELECT a."order", a.service, NULL, d.period FROM act a JOIN orders ON o_orderkey = a."order"
+  UNION SELECT a."order", a.service, NULL, d.period, a.task, a.activity FROM act a JOIN orders ON o_orderkey = a."order"
   JOIN drivers d ON d.service = a.service AND o_orderdate BETWEEN d.window_start AND d.window_end
   WHERE a.activity = 7400027)"""
 
@@ -501,14 +505,18 @@ def closed_by(t: Tables):
 
 def built_reviews(t: Tables):
     drivers, criticals, cases = review_parts(t)
+    names = {"task": code_names(t, {883: "QUALITY", 769: "INSPECT"}), "activity": activity_names(t),
+             "kind": kind_names(t), "state": state_names(t)}
     return extract.review_orders(drivers, criticals, cases, order_states(t), order_activities(t), closed_by(t),
-                                 month_periods(t))
+                                 month_periods(t), names)
 
 
 @query("review_union", f"""WITH {REVIEW}, {MONTHS}
-SELECT f."order", f.service, f.kind, f.period, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS created_at,
+SELECT f."order", f.service, f.kind, CASE kind WHEN 3 THEN '3-CLICK' WHEN 6 THEN '6-VIEW' END AS kind_text, f.period,
+       CASE task WHEN 883 THEN '883-QUALITY' WHEN 769 THEN '769-INSPECT' END AS task,
+       CASE activity WHEN 993 THEN '993-VARIATION' WHEN 102010 THEN '102010-REVIEW' END AS activity, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS created_at,
        CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d %H:%M:%S') END AS closed_at,
-       CASE o_orderstatus WHEN 'O' THEN 5 WHEN 'P' THEN 12 ELSE 8 END AS state, closed_by,
+       CASE o_orderstatus WHEN 'O' THEN '5-OPEN' WHEN 'P' THEN '12-OTHER' ELSE '8-OTHER' END AS order_state, closed_by,
        strftime(p.starts, '%Y-%m-%d') AS period_start, strftime(p.ends, '%Y-%m-%d') AS period_end
 FROM found f JOIN orders ON o_orderkey = f."order" LEFT JOIN closed c ON c."order" = f."order"
 LEFT JOIN month_periods p ON p.period = f.period""")

@@ -330,14 +330,15 @@ def closers(changes: DataFrame, people: DataFrame, users: DataFrame) -> DataFram
 
 def review_orders(drivers: DataFrame, criticals: DataFrame, cases: DataFrame, orders: DataFrame,
                   activities: DataFrame, closed_by: DataFrame, use_periods: DataFrame,
-                  settings: Settings = DEFAULTS) -> DataFrame:
+                  names: dict[str, DataFrame], settings: Settings = DEFAULTS) -> DataFrame:
     """Review orders of the driving (service, billing period, type) keys, from four sources.
 
     ``drivers`` carries the period and window of the billing period; a driver without a period matches
     every period of its service and type. A service has few drivers by meaning (the analysed periods),
     so they are gathered per service and type, and every source meets them once: by its period, or for
     cases by the window of their day. The activities are read once for all sources, as are the orders.
-    The result has no repeated rows, so sources are made distinct before they are joined.
+    The result has no repeated rows, so sources are made distinct before they are joined. ``names`` holds
+    the lookup tables (code, text) of task, activity, kind and state.
     """
     window = F.struct("window_start", "window_end")
     per_cell = drivers.groupBy("service", "kind").agg(
@@ -364,13 +365,14 @@ def review_orders(drivers: DataFrame, criticals: DataFrame, cases: DataFrame, or
         F.when(F.col("task").isin(*INVESTIGATION_TASKS), F.struct(case.alias("source"), F.col("request").alias("ref"))),
         F.when(F.col("activity") == settings["decision_activity"],
                F.struct(decision.alias("source"), F.lit(None).cast("bigint").alias("ref")))))
-    tagged = activities.select("order", "service", F.explode(serves).alias("serves")).select("order", "service", "serves.*").distinct()
-    layout = ["order", "service", "kind", "period"]
+    tagged = activities.select("order", "service", "task", "activity", F.explode(serves).alias("serves")).select(
+        "order", "service", "task", "activity", "serves.*").distinct()
+    layout = ["order", "service", "kind", "period", "task", "activity"]
     nothing = F.lit(None).cast("bigint")
     found = (met.join(tagged.where(F.col("source") != decision), ["source", "service", "ref"])
              .select(*layout, F.lit(False).alias("decided")).distinct().unionByName(
         tagged.where(F.col("source") == decision).select(
-            "order", "service", nothing.alias("kind"), nothing.alias("period"), F.lit(True).alias("decided"))))
+            "order", "service", nothing.alias("kind"), nothing.alias("period"), "task", "activity", F.lit(True).alias("decided"))))
     dated = (found.join(orders.select("order", "created_at", "closed_at", "state"), "order")
              .join(per_service, F.col("decided") & (F.col("service") == F.col("d_service")), "left"))
     # a decision belongs to every period in whose window its order was created
@@ -378,8 +380,12 @@ def review_orders(drivers: DataFrame, criticals: DataFrame, cases: DataFrame, or
     rows = (dated.withColumn("period", F.explode(F.when(F.col("decided"), periods).otherwise(F.array("period"))))
             .join(closed_by, "order", "left"))
     rows = joins.lookup(rows, use_periods, {"period": "period"}, {"starts": "__starts", "ends": "__ends"})
-    return rows.select(*layout, dates.time_text("created_at").alias("created_at"),
-                       dates.time_text("closed_at").alias("closed_at"), "state", "closed_by",
+    for name in ("task", "activity", "kind", "state"):
+        rows = joins.lookup(rows, names[name], {name: "code"}, {"text": f"__{name}"})
+    return rows.select("order", "service", "kind", with_text("kind", "__kind").alias("kind_text"), "period",
+                       with_text("task", "__task").alias("task"), with_text("activity", "__activity").alias("activity"),
+                       dates.time_text("created_at").alias("created_at"),
+                       dates.time_text("closed_at").alias("closed_at"), with_text("state", "__state").alias("order_state"), "closed_by",
                        dates.day_text("__starts").alias("period_start"),
                        dates.day_text("__ends").alias("period_end"))
 
