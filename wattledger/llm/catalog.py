@@ -66,18 +66,31 @@ def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_jaccard"] = op1_jaccard
+SQL["op1_jaccard"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[a:a + 4], ' ') AS shingle
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS a FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON b.shingle = a.shingle AND b.doc_id <> a.doc_id
+           GROUP BY ALL),
+link AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * i >= 80 * (p.n + q.n - i)),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.y FROM reach r JOIN link l ON l.x = r.other)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
+
+
+def _id_digests(keys, starts, lengths, ids) -> pa.RecordBatch:
+    raw, ends = memoryview(ids.astype("<u4", copy=False)).cast("B"), lengths.cumsum()
+    crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip((ends - lengths).tolist(), ends.tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(starts), pa.array(lengths), pa.array(crc, pa.int64())],
+                                      names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            raw = [v.as_buffer() for v in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(r) // 4 for r in raw], pa.int64()),
-                 pa.array([zlib.crc32(r) for r in raw], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    read = token_files.read(*token_files.write(_table(spark, sf_dir, "documents")))
-    return read.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    blocks, by_rank = token_files.write(_table(spark, sf_dir, "documents"))
+    return token_files.read(blocks, by_rank, _id_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 QUERIES["op2_token_files"] = op2_token_files

@@ -13,14 +13,13 @@ mask byte each for null keys before them), the lengths of the documents in the s
 from __future__ import annotations
 
 import struct
-import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .ids import SLICE_BYTES, encoder, public_path
+from .ids import encoder, public_path
 from .tables import only, stored
 from .words import slices
 
@@ -87,7 +86,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, wide: bool) -> DataFra
     def run(batches):
         texts = encoder(tokenizer, leading=False).texts
         for batch in batches:
-            for s in slices(batch.column(1), size=SLICE_BYTES):
+            for s in slices(batch.column(1)):
                 flat, at = texts(s)
                 flat = np.insert(flat, at[1:], end_id).astype(kind)
                 ends = at[1:] + np.arange(1, s.rows + 1)
@@ -162,8 +161,21 @@ def write(docs: DataFrame, tokenizer: str | None = None, key: str = "doc_id", te
     return stored(blocks, "tokens"), by_rank
 
 
-def read(blocks: DataFrame, by_rank: np.ndarray) -> DataFrame:
-    """(doc_id, start, ids) of every document in a table of blocks; ids are unsigned 32-bit integers."""
+def as_rows(keys: list[int | None], starts: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """Documents of a block with their ids as unsigned 32-bit integers."""
+    ends = np.cumsum(lengths)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, pa.int64()), pa.array(starts),
+         pa.array([ids[a:b].tobytes() for a, b in zip((ends - lengths).tolist(), ends.tolist())], pa.binary())],
+        names=["doc_id", "start", "ids"])
+
+
+def read(blocks: DataFrame, by_rank: np.ndarray, make=as_rows, schema: str = "doc_id long, start long, ids binary") -> DataFrame:
+    """Every document of a table of blocks.
+
+    ``make`` turns a decoded block (keys, starts, lengths, all ids) into rows of ``schema`` where it is
+    decoded, so a reader that needs less than the ids does not pass them on.
+    """
     spark = blocks.sparkSession
     total, starts = 0, {}
     for r in blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").toLocalIterator():  # a row for each task that wrote
@@ -176,11 +188,7 @@ def read(blocks: DataFrame, by_rank: np.ndarray) -> DataFrame:
         for batch in batches:
             for part, before, payload in zip(*(batch.column(i) for i in range(3))):
                 keys, lengths, ranks = read_block(payload.as_py())
-                ids = by_rank[ranks]
-                at = np.concatenate([[0], np.cumsum(lengths)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(at[:-1] + starts[part.as_py()] + before.as_py()),
-                     pa.array([ids[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary())],
-                    names=["doc_id", "start", "ids"])
+                first = np.cumsum(lengths) - lengths + starts[part.as_py()] + before.as_py()
+                yield make(keys, first, lengths, by_rank[ranks])
 
-    return blocks.select("part", "before", "payload").mapInArrow(run, "doc_id long, start long, ids binary")
+    return blocks.select("part", "before", "payload").mapInArrow(run, schema)
