@@ -17,9 +17,7 @@ import numpy as np
 from .words import Slice, hashes, mix, words
 
 #: Parts a worker remembers before it starts anew.
-MEMORY_PARTS = 1_000_000
-#: Bytes of text encoded at once; ids take several times the room of their text.
-SLICE_BYTES = 2 << 20
+MEMORY_PARTS = 800_000
 
 #: A blank or line end at which the byte tokenizer's rule for runs of white space could apply.
 _RUN = re.compile(r"[ \n](?:\s|\Z)")

@@ -28,7 +28,7 @@ from .words import SPACED, Slice, chain, mix, owners, slices, sums, windows, wor
 NGRAM = 5
 PERCENT = 80
 #: A shingle in so many texts of one slice counts as frequent there; so many are kept in all.
-FREQUENT_IN_SLICE, FREQUENT_KEPT = 8, 65_536
+FREQUENT_IN_SLICE, FREQUENT_KEPT = 5, 65_536
 #: Bits of the map of candidate entities; a false mark costs a row in a shuffle.
 MAP_BITS = 24
 #: Shingles in a cell, and bitmaps in a cell: small groups are put together up to it, large ones cut.

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .ids import BYTE_LETTERS, MEMORY_PARTS, SLICE_BYTES, Distinct, Known, Memory, public_path
+from .ids import BYTE_LETTERS, MEMORY_PARTS, Distinct, Known, Memory, public_path
 from .tables import only
 from .words import SPACED, slices, sums, words
 
@@ -125,7 +125,7 @@ def count(docs: DataFrame, tokenizer: str | None = None, key: str = "doc_id", te
     def run(batches):
         remembered = counter(tokenizer).remembered
         for batch in batches:
-            for s in slices(batch.column(1), size=SLICE_BYTES):
+            for s in slices(batch.column(1)):
                 w = words(s, _SOLID, hashed=False)
                 parts = Distinct(s.data, w.start, w.end)
                 n = sums(remembered(parts)[parts.number], w.bounds)
