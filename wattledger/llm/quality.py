@@ -2,7 +2,8 @@
 
 A text passes if its base counts pass and it is neither too repetitive nor incompressible. Both
 are judged by bytes / compressed bytes, over the whole text and over chunks of fixed length, each
-against the limits of its length: a short text compresses less, a long one more.
+against the limits of its length: a short text compresses less, a long one more. The bytes behind
+the last full chunk are judged by the chunk that ends with the text.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ BANDS = ((128, 0.80, 3.5), (256, 1.00, 4.0), (512, 1.20, 5.0), (1024, 1.35, 6.0)
 #: Length of the chunks of longer texts, and their band.
 CHUNK_BYTES = 4096
 CHUNK_BAND = (1.40, 8.0)
-#: Share of chunks out of band that rejects a text.
+#: Share of bytes in chunks out of band that rejects a text.
 BAD_CHUNKS = 0.5
 LEVEL = 3
 WINDOW = 8
@@ -87,18 +88,21 @@ def bands(text: bytes, packer: zstandard.ZstdCompressor) -> tuple[float | None,
     """(ratio of the whole text, chunks, chunks out of band, reason to reject)."""
     n = len(text)
     ratio = n / len(packer.compress(text)) if n else None
-    chunks = bad = 0
+    chunks = bad = bad_bytes = 0
     reason = None
     for least, low, high in reversed(BANDS):
         if n >= least:
             reason = "incompressible" if ratio < low else "repetitive" if ratio > high else None
             break
     if n > CHUNK_BYTES:
-        for i in range(0, n - CHUNK_BYTES + 1, CHUNK_BYTES):
-            part = CHUNK_BYTES / len(packer.compress(text[i:i + CHUNK_BYTES]))
+        for i in range(0, n, CHUNK_BYTES):
+            end = min(i + CHUNK_BYTES, n)
+            part = CHUNK_BYTES / len(packer.compress(text[end - CHUNK_BYTES:end]))
             chunks += 1
-            bad += not CHUNK_BAND[0] <= part <= CHUNK_BAND[1]
-        if reason is None and bad > BAD_CHUNKS * chunks:
+            if not CHUNK_BAND[0] <= part <= CHUNK_BAND[1]:
+                bad += 1
+                bad_bytes += end - i
+        if reason is None and bad_bytes > BAD_CHUNKS * n:
             reason = "chunks"
     return ratio, chunks, bad, reason
 
