@@ -1,5 +1,6 @@
 import random
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -62,6 +63,58 @@ def test_the_search_beats_best_fit_where_it_can():
     assert sum(t for _, t in packing.plan(counts, 24)) == fewest(items, 24) == 3
 
 
+def dominated(filling, free, capacity):
+    """Whether some pieces can give way to one free piece, straight from the rule."""
+    room, rest = capacity - sum(filling), filling[1:]
+    for n in range(len(rest) + 1):
+        for part in combinations(rest, n):
+            for t in free:
+                if sum(part) < t <= sum(part) + room or (n > 1 and t == sum(part)):
+                    return True
+    return False
+
+
+def test_undominated_fillings_against_all_subsets():
+    draw = random.Random(4)
+    for _ in range(300):
+        capacity = draw.choice([10, 17, 30])
+        items = sorted((draw.randrange(1, capacity + 1) for _ in range(draw.randrange(1, 9))), reverse=True)
+        counts = {s: items.count(s) for s in set(items)}
+        want = set()
+        for n in range(len(items)):
+            for part in combinations(items[1:], n):
+                if items[0] + sum(part) <= capacity:
+                    free = list(items[1:])
+                    for s in part:
+                        free.remove(s)
+                    if not dominated((items[0], *part), free, capacity):
+                        want.add((items[0], *part))
+        got = [f for f in packing.undominated(counts, sorted(counts), items[0], capacity, capacity) if f]
+        assert sorted(tuple(s for s, k in f for _ in range(k)) for f in got) == sorted(want)
+
+
+@pytest.mark.parametrize("items", [
+    [1648, 1598, 1568, 251, 231, 199, 180, 169, 151, 149],
+    [2048 - 7 * k for k in range(1, 4)] + [7 * k for k in range(1, 4)] + [1648, 1598, 1568, 251, 231, 199, 180, 169, 151, 149],
+])
+def test_the_search_tries_every_undominated_filling(items):
+    """1648 + 251 + 149 is exact and the greedy choice, but only 1648 + 231 + 169 lets the others fit."""
+    counts = {x: items.count(x) for x in items}
+    fewest_ = -(-sum(items) // 2048)
+    assert sum(t for _, t in packing.best_fit(counts, 2048)) > fewest_
+    assert sum(t for _, t in packing.plan(counts, 2048)) == fewest_
+
+
+@pytest.mark.parametrize("capacity, items", [
+    (12, [2, 2, 2, 2, 2, 3, 5, 5, 6, 6, 6, 7]),
+    (20, [4, 5, 5, 5, 6, 6, 6, 7, 7, 9, 10, 10]),
+    (100, [8, 20, 20, 20, 21, 21, 21, 35, 35, 89, 89, 89]),
+])
+def test_the_search_uses_a_filling_fewer_times_than_it_could(capacity, items):
+    counts = {s: items.count(s) for s in set(items)}
+    assert sum(t for _, t in packing.plan(counts, capacity)) == fewest(items, capacity)
+
+
 @pytest.mark.parametrize("capacity, ranked", [(64, 3), (2048, 100_000)])
 def test_every_row_is_packed(spark, docs, monkeypatch, capacity, ranked):
     monkeypatch.setattr(packing, "RANKED", ranked)

@@ -29,7 +29,7 @@ END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
 #: Pieces of one length ranked in one task.
 RANKED = 100_000
-#: Fillings tried around a largest piece, nodes of the search, and its seconds.
+#: Fillings tried around a largest piece in the first, narrow search; nodes and seconds of both searches.
 BRANCHES, NODES, SECONDS = 4, 60_000, 20.0
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), largest first
@@ -118,11 +118,10 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]
 
 
 def completions(counts: dict[int, int], lengths: list[int], largest: int, capacity: int) -> Iterator[Filling]:
-    """Undominated ways to fill a sequence around its largest piece, least waste first.
+    """A few good ways to fill a sequence around its largest piece, least waste first.
 
-    One piece beats every filling that is not longer than it; a piece that fills the rest exactly
-    beats all. Fillings of two pieces use for each first the longest second that fits; the rest of
-    a filling is completed by the longest that still fits.
+    Fillings of two pieces use for each first the longest second that fits; the rest of a filling is
+    completed by the longest that still fits. :func:`undominated` gives all ways.
     """
     rest = capacity - largest
 
@@ -168,13 +167,73 @@ def completions(counts: dict[int, int], lengths: list[int], largest: int, capaci
             return
 
 
+def undominated(counts: dict[int, int], lengths: list[int], largest: int, capacity: int,
+                waste: int) -> Iterator[Filling | None]:
+    """All undominated ways to fill a sequence around its largest piece but for ``waste``, longest pieces first, as asked for.
+
+    A filling is dominated if some of its pieces (none, one or several) can give way to one free piece that
+    is longer than them together and still fits, or to one of just their length that replaces several.
+    None stands for a filling that is left out, so that the caller can count it.
+    """
+    free = sum(1 << s for s in lengths if counts[s] > (s == largest))
+    chosen: list[tuple[int, int]] = []
+    small = [0]  # volume of the free pieces of the first lengths
+    for s in lengths:
+        small.append(small[-1] + s * (counts[s] - (s == largest)))
+
+    def dominated(room: int) -> bool:
+        # bit x of any, one, two: some, one or more, two or more chosen pieces are x long together
+        any_, one, two, left = 1, 0, 0, free
+        for s, k in chosen:
+            for _ in range(k):
+                any_, one, two = any_ | any_ << s, one | any_ << s, two | one << s
+            if counts[s] - (s == largest) == k:
+                left &= ~(1 << s)
+        if two & left:
+            return True
+        if not room:
+            return False
+        reach, width = any_ << 1, 1  # sums made longer by 1 to width
+        while width < room:
+            step = min(width, room - width)
+            reach |= reach << step
+            width += step
+        return bool(reach & left)
+
+    def fill(n: int, room: int, most: int) -> Iterator[Filling | None]:
+        # pieces of the first n lengths are left to choose from; no more than ``most`` may stay empty
+        n = min(n, bisect_right(lengths, room))
+        while n and room - small[n] <= most:
+            n -= 1
+            s = lengths[n]
+            number = counts[s] - (s == largest)
+            for k in range(min(room // s, number), 0, -1):
+                chosen.append((s, k))
+                yield from fill(n, room - k * s, most if k == number else min(most, s - 1))
+                chosen.pop()
+            if number:
+                most = min(most, s - 1)  # where such a piece still fits, it belongs
+        if room > most or dominated(room):
+            yield None
+            return
+        used = {largest: 1}
+        for s, k in chosen:
+            used[s] = used.get(s, 0) + k
+        yield tuple(sorted(used.items(), reverse=True))
+
+    yield from fill(len(lengths), capacity - largest, waste)
+
+
 def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES,
          seconds: float = SECONDS) -> list[tuple[Filling, int]]:
     """Fillings that use every piece once: bin completion with best fit as the first incumbent.
 
-    A branch takes one filling as often as the counts allow. It is left when the sequences so far
-    and the volume of the rest cannot beat the incumbent; the search ends when the incumbent meets
-    the lower bound, or after ``nodes`` nodes or ``seconds`` seconds with the best packing so far.
+    A narrow search tries a few fillings, each as often as the counts allow; if it ends without
+    meeting the lower bound, a whole one tries all undominated fillings and every number of times.
+    A branch is left when the sequences so far and the volume of the rest cannot beat the
+    incumbent; both searches end when the incumbent meets the lower bound, or after ``nodes`` nodes
+    or ``seconds`` seconds together, with the best packing so far. A whole search that comes to its
+    end has shown the incumbent to be minimal.
     """
     counts = {s: c for s, c in counts.items() if c}
     best = best_fit(counts, capacity)
@@ -187,12 +246,27 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES,
     lengths = sorted(left)
     volume = sum(s * c for s, c in left.items())
     path: list[tuple[Filling, int]] = []
-    stack: list[Iterator[Filling]] = []
     taken = tried = 0
 
-    def enter() -> Iterator[Filling]:
-        largest = lengths[-1]
-        return iter(list(completions(left, lengths, largest, capacity)))
+    def most(filling: Filling) -> int:
+        return min(left[s] // k for s, k in filling)
+
+    def few() -> Iterator[tuple[Filling, int] | None]:
+        return iter([(f, most(f)) for f in completions(left, lengths, lengths[-1], capacity)])
+
+    def all_(closed: set[Filling]) -> Iterator[tuple[Filling, int] | None]:
+        # what was tried around the same largest piece before needs no second try after the others
+        own = []
+        waste = (used - 1 - taken) * capacity - volume
+        for filling in undominated(left, lengths, lengths[-1], capacity, waste):
+            if filling is None or filling in closed:
+                yield None
+                continue
+            closed.add(filling)
+            own.append(filling)
+            for times in range(most(filling), 0, -1):
+                yield filling, times
+        closed.difference_update(own)
 
     def give_back() -> None:
         nonlocal taken, volume
@@ -204,33 +278,38 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES,
             left[s] += k * times
             volume += s * k * times
 
-    stack.append(enter())
-    while stack:
-        filling = next(stack[-1], None)
-        tried += 1
-        if tried > nodes or time.monotonic() > until:
-            break
-        if filling is None:
-            stack.pop()
-            if path:
+    for whole in (False, True):
+        stack = [(lengths[-1], closed := set(), all_(closed) if whole else few())]
+        while stack:
+            largest, closed, moves = stack[-1]
+            move = next(moves, ())
+            tried += 1
+            if tried > nodes or time.monotonic() > until:
+                return best
+            if move is None:
+                continue
+            if not move:
+                stack.pop()
+                if path:
+                    give_back()
+                continue
+            filling, times = move
+            path.append((filling, times))
+            taken += times
+            for s, k in filling:
+                left[s] -= k * times
+                volume -= s * k * times
+                if left[s] == 0:
+                    lengths.pop(bisect_right(lengths, s) - 1)
+            if volume == 0 and taken < used:
+                best, used = list(path), taken
+                if used == bound:
+                    return best
+            if volume == 0 or taken + math.ceil(volume / capacity) >= used:
                 give_back()
-            continue
-        times = min(left[s] // k for s, k in filling)
-        path.append((filling, times))
-        taken += times
-        for s, k in filling:
-            left[s] -= k * times
-            volume -= s * k * times
-            if left[s] == 0:
-                lengths.pop(bisect_right(lengths, s) - 1)
-        if volume == 0 and taken < used:
-            best, used = list(path), taken
-            if used == bound:
-                break
-        if volume == 0 or taken + math.ceil(volume / capacity) >= used:
-            give_back()
-        else:
-            stack.append(enter())
+            else:
+                closed = closed if lengths[-1] == largest else set()
+                stack.append((lengths[-1], closed, all_(closed) if whole else few()))
     return best
 
 
