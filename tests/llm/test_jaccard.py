@@ -88,3 +88,44 @@ def test_the_order_of_frequent_shingles_changes_nothing(spark, docs, monkeypatch
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).selectExpr("id + 1 as low", "id as high")
     assert {tuple(r) for r in jaccard.components(edges).collect()} == {(i, 0) for i in range(201)}
+
+
+def brute_links(rows, percent=80):
+    """The rows of brute() with the number of other rows that link with each."""
+    sets = [shingles(t) for _, t in rows]
+    link = lambda a, b: bool(a and b) and 100 * len(a & b) >= percent * len(a | b)
+    return [(*r, sum(link(sets[k], s) for j, s in enumerate(sets) if j != k)) for k, r in enumerate(brute(rows, percent))]
+
+
+def test_links_agree_with_brute_force(docs, empty):
+    same_rows([tuple(r) for r in jaccard.linked(docs).collect()], brute_links(given(docs)))
+    assert jaccard.linked(empty).collect() == []
+
+
+@pytest.mark.parametrize("cell", [4_000_000, 1000, 300])
+def test_no_link_within_a_group_is_lost_or_counted_twice(spark, monkeypatch, cell):
+    """Near copies with different texts, all linked with many others, in one cell, two blocks and many blocks."""
+    monkeypatch.setattr(jaccard, "CELL_SHINGLES", cell)
+    draw = random.Random(21)
+    rows = []
+    for size in (3, 25):
+        base = [f"w{draw.randrange(900)}" for _ in range(70)]
+        for _ in range(size):
+            text = list(base)
+            for _ in range(draw.randrange(3)):
+                text[draw.randrange(len(text))] = f"e{draw.randrange(900)}"
+            rows.append((len(rows), " ".join(text)))
+    rows += [(90, rows[4][1]), (91, rows[4][1]), (None, rows[5][1]), (92, ""), (93, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute_links(rows)
+    same_rows([tuple(r) for r in jaccard.linked(df).collect()], want)
+    assert sum(r[3] for r in want) > 4 * len(rows)
+
+    members, pairs = jaccard.links(df)
+    entity = {r["entity"]: [] for r in members.collect()}
+    for r in members.collect():
+        entity[r["entity"]].append(r["doc_id"])
+    got = [tuple(r) for r in pairs.collect()]
+    sets = list({shingles(t) for _, t in rows if t})
+    links = sum(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert len(got) == len(set(got)) == links and all(a < b and {a, b} <= set(entity) for a, b in got)

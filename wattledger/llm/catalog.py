@@ -81,6 +81,17 @@ SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
 
 
+def op1_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op1_jaccard_links"] = op1_jaccard_links
+SQL["op1_jaccard_links"] = SQL["op1_jaccard"].replace(
+    "SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id\nFROM reach LEFT JOIN n USING (doc_id)",
+    "SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, coalesce(any_value(k), 0) AS n_links\n"
+    "FROM reach LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, count(*) AS k FROM link GROUP BY x) USING (doc_id)")
+
+
 def _id_digests(keys, starts, lengths, ids) -> pa.RecordBatch:
     raw, ends = memoryview(ids.astype("<u4", copy=False)).cast("B"), lengths.cumsum()
     crc = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip((ends - lengths).tolist(), ends.tolist())]

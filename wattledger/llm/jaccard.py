@@ -13,11 +13,16 @@
    overlap that the threshold asks for. A component too large for one cell is cut into blocks
    and every two blocks meet in a cell.
 
+:func:`classes` asks only which texts are connected, so its cells leave out pairs already connected.
+:func:`pairs` and :func:`linked` compare all pairs of a component, each pair in one cell.
+
 Order and frequency lists only decide how much work there is, never which links are found.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -300,6 +305,23 @@ def joined(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return label
 
 
+def linked_sets(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """All links of the given sets: (number of a set, numbers of sets it links with), each pair once."""
+    if len(sets) < 2:
+        return
+    bounds = np.cumsum([0, *map(len, sets)])
+    symbols, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    dense = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+    trie = Trie(dense)
+    order = np.array(trie.order)
+    wanted = np.ones(len(sets), dtype=bool)
+    for k, i in enumerate(trie.order):
+        wanted[k] = False
+        found = trie.similar(dense[i], len(symbols), wanted, percent)
+        if len(found):
+            yield i, order[found]
+
+
 def candidates_of(docs: DataFrame, frequent, marked, ngram: int) -> DataFrame:
     """(entity, size, payload: its shingles) of the documents whose entity is marked; a task emits each entity once."""
 
@@ -372,13 +394,13 @@ def alike(size: np.ndarray, raw: list[bytes], percent: int) -> np.ndarray:
     return label
 
 
-def cells(rows: DataFrame, weight: str, limit: int, run) -> DataFrame:
-    """(low, high) that ``run`` finds in the groups of ``rows`` (root, entity, size, payload).
+def dealt(rows: DataFrame, weight: str, limit: int) -> DataFrame:
+    """``rows`` (root, entity, ..) with the cell (cell, a, b) they go to, and their own block of ``blocks``.
 
-    ``run`` gets the sizes and payloads of a group and returns, for each, the first one it is connected to.
     Groups up to ``limit`` (the sum of ``weight``) are put together in a cell; a larger one is cut
     into blocks by a hash, and every two blocks meet in a cell.
     """
+    columns = rows.columns
     spark = rows.sparkSession
     sizes = rows.groupBy("root").agg(F.sum(F.expr(weight)).alias("volume"))
     sizes = sizes.withColumn("blocks", F.ceil(F.col("volume") / limit).cast("int"))
@@ -387,22 +409,34 @@ def cells(rows: DataFrame, weight: str, limit: int, run) -> DataFrame:
     rows = rows.join(sizes.select("root", "blocks"), "root").withColumn("own", F.pmod(F.xxhash64("entity"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.when(F.col("blocks") > 1, F.array_except(
         F.sequence(F.lit(0), F.col("blocks") - 1), F.array("own"))).otherwise(F.array(F.lit(0)))))
-    rows = rows.select(
+    return rows.select(
         F.when(F.col("blocks") > 1, F.col("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(groups))).alias("cell"),
         F.when(F.col("blocks") > 1, F.least("own", "other")).otherwise(F.lit(-1)).alias("a"),
-        F.greatest("own", "other").alias("b"), "root", "entity", "size", "payload")
+        F.greatest("own", "other").alias("b"), *columns, "own", "blocks")
+
+
+def groups_of(root: np.ndarray, entity: np.ndarray) -> Iterator[np.ndarray]:
+    """The rows of each root, one of each entity."""
+    order = np.lexsort((entity, root))
+    fresh = np.ones(len(order), dtype=bool)
+    fresh[1:] = (entity[order][1:] != entity[order][:-1]) | (root[order][1:] != root[order][:-1])
+    order = order[fresh]
+    cuts = np.flatnonzero(np.concatenate([[True], root[order][1:] != root[order][:-1], [True]]))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        yield order[a:b]
+
+
+def cells(rows: DataFrame, weight: str, limit: int, run) -> DataFrame:
+    """(low, high) that ``run`` finds in the groups of ``rows`` (root, entity, size, payload).
+
+    ``run`` gets the sizes and payloads of a group and returns, for each, the first one it is connected to.
+    """
 
     def meet(table: pa.Table) -> pa.Table:
         root, entity, size = (table.column(c).to_numpy() for c in ("root", "entity", "size"))
         raw = table.column("payload").to_pylist()
-        order = np.lexsort((entity, root))
-        fresh = np.ones(len(order), dtype=bool)
-        fresh[1:] = (entity[order][1:] != entity[order][:-1]) | (root[order][1:] != root[order][:-1])
-        order = order[fresh]
-        cuts = np.flatnonzero(np.concatenate([[True], root[order][1:] != root[order][:-1], [True]]))
         low, high = [], []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            mine = order[a:b]
+        for mine in groups_of(root, entity):
             label = run(size[mine], [raw[i] for i in mine.tolist()])
             linked = np.flatnonzero(label != np.arange(len(label)))
             low.append(entity[mine[label[linked]]])
@@ -410,20 +444,73 @@ def cells(rows: DataFrame, weight: str, limit: int, run) -> DataFrame:
         return pa.table({"low": np.concatenate(low) if low else np.empty(0, np.int64),
                          "high": np.concatenate(high) if high else np.empty(0, np.int64)})
 
+    rows = dealt(rows.select("root", "entity", "size", "payload"), weight, limit).drop("own", "blocks")
     return rows.groupBy("cell", "a", "b").applyInArrow(meet, "low long, high long")
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``.
+def all_links(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """All links of a cell of :func:`dealt`: (rows of a group, number of one in it, numbers of those it links with).
 
-    Two texts link when 100 * common shingles >= percent * all their shingles. component_id is the
-    smallest doc_id that links lead to. A text without words (null, empty, blank) has size 0, links
-    with nothing and keeps its own doc_id. Repeated rows are equal sets; a row without a doc_id
-    connects others but names no component (null if there is no other row). An empty table gives
-    no rows. Other columns are not looked at.
+    Every pair of entities is given in one cell only: two of different blocks meet once, and those of
+    one block are paired where it meets the block after it.
     """
+    root, entity, own, blocks, a, b = (table.column(c).to_numpy() for c in ("root", "entity", "own", "blocks", "a", "b"))
+    home = (blocks <= 1) | (np.where(own == a, b, a) == (own + 1) % np.maximum(blocks, 1))
+    raw = table.column("payload").to_pylist()
+    for mine in groups_of(root, entity):
+        block, at_home = own[mine], home[mine]
+        for i, found in linked_sets([np.frombuffer(raw[k], dtype=np.uint64) for k in mine.tolist()], percent):
+            found = found[(block[found] != block[i]) | at_home[found]]
+            if len(found):
+                yield mine, i, found
+
+
+def pairs(candidates: DataFrame, percent: int) -> DataFrame:
+    """(low, high): every two different sets that link, once, named by their entities."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        entity = table.column("entity").to_numpy()
+        low, high = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for mine, i, found in all_links(table, percent):
+            one, others = entity[mine[i]], entity[mine[found]]
+            low.append(np.minimum(one, others))
+            high.append(np.maximum(one, others))
+        return pa.table({"low": np.concatenate(low), "high": np.concatenate(high)})
+
+    return dealt(candidates, "size", CELL_SHINGLES).groupBy("cell", "a", "b").applyInArrow(meet, "low long, high long")
+
+
+def counted(candidates: DataFrame, percent: int) -> DataFrame:
+    """(low, null, n): n links of the set ``low`` with texts of other sets, in parts to be added up; and
+    (low, high, null): links enough to connect what is connected. ``candidates`` has ``times``, the texts of a set."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        entity, times = (table.column(c).to_numpy() for c in ("entity", "times"))
+        n = np.zeros(len(entity), dtype=np.int64)
+        label = np.arange(len(entity))
+        low, high = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for mine, i, found in all_links(table, percent):
+            one, others = mine[i], mine[found]
+            n[one] += times[others].sum()
+            n[others] += times[one]
+            fresh, first = np.unique(label[others], return_index=True)
+            new = fresh != label[one]
+            if new.any():
+                ends = entity[others[first[new]]]
+                low.append(np.full(len(ends), entity[one]))
+                high.append(ends)
+                label[mine[np.isin(label[mine], fresh[new])]] = label[one]
+        rows = np.flatnonzero(n)
+        low, high = np.concatenate([*low, entity[rows]]), np.concatenate(high)
+        return pa.table({"low": low, "high": pa.concat_arrays([pa.array(high), pa.nulls(len(rows), pa.int64())]),
+                         "n": pa.concat_arrays([pa.nulls(len(high), pa.int64()), pa.array(n[rows])])})
+
+    return dealt(candidates, "size", CELL_SHINGLES).groupBy("cell", "a", "b").applyInArrow(meet, "low long, high long, n long")
+
+
+def compared(docs: DataFrame, ngram: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The stored :func:`profile`, and (entity, size, payload, root) of the sets that may have links; links lie within a root."""
     spark = docs.sparkSession
-    docs = only(docs, key, text)
     first = stored(profile(docs, ngram), "profile")
     often = (first.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times"))
              .orderBy(F.desc("times"), "shingle").limit(FREQUENT_KEPT).select("shingle").collect())
@@ -444,12 +531,57 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int
 
     sets = candidates_of(docs, frequent, marked, ngram)
     candidates = stored(sets.join(near.select(F.col("node").alias("entity"), "root"), "entity"), "candidates")
+    return first, candidates
+
+
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of ``docs``.
+
+    Two texts link when 100 * common shingles >= percent * all their shingles. component_id is the
+    smallest doc_id that links lead to. A text without words (null, empty, blank) has size 0, links
+    with nothing and keeps its own doc_id. Repeated rows are equal sets; a row without a doc_id
+    connects others but names no component (null if there is no other row). An empty table gives
+    no rows. Other columns are not looked at.
+    """
+    first, candidates = compared(only(docs, key, text), ngram, percent)
     links = components(cells(candidates, "size", CELL_SHINGLES, lambda size, raw: joined(
         [np.frombuffer(r, dtype=np.uint64) for r in raw], percent)))
+    return named(first, links).select("doc_id", "n_shingles", "component_id")
+
+
+def named(first: DataFrame, links: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and entity of every document of ``first``; ``links`` are the :func:`components`."""
     rows = first.where("shingle IS NULL").select("doc_id", "size", "entity")
     rows = rows.join(links.select(F.col("node").alias("entity"), "root"), "entity", "left")
     rows = rows.withColumn("class", F.coalesce("root", "entity"))
     least = rows.where("size > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     return rows.join(least, "class", "left").select(
         "doc_id", F.col("size").alias("n_shingles"),
-        F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "entity")
+
+
+def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
+    """The rows of :func:`classes` with n_links, the number of other rows that link with a row.
+
+    All pairs of different sets are compared; a link with a set counts for each of its rows, and rows of
+    equal sets link with each other. A text without words has no links.
+    """
+    first, candidates = compared(only(docs, key, text), ngram, percent)
+    times = first.where("shingle IS NULL").groupBy("entity").agg(F.count("*").alias("times"))
+    found = stored(counted(candidates.join(times, "entity"), percent), "links")
+    rows = named(first, components(found.where("high IS NOT NULL").select("low", "high")))
+    others = found.where("high IS NULL").groupBy(F.col("low").alias("entity")).agg(F.sum("n").alias("others"))
+    rows = rows.join(times.join(others, "entity", "left"), "entity")
+    n = F.when(F.col("n_shingles") > 0, F.coalesce("others", F.lit(0)) + F.col("times") - 1).otherwise(0)
+    return rows.select("doc_id", "n_shingles", "component_id", n.cast("long").alias("n_links"))
+
+
+def links(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM,
+          percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(members, pairs): doc_id, n_shingles and entity of every row, and (low, high) of every two entities that link.
+
+    An entity stands for all rows with one set. The pairs of a group of near copies are as many as its links.
+    """
+    first, candidates = compared(only(docs, key, text), ngram, percent)
+    members = first.where("shingle IS NULL").select("doc_id", F.col("size").alias("n_shingles"), "entity")
+    return members, stored(pairs(candidates, percent), "pairs")
