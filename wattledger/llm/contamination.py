@@ -6,8 +6,9 @@ hold no phrase, so neither is indexed. Over the runs stand a suffix array, its B
 column in a wavelet matrix, and sampled suffix positions. All phrases are searched backwards at
 once; rows found are walked to the next sample; places are merged into removal spans.
 
-Benchmark texts come to the tasks in blocks of at most ``BLOCK_BYTES``, so what a task holds at a
-time has a bound however long the benchmark is.
+Benchmark texts pass through the driver and come to the tasks in blocks of about ``BLOCK_BYTES``. A
+block bounds one broadcast, not a worker: each holds the blocks of the whole benchmark at once, so
+the benchmark must fit into the memory of the driver and of a worker.
 """
 
 from __future__ import annotations
