@@ -1,4 +1,4 @@
-"""The ten operators as named queries over the given tables."""
+"""The operators as named queries over the given tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, contamination, jaccard, licenses, packing, quality, shards, token_counts, token_files, urls
+from . import chat, contamination, jaccard, licenses, packing, pii, quality, shards, token_counts, token_files, urls
 
 QUERIES = {}
 SQL = {}
@@ -175,3 +175,67 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_licenses"] = op8_licenses
+
+
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base kinds, and all spans."""
+    return pii.digest(pii.scan(_table(spark, sf_dir, "documents")))
+
+
+QUERIES["op11_pii"] = op11_pii
+
+
+def _near(words):
+    return f"regexp_matches(near, '(^|[^a-z0-9])({'|'.join(words)})([^a-z0-9]|$)')"
+
+
+def _pii_kind(number: int, k: pii.Kind, pattern: str, cut: str, good: str) -> str:
+    """Spans of one kind: proposals and the pieces between them give the places."""
+    if not k.base:
+        good = (f"({good}) AND score >= {pii.ACCEPTED} AND NOT regexp_matches(before, '[A-Za-z0-9]$') "
+                "AND NOT regexp_matches(after, '^[0-9]')")
+    return f"""
+SELECT r, {number} AS k, '{k.name}' AS kind, s, s + length(m) AS e FROM (
+  SELECT *, greatest(0, least(100, {k.score} + CASE WHEN {_near(k.words)} THEN {pii.RAISED} ELSE 0 END
+                                   - CASE WHEN {_near(pii.DOUBT)} THEN {pii.LOWERED} ELSE 0 END)) AS score
+  FROM (SELECT r, s, before, after, {cut} AS m,
+               translate(before || ' | ' || after, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS near
+        FROM (SELECT r, ms[i] AS m, right(ps[i], {pii.CONTEXT}) AS before, left(ps[i + 1], {pii.CONTEXT}) AS after,
+                     CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
+                          + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+              FROM (SELECT r, ms, string_split_regex(t, '{pattern}') AS ps, unnest(range(1, len(ms) + 1)) AS i
+                    FROM (SELECT r, t, regexp_extract_all(t, '{pattern}') AS ms FROM d) WHERE len(ms) > 0)))
+  WHERE m <> '') WHERE {good}"""
+
+
+def _pii_sql() -> str:
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = (f"list_sum(list_transform(range(1, length({digits}) + 1), lambda j: CASE WHEN (length({digits}) - j) % 2 = 0 "
+            f"THEN CAST({digits}[j] AS INT) WHEN CAST({digits}[j] AS INT) > 4 THEN 2 * CAST({digits}[j] AS INT) - 9 "
+            f"ELSE 2 * CAST({digits}[j] AS INT) END)) % 10 = 0")
+    part = "0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+    plain = "replace(m, ' ', '')"
+    number = f"({plain}[5:] || {plain}[1:4])"
+    mod = (f"list_reduce([0] || list_transform(range(1, length({number}) + 1), lambda j: CASE WHEN {number}[j] BETWEEN '0' AND '9' "
+           f"THEN ascii({number}[j]) - 48 ELSE ascii({number}[j]) - 55 END), lambda a, c: (a * CASE WHEN c < 10 THEN 10 ELSE 100 END + c) % 97) = 1")
+    length = "(MAP {" + ", ".join(f"'{c}': {n}" for c, n in pii.IBAN_LENGTHS.items()) + "})[m[1:2]]"
+    cut = (f"CASE WHEN length({plain}) >= {length} THEN regexp_extract(m, '^[A-Z0-9]( ?[A-Z0-9]){{' || ({length} - 1) || '}}') ELSE '' END")
+    rules = {"email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "m", "true"),
+             "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "m", rf"regexp_full_match(m, '{part}(\.{part}){{3}}')"),
+             "card": (r"[0-9]([\x20-]?[0-9])+", "m", f"length({digits}) BETWEEN 16 AND 19 AND {luhn}"),
+             "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "m", f"length({digits}) BETWEEN 8 AND 15"),
+             "iban": ("[A-Z]{2}[0-9]{2}( ?[A-Z0-9]){11,30}", cut, mod),
+             "ssn": ("[0-9]{3}-[0-9]{2}-[0-9]{4}", "m", "NOT regexp_matches(m, '^(000|666|9)|-00-|-0000$')"),
+             "secret": ("[0-9A-Fa-f]{32,128}", "m", "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Fa-f]')")}
+    found = " UNION ALL ".join(_pii_kind(i, k, *rules[k.name]) for i, k in enumerate(pii.KINDS))
+    count = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in pii.BASE)
+    counted = ", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in pii.BASE)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+span AS ({found}),
+agg AS (SELECT r, {counted}, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) AS spans,
+               string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) FILTER (WHERE k < {len(pii.BASE)}) AS base FROM span GROUP BY r)
+SELECT doc_id, {count}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN agg USING (r)"""
+
+
+SQL["op11_pii"] = _pii_sql()
