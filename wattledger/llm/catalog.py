@@ -7,7 +7,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, contamination, jaccard, licenses, packing, pii, quality, shards, token_counts, token_files, urls
+from . import chat, contamination, jaccard, licenses, packing, pii, quality, ranking, shards, token_counts, token_files, urls, whitening
 
 QUERIES = {}
 SQL = {}
@@ -239,3 +239,34 @@ SELECT doc_id, {count}, sha256(coalesce(base, '')) AS base_sha256, coalesce(span
 
 
 SQL["op11_pii"] = _pii_sql()
+
+
+def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return ranking.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op12_ranking"] = op12_ranking
+_TERMS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+SQL["op12_ranking"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents),
+full_ AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM full_),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM full_) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, corpus GROUP BY term, n_docs),
+part AS (SELECT r, term, weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // n_terms)))) AS part
+         FROM tf JOIN weight USING (term) JOIN full_ USING (r), corpus),
+scored AS (SELECT item_id, r, doc_id, CAST(sum(part) AS BIGINT) AS score FROM q JOIN part USING (term) JOIN full_ USING (r) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whitened embeddings, a row for each component."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op13_whitening"] = op13_whitening
