@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import upkeep
@@ -106,14 +107,22 @@ def landing_roundtrip(t: Tables):
     return files.read_landing(t.spark, path)
 
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
-          "embeddings", "pages", "benchmark", "labels", "conversations")
+#: Hours a table may lie behind the newest data of all tables.
+LAG_HOURS = 24 * 90
 
 
-@query("freshness_guard", f"""SELECT unnest({list(TABLES)}) AS object, CAST(1 AS BIGINT) AS n_files, false AS stale""")
+@query("freshness_guard", f"""WITH n AS (
+  SELECT 'orders' AS object, max(CAST(o_orderdate AS TIMESTAMP)) AS newest FROM orders UNION ALL
+  SELECT 'lineitem', max(CAST(l_shipdate AS TIMESTAMP)) FROM lineitem UNION ALL SELECT 'events', max(CAST(ts AS TIMESTAMP)) FROM events)
+SELECT object, newest, round(date_diff('microsecond', newest, (SELECT max(newest) FROM n)) / 3.6e9, 4) AS hours,
+       coalesce(date_diff('microsecond', newest, (SELECT max(newest) FROM n)) / 3.6e9 > {LAG_HOURS}, true) AS stale,
+       newest <= CAST(now() AS TIMESTAMP) AS written_after FROM n""")
 def freshness_guard(t: Tables):
-    """Every table of a folder is there and was written in the last century; the times are the folder's own."""
-    return files.freshness(t.spark, {name: f"{t.folder}/{name}.parquet" for name in TABLES}, datetime.now(), 24 * 36525)
+    """Each table against the newest data of all: the older ones lag years behind; and its files against its own data."""
+    tables = {"orders": (t.orders, "o_orderdate"), "lineitem": (t.lineitem, "l_shipdate"), "events": (t.events, "ts")}
+    newest = reduce(DataFrame.unionByName, [df.agg(F.max(at).cast("timestamp").alias("newest")) for df, at in tables.values()])
+    rows = files.freshness(tables, newest.agg(F.max("newest")).scalar(), LAG_HOURS)
+    return rows.select("object", "newest", F.round("hours", 4).alias("hours"), "stale", "written_after")
 
 
 def shown(table: str) -> list[tuple[str, str, bool]]:

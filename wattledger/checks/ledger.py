@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import groups, joins, series
+from ..sources.managed import Refused, observed
 from .quality import LOOK, entry, report
 
 STARTED, DONE, FAILED = "INICIADO", "EXITOSO", "FALLIDO"
@@ -23,6 +25,51 @@ def append_attempt(spark: SparkSession, path: str, **attempt) -> None:
     df.withColumn("seconds", seconds.cast("double")).write.mode("append").parquet(path)
 
 
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The stored log with its attempt ids."""
+    return spark.read.schema(f"{SCHEMA}, seconds double, attempt string").parquet(path)
+
+
+def record_attempt(spark: SparkSession, path: str, attempt: str, **values) -> None:
+    """Store one attempt under its id. The same id once more replaces its row: a repeated report stays one row."""
+    row = [tuple(values.get(f.split()[0]) for f in SCHEMA.split(", "))]
+    seconds = F.unix_timestamp("ended_at") - F.unix_timestamp("started_at")
+    (spark.createDataFrame(row, SCHEMA).withColumn("message", F.nullif("message", F.lit(""))).withColumn("seconds", seconds.cast("double"))
+     .coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/attempt={attempt}"))
+
+
+def logged_load(source: DataFrame, make: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame], object], log: str, attempt: str,
+                now: Callable[[], datetime] = datetime.now, **values) -> dict:
+    """One load with its row in the log: started, then done or failed, with the rows read and written.
+
+    ``make`` turns the source into what ``write`` stores. Both counts are observed while the load writes, so
+    nothing is read a second time. A load that ``write`` refuses afterwards (an empty one) is logged as
+    failed with its counts; any other error without. The error is raised again. Where a lost executor
+    makes Spark repeat a stage before a shuffle, its rows may count twice in ``read``; ``written`` is exact.
+    """
+    spark = source.sparkSession
+    row = {**values, "started_at": now(), "status": STARTED}
+    record_attempt(spark, log, attempt, **row)
+    read, written = Observation(), Observation()
+    n = F.count(F.lit(1)).alias("rows")
+    try:
+        write(make(source.observe(read, n)).observe(written, n))
+        row |= {"status": DONE}
+    except Refused as e:
+        row |= {"status": FAILED, "message": str(e)}
+        raise
+    except Exception as e:
+        row |= {"status": FAILED, "message": str(e)}
+        read = written = None
+        raise
+    finally:
+        row |= {"ended_at": now()}
+        if written is not None:
+            row |= {"read": observed(read, "rows"), "written": observed(written, "rows")}
+        record_attempt(spark, log, attempt, **row)
+    return row
+
+
 def latest_status(log: DataFrame) -> DataFrame:
     """State of each object: that of its latest attempt."""
     return series.latest(log, ["object"], ["started_at", "log_id"], ["status", "started_at"])

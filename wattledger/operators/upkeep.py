@@ -79,3 +79,23 @@ def evolve(rows: DataFrame, added: dict[str, str]) -> DataFrame:
 def snapshot_totals(rows: DataFrame, run: str, measure: str) -> DataFrame:
     """Sum and row count per stored run."""
     return rows.groupBy(run).agg(F.sum(measure).alias("total"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def snapshot_diff(rows: DataFrame, run: str, before, after, keys: list[str], values: list[str], measure: str) -> DataFrame:
+    """What changed between two stored runs: (outcome, n_rows, total_before, total_after).
+
+    Outcomes are added, removed, changed and same. Only the two runs are read where rows are stored by
+    run; both pass one aggregation by key, which holds one row of each, so nothing is joined. A key that
+    a run repeats counts as changed unless both hold it equally often with equal values.
+    """
+    two = rows.where(F.col(run).isin(before, after))
+    old, new = F.col(run) == F.lit(before), F.col(run) == F.lit(after)
+    content = F.xxhash64(*values)
+    cells = two.groupBy(*keys).agg(
+        F.count_if(old).alias("__n_old"), F.count_if(new).alias("__n_new"),
+        F.sum(F.when(old, content).cast("decimal(38,0)")).alias("__old"), F.sum(F.when(new, content).cast("decimal(38,0)")).alias("__new"),
+        F.sum(F.when(old, F.col(measure))).alias("__m_old"), F.sum(F.when(new, F.col(measure))).alias("__m_new"))
+    outcome = (F.when(F.col("__n_old") == 0, "added").when(F.col("__n_new") == 0, "removed")
+               .when((F.col("__n_old") == F.col("__n_new")) & (F.col("__old") == F.col("__new")), "same").otherwise("changed"))
+    return cells.groupBy(outcome.alias("outcome")).agg(
+        F.sum(F.greatest("__n_old", "__n_new")).alias("n_rows"), F.sum("__m_old").alias("total_before"), F.sum("__m_new").alias("total_after"))
