@@ -208,10 +208,10 @@ def test_both_ways_to_the_cells_agree(spark):
 
 
 def test_false_lap(spark):
-    read = {"digits": 5, "previous_reading": 26483.0, "current_reading": 43.0, "computed_use": -26440.0, "billed_use": 6735.0}
+    read = {"digits": 4, "previous_reading": 8700.0, "current_reading": 120.0, "computed_use": -8580.0, "billed_use": 355.0}
     row = feature_rows(spark, [read])[1, 1, 3]
-    assert round(row["lap_ratio"], 4) == 0.0916 and row["false_lap"] is None
-    low = DEFAULTS.with_values(false_lap_tolerance=0.05)
+    assert round(row["lap_ratio"], 4) == 0.25 and row["false_lap"] is None
+    low = DEFAULTS.with_values(false_lap_tolerance=0.2)
     assert feature_rows(spark, [read], settings=low)[1, 1, 3]["false_lap"] is True
     assert feature_rows(spark, [{}], settings=low)[1, 1, 3]["false_lap"] is False
 
@@ -359,12 +359,14 @@ def test_a_driver_without_period_matches_every_period(spark):
 def test_comments_are_cleaned_and_observations_need_an_open_order(spark):
     reviews = spark.createDataFrame([(1, 9, 3, 1, datetime(2026, 1, 1), None), (2, 9, None, 1, datetime(2026, 1, 1), None)],
                                     "order int, service int, kind int, period int, opened_at timestamp, ended_at timestamp")
-    comments = spark.createDataFrame([(1, 9, datetime(2026, 1, 2), "note", "a\n|b"), (5, 9, datetime(2026, 1, 2), "note", "x")],
-                                     "order int, service int, recorded_at timestamp, comment_kind string, comment string")
+    comments = spark.createDataFrame([(1, datetime(2026, 1, 2), 4, "a\n|b"), (5, datetime(2026, 1, 2), 4, "x")],
+                                     "order int, recorded_at timestamp, kind_code int, comment string")
+    activities = spark.createDataFrame([(1, 9), (5, 9)], "order int, service int")
+    kinds = spark.createDataFrame([(4, "note")], "code int, text string")
     seen = spark.createDataFrame([(9, 3, 1, datetime(2026, 1, 5), "in"), (9, 3, 1, datetime(2026, 1, 5), "in"),
                                   (9, 3, 1, datetime(2026, 9, 5), "late"), (9, 3, 2, datetime(2026, 1, 5), "other")],
                                  "service int, kind int, period int, observed_at timestamp, comment string")
-    got = extract.order_comments(reviews, comments, seen, datetime(2026, 6, 1)).collect()
+    got = extract.order_comments(reviews, comments, seen, activities, kinds, datetime(2026, 6, 1)).collect()
     assert sorted((r["order"], r["comment_kind"], r["comment"]) for r in got) == [
         (1, extract.ANALYST_REVIEW, "in"), (1, "note", "ab")]
 

@@ -180,9 +180,12 @@ def investigation_extract(t: Tables):
     cases = roles.events(t).select(
         "service", "kind", (F.col("service") % 4 * 100 + F.col("period")).alias("period"),
         F.col("event_id").alias("request"), (F.col("k") % 4).alias("state"), F.col("ts").alias("recorded_at"))
-    states = codes_below(t, 4).where("code > 0").select(
+    return extract.investigations(cases, kind_names(t), case_states(t), use_periods(t), datetime(2024, 7, 15).date())
+
+
+def case_states(t: Tables):
+    return codes_below(t, 4).where("code > 0").select(
         "code", roles.pick((F.col("code") - 1).cast("int"), "OPEN", "CUSTOMER", "COMPANY").alias("text"))
-    return extract.investigations(cases, kind_names(t), states, use_periods(t), datetime(2024, 7, 15).date())
 
 
 # --- bills, charges, master and orders: orders and lineitem ----------------------------
@@ -320,6 +323,13 @@ SELECT c_custkey AS service, c_nationkey AS contract, n_nationkey AS premises,
 FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey
 LEFT JOIN balance b ON b.service = c_custkey LEFT JOIN latest l ON l.service = c_custkey""")
 def master_extract(t: Tables):
+    rows = extract.services(*master_parts(t), roles.AS_OF_ORDERS)
+    return rows.withColumns({"pending_balance": F.round("pending_balance", 2),
+                             "overdue_balance": F.round("overdue_balance", 2)})
+
+
+def master_parts(t: Tables):
+    """Subscriptions, premises, customers, frequencies, bills, the billable matrix and the names of codes."""
     key = F.col("c_custkey")
     subscriptions = t.customer.select(
         key.alias("service"), F.col("c_nationkey").alias("contract"), F.col("c_nationkey").alias("premises"),
@@ -346,10 +356,7 @@ def master_extract(t: Tables):
     pair = codes_below(t, 25).select(F.floor(F.col("code") / 5).alias("category_code"), (F.col("code") % 5).alias("code"))
     names = {"product": named("PRODUCT", 2), "cutoff": named("CUTOFF", 3), "category": named("CATEGORY", 6), "plan": named("PLAN", 8),
              "subcategory": pair.withColumn("text", F.concat_ws("/", F.col("category_code").cast("string"), F.col("code").cast("string")))}
-    rows = extract.services(subscriptions, premises, customers, frequencies, roles.bills(t), matrix, names,
-                            roles.AS_OF_ORDERS)
-    return rows.withColumns({"pending_balance": F.round("pending_balance", 2),
-                             "overdue_balance": F.round("overdue_balance", 2)})
+    return subscriptions, premises, customers, frequencies, roles.bills(t), matrix, names
 
 
 def order_states(t: Tables):
@@ -405,6 +412,11 @@ FROM ev LEFT JOIN customer ON c_custkey = service * 20 LEFT JOIN supplier ON s_s
 LEFT JOIN nation ON n_nationkey = service % 30
 WHERE kind <> 8 AND k % 5 <> 4""")
 def requests_extract(t: Tables):
+    return extract.requests(*request_parts(t))
+
+
+def request_parts(t: Tables):
+    """Packages, motives, and the names of kinds, states, channels, people, areas and customers."""
     rows = roles.events(t)
     motives = rows.select("service", F.col("event_id").alias("request"))
     packages = rows.select(
@@ -419,7 +431,7 @@ def requests_extract(t: Tables):
     areas = t.nation.select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("text"))
     customers = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("first_name"),
                                   F.col("c_mktsegment").alias("last_name"))
-    return extract.requests(packages, motives, kind_names(t), states, channels, people, areas, customers)
+    return packages, motives, kind_names(t), states, channels, people, areas, customers
 
 
 @query("loss_file_extract", """SELECT o_custkey AS service, o_orderkey AS loss_file, o_orderstatus AS state,
@@ -430,24 +442,32 @@ def requests_extract(t: Tables):
          ELSE 'DESCONOCIDO' END AS state_text, o_orderkey * 3 AS request, o_orderkey AS "order", o_orderpriority AS comment
 FROM orders""")
 def loss_file_extract(t: Tables):
+    return extract.loss_files(loss_sources(t), irregularities(t))
+
+
+def irregularities(t: Tables):
+    return codes_below(t, 5).withColumn("text", F.lit("KIND"))
+
+
+def loss_sources(t: Tables):
     key = F.col("o_custkey") % 7
-    files = t.orders.select(
+    return t.orders.select(
         F.col("o_custkey").alias("service"), F.col("o_orderkey").alias("loss_file"), F.col("o_orderstatus").alias("state"),
         key.alias("irregularity_code"), (F.col("o_orderkey") * 3).alias("request"),
         F.col("o_orderdate").alias("recorded_at"), F.col("o_orderdate").alias("fraud_from"),
         (F.col("o_orderdate") + F.expr("INTERVAL 10 DAYS")).alias("fraud_to"), F.col("o_orderkey").alias("order"),
         F.col("o_orderpriority").alias("comment"))
-    return extract.loss_files(files, codes_below(t, 5).withColumn("text", F.lit("KIND")))
 
 
 # --- review orders and their comments --------------------------------------------------
 
-REVIEW = """drivers AS (
+REVIEW_DRIVERS = """drivers AS (
   SELECT DISTINCT o_custkey AS service, CASE WHEN l_suppkey % 2 = 0 THEN 3 ELSE 6 END AS kind,
          CASE WHEN month(o_orderdate) <> 12 THEN CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) END AS period,
          CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS window_start,
          CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) + INTERVAL 1 MONTH AS window_end
-  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderpriority = '1-URGENT'), act AS (
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderpriority = '1-URGENT')"""
+REVIEW_FOUND = """act AS (
   SELECT l_orderkey AS "order", o_custkey AS service, l_orderkey AS request, l_orderkey * 10 + l_linenumber AS activity_ref,
          CASE l_linenumber WHEN 1 THEN 102010 WHEN 2 THEN 7400027 WHEN 4 THEN 1019 WHEN 6 THEN 0 WHEN 7 THEN 0 ELSE 993 END AS activity,
          CASE l_linenumber WHEN 5 THEN 769 WHEN 6 THEN 803 WHEN 7 THEN 1 ELSE 883 END AS task
@@ -472,6 +492,7 @@ REVIEW = """drivers AS (
   UNION SELECT a."order", a.service, NULL, d.period, a.task, a.activity FROM act a JOIN orders ON o_orderkey = a."order"
   JOIN drivers d ON d.service = a.service AND o_orderdate BETWEEN d.window_start AND d.window_end
   WHERE a.activity = 7400027)"""
+REVIEW = f"{REVIEW_DRIVERS}, {REVIEW_FOUND}"
 
 
 def line_owner(t: Tables):
@@ -494,13 +515,23 @@ def review_parts(t: Tables):
     return drivers, criticals, cases
 
 
-def closed_by(t: Tables):
-    changes = t.lineitem.select(
+def changes(t: Tables):
+    """State changes of orders: line items by their return flag and status."""
+    return t.lineitem.select(
         F.col("l_orderkey").alias("order"), F.col("l_suppkey").alias("user"), F.col("l_shipdate").alias("changed_at"),
         F.when(F.col("l_returnflag") == "R", 5).alias("from_state"), F.when(F.col("l_linestatus") == "F", 8).alias("to_state"))
-    users = t.supplier.select(F.col("s_suppkey").alias("user"), F.col("s_suppkey").alias("user_id"))
-    people = t.supplier.select(F.col("s_suppkey").alias("user_id"), F.col("s_name").alias("name"))
-    return extract.closers(changes, people, users)
+
+
+def users(t: Tables):
+    return t.supplier.select(F.col("s_suppkey").alias("user"), F.col("s_suppkey").alias("user_id"))
+
+
+def people(t: Tables):
+    return t.supplier.select(F.col("s_suppkey").alias("user_id"), F.col("s_name").alias("name"))
+
+
+def closed_by(t: Tables):
+    return extract.closers(changes(t), people(t), users(t))
 
 
 def built_reviews(t: Tables):
@@ -524,11 +555,26 @@ def review_union(t: Tables):
     return built_reviews(t)
 
 
+def comments(t: Tables):
+    """Turns of the conversations as comments of the order with their number."""
+    dated = t.orders.select(F.col("o_orderkey").alias("order"), "o_orderdate")
+    return t.conversations.select(
+        F.col("conv_id").alias("order"), "turn", F.when(F.col("role") == "user", 1).when(F.col("role") == "assistant", 2).otherwise(3).alias("kind_code"),
+        F.col("text").alias("comment")).join(dated, "order").withColumn(
+        "recorded_at", F.timestamp_add("DAY", F.col("turn").cast("int"), "o_orderdate"))
+
+
+def comment_kinds(t: Tables):
+    """Names of two kinds; a third has none."""
+    return code_names(t, {1: "CUSTOMER", 2: "ANALYST"})
+
+
 @query("comment_extract", f"""WITH {REVIEW}, spans AS (
   SELECT DISTINCT f."order", f.service, f.kind, f.period, o_orderdate AS opened_at,
          CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 30 DAY END AS ended_at
   FROM found f JOIN orders ON o_orderkey = f."order"), both_ AS (
-  SELECT conv_id AS "order", o_custkey AS service, o_orderdate + turn * INTERVAL 1 DAY AS recorded_at, role AS comment_kind,
+  SELECT conv_id AS "order", (SELECT min(service) FROM act WHERE act."order" = conv_id) AS service, o_orderdate + turn * INTERVAL 1 DAY AS recorded_at,
+         CASE role WHEN 'user' THEN 'CUSTOMER' WHEN 'assistant' THEN 'ANALYST' END AS comment_kind,
          regexp_replace(text, '[\\n\\r\\t|]', '', 'g') AS comment
   FROM conversations JOIN orders ON o_orderkey = conv_id WHERE conv_id IN (SELECT "order" FROM spans)
   UNION ALL SELECT DISTINCT s."order", s.service, l_shipdate, 'REVISION ANALISTA', l_returnflag || l_linestatus
@@ -541,18 +587,13 @@ def comment_extract(t: Tables):
     reviews = built_reviews(t).select("order", "service", "kind", "period").join(
         order_states(t).select("order", F.col("created_at").alias("opened_at"), F.col("closed_at").alias("ended_at")),
         "order")
-    owner = t.orders.select(F.col("o_orderkey").alias("order"), F.col("o_custkey").alias("service"), "o_orderdate")
-    comments = t.conversations.select(
-        F.col("conv_id").alias("order"), "turn", F.col("role").alias("comment_kind"),
-        F.col("text").alias("comment")).join(owner, "order").withColumn(
-        "recorded_at", F.timestamp_add("DAY", F.col("turn").cast("int"), "o_orderdate"))
     lines = t.lineitem.select("l_orderkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus").join(
         line_owner(t), "l_orderkey")
     observations = lines.select(
         "service", F.when(F.col("l_suppkey") % 2 == 0, 3).otherwise(6).cast("bigint").alias("kind"),
         roles.month_id("l_shipdate").alias("period"), F.col("l_shipdate").alias("observed_at"),
         F.concat("l_returnflag", "l_linestatus").alias("comment"))
-    rows = extract.order_comments(reviews, comments, observations, datetime(2001, 9, 1))
+    rows = extract.order_comments(reviews, comments(t), observations, order_activities(t), comment_kinds(t), datetime(2001, 9, 1))
     return rows.withColumn("comment", F.md5(F.col("comment").cast("binary")))
 
 

@@ -15,6 +15,11 @@ def keep_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(distinct_apart(keys.select(*on).dropna()), on, "left_semi")
 
 
+def keep_known(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """:func:`keep_keys` for stored keys that are distinct and complete already: they are joined as they are read."""
+    return rows.join(keys.select(*on), on, "left_semi")
+
+
 def drop_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key does not occur in ``keys``."""
     return rows.join(distinct_apart(keys.select(*on)), on, "left_anti")

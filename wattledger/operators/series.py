@@ -109,16 +109,16 @@ def latest_value(value: str | Column, *newest: str | Column) -> Column:
 
 
 def latest(rows: DataFrame, keys: list[str], newest: list[str], take: list[str]) -> DataFrame:
-    """For each key, the columns ``take`` of its row with the greatest ordering columns.
+    """For each key, the columns ``take`` of its row with the greatest ordering columns; one row per key.
 
-    The ordering columns are numbers or times, which aggregate by hash; each leaves only the rows at
-    its greatest value, so the table is read, not sorted. Rows that tie in all of them must agree in
-    ``take``, or the key has several. Rows without a key or an ordering value drop out.
+    Rows that tie in all ordering columns are decided by ``take``, the smallest first and NULLs last. Spark
+    keeps one row per key in every task before the shuffle, so a hot key is as small as any. Rows
+    without a key or an ordering value drop out.
     """
-    left = rows.select(*dict.fromkeys([*keys, *newest, *take]))
-    for column in newest:
-        left = left.join(left.groupBy(*keys).agg(F.max(column).alias(column)), [*keys, column])
-    return left.select(*dict.fromkeys([*keys, *take])).distinct()
+    rows = rows.select(*dict.fromkeys([*keys, *newest, *take])).dropna(subset=[*keys, *newest])
+    order = [F.col(c).desc() for c in newest] + [F.col(c).asc_nulls_last() for c in take]
+    return (rows.withColumn("__place", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("__place = 1")
+            .select(*dict.fromkeys([*keys, *take])))
 
 
 def latest_rows(rows: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:

@@ -98,14 +98,14 @@ def with_text(code: str, text: str):
     return F.when(F.col(text).isNotNull(), codes.glue(code, F.lit("-"), text))
 
 
-def consumption(use_lines: DataFrame, cells: DataFrame, routes: DataFrame, use_periods: DataFrame,
+def consumption(use_lines: DataFrame, cells: DataFrame | None, routes: DataFrame, use_periods: DataFrame,
                 bill_windows: DataFrame, methods: DataFrame, kinds: DataFrame,
                 ratings: DataFrame) -> DataFrame:
-    """Consumption lines of the given (service, period) keys, of every method and type.
+    """Consumption lines of the given (service, period) keys, of every method and type; all lines without keys.
 
     ``routes`` has the operating cycle of a service, where it has one.
     """
-    rows = joins.keep_keys(use_lines, cells, ["service", "period"])
+    rows = use_lines if cells is None else joins.keep_keys(use_lines, cells, ["service", "period"])
     rows = joins.lookup(rows, routes, {"service": "service"}, {"route_cycle": "route_cycle"})
     return decorate_use(rows, use_periods, bill_windows, methods, kinds, ratings, ["route_cycle"])
 
@@ -137,9 +137,13 @@ def contract_consumption(use_lines: DataFrame, services: DataFrame, open_orders:
     Siblings are found by contract, not by premises, which would bring in other customers.
     """
     members = joins.siblings(services.select("service", "contract"), open_orders, "service", "contract")
+    return recent_consumption(joins.keep_keys(use_lines, members, ["service"]), as_of, *names, settings=settings)
+
+
+def recent_consumption(use_lines: DataFrame, as_of: date, *names: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The lines of the last months, in the layout of the contract's consumption."""
     recent = use_lines.where(dates.since_months("recorded_at", as_of, settings["history_months"]))
-    rows = joins.keep_keys(recent, members, ["service"])
-    return decorate_use(rows, *names).drop("cycle", "calc_function")
+    return decorate_use(recent, *names).drop("cycle", "calc_function")
 
 
 def balances(bills: DataFrame, as_of: date) -> DataFrame:
@@ -390,11 +394,17 @@ def review_orders(drivers: DataFrame, criticals: DataFrame, cases: DataFrame, or
                        dates.day_text("__ends").alias("period_end"))
 
 
-def order_comments(reviews: DataFrame, comments: DataFrame, observations: DataFrame,
-                   as_of) -> DataFrame:
-    """Comments of the review orders, and the observations made while they were open."""
+def order_comments(reviews: DataFrame, comments: DataFrame, observations: DataFrame, activities: DataFrame,
+                   kind_names: DataFrame, as_of) -> DataFrame:
+    """Comments of the review orders, and the observations made while they were open.
+
+    A comment names its order and the code of its kind. Its service is that of an activity of the
+    order, the smallest if they differ, NULL without one; the text of a kind that has no name is NULL.
+    """
     wanted = sets.distinct_keys(reviews, ["order"])
-    own = joins.keep_keys(comments, wanted, ["order"]).select(
+    served = joins.keep_keys(activities, wanted, ["order"]).groupBy("order").agg(F.min("service").alias("service"))
+    own = joins.keep_keys(comments, wanted, ["order"]).join(served, "order", "left")
+    own = joins.lookup(own, kind_names, {"kind_code": "code"}, {"text": "comment_kind"}).select(
         "order", "service", "recorded_at", "comment_kind", texts.clean("comment").alias("comment"))
     spans = sets.distinct_keys(
         reviews, ["order", "service", "kind", "period", "opened_at", "ended_at"], ["order"])

@@ -351,8 +351,9 @@ def tables() -> list[str]:
     return [*_LANDING, *_PUBLISHED]
 
 
-def stored_schema(table: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{n}` {t}" for _, n, t in fields(table)))
+def stored_schema(table: str, commented: bool = False) -> T.StructType:
+    """Stored names and types in order; with comments, each column has the library's name in words as its comment."""
+    return T.StructType.fromDDL(", ".join(f"`{n}` {t}" + (f" COMMENT '{own.replace('_', ' ')}'" if commented else "") for own, n, t in fields(table)))
 
 
 def check_order(df: DataFrame, wanted: list[str]) -> None:

@@ -106,6 +106,13 @@ def replace_table(df: DataFrame, table: str, comments: dict[str, str] | None = N
         spark.sql(f"COMMENT ON TABLE {table} IS {literal(comment)}")
 
 
+def register_table(spark: SparkSession, table: str, path: str, schema: T.StructType, comment: str) -> None:
+    """A table of the catalog over files that are there, with the comments of ``schema``; dropping it leaves the files."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" + (f" COMMENT {literal(f.metadata['comment'])}" if f.metadata.get("comment") else "")
+                        for f in schema)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION {literal(path)} COMMENT {literal(comment)}")
+
+
 def replace_view(df: DataFrame, name: str, comments: dict[str, str] | None = None) -> DataFrame:
     """Session view with column comments."""
     noted = commented(df, comments or {})
