@@ -56,7 +56,7 @@ def sources(t: Tables) -> dict[str, DataFrame]:
         "routes": t.customer.select(F.col("c_custkey").alias("service"), (F.col("c_custkey") % 5).cast("int").alias("route_cycle")),
         "criticals": lines.select("service", "kind", "period", ref),
         "cases": cases.select("service", "kind", "period", F.col("l_orderkey").alias("request"), F.col("l_shipdate").alias("recorded_at")),
-        "changes": ex.changes(t), "people": ex.people(t), "users": ex.users(t), "comments": ex.comments(t),
+        "changes": ex.changes(t.lineitem), "people": ex.people(t), "users": ex.users(t), "comments": ex.comments(t),
         "observations": lines.select("service", "kind", "period", F.col("l_shipdate").alias("observed_at"),
                                      F.concat("l_returnflag", "l_linestatus").alias("comment")),
         "accounts": ex.accounts(t), "invoices": ex.invoices(t), "charge_lines": roles.charge_lines(t), "packages": packages, "motives": motives,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..plans import extract
+from ..session import written
 from ..settings import DEFAULTS
 from . import roles
 from .histories import rounded, rounded_sql
@@ -197,9 +198,11 @@ def month_windows(t: Tables):
                          "starts", "ends", "period")
 
 
-def month_periods(t: Tables):
-    months = roles.months(t.orders, "o_orderdate").unionByName(roles.months(t.lineitem, "l_shipdate"))
-    return months.distinct().select("period", F.lit(1).alias("cycle"), "starts", "ends")
+def month_periods(t: Tables, windows=None):
+    """Months in which something was ordered or shipped; ``windows`` are the former, where they are at hand."""
+    months = "period", F.lit(1).alias("cycle"), "starts", "ends"
+    ordered = roles.months(t.orders, "o_orderdate") if windows is None else windows
+    return ordered.select(*months).unionByName(roles.months(t.lineitem, "l_shipdate").select(*months)).distinct()
 
 
 MONTHS = """month_windows AS (
@@ -295,8 +298,9 @@ SELECT service, bill, bill_period, l.period, concept_code || '-CONCEPT ' || conc
 FROM lines l LEFT JOIN month_windows w ON w.period = l.period LEFT JOIN month_periods p ON p.period = l.period""")
 def charges_extract(t: Tables):
     programs = {k: v for k, v in roles.CODE_NAMES["program"].items() if k > 0}
+    windows = written(month_windows(t), "month_windows")
     return extract.charges(
-        roles.charge_lines(t).drop("bill_period"), accounts(t), invoices(t), month_windows(t), month_periods(t),
+        roles.charge_lines(t).drop("bill_period"), accounts(t), invoices(t), windows, month_periods(t, windows),
         code_names(t, roles.CODE_NAMES["concept"]),
         code_names(t, roles.CODE_NAMES["cause"]), code_names(t, programs))
 
@@ -371,16 +375,19 @@ def order_states(t: Tables):
 
 def order_activities(t: Tables):
     """Line items as activities of their order."""
+    owner = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("service"))
+    return activities_of(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus").join(owner, "l_orderkey"))
+
+
+def activities_of(lines):
+    """Activities of line items that carry the service of their order."""
     line = F.col("l_linenumber")
     activity = roles.pick(line - 1, DEFAULTS["review_activity"], DEFAULTS["decision_activity"], 993, 1019, 993, 0, 0)
-    lines = t.lineitem.select(
+    return lines.select(
         F.col("l_orderkey").alias("order"), activity.alias("activity"),
         F.when(line <= 4, 883).otherwise(roles.pick(line - 5, 769, 803, 1)).alias("task"),
         (F.col("l_orderkey") * 10 + line).alias("activity_ref"), F.col("l_orderkey").alias("request"),
-        F.concat("l_returnflag", F.lit("/"), "l_linestatus").alias("order_comment"))
-    owner = t.orders.select(F.col("o_orderkey").alias("order"), F.col("o_custkey").alias("service"),
-                            (F.col("o_custkey") % 25).alias("contract"))
-    return lines.join(owner, "order")
+        F.concat("l_returnflag", F.lit("/"), "l_linestatus").alias("order_comment"), "service", (F.col("service") % 25).alias("contract"))
 
 
 def activity_names(t: Tables):
@@ -500,14 +507,19 @@ def line_owner(t: Tables):
                            "o_orderdate", "o_orderpriority")
 
 
-def review_parts(t: Tables):
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag").join(
+def review_lines(t: Tables):
+    """Line items with what their order tells, written once for all the roles they play in a review."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus").join(
         line_owner(t), "l_orderkey").withColumns({
-            "kind": F.when(F.col("l_suppkey") % 2 == 0, 3).otherwise(6).cast("bigint"),
-            "period": roles.month_id("l_shipdate"), "month": F.date_trunc("month", "o_orderdate")})
+            "kind": F.when(F.col("l_suppkey") % 2 == 0, 3).otherwise(6).cast("bigint"), "period": roles.month_id("l_shipdate")})
+    return written(lines, "review_lines")
+
+
+def review_parts(lines):
+    month = F.date_trunc("month", "o_orderdate")
     drivers = lines.where(F.col("o_orderpriority") == "1-URGENT").select(
         "service", "kind", F.when(F.month("o_orderdate") != 12, roles.month_id("o_orderdate")).alias("period"),
-        F.col("month").alias("window_start"), (F.col("month") + F.expr("INTERVAL 1 MONTH")).alias("window_end")).distinct()
+        month.alias("window_start"), (month + F.expr("INTERVAL 1 MONTH")).alias("window_end"))
     criticals = lines.select("service", "kind", "period",
                              (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("activity_ref"))
     cases = lines.where(F.col("l_returnflag") == "A").select(
@@ -515,9 +527,9 @@ def review_parts(t: Tables):
     return drivers, criticals, cases
 
 
-def changes(t: Tables):
+def changes(lines):
     """State changes of orders: line items by their return flag and status."""
-    return t.lineitem.select(
+    return lines.select(
         F.col("l_orderkey").alias("order"), F.col("l_suppkey").alias("user"), F.col("l_shipdate").alias("changed_at"),
         F.when(F.col("l_returnflag") == "R", 5).alias("from_state"), F.when(F.col("l_linestatus") == "F", 8).alias("to_state"))
 
@@ -530,15 +542,15 @@ def people(t: Tables):
     return t.supplier.select(F.col("s_suppkey").alias("user_id"), F.col("s_name").alias("name"))
 
 
-def closed_by(t: Tables):
-    return extract.closers(changes(t), people(t), users(t))
+def closed_by(t: Tables, lines=None):
+    return extract.closers(changes(t.lineitem if lines is None else lines), people(t), users(t))
 
 
-def built_reviews(t: Tables):
-    drivers, criticals, cases = review_parts(t)
+def built_reviews(t: Tables, lines):
+    drivers, criticals, cases = review_parts(lines)
     names = {"task": code_names(t, {883: "QUALITY", 769: "INSPECT"}), "activity": activity_names(t),
              "kind": kind_names(t), "state": state_names(t)}
-    return extract.review_orders(drivers, criticals, cases, order_states(t), order_activities(t), closed_by(t),
+    return extract.review_orders(drivers, criticals, cases, order_states(t), activities_of(lines), closed_by(t, lines),
                                  month_periods(t), names)
 
 
@@ -552,7 +564,7 @@ SELECT f."order", f.service, f.kind, CASE kind WHEN 3 THEN '3-CLICK' WHEN 6 THEN
 FROM found f JOIN orders ON o_orderkey = f."order" LEFT JOIN closed c ON c."order" = f."order"
 LEFT JOIN month_periods p ON p.period = f.period""")
 def review_union(t: Tables):
-    return built_reviews(t)
+    return built_reviews(t, review_lines(t))
 
 
 def comments(t: Tables):
@@ -584,16 +596,14 @@ def comment_kinds(t: Tables):
     AND l_shipdate BETWEEN s.opened_at AND coalesce(s.ended_at, TIMESTAMP '2001-09-01'))
 SELECT "order", service, recorded_at, comment_kind, md5(comment) AS comment FROM both_""")
 def comment_extract(t: Tables):
-    reviews = built_reviews(t).select("order", "service", "kind", "period").join(
+    lines = review_lines(t)
+    reviews = built_reviews(t, lines).select("order", "service", "kind", "period").join(
         order_states(t).select("order", F.col("created_at").alias("opened_at"), F.col("closed_at").alias("ended_at")),
         "order")
-    lines = t.lineitem.select("l_orderkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus").join(
-        line_owner(t), "l_orderkey")
     observations = lines.select(
-        "service", F.when(F.col("l_suppkey") % 2 == 0, 3).otherwise(6).cast("bigint").alias("kind"),
-        roles.month_id("l_shipdate").alias("period"), F.col("l_shipdate").alias("observed_at"),
+        "service", "kind", "period", F.col("l_shipdate").alias("observed_at"),
         F.concat("l_returnflag", "l_linestatus").alias("comment"))
-    rows = extract.order_comments(reviews, comments(t), observations, order_activities(t), comment_kinds(t), datetime(2001, 9, 1))
+    rows = extract.order_comments(reviews, comments(t), observations, activities_of(lines), comment_kinds(t), datetime(2001, 9, 1))
     return rows.withColumn("comment", F.md5(F.col("comment").cast("binary")))
 
 

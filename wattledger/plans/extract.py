@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import amounts, codes, dates, texts
@@ -248,15 +248,16 @@ def own_and_recovered(charge_lines: DataFrame, bills: DataFrame) -> DataFrame:
 def charges(lines: DataFrame, accounts: DataFrame, invoices: DataFrame, bill_windows: DataFrame,
             use_periods: DataFrame, concepts: DataFrame, causes: DataFrame,
             programs: DataFrame) -> DataFrame:
-    """Charge lines with the billing period of their bill and named codes."""
-    billed = (accounts.select("bill", "invoice").join(invoices.select("invoice", "bill_period"), "invoice")
-              .select("bill", "bill_period"))
+    """Charge lines with the billing period of their bill and named codes.
+
+    A bill brings year and month of its period with it, and what a period is called and when it runs is put
+    together first, so a line meets its bill once and one small table of periods once.
+    """
+    billed = accounts.select("bill", "invoice").join(invoices.select("invoice", "bill_period"), "invoice")
+    billed = joins.lookup(billed, bill_windows, {"bill_period": "bill_period"}, {"year": "bill_year", "month": "bill_month"}).drop("invoice")
+    periods = joins.both_sides(use_periods.select("period", "starts", "ends"), bill_windows.select("period", "year", "month"), ["period"])
     rows = lines.join(billed, "bill", "left")
-    rows = joins.lookup(rows, bill_windows, {"bill_period": "bill_period"},
-                        {"year": "bill_year", "month": "bill_month"})
-    label = bill_windows.select("period", "year", "month")
-    rows = joins.lookup(rows, label, {"period": "period"}, {"year": "__year", "month": "__month"})
-    rows = joins.lookup(rows, use_periods, {"period": "period"}, {"starts": "__starts", "ends": "__ends"})
+    rows = joins.lookup(rows, periods, {"period": "period"}, {"starts": "__starts", "ends": "__ends", "year": "__year", "month": "__month"})
     rows = joins.lookup(rows, concepts, {"concept_code": "code"}, {"text": "__concept"})
     rows = joins.lookup(rows, causes, {"cause_code": "code"}, {"text": "__cause"})
     rows = joins.lookup(rows, programs, {"program_code": "code"}, {"text": "__program"})
@@ -339,50 +340,46 @@ def review_orders(drivers: DataFrame, criticals: DataFrame, cases: DataFrame, or
 
     ``drivers`` carries the period and window of the billing period; a driver without a period matches
     every period of its service and type. A service has few drivers by meaning (the analysed periods),
-    so they are gathered per service and type, and every source meets them once: by its period, or for
-    cases by the window of their day. The activities are read once for all sources, as are the orders.
-    The result has no repeated rows, so sources are made distinct before they are joined. ``names`` holds
-    the lookup tables (code, text) of task, activity, kind and state.
+    so they are gathered per service, and every source meets them once: by its period, or for cases by
+    the window of their day, or for decisions by the day of their order. Activities, orders and who closed
+    them meet by order; what names an activity (a critical by its reference, cases by their request) is
+    gathered by that name, one row each, so repeated rows on either side multiply nothing. The result has no
+    repeated rows. ``names`` holds the lookup tables (code, text) of task, activity, kind and state.
     """
-    window = F.struct("window_start", "window_end")
-    per_cell = drivers.groupBy("service", "kind").agg(
-        F.collect_set("period").alias("d_periods"), F.bool_or(F.col("period").isNull()).alias("d_any"),
-        F.collect_set(window).alias("d_windows"))
-    per_service = drivers.groupBy(F.col("service").alias("d_service")).agg(
-        F.collect_set(F.struct("period", "window_start", "window_end")).alias("d_spans"))
-
-    def within(at: str, spans: str):
-        return F.filter(spans, lambda w: F.col(at).between(w["window_start"], w["window_end"]))
-
     critical, case, decision = F.lit("critical"), F.lit("case"), F.lit("decision")
+    # the hash keeps the shuffle of the sum apart from that of the join, so a hot service can be split there
+    spans = drivers.groupBy("service", F.xxhash64("service").alias("__mix")).agg(
+        F.collect_set(F.struct("kind", "period", "window_start", "window_end")).alias("spans")).drop("__mix")
     sources = criticals.select(critical.alias("source"), "service", "kind", "period", F.col("activity_ref").alias("ref"),
                                F.lit(None).cast("timestamp").alias("recorded_at")).unionByName(
         cases.select(case.alias("source"), "service", "kind", "period", F.col("request").alias("ref"), "recorded_at"))
-    by_period = F.col("period").isNotNull() & (F.col("d_any") | F.array_contains("d_periods", F.col("period")))
-    by_day = (F.size(within("recorded_at", "d_windows")) > 0)
-    met = (sources.distinct().join(per_cell, ["service", "kind"])
-           .where(F.coalesce(by_period, F.lit(False)) | F.coalesce(by_day, F.lit(False)))
-           .select("source", "service", "kind", "period", "ref").distinct())
+    named = sources.groupBy("source", "service", "ref").agg(F.collect_set(F.struct("kind", "period", "recorded_at")).alias("named"))
 
     serves = F.array_compact(F.array(
         F.when(F.col("activity") == settings["review_activity"], F.struct(critical.alias("source"), F.col("activity_ref").alias("ref"))),
         F.when(F.col("task").isin(*INVESTIGATION_TASKS), F.struct(case.alias("source"), F.col("request").alias("ref"))),
-        F.when(F.col("activity") == settings["decision_activity"],
-               F.struct(decision.alias("source"), F.lit(None).cast("bigint").alias("ref")))))
-    tagged = activities.select("order", "service", "task", "activity", F.explode(serves).alias("serves")).select(
-        "order", "service", "task", "activity", "serves.*").distinct()
-    layout = ["order", "service", "kind", "period", "task", "activity"]
-    nothing = F.lit(None).cast("bigint")
-    found = (met.join(tagged.where(F.col("source") != decision), ["source", "service", "ref"])
-             .select(*layout, F.lit(False).alias("decided")).distinct().unionByName(
-        tagged.where(F.col("source") == decision).select(
-            "order", "service", nothing.alias("kind"), nothing.alias("period"), "task", "activity", F.lit(True).alias("decided"))))
-    dated = (found.join(orders.select("order", "created_at", "closed_at", "state"), "order")
-             .join(per_service, F.col("decided") & (F.col("service") == F.col("d_service")), "left"))
+        F.when(F.col("activity") == settings["decision_activity"], F.struct(decision.alias("source"), F.col("order").alias("ref")))))
+    serving = F.col("activity").isin(settings["review_activity"], settings["decision_activity"]) | F.col("task").isin(*INVESTIGATION_TASKS)
+    tagged = (activities.where(serving).join(orders.select("order", "created_at", "closed_at", "state"), "order")
+              .join(closed_by, "order", "left"))
+    tagged = tagged.select("order", "service", "task", "activity", "created_at", "closed_at", "state", "closed_by", F.explode(serves).alias("serves"))
+    met = (tagged.select("*", "serves.*").drop("serves").join(named, ["source", "service", "ref"], "left")
+           .where((F.col("source") == decision) | F.col("named").isNotNull()).join(spans, "service"))
+
+    def wanted(n: Column) -> Column:
+        def driven(d: Column) -> Column:
+            by_period = n["period"].isNotNull() & (d["period"].isNull() | (d["period"] == n["period"]))
+            return (d["kind"] == n["kind"]) & (F.coalesce(by_period, F.lit(False)) | n["recorded_at"].between(d["window_start"], d["window_end"]))
+
+        return F.exists("spans", driven)
+
+    cell = "array<struct<kind:bigint,period:bigint>>"
+    mine = F.transform(F.filter("named", wanted), lambda n: F.struct(n["kind"], n["period"])).cast(cell)
     # a decision belongs to every period in whose window its order was created
-    periods = F.array_distinct(F.transform(within("created_at", "d_spans"), lambda w: w["period"]))
-    rows = (dated.withColumn("period", F.explode(F.when(F.col("decided"), periods).otherwise(F.array("period"))))
-            .join(closed_by, "order", "left"))
+    inside = F.filter("spans", lambda d: F.col("created_at").between(d["window_start"], d["window_end"]))
+    decided = F.transform(inside, lambda d: F.struct(F.lit(None).cast("bigint"), d["period"])).cast(cell)
+    cells = F.array_distinct(F.when(F.col("source") == decision, decided).otherwise(mine))
+    rows = (met.select("order", "service", "task", "activity", "created_at", "closed_at", "state", "closed_by", F.inline(cells)).distinct())
     rows = joins.lookup(rows, use_periods, {"period": "period"}, {"starts": "__starts", "ends": "__ends"})
     for name in ("task", "activity", "kind", "state"):
         rows = joins.lookup(rows, names[name], {name: "code"}, {"text": f"__{name}"})

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "wattledger", cores: str | None = None) -> SparkSession:
@@ -40,8 +41,11 @@ def shared_folder(spark: SparkSession) -> str:
     return made
 
 
-def checkpointed(df):
-    """Cut the lineage of ``df`` in the shared folder (kept when an executor is lost)."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once into the shared folder and read from there.
+
+    Its lineage ends, it outlives an executor, and a later step reads only the columns it uses.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
