@@ -29,10 +29,6 @@ def brute(rows, percent=80):
     return out
 
 
-def test_classes_agree_with_brute_force(docs):
-    same_rows([tuple(r) for r in jaccard.classes(docs).collect()], brute(given(docs)))
-
-
 @pytest.mark.parametrize("cell", [4_000_000, 300])
 def test_chains_hubs_and_blocks(spark, monkeypatch, cell):
     """Copies with random edits: chains of links, groups that share a passage, and components cut into blocks."""
@@ -48,11 +44,7 @@ def test_chains_hubs_and_blocks(spark, monkeypatch, cell):
             rows.append((len(rows) * 3 % 101, " ".join(text + (shared if g % 2 else []))))
     rows += rows[:5] + [(500, " ".join(shared)), (501, " ".join(shared)), (502, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    same_rows([tuple(r) for r in jaccard.classes(df).collect()], brute(rows))
-
-
-def test_empty_table(empty):
-    assert jaccard.classes(empty).collect() == []
+    same_rows([tuple(r) for r in jaccard.linked(df).collect()], brute_links(rows))
 
 
 @pytest.mark.parametrize("stride", [1, 3, 64])
@@ -70,19 +62,15 @@ def test_trie_join_against_all_pairs(monkeypatch, stride):
             if s:
                 made[tuple(sorted(s))] = np.array(sorted(s), dtype=np.uint64)
         sets = list(made.values())
-        label = list(range(len(sets)))
-        for i in range(len(sets)):
-            for j in range(i):
-                a, b = set(sets[i].tolist()), set(sets[j].tolist())
-                if 100 * len(a & b) >= percent * len(a | b) and label[i] != label[j]:
-                    old, new = max(label[i], label[j]), min(label[i], label[j])
-                    label = [new if x == old else x for x in label]
-        assert jaccard.joined(sets, percent).tolist() == label
+        want = {(i, j) for i in range(len(sets)) for j in range(i)
+                if 100 * len(set(sets[i].tolist()) & set(sets[j].tolist())) >= percent * len(set(sets[i].tolist()) | set(sets[j].tolist()))}
+        got = [(max(i, j), min(i, j)) for i, found in jaccard.linked_sets(sets, percent) for j in found.tolist()]
+        assert len(got) == len(want) and set(got) == want
 
 
 def test_the_order_of_frequent_shingles_changes_nothing(spark, docs, monkeypatch):
     monkeypatch.setattr(jaccard, "FREQUENT_IN_SLICE", 2)
-    same_rows([tuple(r) for r in jaccard.classes(docs).collect()], brute(given(docs)))
+    same_rows([tuple(r) for r in jaccard.linked(docs).collect()], brute_links(given(docs)))
 
 
 def test_components_of_a_long_path(spark):
@@ -129,3 +117,16 @@ def test_no_link_within_a_group_is_lost_or_counted_twice(spark, monkeypatch, cel
     sets = list({shingles(t) for _, t in rows if t})
     links = sum(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
     assert len(got) == len(set(got)) == links and all(a < b and {a, b} <= set(entity) for a, b in got)
+
+
+def test_hot_keys_are_joined_apart_from_their_sums(spark):
+    """Both sides of the joins on shingle, node and class come straight from shuffles, so adaptive execution can split them."""
+    posted = spark.createDataFrame([(-5, i) for i in range(50)] + [(7, i) for i in range(3)], "shingle long, entity long")
+    assert {tuple(r) for r in jaccard.stars(posted).collect()} == {(0, i) for i in range(1, 50)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = jaccard.stars(posted)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning(shingle" in line]
+    assert sum("_mix" not in x and "_groupingexpression" not in x for x in dealt) >= 2 and any("_groupingexpression" in x or "_mix" in x for x in dealt)

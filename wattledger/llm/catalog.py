@@ -62,7 +62,8 @@ QUERIES["op10_packing"] = op10_packing
 
 
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.classes(_table(spark, sf_dir, "documents"))
+    """Classes of near copies of all documents, and how many links each document has."""
+    return jaccard.linked(_table(spark, sf_dir, "documents"))
 
 
 QUERIES["op1_jaccard"] = op1_jaccard
@@ -77,19 +78,8 @@ common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b
            GROUP BY ALL),
 link AS (SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * i >= 80 * (p.n + q.n - i)),
 reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.y FROM reach r JOIN link l ON l.x = r.other)
-SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
-FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
-
-
-def op1_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.linked(_table(spark, sf_dir, "documents"))
-
-
-QUERIES["op1_jaccard_links"] = op1_jaccard_links
-SQL["op1_jaccard_links"] = SQL["op1_jaccard"].replace(
-    "SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id\nFROM reach LEFT JOIN n USING (doc_id)",
-    "SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, coalesce(any_value(k), 0) AS n_links\n"
-    "FROM reach LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, count(*) AS k FROM link GROUP BY x) USING (doc_id)")
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, coalesce(any_value(k), 0) AS n_links
+FROM reach LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, count(*) AS k FROM link GROUP BY x) USING (doc_id) GROUP BY doc_id"""
 
 
 def _id_digests(keys, starts, lengths, ids) -> pa.RecordBatch:

@@ -13,8 +13,8 @@
    overlap that the threshold asks for. A component too large for one cell is cut into blocks
    and every two blocks meet in a cell.
 
-:func:`classes` asks only which texts are connected, so its cells leave out pairs already connected.
-:func:`pairs` and :func:`linked` compare all pairs of a component, each pair in one cell.
+All pairs of a component are compared, each pair in one cell. :func:`linked` counts the links of every document and
+names its component, :func:`links` gives the pairs themselves.
 
 Order and frequency lists only decide how much work there is, never which links are found.
 """
@@ -159,11 +159,24 @@ def postings(docs: DataFrame, frequent, ngram: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "shingle long, entity long")
 
 
+def apart(rows: DataFrame, key: str, *sums) -> DataFrame:
+    """Sums by a key whose rows are not yet dealt by the key alone: the hash among the grouping columns keeps
+    the shuffle of the sums apart from that of a join with them, which adaptive execution can then split."""
+    return rows.groupBy(key, F.xxhash64(key).alias("_mix")).agg(*sums).drop("_mix")
+
+
 def stars(posted: DataFrame) -> DataFrame:
-    """(low, high): for each shingle, its smallest entity with each of the others."""
+    """(low, high): for each shingle, its smallest entity with each of the others.
+
+    A frequent shingle (below 0) may be in a large share of all prefixes: its smallest entity is found by a
+    sum and joined back, where a hot shingle is split. Each of the others is in no more texts than
+    the least frequent of the ``FREQUENT_KEPT``, so its entities fit one task.
+    """
     inside = Window.partitionBy("shingle").orderBy("entity")
-    return (posted.withColumn("low", F.first("entity").over(inside)).where("low != entity")
-            .select("low", F.col("entity").alias("high")).distinct())
+    rare = posted.where("shingle >= 0").withColumn("low", F.first("entity").over(inside)).select("low", "entity")
+    often = posted.where("shingle < 0")
+    often = often.join(apart(often, "shingle", F.min("entity").alias("low")), "shingle").select("low", "entity")
+    return rare.union(often).where("low != entity").select("low", F.col("entity").alias("high")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -178,11 +191,11 @@ def components(edges: DataFrame) -> DataFrame:
         # every larger neighbour of a node moves to the smallest node next to it
         both = edges.select(F.col("low").alias("node"), F.col("high").alias("next")).union(
             edges.select(F.col("high").alias("node"), F.col("low").alias("next")))
-        least = both.groupBy("node").agg(F.min("next").alias("least")).select("node", F.least("least", "node").alias("least"))
+        least = apart(both, "node", F.min("next").alias("least")).select("node", F.least("least", "node").alias("least"))
         large = both.join(least, "node").where("next > node").select(F.col("least").alias("low"), F.col("next").alias("high"))
         large = large.where("low < high").distinct()
         # every node and its smaller neighbours move to the smallest of them
-        floor = large.groupBy("high").agg(F.min("low").alias("least"))
+        floor = apart(large, "high", F.min("low").alias("least"))
         moved = large.join(floor, "high")
         small = (moved.select(F.col("least").alias("low"), F.col("low").alias("high"))
                  .union(floor.select(F.col("least").alias("low"), "high")).where("low < high").distinct())
@@ -282,29 +295,6 @@ class Trie:
         return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
-def joined(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """For each set, the smallest number of a set that links of the given sets lead to.
-
-    Sets already known to be connected are not compared again.
-    """
-    label = np.arange(len(sets))
-    if len(sets) < 2:
-        return label
-    bounds = np.cumsum([0, *map(len, sets)])
-    symbols, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    dense = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
-    trie = Trie(dense)
-    for k, i in enumerate(trie.order):
-        wanted = label[trie.order] != label[i]
-        wanted[:k + 1] = False
-        if not wanted.any():
-            continue
-        for j in np.unique(label[np.array(trie.order)[trie.similar(dense[i], len(symbols), wanted, percent)]]):
-            low, high = min(label[i], j), max(label[i], j)
-            label[label == high] = low
-    return label
-
-
 def linked_sets(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """All links of the given sets: (number of a set, numbers of sets it links with), each pair once."""
     if len(sets) < 2:
@@ -517,7 +507,7 @@ def compared(docs: DataFrame, ngram: int, percent: int) -> tuple[DataFrame, Data
     table = np.array([(r[0], len(often) - i) for i, r in enumerate(often)], dtype=np.int64).reshape(-1, 2)
     frequent = spark.sparkContext.broadcast(table[np.argsort(table[:, 0])].view(np.uint64))  # the most frequent one last
 
-    met = stars(postings(docs, frequent, ngram, percent)).select("low", F.explode(F.array("low", "high")).alias("entity")).distinct()
+    met = stars(stored(postings(docs, frequent, ngram, percent), "postings")).select("low", F.explode(F.array("low", "high")).alias("entity")).distinct()
     bitmap = (first.where("shingle IS NULL").groupBy("entity").agg(F.first("size").alias("size"), F.first("bitmap").alias("payload")))
     met = stored(met.select(F.col("low").alias("root"), "entity").join(bitmap, "entity"), "met")
     near = stored(components(cells(met, "1", CELL_BITMAPS, lambda size, raw: alike(size, raw, percent))), "near")
@@ -534,46 +524,39 @@ def compared(docs: DataFrame, ngram: int, percent: int) -> tuple[DataFrame, Data
     return first, candidates
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``.
-
-    Two texts link when 100 * common shingles >= percent * all their shingles. component_id is the
-    smallest doc_id that links lead to. A text without words (null, empty, blank) has size 0, links
-    with nothing and keeps its own doc_id. Repeated rows are equal sets; a row without a doc_id
-    connects others but names no component (null if there is no other row). An empty table gives
-    no rows. Other columns are not looked at.
-    """
-    first, candidates = compared(only(docs, key, text), ngram, percent)
-    links = components(cells(candidates, "size", CELL_SHINGLES, lambda size, raw: joined(
-        [np.frombuffer(r, dtype=np.uint64) for r in raw], percent)))
-    return named(first, links).select("doc_id", "n_shingles", "component_id")
-
-
 def named(first: DataFrame, links: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and entity of every document of ``first``; ``links`` are the :func:`components`."""
     rows = first.where("shingle IS NULL").select("doc_id", "size", "entity")
     rows = rows.join(links.select(F.col("node").alias("entity"), "root"), "entity", "left")
     rows = rows.withColumn("class", F.coalesce("root", "entity"))
-    least = rows.where("size > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
+    least = apart(rows.where("size > 0"), "class", F.min("doc_id").alias("least"))
     return rows.join(least, "class", "left").select(
         "doc_id", F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"), "entity")
 
 
 def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """The rows of :func:`classes` with n_links, the number of other rows that link with a row.
+    """doc_id, n_shingles, component_id and n_links of every row of ``docs``.
 
-    All pairs of different sets are compared; a link with a set counts for each of its rows, and rows of
-    equal sets link with each other. A text without words has no links.
+    Two texts link when 100 * common shingles >= percent * all their shingles. component_id is the
+    smallest doc_id that links lead to, n_links the number of other rows that a row links with: all pairs of
+    different sets are compared, a link with a set counts for each of its rows, and rows of equal
+    sets link with each other. A text without words (null, empty, blank) has size 0, links with nothing
+    and keeps its own doc_id. Repeated rows are equal sets; a row without a doc_id connects others
+    but names no component (null if there is no other row). An empty table gives no rows. Other
+    columns are not looked at.
     """
     first, candidates = compared(only(docs, key, text), ngram, percent)
-    times = first.where("shingle IS NULL").groupBy("entity").agg(F.count("*").alias("times"))
+    profiles = first.where("shingle IS NULL")
+    times = profiles.groupBy("entity").agg(F.count("*").alias("times"))
     found = stored(counted(candidates.join(times, "entity"), percent), "links")
     rows = named(first, components(found.where("high IS NOT NULL").select("low", "high")))
-    others = found.where("high IS NULL").groupBy(F.col("low").alias("entity")).agg(F.sum("n").alias("others"))
-    rows = rows.join(times.join(others, "entity", "left"), "entity")
-    n = F.when(F.col("n_shingles") > 0, F.coalesce("others", F.lit(0)) + F.col("times") - 1).otherwise(0)
-    return rows.select("doc_id", "n_shingles", "component_id", n.cast("long").alias("n_links"))
+    # what a set's links add up to beside the number of its rows, in one sum by set
+    totals = apart(profiles.select("entity", F.lit(1).alias("one"), F.lit(0).alias("n")).union(
+        found.where("high IS NULL").select(F.col("low").alias("entity"), F.lit(0).alias("one"), "n")), "entity",
+        (F.sum("one") + F.sum("n") - 1).alias("others"))
+    rows = rows.join(totals, "entity")
+    return rows.select("doc_id", "n_shingles", "component_id", F.when(F.col("n_shingles") > 0, F.col("others")).otherwise(0).cast("long").alias("n_links"))
 
 
 def links(docs: DataFrame, key: str = "doc_id", text: str = "text", ngram: int = NGRAM,
