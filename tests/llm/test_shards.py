@@ -24,11 +24,33 @@ def check(df, n, rows, slack):
     return inside
 
 
-@pytest.mark.parametrize("numbered", [2, 100_000])
-def test_shards_of_awkward_documents(docs, monkeypatch, numbered):
-    monkeypatch.setattr(shards, "NUMBERED", numbered)
+@pytest.mark.parametrize("partitions", ["2", "37"])
+def test_shards_of_awkward_documents(spark, docs, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     rows = given(docs)
     check(shards.sharded(docs, shards=3), 3, rows, 2 * max(len((t or "").encode()) + 1 for _, t in rows))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_slots_follow_the_order_of_the_sort_at_any_size(spark):
+    for n, shuffled in ((30, "3"), (5000, "16")):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffled)
+        df = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 700).alias("text"))
+        got = shards.sharded(df, shards=5).withColumn("hash", F.xxhash64("text")).collect()
+        assert [(r["shard"], r["slot"]) for r in sorted(got, key=lambda r: (r["hash"], r["doc_id"]))] == sorted((r["shard"], r["slot"]) for r in got)
+        narrow = {r["doc_id"]: (r["shard"], r["slot"]) for r in shards.placed(df, shards=5).collect()}
+        assert narrow == {r["doc_id"]: (r["shard"], r["slot"]) for r in got}
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_written_shards_hold_their_documents(spark, tmp_path):
+    df = spark.range(300).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % 20).cast("int")).alias("text"))
+    shards.write(df, str(tmp_path / "out"), shards=4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((r["doc_id"], r["text"]) for r in back.collect()) == sorted((r["doc_id"], r["text"]) for r in df.collect())
+    for s in range(4):
+        own = spark.read.parquet(str(tmp_path / f"out/shard={s}")).collect()
+        assert sorted(r["slot"] for r in own) == list(range(len(own))) and own
 
 
 def test_a_hot_text_is_split_and_small_groups_stay_together(spark):
@@ -50,5 +72,5 @@ def test_repeated_rows_and_empty_table(spark, empty):
 
 
 def test_main_path_runs_no_python(docs):
-    plan = shards.sharded(docs)._jdf.queryExecution().executedPlan().toString()
+    plan = shards.placed(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

@@ -124,7 +124,8 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shards.sharded(_table(spark, sf_dir, "documents")).drop("text")
+    """The shard and slot of every document."""
+    return shards.placed(_table(spark, sf_dir, "documents"))
 
 
 QUERIES["op3_sharding"] = op3_sharding

@@ -10,7 +10,6 @@ piece then finds its place from its rank among the pieces of its length.
 from __future__ import annotations
 
 import math
-import time
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -18,19 +17,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .ids import encoder, public_path
-from .tables import only, stored
+from .tables import numbered, only, stored
 from .words import slices
 
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
-#: Pieces of one length ranked in one task.
-RANKED = 100_000
-#: Fillings tried around a largest piece in the first, narrow search; nodes and seconds of both searches.
-BRANCHES, NODES, SECONDS = 4, 60_000, 20.0
+#: Fillings tried around a largest piece in the first, narrow search; nodes of both searches together.
+BRANCHES, NODES = 4, 60_000
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), largest first
 
@@ -224,24 +221,39 @@ def undominated(counts: dict[int, int], lengths: list[int], largest: int, capaci
     yield from fill(len(lengths), capacity - largest, waste)
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES,
-         seconds: float = SECONDS) -> list[tuple[Filling, int]]:
+@dataclass
+class Plan:
+    """Fillings with how often each is used, the sequences that makes, how many any packing needs at least, and
+    whether the plan is known to be minimal (it meets the bound, or the whole search came to its end)."""
+
+    fillings: list[tuple[Filling, int]]
+    used: int
+    bound: int
+    minimal: bool
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
     """Fillings that use every piece once: bin completion with best fit as the first incumbent.
 
     A narrow search tries a few fillings, each as often as the counts allow; if it ends without
     meeting the lower bound, a whole one tries all undominated fillings and every number of times.
     A branch is left when the sequences so far and the volume of the rest cannot beat the
     incumbent; both searches end when the incumbent meets the lower bound, or after ``nodes`` nodes
-    or ``seconds`` seconds together, with the best packing so far. A whole search that comes to its
-    end has shown the incumbent to be minimal.
+    together, with the best packing so far. No clock: the same counts give the same plan anywhere.
     """
     counts = {s: c for s, c in counts.items() if c}
+    bound = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
     used = sum(t for _, t in best)
-    bound = lower_bound(counts, capacity)
-    if used == bound:
-        return best
-    until = time.monotonic() + seconds
+    if used > bound:
+        best, ended = _searched(counts, capacity, nodes, best, used, bound)
+        used = sum(t for _, t in best)
+    return Plan(best, used, bound, used == bound or ended)
+
+
+def _searched(counts: dict[int, int], capacity: int, nodes: int, best: list[tuple[Filling, int]], used: int,
+              bound: int) -> tuple[list[tuple[Filling, int]], bool]:
+    """The best packing that ``nodes`` nodes find, and whether all were looked at."""
     left = dict(counts)
     lengths = sorted(left)
     volume = sum(s * c for s, c in left.items())
@@ -284,8 +296,8 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES,
             largest, closed, moves = stack[-1]
             move = next(moves, ())
             tried += 1
-            if tried > nodes or time.monotonic() > until:
-                return best
+            if tried > nodes:
+                return best, False
             if move is None:
                 continue
             if not move:
@@ -304,13 +316,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES,
             if volume == 0 and taken < used:
                 best, used = list(path), taken
                 if used == bound:
-                    return best
+                    return best, True
             if volume == 0 or taken + math.ceil(volume / capacity) >= used:
                 give_back()
             else:
                 closed = closed if lengths[-1] == largest else set()
                 stack.append((lengths[-1], closed, all_(closed) if whole else few()))
-    return best
+    return best, True
 
 
 @dataclass
@@ -346,47 +358,54 @@ def slots(fillings: list[tuple[Filling, int]]) -> Slots:
     return Slots(*table.T.copy())
 
 
-def ranked(parts: DataFrame, counts: dict[int, int]) -> DataFrame:
-    """``parts`` with ``rank``, the gapless number of a piece among those of its length.
-
-    A length with many pieces is dealt over several groups by a hash, each ranked by itself and
-    shifted by the sizes of the groups before it.
-    """
-    spark = parts.sparkSession
-    groups = spark.createDataFrame([(s, max(1, -(-c // RANKED))) for s, c in counts.items()], "length long, groups long")
-    dealt = (parts.join(F.broadcast(groups), "length")  # at most one row for each possible length
-             .withColumn("share", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("groups"))))
-    sizes = dealt.groupBy("length", "share").count().withColumn("shift", F.coalesce(F.sum("count").over(
-        Window.partitionBy("length").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = Window.partitionBy("length", "share").orderBy("doc_id", "piece", "start", "ids_crc32")
-    return (dealt.withColumn("rank", F.row_number().over(within) - 1)
-            .join(sizes.select("length", "share", "shift"), ["length", "share"])
-            .withColumn("rank", F.col("rank") + F.col("shift")).drop("groups", "share", "shift"))
+def planned(parts: DataFrame, capacity: int = CAPACITY) -> tuple[Plan, dict[int, int]]:
+    """The plan for stored pieces, and how many pieces there are of each length (at most ``capacity`` numbers)."""
+    counts = {r["length"]: r["count"] for r in parts.groupBy("length").count().toLocalIterator()}
+    return plan(counts, capacity), counts
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Places for ``parts`` (a stored table of :func:`pieces`): its columns but the ids, with
-    sequence_id and offset. An empty table gives no rows."""
-    counts = {r["length"]: r["count"] for r in parts.groupBy("length").count().toLocalIterator()}
-    sent = parts.sparkSession.sparkContext.broadcast(slots(plan(counts, capacity)))
+    sequence_id and offset. An empty table gives no rows.
+
+    Pieces are ranked within their length by doc_id, piece, start and checksum, so it depends on them
+    alone which of them share a sequence.
+    """
+    made, counts = planned(parts, capacity)
+    sent = parts.sparkSession.sparkContext.broadcast((slots(made.fillings), before(counts)))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
     def run(batches):
+        places, first = sent.value
         for batch in batches:
-            sequence, offset = sent.value.of(batch.column("length").to_numpy(), batch.column("rank").to_numpy())
+            length = batch.column("length").to_numpy()
+            sequence, offset = places.of(length, batch.column("position").to_numpy() - first[length])
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence), pa.array(offset)],
                                              names=[c.split()[0] for c in schema.split(", ")])
 
-    rows = ranked(parts.select("doc_id", "piece", "start", "length", "ids_crc32"), counts)
-    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("rank").cast("long")).mapInArrow(run, schema)
+    rows = numbered(parts.select("doc_id", "piece", "start", "length", "ids_crc32"), ["length", "doc_id", "piece", "start", "ids_crc32"], "ranked")
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("position").cast("long")).mapInArrow(run, schema)
+
+
+def before(counts: dict[int, int]) -> np.ndarray:
+    """For each length, the number of shorter pieces."""
+    out = np.zeros(max(counts, default=0) + 1, dtype=np.int64)
+    for s, c in counts.items():
+        out[s] = c
+    return np.cumsum(out) - out
 
 
 def sequences(parts: DataFrame, places: DataFrame) -> DataFrame:
     """The packed sequences themselves: sequence_id, their pieces in order and their ids.
 
-    A sequence has at most ``capacity`` ids, so no group is large. Keys must be unique here.
+    A sequence has at most ``capacity`` ids, so no group is large. A piece is known by its document, number, place
+    and checksum, a null doc_id too; pieces equal in all of these are one another's copies and
+    stand for each other, so repeated rows come out as often as they went in. No places give no rows.
     """
-    rows = places.join(parts.select("doc_id", "piece", "ids"), ["doc_id", "piece"])
+    name = ["doc_id", "piece", "start", "ids_crc32"]
+    once = parts.groupBy(*name).agg(F.first("ids").alias("ids")).withColumnsRenamed({c: f"_{c}" for c in name})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in name]
+    rows = places.join(once, same).drop(*[f"_{c}" for c in name])
     inside = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "piece", "length", "ids")))
     return (rows.groupBy("sequence_id").agg(inside.alias("pieces"))
             .select("sequence_id", F.transform("pieces", lambda p: p.dropFields("ids")).alias("pieces"),

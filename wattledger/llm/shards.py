@@ -12,16 +12,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .tables import stored
+from .tables import numbered, stored
 
 SHARDS = 16
 #: Distance of a boundary from its exact share at which the search ends, as a part of a shard.
 TOLERANCE = 0.001
 PROBES = 1024
-#: Documents numbered in one task.
-NUMBERED = 100_000
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 LAW = "bytes"
 
@@ -105,30 +103,42 @@ def splitters(rows: DataFrame, shards: int, tolerance: float) -> list[tuple[int,
     return sorted(out)
 
 
-def sharded(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS,
-            tolerance: float = TOLERANCE) -> DataFrame:
-    """doc_id, text, size, text_crc32, law, shard, slot and grown_shard of every row of ``docs``.
-
-    A null text has size 1 and the checksum of nothing, a null key stands before all others; rows
-    equal in key and text stand together, whatever their number. Slots of a shard are gapless from
-    0. An empty table gives no rows. Under the law ``bytes`` growth is not asked for: grown_shard is null.
-    """
+def _measured(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, text, size, text_crc32 of every row, and what it is ordered by: hash and id."""
     body = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).select(
+    return docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).select(
         "doc_id", "text", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
         F.xxhash64(body).alias("hash"), F.coalesce("doc_id", F.lit(LOW)).alias("id"))
+
+
+def _dealt(rows: DataFrame, shards: int, tolerance: float) -> DataFrame:
+    """Measured rows, moved to their place in the order, with law, shard, slot and grown_shard."""
     narrow = stored(rows.select("hash", "id", "size"), "sizes")
     cuts = splitters(narrow, shards, tolerance)
-    groups = max(1, narrow.count() // (NUMBERED * shards))
     shard = sum([((F.col("hash") > F.lit(h)) | ((F.col("hash") == F.lit(h)) & (F.col("id") >= F.lit(k)))).cast("int") for h, k in cuts], F.lit(0))
-    place = F.pmod(F.xxhash64("hash", "id"), F.lit(groups))
-    sizes = narrow.select(shard.alias("shard"), place.alias("place")).groupBy("shard", "place").count()
-    shift = F.coalesce(F.sum("count").over(Window.partitionBy("shard").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    within = Window.partitionBy("shard", "place").orderBy("hash", "id", "size", "text_crc32")
-    return (rows.withColumn("shard", shard).withColumn("place", place).withColumn("slot", F.row_number().over(within) - 1)
-            .join(sizes.select("shard", "place", shift.alias("shift")), ["shard", "place"])
-            .select("doc_id", "text", "size", "text_crc32", F.lit(LAW).alias("law"), "shard",
-                    (F.col("slot") + F.col("shift")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")))
+    counts = {r["shard"]: r["count"] for r in narrow.groupBy(shard.alias("shard")).count().collect()}
+    before = [sum(counts.get(s, 0) for s in range(n)) for n in range(shards)]
+    # shards are ranges of the order, so a slot is a position less the rows of the shards before
+    return numbered(rows, ["hash", "id", "size", "text_crc32"], "ordered").withColumn("shard", shard).select(
+        *[c for c in rows.columns if c not in ("hash", "id")], F.lit(LAW).alias("law"), "shard",
+        (F.col("position") - F.get(F.array(*[F.lit(n) for n in before]), F.col("shard"))).cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def placed(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot and grown_shard of every row of ``docs``; no text moves.
+
+    A null text has size 1 and the checksum of nothing, a null key stands before all others; rows
+    equal in key and text stand together, whatever their number. Slots of a shard are gapless from
+    0, in the order of the text's hash, then the key, at any size. An empty table gives no rows. Under
+    the law ``bytes`` growth is not asked for: grown_shard is null.
+    """
+    return _dealt(_measured(docs, key, text).drop("text"), shards, tolerance)
+
+
+def sharded(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """:func:`placed` with the texts, which move once."""
+    return _dealt(_measured(docs, key, text), shards, tolerance)
 
 
 def write(docs: DataFrame, path: str, **options) -> None:

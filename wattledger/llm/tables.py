@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import shared_folder
 
@@ -31,3 +31,23 @@ def only(df: DataFrame, key: str, text: str) -> DataFrame:
     Other columns stay out of the work, whatever their names are.
     """
     return df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+
+
+def numbered(rows: DataFrame, order: list, name: str) -> DataFrame:
+    """``rows``, stored, with ``position``: gapless numbers from 0 in the given order, by one rule at any size.
+
+    The rows move once, to ranges of the order, so a task numbers the rows of its range, and the numbers
+    of rows in the ranges before are added. Rows that tie in ``order`` are told apart by their place in the
+    input, so many equal ones are cut into ranges as well.
+    """
+    tied = rows.withColumn("_place", F.monotonically_increasing_id())
+    keys = [*order, "_place"]
+    # an id holds the number of the partition and that of the row in it
+    ranges = tied.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_place").withColumn("_at", F.monotonically_increasing_id())
+    at = stored(ranges, name)
+    part = F.shiftright("_at", 33).alias("_part")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = at.groupBy(part).count().select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    within = F.col("_at") - F.shiftleft("_part", 33)
+    return (at.withColumn("_part", F.shiftright("_at", 33)).join(starts, "_part")
+            .withColumn("position", within + F.col("_start")).drop("_at", "_part", "_start"))
