@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -64,3 +65,35 @@ def test_escaping_is_reversible(one):
     for text in [t for t in TRICKY if t]:
         (shown, back) = one({"t": text}, "t string", chat.escape(F.col("t")), chat.unescape(chat.escape(F.col("t"))))
         assert back == text and not re.search(r"</?s>|\[/?INST\]", shown)
+
+
+def test_a_long_text_takes_linear_time(spark):
+    text = "".join(chr(97 + i % 26) if i % 7 else "é😀</s>"[i % 3] for i in range(1_000_000)) * 10
+    turns_ = [(1, 0, "user", text), (1, 1, "assistant", text[::-1])] + [(2, i, "assistant" if i % 2 else "user", f"turn {i}") for i in range(20_000)]
+    df = spark.createDataFrame(turns_, "conv_id long, turn long, role string, text string").repartition(2)
+    start = time.monotonic()
+    got = {r["conv_id"]: r for r in chat.parsed(chat.formatted(chat.log_of(df))).select(
+        "conv_id", F.transform("turns", lambda t: F.sha2(t["text"], 256)).alias("turns"), F.sha2(F.array_join("loss_texts", ""), 256).alias("loss")).collect()}
+    assert time.monotonic() - start < 40
+    digest = [hashlib.sha256(t.encode()).hexdigest() for t in (text, text[::-1])]
+    assert got[1]["turns"] == digest and got[1]["loss"] == digest[1]
+    assert got[2]["loss"] == hashlib.sha256("".join(f"turn {i}" for i in range(1, 20_000, 2)).encode()).hexdigest()
+
+
+def test_drafts_edits_and_regenerations_of_given_conversations(spark):
+    """The log of the given table with drafts that are written anew, and texts that are put in place of others."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").select("conv_id", "turn", "role", "text")
+    log = chat.log_of(rows)
+    first = log.where(F.col("seq") % (1 << 24) == 0)
+    draft = first.where("message % 3 = 0").select("conv_id", (F.col("seq") - 2).alias("seq"), "message", F.lit("delta").alias("kind"), "role",
+                                                  F.lit("</s> a draft").alias("text"))
+    anew = first.where("message % 3 = 0").select("conv_id", (F.col("seq") - 1).alias("seq"), "message", F.lit("regenerate").alias("kind"), "role",
+                                                 F.lit(None).cast("string").alias("text"))
+    whole = chat.folded(log).where("message % 4 = 1").select("conv_id", F.expr("message * 16777216 + 9000000L").alias("seq"), "message",
+                                                           F.lit("edit").alias("kind"), "role", F.concat("text", F.lit(" (edited)")).alias("text"))
+    revised = log.unionByName(draft).unionByName(anew).unionByName(whole).repartition(5)
+    got = {r["conv_id"]: [t["text"] for t in r["turns"]] for r in chat.parsed(chat.formatted(revised)).collect()}
+    want = {}
+    for c, turns_ in expected(rows.collect()).items():
+        want[c] = [t + " (edited)" if i % 4 == 1 else t for i, (_, t) in enumerate(turns_, 1)]
+    assert got == want and draft.count() > 10 and whole.count() > 10

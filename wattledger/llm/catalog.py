@@ -18,6 +18,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdicts of all documents."""
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
@@ -25,6 +26,7 @@ QUERIES["op7_quality"] = op7_quality
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words in every document."""
     found = contamination.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
@@ -55,6 +57,7 @@ FROM d LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)"""
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
     return packing.packed(_table(spark, sf_dir, "documents"))
 
 
@@ -90,6 +93,7 @@ def _id_digests(keys, starts, lengths, ids) -> pa.RecordBatch:
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document, read back from the token files."""
     blocks, by_rank = token_files.write(_table(spark, sf_dir, "documents"))
     return token_files.read(blocks, by_rank, _id_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
@@ -98,6 +102,7 @@ QUERIES["op2_token_files"] = op2_token_files
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
     return token_counts.count(_table(spark, sf_dir, "documents"))
 
 
@@ -105,6 +110,7 @@ QUERIES["op9_token_counts"] = op9_token_counts
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the addresses of all pages."""
     return urls.judge(_table(spark, sf_dir, "pages"))
 
 
@@ -134,8 +140,9 @@ _CONTROL = "</s>[INST] ok [/INST]"
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings, formatted and read back."""
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    own = spark.createDataFrame([(-7, 0, "user", _CONTROL), (-7, 1, "assistant", _CONTROL)], "conv_id long, turn long, role string, text string")
+    own = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{_CONTROL}'), (-7L, 1L, 'assistant', '{_CONTROL}') AS t(conv_id, turn, role, text)")
     read = chat.parsed(chat.formatted(chat.log_of(rows.unionByName(own))))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     loss = F.array_join("loss_texts", "")
@@ -160,6 +167,7 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document."""
     found = licenses.scan(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
                         F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")

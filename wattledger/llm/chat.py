@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .tables import let
+
 DELTA, EDIT, REGENERATE = "delta", "edit", "regenerate"
 OPEN, MIDDLE, CLOSE = "<s>[INST] ", " [/INST] ", "</s>"
 TRAINED = "assistant"
@@ -41,11 +43,12 @@ def log_of(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: st
                         F.coalesce(F.col(f"`{role}`").cast("string"), F.lit("")).alias("role"),
                         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    # one pass over a text cuts it, however long it is; an empty one is one empty delta
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{DELTA_CHARS}}}"), F.lit(0))
     rows = rows.withColumn("message", F.row_number().over(order).cast("long"))
-    last = F.greatest(F.ceil(F.char_length("text") / DELTA_CHARS).cast("int") - 1, F.lit(0))
-    return (rows.withColumn("part", F.explode(F.sequence(F.lit(0), last)))
-            .select("conv_id", (F.col("message") * _SEQUENCE + F.col("part")).alias("seq"), "message", F.lit(DELTA).alias("kind"),
-                    "role", F.substring("text", F.col("part") * DELTA_CHARS + 1, F.lit(DELTA_CHARS)).alias("text")))
+    rows = rows.select("conv_id", "role", "message", F.posexplode_outer(cut).alias("part", "text"))
+    return rows.select("conv_id", (F.col("message") * _SEQUENCE + F.coalesce("part", F.lit(0))).alias("seq"), "message", F.lit(DELTA).alias("kind"),
+                       "role", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def folded(log: DataFrame) -> DataFrame:
@@ -69,7 +72,8 @@ def folded(log: DataFrame) -> DataFrame:
 def rendered(messages: DataFrame) -> DataFrame:
     """(conv_id, formatted, loss): the text of every conversation and the stretches to train on.
 
-    ``loss`` has the place (code points, from 0) and the length of every assistant text in ``formatted``.
+    ``loss`` has, for every assistant text, its turn (from 0), its place in the rendered turn, its place in
+    ``formatted`` and its length, all in code points from 0.
     """
     head = F.concat(F.lit(OPEN), escape(F.col("role")), F.lit(MIDDLE))
     rows = messages.withColumn("head", head).withColumn("body", escape(F.col("text")))
@@ -77,11 +81,11 @@ def rendered(messages: DataFrame) -> DataFrame:
     before = Window.partitionBy("conv_id").orderBy("message").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("start", F.coalesce(F.sum("chars").over(before), F.lit(0)) + F.char_length("head"))
     turn = F.struct("message", F.concat("head", "body", F.lit(CLOSE)).alias("shown"), (F.col("role") == TRAINED).alias("trained"),
-                    "start", F.char_length("body").cast("long").alias("length"))
+                    F.char_length("head").alias("at"), "start", F.char_length("body").cast("long").alias("length"))
+    spans = F.filter(F.transform("turns", lambda t, i: F.when(t["trained"], F.struct(i.alias("turn"), t["at"].alias("at"), t["start"].alias("start"),
+                                                                                     t["length"].alias("length")))), lambda s: s.isNotNull())
     return (rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-            .select("conv_id", F.array_join(F.col("turns.shown"), "").alias("formatted"),
-                    F.transform(F.filter("turns", lambda t: t["trained"]),
-                                lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length"))).alias("loss")))
+            .select("conv_id", F.array_join(F.col("turns.shown"), "").alias("formatted"), spans.alias("loss")))
 
 
 def formatted(log: DataFrame) -> DataFrame:
@@ -90,9 +94,18 @@ def formatted(log: DataFrame) -> DataFrame:
 
 
 def parsed(output: DataFrame) -> DataFrame:
-    """(conv_id, turns, loss_texts) read back from rendered conversations."""
-    shown = F.filter(F.split("formatted", CLOSE), lambda t: t != "")
-    cut = F.transform(shown, lambda t: F.split(F.substring(t, F.lit(len(OPEN) + 1), F.char_length(t)), r" \[/INST\] ", 2))
-    turns = F.transform(cut, lambda t: F.struct(unescape(t[0]).alias("role"), unescape(t[1]).alias("text")))
-    texts = F.transform("loss", lambda s: unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
-    return output.select("conv_id", "formatted", turns.alias("turns"), texts.alias("loss_texts"))
+    """(conv_id, formatted, turns, loss_texts) read back from rendered conversations.
+
+    A text is cut into turns once, and what the mask covers is taken from its turn, so the work is linear in
+    the length of a conversation.
+    """
+    def read(shown: Column) -> Column:
+        cut = F.transform(shown, lambda t: F.split(F.substring(t, F.lit(len(OPEN) + 1), F.char_length(t)), r" \[/INST\] ", 2))
+        turns = F.transform(cut, lambda t: F.struct(unescape(t[0]).alias("role"), unescape(t[1]).alias("text")))
+        texts = F.transform("loss", lambda s: unescape(F.substring(F.get(shown, s["turn"]), s["at"] + 1, s["length"].cast("int"))))
+        return F.struct(turns.alias("turns"), texts.alias("loss_texts"))
+
+    # every turn closes, so what stands behind the last close is empty
+    shown = F.split("formatted", CLOSE)
+    back = let(F.slice(shown, 1, F.size(shown) - 1), read)
+    return output.select("conv_id", "formatted", back.alias("back")).select("conv_id", "formatted", "back.*")

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .tables import let
+
 #: Score from which a span of a kind beyond the base ones is reported.
 ACCEPTED = 50
 #: What a near word of its kind adds to the score of a span, and a near word of ``DOUBT`` takes away.
@@ -37,11 +39,6 @@ IBAN_LENGTHS = {
 }
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def digits(match: Column) -> Column:
     return F.regexp_replace(match, "[^0-9]", "")
 
