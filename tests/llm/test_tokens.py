@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from wattledger.llm import catalog, ids, token_counts, token_files
+from wattledger.llm.tables import new_folder
 from wattledger.llm.words import slices
 
 from .conftest import given, same_rows, texts
@@ -77,20 +78,26 @@ def test_block_round_trip():
 @pytest.mark.parametrize("block", [40, 1 << 20])
 def test_files_hold_every_document_in_order(spark, docs, empty, monkeypatch, block):
     monkeypatch.setattr(token_files, "BLOCK_IDS", block)
-    path = ids.public_path("word_bpe_49k.json")
-    library = Tokenizer.from_file(path)
-    got = [(r["doc_id"], r["start"], np.frombuffer(r["ids"], "<u4").tolist())
-           for r in token_files.read(*token_files.write(docs.repartition(3), path)).collect()]
+    name, path = ids.public_path("word_bpe_49k.json"), new_folder(spark, "tokens")
+    library = Tokenizer.from_file(name)
+    token_files.write(docs.repartition(3), path, name)
+    # another session has nothing but the folder
+    got = [(r["doc_id"], r["start"], np.frombuffer(r["ids"], "<u4").tolist()) for r in token_files.read(spark.newSession(), path).collect()]
+    assert token_files.header(spark, path)[:2] == ("word_bpe_49k.json", 2)
     got.sort(key=lambda r: r[1])
     want = [(i, [*library.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in given(docs)]
     same_rows([(i, x) for i, _, x in got], want)
     assert [i for i, _, _ in got] == sorted([i for i, _ in want], key=lambda i: (i is not None, i))
     assert [s for _, s, _ in got] == np.cumsum([0, *[len(x) for _, _, x in got]])[:-1].tolist()
-    assert token_files.read(*token_files.write(empty, path)).count() == 0
+    none = new_folder(spark, "tokens")
+    token_files.write(empty, none, name)
+    assert token_files.read(spark, none).count() == 0
 
 
-def test_frequent_ids_get_small_ranks(docs):
-    _, by_rank = token_files.write(docs, ids.public_path("word_bpe_49k.json"))
+def test_frequent_ids_get_small_ranks(spark, docs):
+    path = new_folder(spark, "tokens")
+    token_files.write(docs, path, ids.public_path("word_bpe_49k.json"))
+    by_rank = token_files.header(spark, path)[2]
     assert sorted(by_rank.tolist()) == list(range(len(by_rank)))
     library = Tokenizer.from_file(ids.public_path("word_bpe_49k.json"))
     count = np.bincount(sum([[*library.encode(t or "", add_special_tokens=False).ids, 2] for _, t in given(docs)], []), minlength=len(by_rank))

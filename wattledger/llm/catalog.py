@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import chat, contamination, jaccard, licenses, packing, pii, quality, ranking, shards, token_counts, token_files, urls, whitening
+from .tables import new_folder
 
 QUERIES = {}
 SQL = {}
@@ -94,8 +95,9 @@ def _id_digests(keys, starts, lengths, ids) -> pa.RecordBatch:
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document, read back from the token files."""
-    blocks, by_rank = token_files.write(_table(spark, sf_dir, "documents"))
-    return token_files.read(blocks, by_rank, _id_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    path = new_folder(spark, "tokens")
+    token_files.write(_table(spark, sf_dir, "documents"), path)
+    return token_files.read(spark, path, _id_digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 QUERIES["op2_token_files"] = op2_token_files

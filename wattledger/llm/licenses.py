@@ -3,43 +3,28 @@
 The automaton holds every run of words of all templates and phrases. A text is streamed through it
 word by word: the state is the longest run that ends here and stands in a template (matching
 statistics). Words no template holds reset the state, so only stretches of known words are
-streamed. Matches that end are chained in template order into spans; the part of a template its
-chain covers is the score of its label. Phrases are found at the states their words lead to.
+streamed. Matches that end are chained in template order into spans, as often as a text holds the template; the part of a
+template that a chain covers is the score of its label. Phrases are found at the states their words lead to.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
+from .license_texts import TEXTS
 from .tables import only
 from .words import ALNUM, Words, slices, words
 
 #: Labels of short phrases; every place where one stands counts.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 
-#: Beginnings of public license notices.
-TEMPLATES = (
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
-            "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-            "copies of the Software, and to permit persons to whom the Software is furnished to do so"),
-    ("apache-2", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-                 "compliance with the License. You may obtain a copy of the License at"),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-            "that the following conditions are met"),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-            "Public License as published by the Free Software Foundation"),
-    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("unlicense", "This is free and unencumbered software released into the public domain"),
-    ("all-rights-reserved", "All rights reserved"),
-)
+#: Bytes of a table of templates; they all go into one automaton, which every task has.
+TEMPLATE_BYTES = 16 << 20
 #: Shortest match that is chained (a template with fewer words needs all of them), the largest gap
 #: in the text within a chain, and the covered part of a template that gives its label.
 LONG, GAP, COVER = 5, 20, 0.6
@@ -61,7 +46,7 @@ class Automaton:
         self.templates: list[Template] = []
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]  # by state: template -> smallest end in it
+        self.ends: list[dict[int, list[int]]] = [{}]  # by state: template -> ends of its run there, for runs that may be chained
         given = [(label, text, True) for text, label in phrases] + [(label, text, False) for label, text in templates]
         hashes = []
         for s in slices(pa.array([text for _, text, _ in given], pa.string()), lower=True):
@@ -75,12 +60,14 @@ class Automaton:
             at = 0
             for place, symbol in enumerate(np.searchsorted(self.vocabulary, own).tolist()):
                 at = self._extend(at, symbol)
-                self.ends[at].setdefault(number, place + 1)
+                self.ends[at].setdefault(number, []).append(place + 1)
             last_states.append(at)
         for state in sorted(range(1, len(self.link)), key=self.length.__getitem__, reverse=True):
-            up = self.ends[self.link[state]]
-            for t, e in self.ends[state].items():
-                up[t] = min(e, up.get(t, e))
+            for t, own in self.ends[state].items():
+                own.sort()
+                # a run too short to be chained needs no ends
+                if self.length[self.link[state]] >= min(LONG, self.templates[t].length):
+                    self.ends[self.link[state]].setdefault(t, []).extend(own)
         here: dict[int, list[int]] = {}
         for t, state in enumerate(last_states):
             if self.templates[t].phrase and self.templates[t].length:
@@ -143,28 +130,30 @@ class Automaton:
             matches.append((first + len(symbols) - size, size, state))
 
     def chains(self, matches: list) -> list[tuple[int, int, int, float]]:
-        """(template, first word, end word, covered part) of the best chain of each template.
+        """(template, first word, end word, covered part) of every chain, in order of their first words.
 
-        Matches are taken in text order; one that goes on in its template after a small gap
-        joins the chain, any other begins a new one.
+        Matches are taken in text order; one that goes on in its template after a small gap joins the
+        chain there, at the nearest place its run has behind the chain; any other ends the chain
+        and begins a new one at the first place of its run.
         """
-        best: dict[int, tuple[int, int, int, float]] = {}
+        done: list[tuple[int, int, int, int]] = []
         open_: dict[int, list[int]] = {}  # template -> [first word, end word, end in the template, covered]
         for first, size, state in matches:
-            for t, end in self.ends[state].items():
+            for t, ends in self.ends[state].items():
                 template = self.templates[t]
                 if template.phrase or size < min(LONG, template.length):
                     continue
                 chain = open_.get(t)
-                if chain and first - chain[1] <= GAP and end > chain[2]:
-                    chain[3] += min(size, end - chain[2])
-                    chain[1], chain[2] = first + size, end
+                on = bisect_right(ends, chain[2]) if chain and first - chain[1] <= GAP else len(ends)
+                if on < len(ends):
+                    chain[3] += min(size, ends[on] - chain[2])
+                    chain[1], chain[2] = first + size, ends[on]
                 else:
-                    chain = open_[t] = [first, first + size, end, size]
-                cover = min(1.0, chain[3] / template.length)
-                if t not in best or cover > best[t][3]:
-                    best[t] = (t, chain[0], chain[1], cover)
-        return sorted(best.values())
+                    if chain:
+                        done.append((chain[0], t, chain[1], chain[3]))
+                    open_[t] = [first, first + size, ends[0], size]
+        done += [(c[0], t, c[1], c[3]) for t, c in open_.items()]
+        return [(t, a, b, min(1.0, n / self.templates[t].length)) for a, t, b, n in sorted(done)]
 
 
 def known(w: Words, vocabulary: np.ndarray, shortest: int) -> list[tuple[int, int, list[int]]]:
@@ -191,15 +180,26 @@ def known(w: Words, vocabulary: np.ndarray, shortest: int) -> list[tuple[int, in
     return [(r, int(at[a]), slot[a:b].tolist()) for r, a, b in zip(rows.tolist(), begin[long].tolist(), end[long].tolist())]
 
 
+def texts_of(table: DataFrame, label: str = "label", text: str = "text") -> tuple:
+    """(label, text) of a table of templates, which may hold ``TEMPLATE_BYTES`` in all. Rows without a label or text drop out."""
+    rows = table.select(F.col(f"`{label}`").cast("string").alias("label"), F.col(f"`{text}`").cast("string").alias("text")).dropna()
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    if size > TEMPLATE_BYTES:
+        raise ValueError(f"templates hold {size} bytes, one automaton takes {TEMPLATE_BYTES}")
+    return tuple(sorted(map(tuple, rows.collect())))
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases: tuple = PHRASES,
-         templates: tuple = TEMPLATES) -> DataFrame:
+         templates: tuple | DataFrame = TEXTS) -> DataFrame:
     """One row per row of ``docs``: places and labels of phrases, labels of covered templates, and spans.
 
-    ``score`` is 1 where a phrase stands, else the largest covered part of a template, 0 without any.
+    ``templates`` are (label, text) pairs or a table of them (see :func:`texts_of`). ``score`` is 1 where a phrase
+    stands, else the largest covered part of a template, 0 without any. ``spans`` has every place of a phrase
+    and every chain that covers ``COVER`` of its template, by first word.
     A null or empty text has no words, no labels and score 0, first and last word null; a null key
     stays null; repeated rows are scanned each; an empty table gives no rows.
     """
-    machine = Automaton(phrases, templates)
+    machine = Automaton(phrases, texts_of(templates) if isinstance(templates, DataFrame) else templates)
 
     def run(batches):
         for batch in batches:
@@ -209,17 +209,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases: tupl
                 for row, first, symbols in known(w, machine.vocabulary, machine.shortest):
                     base, matches = rows.setdefault(row, ([], []))
                     machine.stream(symbols, first - int(w.bounds[row]), base, matches)
-                out = []
-                for row in range(s.rows):
-                    base, matches = rows.get(row, ((), ()))
-                    chains = machine.chains(matches)
-                    names = {machine.templates[t].label for t, _ in base}
-                    more = {machine.templates[c[0]].label for c in chains if c[3] >= COVER}
-                    starts = [p for _, p in base]
-                    out.append((len(base), min(starts, default=None), max(starts, default=None), sorted(names), sorted(names | more),
-                                1.0 if base else max((c[3] for c in chains), default=0.0),
-                                [{"label": machine.templates[t].label, "first_word": a, "end_word": b, "cover": c}
-                                 for t, a, b, c in chains if c >= COVER]))
+                out = [verdict(machine, *rows.get(row, ((), ()))) for row in range(s.rows)]
                 span = pa.struct([("label", pa.string()), ("first_word", pa.int64()), ("end_word", pa.int64()), ("cover", pa.float64())])
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.float64(), pa.list_(span))
                 yield pa.RecordBatch.from_arrays(
@@ -228,3 +218,16 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases: tupl
                     names=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"])
 
     return only(docs, key, text).mapInArrow(run, SCHEMA)
+
+
+def verdict(machine: Automaton, base, matches) -> tuple:
+    """The columns of a text behind its number of words."""
+    chains = machine.chains(matches)
+    covered = [c for c in chains if c[3] >= COVER]
+    names = {machine.templates[t].label for t, _ in base}
+    starts = [p for _, p in base]
+    spans = sorted([(p, p + machine.templates[t].length, machine.templates[t].label, 1.0) for t, p in base]
+                   + [(a, b, machine.templates[t].label, c) for t, a, b, c in covered])
+    return (len(base), min(starts, default=None), max(starts, default=None), sorted(names),
+            sorted(names | {machine.templates[c[0]].label for c in covered}), 1.0 if base else max((c[3] for c in chains), default=0.0),
+            [{"label": label, "first_word": a, "end_word": b, "cover": c} for a, b, label, c in spans])

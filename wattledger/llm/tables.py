@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import shared_folder
 
@@ -14,6 +14,11 @@ from ..session import shared_folder
 ROW_GROUP_BYTES = 16 << 20
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A place in the shared folder (spark.checkpoint.dir) that nothing else uses."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Writes ``df`` into the shared folder (spark.checkpoint.dir) and reads it back.
 
@@ -21,7 +26,7 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     are not read again.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.option("compression", codec).option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -3,8 +3,11 @@
 A block holds documents in ascending order of their keys. Each id is replaced by its rank among
 all ids of the corpus, the most frequent one being 0, and written in one to four bytes; two bits
 for each id, four ids in a control byte, tell how many. A reader looks the lengths of four ids up
-for each control byte, adds them up, and picks the bytes, all in numpy. Blocks are rows of a
-Parquet table in the shared folder, so a lost task writes its blocks again.
+for each control byte, adds them up, and picks the bytes, all in numpy.
+
+A set of files is a folder: ``blocks`` is a Parquet table with a block in each row, so a lost task writes
+its blocks again, and ``header`` one with the ids by rank, the tokenizer's name and the end id. Whoever has the
+folder can read it, in another session and without the tokenizer.
 
 Block: ``WTOK``, documents and ids as unsigned 64-bit numbers, document keys (signed 64-bit; a
 mask byte each for null keys before them), the lengths of the documents in the same code, then the ids.
@@ -17,10 +20,10 @@ import struct
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .ids import encoder, public_path
-from .tables import only, stored
+from .tables import ROW_GROUP_BYTES, only, stored
 from .words import slices
 
 TOKENIZER = "word_bpe_49k.json"
@@ -116,13 +119,18 @@ def counted(rows: DataFrame, kind: str, size: int) -> np.ndarray:
     return count
 
 
-def write(docs: DataFrame, tokenizer: str | None = None, key: str = "doc_id", text: str = "text",
-          end_id: int = END_ID) -> tuple[DataFrame, np.ndarray]:
-    """(table of blocks, ids by rank) of all rows of ``docs`` in ascending order of their keys.
+HEADER = "tokenizer string, end_id long, by_rank binary"
+BLOCKS = "part int, block int, before long, n_ids long, payload binary"
+
+
+def write(docs: DataFrame, path: str, tokenizer: str | None = None, key: str = "doc_id", text: str = "text",
+          end_id: int = END_ID) -> None:
+    """Writes the ids of all rows of ``docs`` in ascending order of their keys to the new folder ``path``.
 
-    The table has part and block (their order is the documents' order), before (ids of the part
+    A row of ``blocks`` has part and block (their order is the documents' order), before (ids of the part
     in earlier blocks), n_ids and payload. A null or empty text is its end id alone; null keys come
-    first; rows with the same key stand in the order of their ids. An empty table has no blocks.
+    first; rows with the same key stand in the order of their ids. An empty table has no blocks. Other
+    columns are not looked at.
     """
     tokenizer = tokenizer or public_path(TOKENIZER)
     size = max(encoder(tokenizer, leading=False).tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
@@ -157,8 +165,11 @@ def write(docs: DataFrame, tokenizer: str | None = None, key: str = "doc_id", te
             yield closed()
 
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    blocks = ordered.mapInArrow(run, "part int, block int, before long, n_ids long, payload binary")
-    return stored(blocks, "tokens"), by_rank
+    ordered.mapInArrow(run, BLOCKS).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(f"{path.rstrip('/')}/blocks")
+    # the header comes last: a folder without one was not finished
+    spark = docs.sparkSession
+    (spark.createDataFrame([(tokenizer.rsplit("/", 1)[-1], end_id, by_rank.tobytes())], HEADER).coalesce(1)
+     .write.parquet(f"{path.rstrip('/')}/header"))
 
 
 def as_rows(keys: list[int | None], starts: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
@@ -170,13 +181,19 @@ def as_rows(keys: list[int | None], starts: np.ndarray, lengths: np.ndarray, ids
         names=["doc_id", "start", "ids"])
 
 
-def read(blocks: DataFrame, by_rank: np.ndarray, make=as_rows, schema: str = "doc_id long, start long, ids binary") -> DataFrame:
-    """Every document of a table of blocks.
+def header(spark: SparkSession, path: str) -> tuple[str, int, np.ndarray]:
+    """(name of the tokenizer, end id, ids by rank) of a folder; one number for each id of the tokenizer."""
+    row = spark.read.schema(HEADER).parquet(f"{path.rstrip('/')}/header").first()
+    return row["tokenizer"], row["end_id"], np.frombuffer(row["by_rank"], "<u4")
+
+
+def read(spark: SparkSession, path: str, make=as_rows, schema: str = "doc_id long, start long, ids binary") -> DataFrame:
+    """Every document of a folder of token files, from the folder alone.
 
     ``make`` turns a decoded block (keys, starts, lengths, all ids) into rows of ``schema`` where it is
     decoded, so a reader that needs less than the ids does not pass them on.
     """
-    spark = blocks.sparkSession
+    blocks, (_, _, by_rank) = spark.read.schema(BLOCKS).parquet(f"{path.rstrip('/')}/blocks"), header(spark, path)
     total, starts = 0, {}
     for r in blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").toLocalIterator():  # a row for each task that wrote
         starts[r["part"]] = total
