@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from wattledger.llm import contamination as C
 from wattledger.llm.words import ALNUM, slices, words
@@ -52,7 +53,7 @@ def test_suffix_array_and_ranks():
             assert tree.rank(np.full_like(at, c), at).tolist() == np.concatenate([[0], np.cumsum(text == c)]).tolist()
 
 
-def test_scan_of_a_table(spark, docs):
+def test_scan_of_a_table(spark, docs, monkeypatch):
     rows = given(docs)
     items = [(3, " ".join(alnum(rows[13][1])[20:60])), (20, "one"), (100, None), (None, "two words"), (7, rows[21][1][200:900])]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -60,15 +61,33 @@ def test_scan_of_a_table(spark, docs):
     for i, t in rows:
         n, hit, found = brute(t, [(None if a is None else str(a), b) for a, b in items], 13)
         want.append((i, n, hit, found, hit > 0 and 20 * hit >= n))
-    for block in (1, 1 << 20):
-        got = C.scan(docs, bench, block_bytes=block)
-        same_rows([tuple(r) for r in got.select("doc_id", "n_words", "n_hit", "items", "contaminated").collect()], want)
-    for r in C.scan(docs, bench).collect():
-        assert sum(s["end_word"] - s["first_word"] for s in r["spans"]) == r["n_hit"]
     dirty = {w[0] for w in want if w[4]}
-    left = C.clean(docs, bench)
-    assert left.columns == docs.columns
-    same_rows([tuple(r) for r in left.collect()], [tuple(r) for r in docs.collect() if r["doc_id"] not in dirty])
+    spans = []
+    # one pass, several, and stretches of a text in different blocks
+    for block, size in ((1 << 20, 1 << 14), (60, 1 << 14), (40, 30)):
+        monkeypatch.setattr(C, "SEGMENT_WORDS", size)
+        parts, blocks = C.blocks_of(bench, "item_id", "text", 13, block)
+        assert (blocks == 1) == (block > 1000) and (blocks >= 3) == (block < 1000)
+        got = C.scan(docs, bench, block_words=block)
+        assert got.columns == ["doc_id", "n_words", "n_hit", "items", "spans", "contaminated"]
+        same_rows([tuple(r) for r in got.select("doc_id", "n_words", "n_hit", "items", "contaminated").collect()], want)
+        spans.append(sorted((repr(r["doc_id"]), repr(r["spans"])) for r in got.collect()))
+        for r in got.collect():
+            assert sum(s["end_word"] - s["first_word"] for s in r["spans"]) == r["n_hit"]
+        left = C.clean(docs.withColumn("row", F.lit("mine")), bench, block_words=block)
+        assert left.columns == [*docs.columns, "row"]
+        same_rows([tuple(r)[:-1] for r in left.collect()], [tuple(r) for r in docs.collect() if r["doc_id"] not in dirty])
+    assert spans[0] == spans[1] == spans[2]
+
+
+def test_the_driver_sees_one_block_at_a_time(spark, docs, monkeypatch):
+    """No benchmark text reaches the driver, and of the hashes one block at a time."""
+    bench = spark.range(50).selectExpr("id as item_id", "concat_ws(' ', transform(sequence(0, 39), i -> concat('w', (id * 40 + i) % 1500))) as text")
+    seen = []
+    windows_of = C.windows_of
+    monkeypatch.setattr(C, "windows_of", lambda parts, window: (seen.append(sum(len(h) for _, h in parts)), windows_of(parts, window))[1])
+    C.scan(docs, bench, block_words=200).collect()
+    assert len(seen) >= 3 and max(seen) <= 400 and sum(seen) == 50 * 40
 
 
 def test_empty_tables(spark, docs, empty):

@@ -6,20 +6,21 @@ hold no phrase, so neither is indexed. Over the runs stand a suffix array, its B
 column in a wavelet matrix, and sampled suffix positions. All phrases are searched backwards at
 once; rows found are walked to the next sample; places are merged into removal spans.
 
-Benchmark texts pass through the driver and come to the tasks in blocks of about ``BLOCK_BYTES``. A
-block bounds one broadcast, not a worker: each holds the blocks of the whole benchmark at once, so
-the benchmark must fit into the memory of the driver and of a worker.
+Benchmark texts become stored rows of word hashes in tasks, in numbered blocks of a bounded size. A pass over the
+documents searches one block, which alone is sent to the tasks; what several passes find in a
+document is merged by its row. So neither the driver nor a worker ever holds more than one block.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import only
+from .tables import in_blocks, only, stored
 from .words import ALNUM, Slice, Words, slices, sums, words
 
 WINDOW = 13
@@ -27,14 +28,13 @@ WINDOW = 13
 SHARE = 20
 #: Every so many symbols of the text keep their suffix position.
 SAMPLE = 32
-BLOCK_BYTES = 16 << 20
-SCHEMA = ("doc_id long, n_words long, n_hit long, items array<string>, "
-          "spans array<struct<first_word:long,end_word:long>>, contaminated boolean")
+#: Words of a block, and of a stretch of a benchmark text that is kept in one row.
+BLOCK_WORDS, SEGMENT_WORDS = 1 << 20, 1 << 14
 
 
 @dataclass
 class Phrases:
-    """Windows of benchmark items: symbols 1.. of a vocabulary of word hashes, ragged."""
+    """Windows of benchmark items: places in the symbols of their texts, which are 1.. of a vocabulary of word hashes."""
 
     vocabulary: np.ndarray
     symbols: np.ndarray
@@ -44,24 +44,35 @@ class Phrases:
     items: list[str]
 
 
-def phrases(items: list[tuple[str, str | None]], window: int = WINDOW) -> Phrases:
-    """Distinct (window, item) pairs of the items' texts."""
-    hashed, cut, owner = [], [], []
-    names = sorted({i for i, _ in items if i is not None})
-    number = {n: k for k, n in enumerate(names)}
-    items = [(i, t) for i, t in items if i is not None]
-    for s in slices(pa.array([t for _, t in items], pa.string()), lower=True):
+def segments(batch: pa.RecordBatch, window: int, size: int) -> Iterator[tuple[str, np.ndarray]]:
+    """(item, word hashes) of stretches of the texts: every window stands in one of them. Rows without an id or words have none."""
+    names = batch.column(0).to_pylist()
+    for s in slices(batch.column(1), lower=True):
         w = words(s, ALNUM)
         for row in range(s.rows):
             own = w.hash[w.bounds[row]:w.bounds[row + 1]]
-            for a in range(max(1, len(own) - window + 1) if len(own) else 0):
-                hashed.append(own[a:a + window])
-                owner.append(number[items[s.first + row][0]])
-    lengths = np.array([len(h) for h in hashed], dtype=np.int64)
-    flat = np.concatenate(hashed) if hashed else np.empty(0, np.uint64)
-    vocabulary, symbols = np.unique(flat, return_inverse=True)
-    return Phrases(vocabulary, symbols.astype(np.int64) + 1, np.cumsum(lengths) - lengths, lengths,
-                   np.array(owner, dtype=np.int64), names)
+            if names[s.first + row] is not None and len(own):
+                for a in range(0, max(1, len(own) - window + 1), size):
+                    yield names[s.first + row], own[a:a + size + window - 1]
+
+
+def windows_of(parts: list[tuple[str, np.ndarray]], window: int) -> Phrases:
+    """The windows of stretches; a stretch shorter than a window is one."""
+    names = sorted({i for i, _ in parts})
+    number = {n: k for k, n in enumerate(names)}
+    length = np.array([len(h) for _, h in parts], dtype=np.int64)
+    each = np.maximum(length - window + 1, np.minimum(length, 1))
+    begin = np.cumsum(length) - length
+    starts = np.arange(each.sum()) + np.repeat(begin - np.cumsum(each) + each, each)
+    vocabulary, symbols = np.unique(np.concatenate([h for _, h in parts]) if parts else np.empty(0, np.uint64), return_inverse=True)
+    return Phrases(vocabulary, symbols.astype(np.int64) + 1, starts, np.repeat(np.minimum(length, window), each),
+                   np.repeat(np.array([number[i] for i, _ in parts], dtype=np.int64), each), names)
+
+
+def phrases(items: list[tuple[str, str | None]], window: int = WINDOW) -> Phrases:
+    """The windows of some items' texts."""
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in items], pa.string()), pa.array([t for _, t in items], pa.string())], names=["item", "text"])
+    return windows_of(list(segments(batch, window, SEGMENT_WORDS)), window)
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -227,18 +238,24 @@ def hits(s: Slice, blocks: list[Phrases]) -> tuple[Words, np.ndarray, list[list[
     return w, hit, [sorted(i) for i in items], sums(hit, w.bounds)
 
 
-def blocks_of(benchmark: DataFrame, key: str, text: str, window: int, block_bytes: int) -> list:
-    """The benchmark's phrases as broadcasts of at most about ``block_bytes`` of text each."""
-    send = benchmark.sparkSession.sparkContext.broadcast
-    out, block, held = [], [], 0
-    rows = benchmark.select(F.col(f"`{key}`").cast("string"), F.col(f"`{text}`").cast("string"))
-    for item, body in rows.toLocalIterator():
-        block.append((item, body))
-        held += len(body or "")
-        if held >= block_bytes:
-            out.append(send(phrases(block, window)))
-            block, held = [], 0
-    return [*out, send(phrases(block, window))]
+def blocks_of(benchmark: DataFrame, key: str, text: str, window: int, block_words: int) -> tuple[DataFrame, int]:
+    """(stored stretches of the benchmark's texts with their block, number of blocks)."""
+
+    def run(batches):
+        for batch in batches:
+            rows = list(segments(batch, window, SEGMENT_WORDS))
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.string()), pa.array([h.tobytes() for _, h in rows], pa.binary())],
+                                             names=["item", "hashes"])
+
+    texts = benchmark.select(F.col(f"`{key}`").cast("string").alias("item"), F.col(f"`{text}`").cast("string").alias("text"))
+    return in_blocks(stored(texts.mapInArrow(run, "item string, hashes binary"), "benchmark"), ["item", "hashes"], F.octet_length("hashes") / 8, block_words)
+
+
+def sent_block(parts: DataFrame, block: int, window: int):
+    """The windows of one block as a broadcast; the driver gathers no more than that block."""
+    rows = parts.where(F.col("block") == block).select("item", "hashes").collect()
+    made = windows_of([(r["item"], np.frombuffer(r["hashes"], np.uint64)) for r in rows], window)
+    return parts.sparkSession.sparkContext.broadcast(made)
 
 
 def _spans(hit: np.ndarray, a: int, b: int) -> list[dict[str, int]]:
@@ -246,44 +263,108 @@ def _spans(hit: np.ndarray, a: int, b: int) -> list[dict[str, int]]:
     return [{"first_word": int(x), "end_word": int(y)} for x, y in zip(edge[::2], edge[1::2])]
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-         item_text: str = "text", window: int = WINDOW, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of ``docs``: hit words, ids of the items found (sorted) and the word spans to remove.
+FOUND = "row long, n_words long, items array<string>, spans array<struct<first_word:long,end_word:long>>"
+_SPANS = pa.list_(pa.struct([("first_word", pa.int64()), ("end_word", pa.int64())]))
 
-    A null or empty text has no words and is never contaminated; a null key stays null; repeated
-    rows are judged each. Benchmark rows without an id or without words are passed over; an empty
-    benchmark hits nothing. Other columns are not looked at.
-    """
-    sent = blocks_of(benchmark, item, item_text, window, block_bytes)
+
+def searched(rows: DataFrame, block, every: bool) -> DataFrame:
+    """What one block's windows hit in (row, text): the words of each text, items and spans; only texts with a hit unless ``every``."""
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
             for s in slices(batch.column(1), lower=True):
-                w, hit, items, n_hit = hits(s, [b.value for b in sent])
-                n = np.diff(w.bounds)
-                spans = [_spans(hit, w.bounds[i], w.bounds[i + 1]) if n_hit[i] else [] for i in range(s.rows)]
+                w, hit, items, n_hit = hits(s, [block.value])
+                keep = np.arange(s.rows) if every else np.flatnonzero(n_hit)
+                spans = [_spans(hit, w.bounds[i], w.bounds[i + 1]) if n_hit[i] else [] for i in keep]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(s.first, s.rows), pa.array(n), pa.array(n_hit), pa.array(items, pa.list_(pa.string())),
-                     pa.array(spans, pa.list_(pa.struct([("first_word", pa.int64()), ("end_word", pa.int64())]))),
-                     pa.array((n_hit > 0) & (share * n_hit >= n))],
-                    names=["doc_id", "n_words", "n_hit", "items", "spans", "contaminated"])
+                    [batch.column(0).slice(s.first, s.rows).take(pa.array(keep)), pa.array(np.diff(w.bounds)[keep]),
+                     pa.array([items[i] for i in keep], pa.list_(pa.string())), pa.array(spans, _SPANS)],
+                    names=["row", "n_words", "items", "spans"])
 
-    return only(docs, key, text).mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(run, FOUND)
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-          window: int = WINDOW, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, with all their columns and unchanged texts."""
-    sent = blocks_of(benchmark, item, item_text, window, block_bytes)
-    place = docs.columns.index(text)
+def merged(found: DataFrame) -> DataFrame:
+    """One row for each row of several passes: items of all, spans united where they touch or overlap."""
 
     def run(batches):
         for batch in batches:
-            keep = np.ones(batch.num_rows, dtype=bool)
-            for s in slices(batch.column(place), lower=True):
-                w, _, _, n_hit = hits(s, [b.value for b in sent])
-                keep[s.first:s.last] = (n_hit == 0) | (share * n_hit < np.diff(w.bounds))
-            yield batch.filter(pa.array(keep))
+            items, spans = [], []
+            for passes in batch.column(2).to_pylist():
+                items.append(sorted({i for p in passes for i in p["items"]}))
+                out: list[dict[str, int]] = []
+                for s in sorted((s for p in passes for s in p["spans"]), key=lambda s: s["first_word"]):
+                    if out and s["first_word"] <= out[-1]["end_word"]:
+                        out[-1]["end_word"] = max(out[-1]["end_word"], s["end_word"])
+                    else:
+                        out.append(dict(s))
+                spans.append(out)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPANS)],
+                                             names=["row", "n_words", "items", "spans"])
+
+    passes = F.collect_list(F.struct("items", "spans"))  # one of each pass at most
+    return found.groupBy("row").agg(F.max("n_words").alias("n_words"), passes.alias("passes")).mapInArrow(run, FOUND)
+
+
+def in_passes(rows: DataFrame, parts: DataFrame, blocks: int, window: int) -> DataFrame:
+    """What all blocks hit in stored (row, text): a pass for each, merged by row."""
+    found = None
+    for b in range(blocks):
+        block = sent_block(parts, b, window)
+        own = stored(searched(rows, block, b == 0), "hits")
+        block.unpersist()
+        found = own if found is None else found.unionByName(own)
+    return merged(found)
+
+
+def judged(found: DataFrame, share: int) -> DataFrame:
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end_word"] - s["first_word"])
+    found = found.withColumn("n_hit", n_hit)
+    return found.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
+         item_text: str = "text", window: int = WINDOW, share: int = SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row per row of ``docs``: hit words, ids of the items found (sorted) and the word spans to remove.
 
-    return docs.mapInArrow(run, docs.schema)
+    A null or empty text has no words and is never contaminated; a null key stays null; repeated
+    rows are judged each. Benchmark rows without an id or without words are passed over; an empty
+    benchmark hits nothing. Other columns are not looked at. The texts are read once for each block.
+    """
+    parts, blocks = blocks_of(benchmark, item, item_text, window, block_words)
+    rows = only(docs, key, text)
+    if blocks == 1:  # nothing to merge: a row needs no number
+        found = searched(rows, sent_block(parts, 0, window), True).withColumnRenamed("row", "doc_id")
+    else:
+        rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+        found = in_passes(rows.select("row", "text"), parts, blocks, window).join(rows.select("row", "doc_id"), "row")
+    return judged(found, share).select("doc_id", "n_words", "n_hit", "items", "spans", "contaminated")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
+          window: int = WINDOW, share: int = SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns and unchanged texts.
+
+    Null and empty texts have no words and stay; repeated rows and rows without a key are judged
+    each. A benchmark of one block is searched where the rows lie.
+    """
+    parts, blocks = blocks_of(benchmark, item, item_text, window, block_words)
+    if blocks == 1:
+        sent, place = sent_block(parts, 0, window), docs.columns.index(text)
+
+        def run(batches):
+            for batch in batches:
+                keep = np.ones(batch.num_rows, dtype=bool)
+                for s in slices(batch.column(place), lower=True):
+                    w, _, _, n_hit = hits(s, [sent.value])
+                    keep[s.first:s.last] = (n_hit == 0) | (share * n_hit < np.diff(w.bounds))
+                yield batch.filter(pa.array(keep))
+
+        return docs.mapInArrow(run, docs.schema)
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    texts = rows.select(F.col(row).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
+    left = judged(in_passes(texts, parts, blocks, window), share).where("NOT contaminated")
+    return rows.join(left.select(F.col("row").alias(row)), row, "left_semi").select(docs.columns)

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .tables import only, stored
+from .tables import in_blocks, only, stored
 from .words import ALNUM, owners, slices, words
 
 TOP = 50
@@ -240,22 +240,6 @@ def found(rows: DataFrame, asked, n_docs: int, n_terms: int, top: int) -> DataFr
     return rows.mapInArrow(run, "item_id long, doc_id long, score long")
 
 
-def _blocks(pairs: DataFrame, most: int) -> tuple[DataFrame, int]:
-    """The pairs with the number of their block, and how many blocks there are.
-
-    All terms of an item are in one block. Blocks are made more until none holds over twice ``most``
-    pairs, or until the largest is one item.
-    """
-    count = max(1, -(-pairs.count() // most))
-    while True:
-        cut = pairs.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(count)))
-        full = cut.groupBy("block").agg(F.count("*").alias("pairs"), F.count_distinct(F.coalesce(F.col("item_id").cast("string"), F.lit("")))
-                                        .alias("items")).where((F.col("pairs") > 2 * most) & (F.col("items") > 1))
-        if full.isEmpty():
-            return cut, count
-        count *= 2
-
-
 def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
            top: int = TOP, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``top`` documents of each item with a score above 0.
@@ -266,7 +250,8 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     or no items the result is empty. Other columns are not looked at.
     """
     spark = docs.sparkSession
-    pairs, blocks = _blocks(stored(item_terms(items, item, item_text), "item_terms"), block_pairs)
+    # all terms of an item are in one block
+    pairs, blocks = in_blocks(stored(item_terms(items, item, item_text), "item_terms"), ["item_id"], F.lit(1), block_pairs)
     out = None
     for b in range(blocks):
         asked = pairs.where(F.col("block") == b).select("item_id", "term").toArrow()

@@ -62,3 +62,18 @@ def numbered(rows: DataFrame, order: list, name: str) -> DataFrame:
     within = F.col("_at") - F.shiftleft("_part", 33)
     return (at.withColumn("_part", F.shiftright("_at", 33)).join(starts, "_part")
             .withColumn("position", within + F.col("_start")).drop("_at", "_part", "_start"))
+
+
+def in_blocks(rows: DataFrame, keys: list[str], weight: Column, most: int) -> tuple[DataFrame, int]:
+    """``rows`` (stored) with the number of their ``block``, and how many blocks there are.
+
+    Rows with equal keys share a block. Blocks are made more until none weighs over twice ``most``, or until
+    what does is one key; so whoever gathers one block knows how much it can be.
+    """
+    count = max(1, -(-int(rows.agg(F.sum(weight)).first()[0] or 0) // most))
+    while True:
+        cut = rows.withColumn("block", F.pmod(F.xxhash64(*keys), F.lit(count)))
+        full = cut.groupBy("block").agg(F.sum(weight).alias("weight"), F.count_distinct(F.struct(*keys)).alias("keys"))
+        if full.where((F.col("weight") > 2 * most) & (F.col("keys") > 1)).isEmpty():
+            return cut, count
+        count *= 2
