@@ -73,6 +73,17 @@ def test_the_order_of_frequent_shingles_changes_nothing(spark, docs, monkeypatch
     same_rows([tuple(r) for r in jaccard.linked(docs).collect()], brute_links(given(docs)))
 
 
+def test_sets_with_one_digest_are_told_apart_by_the_second(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "DIGEST_BITS", 2)
+    same_rows([tuple(r) for r in jaccard.linked(docs).collect()], brute_links(given(docs)))
+    members, pairs = jaccard.links(docs)
+    sets = {}
+    texts = dict(given(docs))
+    for r in members.collect():
+        sets.setdefault(r["entity"], set()).add(shingles(texts[r["doc_id"]]))
+    assert all(len(x) == 1 for x in sets.values()) and pairs.count() >= 1
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.range(200).selectExpr("id + 1 as low", "id as high")
     assert {tuple(r) for r in jaccard.components(edges).collect()} == {(i, 0) for i in range(201)}

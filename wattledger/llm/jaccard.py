@@ -34,6 +34,8 @@ NGRAM = 5
 PERCENT = 80
 #: A shingle in so many texts of one slice counts as frequent there; so many are kept in all.
 FREQUENT_IN_SLICE, FREQUENT_KEPT = 5, 65_536
+#: Bits of the first digest of a set (less in tests); the second has 64.
+DIGEST_BITS = 64
 #: Bits of the map of candidate entities; a false mark costs a row in a shuffle.
 MAP_BITS = 24
 #: Shingles in a cell, and bitmaps in a cell: small groups are put together up to it, large ones cut.
@@ -92,11 +94,19 @@ class Sets:
         return self
 
 
-def digests(sets: Sets) -> np.ndarray:
-    """A 64-bit digest of each set (of shingles as they are, without the frequency order)."""
+def digests(sets: Sets, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of each set (of shingles as they are, without the frequency order); ``bits`` of the first are kept."""
     spread = [mix(sets.key), mix(sets.key * np.uint64(3) + np.uint64(1))]
     total = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)]) for x in spread]
-    return chain([*[t[sets.bounds[1:]] - t[sets.bounds[:-1]] for t in total], sets.size.astype(np.uint64)]).view(np.int64)
+    sums_ = [t[sets.bounds[1:]] - t[sets.bounds[:-1]] for t in total]
+    size = sets.size.astype(np.uint64)
+    return tuple((chain(parts) >> np.uint64(64 - b)).view(np.int64) for parts, b in (([*sums_, size], bits), ([size, *sums_[::-1]], 64)))
+
+
+def entities(sets: Sets, clashes: np.ndarray, bits: int) -> np.ndarray:
+    """What each set is known by: its first digest, or the second where the first is that of other sets too."""
+    first, second = digests(sets, bits)
+    return np.where(np.isin(first, clashes), second, first) if len(clashes) else first
 
 
 def bitmaps(sets: Sets) -> list[bytes]:
@@ -110,22 +120,23 @@ def bitmaps(sets: Sets) -> list[bytes]:
 
 
 def profile(docs: DataFrame, ngram: int) -> DataFrame:
-    """(doc_id, size, entity, bitmap) of every row, and (shingle, times) of the frequent shingles of slices."""
-    schema = "doc_id long, size long, entity long, bitmap binary, shingle long, times long"
+    """(doc_id, size, entity, check, bitmap) of every row, and (shingle, times) of the frequent shingles of slices."""
+    schema = "doc_id long, size long, entity long, check long, bitmap binary, shingle long, times long"
+    bits = DIGEST_BITS
 
     def run(batches):
         for batch in batches:
             for s in slices(batch.column(1), lower=True):
                 sets = Sets(s, ngram)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(s.first, s.rows), pa.array(sets.size), pa.array(digests(sets)),
+                    [batch.column(0).slice(s.first, s.rows), pa.array(sets.size), *map(pa.array, digests(sets, bits)),
                      pa.array(bitmaps(sets), pa.binary()), *[pa.nulls(s.rows, pa.int64())] * 2],
                     names=[c.split()[0] for c in schema.split(", ")])
                 shingle, times = np.unique(sets.key, return_counts=True)
                 often = times >= FREQUENT_IN_SLICE
                 n = int(often.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.nulls(n, pa.int64())] * 3, pa.nulls(n, pa.binary()), pa.array(shingle[often].view(np.int64)), pa.array(times[often])],
+                    [*[pa.nulls(n, pa.int64())] * 4, pa.nulls(n, pa.binary()), pa.array(shingle[often].view(np.int64)), pa.array(times[often])],
                     names=[c.split()[0] for c in schema.split(", ")])
 
     return docs.mapInArrow(run, schema)
@@ -136,15 +147,16 @@ def prefix(size: np.ndarray, percent: int) -> np.ndarray:
     return np.where(size > 0, size - (percent * size + 99) // 100 + 1, 0)
 
 
-def postings(docs: DataFrame, frequent, ngram: int, percent: int) -> DataFrame:
+def postings(docs: DataFrame, frequent, clashes: np.ndarray, ngram: int, percent: int) -> DataFrame:
     """(shingle, entity) of the prefixes; a task emits each entity once."""
+    bits = DIGEST_BITS
 
     def run(batches):
         met: set[int] = set()
         for batch in batches:
             for s in slices(batch.column(1), lower=True):
                 sets = Sets(s, ngram)
-                entity = digests(sets)
+                entity = entities(sets, clashes, bits)
                 new = np.zeros(s.rows, dtype=bool)
                 for i, e in enumerate(entity.tolist()):
                     if e not in met:
@@ -312,15 +324,16 @@ def linked_sets(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.
             yield i, order[found]
 
 
-def candidates_of(docs: DataFrame, frequent, marked, ngram: int) -> DataFrame:
+def candidates_of(docs: DataFrame, frequent, clashes: np.ndarray, marked, ngram: int) -> DataFrame:
     """(entity, size, payload: its shingles) of the documents whose entity is marked; a task emits each entity once."""
+    digest_bits = DIGEST_BITS
 
     def run(batches):
         met: set[int] = set()
         for batch in batches:
             for s in slices(batch.column(1), lower=True):
                 sets = Sets(s, ngram)
-                entity = digests(sets)
+                entity = entities(sets, clashes, digest_bits)
                 slot = entity.view(np.uint64) >> np.uint64(64 - MAP_BITS)
                 bits = marked.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)
                 rows = [i for i in np.flatnonzero(bits).tolist() if entity[i] not in met]
@@ -507,7 +520,14 @@ def compared(docs: DataFrame, ngram: int, percent: int) -> tuple[DataFrame, Data
     table = np.array([(r[0], len(often) - i) for i, r in enumerate(often)], dtype=np.int64).reshape(-1, 2)
     frequent = spark.sparkContext.broadcast(table[np.argsort(table[:, 0])].view(np.uint64))  # the most frequent one last
 
-    met = stars(stored(postings(docs, frequent, ngram, percent), "postings")).select("low", F.explode(F.array("low", "high")).alias("entity")).distinct()
+    # sets are told apart by two digests: where the first alone would not do, the second stands for the set
+    shared = (first.where("shingle IS NULL").groupBy("entity").agg(F.min("check").alias("low"), F.max("check").alias("high"))
+              .where("low != high").select("entity").collect())  # some n * n / 2**65 of n different sets
+    clashes = np.array(sorted(r[0] for r in shared), dtype=np.int64)
+    if len(clashes):
+        first = first.withColumn("entity", F.when(F.col("entity").isin(clashes.tolist()), F.col("check")).otherwise(F.col("entity")))
+
+    met = stars(stored(postings(docs, frequent, clashes, ngram, percent), "postings")).select("low", F.explode(F.array("low", "high")).alias("entity")).distinct()
     bitmap = (first.where("shingle IS NULL").groupBy("entity").agg(F.first("size").alias("size"), F.first("bitmap").alias("payload")))
     met = stored(met.select(F.col("low").alias("root"), "entity").join(bitmap, "entity"), "met")
     near = stored(components(cells(met, "1", CELL_BITMAPS, lambda size, raw: alike(size, raw, percent))), "near")
@@ -519,7 +539,7 @@ def compared(docs: DataFrame, ngram: int, percent: int) -> tuple[DataFrame, Data
         marks[r["word"]] = r["bits"]
     marked = spark.sparkContext.broadcast(marks.view(np.uint64))
 
-    sets = candidates_of(docs, frequent, marked, ngram)
+    sets = candidates_of(docs, frequent, clashes, marked, ngram)
     candidates = stored(sets.join(near.select(F.col("node").alias("entity"), "root"), "entity"), "candidates")
     return first, candidates
 
