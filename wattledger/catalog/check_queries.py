@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..checks import ledger, quality
 from ..functions import codes, dates
-from ..operators import joins
+from ..operators import joins, series
 from ..plans import features as plan
 from ..plans import history
 from . import roles
@@ -264,10 +264,8 @@ def volume_delta(t: Tables):
 @query("run_over_run", f"""WITH {TOTALS}
 SELECT object, run, written, written - lag(written) OVER (PARTITION BY object ORDER BY run) AS step FROM totals""")
 def run_over_run(t: Tables):
-    from pyspark.sql import Window as W
-    before = F.lag("written").over(W.partitionBy("object").orderBy("run"))
-    return ledger.run_totals(roles.run_log(t), done="DONE").select(
-        "object", "run", "written", (F.col("written") - before).alias("step"))
+    totals = ledger.run_totals(roles.run_log(t), done="DONE").select("object", "run", "written")
+    return series.with_step(totals, "object", "run", "written")
 
 
 @query("run_pivot", f"""WITH {TOTALS}

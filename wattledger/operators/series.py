@@ -128,6 +128,11 @@ def latest_rows(rows: DataFrame, keys: list[str], newest: list[str]) -> DataFram
     return rows.groupBy(*keys).agg(packed).select(*keys, "__latest.*").select(*rows.columns)
 
 
+def with_step(log: DataFrame, key: str, run: str, value: str, name: str = "step") -> DataFrame:
+    """What each run has more than the run before it of the same key; NULL for the first. For one row per key and run."""
+    return log.withColumn(name, F.col(value) - F.lag(value).over(W.partitionBy(key).orderBy(run)))
+
+
 def run_over_run(log: DataFrame, key: str, newest: list[str], value: str) -> DataFrame:
     """Value of the latest run beside that of the run before it; keys with one run drop out."""
     order = [F.col(c).desc() for c in newest]
