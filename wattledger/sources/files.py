@@ -203,25 +203,22 @@ def freshness(tables: dict[str, tuple[DataFrame, str | None]], as_of, max_hours:
 
 def stale_files(spark: SparkSession, paths: dict[str, str], as_of: datetime,
                 max_hours: float) -> list[tuple[str, str]]:
-    """All (name, reason) whose newest file is missing or too old; 0 hours switches it off."""
+    """All (name, reason) whose newest file is missing or too old; 0 hours switches it off.
+
+    Only file metadata is listed, of all paths in one job.
+    """
     if max_hours <= 0:
         return []
-    bad = []
     limit = as_of - timedelta(hours=max_hours)
+    written: dict[str, datetime | None] = dict.fromkeys(paths)
+    rows = []
     for name, path in paths.items():
-        newest = newest_write(spark, path)
-        if newest is None:
-            bad.append((name, "missing or not readable"))
-        elif newest < limit:
-            bad.append((name, f"written {newest:%Y-%m-%d %H:%M}, before {limit:%Y-%m-%d %H:%M}"))
-    return bad
-
-
-def newest_write(spark: SparkSession, path: str) -> datetime | None:
-    """Latest write time of the files below a path; only file metadata is listed."""
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-                 .select("modificationTime"))
-    except AnalysisException:
-        return None
-    return files.agg(F.max("modificationTime")).first()[0]
+        try:
+            listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        except AnalysisException:
+            continue
+        rows.append(listed.agg(F.max("modificationTime").alias("newest")).select(F.lit(name).alias("name"), "newest"))
+    if rows:
+        written |= {r["name"]: r["newest"] for r in reduce(DataFrame.unionByName, rows).collect()}
+    return [(name, "missing or not readable" if newest is None else f"written {newest:%Y-%m-%d %H:%M}, before {limit:%Y-%m-%d %H:%M}")
+            for name, newest in written.items() if newest is None or newest < limit]
