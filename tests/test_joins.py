@@ -132,3 +132,25 @@ def test_first_available(spark):
     some = spark.createDataFrame([(5,), (3,)], "k int")
     every = spark.createDataFrame([(1,)], "k int")
     assert [tuple(r) for r in sets.first_available("k", none, some, every).collect()] == [(3, 2)]
+
+
+def test_an_open_window_stands_in_no_month_after_the_last_point(spark):
+    points = spark.createDataFrame([(1, datetime(2026, 2, 3)), (1, datetime(2026, 3, 1)), (2, datetime(2026, 1, 5))], "k int, at timestamp")
+    windows = spark.createDataFrame([(1, datetime(2025, 12, 20), None), (1, datetime(2026, 3, 2), None), (2, datetime(2026, 1, 6), None)],
+                                    "w int, opened timestamp, ended timestamp")
+    far = F.lit(datetime(2126, 1, 1))
+    met = joins.inside(points, windows, {"k": "w"}, "at", "opened", "ended", open_end=far)
+    assert sorted((r["k"], r["at"].month, r["opened"].month) for r in met.collect()) == [(1, 2, 12), (1, 3, 12)]
+    generated = [n for n in nodes(met._jdf.queryExecution().executedPlan()) if n.nodeName().startswith("Generate")]
+    assert sum(n.metrics().apply("numOutputRows").value() for n in generated) == 4 + 3
+    assert joins.inside(points.limit(0), windows, {"k": "w"}, "at", "opened", "ended", open_end=F.lit(datetime(2026, 6, 1))).count() == 0
+
+
+def nodes(plan):
+    """All nodes of an executed plan, those of its stages too."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.executedPlan()
+    yield plan
+    below = [plan.plan()] if "QueryStage" in plan.nodeName() else [plan.children().apply(i) for i in range(plan.children().size())]
+    for child in below:
+        yield from nodes(child)

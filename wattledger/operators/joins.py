@@ -60,11 +60,13 @@ def inside(points: DataFrame, windows: DataFrame, equal: dict[str, str], at: str
 
     A missing window end is replaced by ``open_end``. The two sides must not share names. Points and
     windows meet by entity and month: a window stands in each month it touches, a point in its own, so
-    a point is compared only with windows near it, and each pair meets once.
+    a point is compared only with windows near it, and each pair meets once. A window without an end
+    stands in no month after the last point, however long it has been open.
     """
     stop = F.col(end) if open_end is None else F.coalesce(F.col(end), open_end)
-    months = F.sequence(F.trunc(F.to_date(start), "month"), F.trunc(F.to_date(stop), "month"), F.expr("interval 1 month"))
-    ordered = F.col(start) <= stop
+    last = stop if open_end is None else F.least(stop, points.agg(F.max(at)).scalar())
+    months = F.sequence(F.trunc(F.to_date(start), "month"), F.trunc(F.to_date(last), "month"), F.expr("interval 1 month"))
+    ordered = F.col(start) <= last
     spread = windows.where(ordered).withColumn("__month", F.explode(months))
     dated = points.withColumn("__at", F.trunc(F.to_date(at), "month"))
     cond = (F.col("__at") == F.col("__month")) & (F.col(at) >= F.col(start)) & (F.col(at) <= stop)
