@@ -146,6 +146,26 @@ def test_an_open_window_stands_in_no_month_after_the_last_point(spark):
     assert joins.inside(points.limit(0), windows, {"k": "w"}, "at", "opened", "ended", open_end=F.lit(datetime(2026, 6, 1))).count() == 0
 
 
+def test_repeated_windows_are_not_broadcast_and_long_ones_stand_in_years(spark, tmp_path):
+    """Their size on disk says nothing of how often they are repeated."""
+    day = datetime(2000, 1, 15)
+    spark.range(200).select((F.col("id") % 50).alias("w"), F.lit(day).alias("opened"), F.when(F.col("id") % 2 == 0, F.lit(day + timedelta(days=20))).alias("ended"),
+                            F.col("id").alias("n")).write.parquet(str(tmp_path / "windows"))
+    at = [day + timedelta(days=d) for d in (-1, 0, 20, 21, 400, 10_000)]
+    spark.createDataFrame([(k, a) for k in range(50) for a in at], "k long, at timestamp").write.parquet(str(tmp_path / "points"))
+    points, windows = spark.read.parquet(str(tmp_path / "points")), spark.read.parquet(str(tmp_path / "windows"))
+    met = joins.inside(points, windows, {"k": "w"}, "at", "opened", "ended", open_end=F.lit(datetime(2126, 1, 1)))
+    rows = met.collect()
+    assert len(rows) == len({(r["n"], r["at"]) for r in rows}) == 100 * 2 + 100 * 5
+    plan = met._jdf.queryExecution().executedPlan()
+    assert "BroadcastExchange" not in plan.toString()
+    generated = [n for n in nodes(plan) if n.nodeName().startswith("Generate")]
+    years = at[-1].year - day.year + 1
+    assert sum(n.metrics().apply("numOutputRows").value() for n in generated) == 100 * 2 + 100 * years
+    kept = joins.inside(points, windows, {"k": "w"}, "at", "opened", "ended", open_end=F.lit(datetime(2126, 1, 1)), how="left")
+    assert kept.where("n IS NULL").count() == 125 and kept.count() == 125 + 700
+
+
 def nodes(plan):
     """All nodes of an executed plan, those of its stages too."""
     if plan.nodeName() == "AdaptiveSparkPlan":

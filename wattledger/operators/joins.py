@@ -60,19 +60,29 @@ def inside(points: DataFrame, windows: DataFrame, equal: dict[str, str], at: str
 
     A missing window end is replaced by ``open_end``. The two sides must not share names. Points and
     windows meet by entity and month: a window stands in each month it touches, a point in its own, so
-    a point is compared only with windows near it, and each pair meets once. A window without an end
-    stands in no month after the last point, however long it has been open.
+    a point is compared only with windows near it, and each pair meets once. A window of twelve months or
+    more stands in the years it touches instead (in an inner join), so it is not repeated for all its months. A window
+    without an end stands in no month after the last point, however long it has been open. Spark's size
+    check takes the repeated windows for as small as the stored ones, so both sides are sorted and merged
+    and neither is gathered on the driver.
     """
     stop = F.col(end) if open_end is None else F.coalesce(F.col(end), open_end)
     last = stop if open_end is None else F.least(stop, points.agg(F.max(at)).scalar())
-    months = F.sequence(F.trunc(F.to_date(start), "month"), F.trunc(F.to_date(last), "month"), F.expr("interval 1 month"))
     ordered = F.col(start) <= last
-    spread = windows.where(ordered).withColumn("__month", F.explode(months))
-    dated = points.withColumn("__at", F.trunc(F.to_date(at), "month"))
-    cond = (F.col("__at") == F.col("__month")) & (F.col(at) >= F.col(start)) & (F.col(at) <= stop)
-    for left, right in equal.items():
-        cond = cond & (F.col(left) == F.col(right))
-    return dated.join(spread, cond, how).drop("__at", "__month")
+    long = F.months_between(F.trunc(F.to_date(last), "month"), F.trunc(F.to_date(start), "month")) >= 12
+
+    def met(some: Column, unit: str) -> DataFrame:
+        places = F.sequence(F.trunc(F.to_date(start), unit), F.trunc(F.to_date(last), unit), F.expr(f"interval 1 {unit}"))
+        spread = windows.where(ordered & some).withColumn("__place", F.explode(places))
+        dated = points.withColumn("__at", F.trunc(F.to_date(at), unit))
+        cond = (F.col("__at") == F.col("__place")) & (F.col(at) >= F.col(start)) & (F.col(at) <= stop)
+        for left, right in equal.items():
+            cond = cond & (F.col(left) == F.col(right))
+        return dated.join(spread.hint("merge"), cond, how).drop("__at", "__place")
+
+    if how != "inner":  # rows without a partner must not be told twice
+        return met(F.lit(True), "month")
+    return met(~long, "month").unionByName(met(long, "year"))
 
 
 def both_sides(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
