@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattledger.catalog import chain_queries
 from wattledger.catalog.registry import Tables
-from wattledger.plans import chain
+from wattledger.plans import chain, extract
 from wattledger.sources import contracts
 
 SF = "/root/testdata/sf0.001"
@@ -103,3 +103,16 @@ def test_latest_is_one_row_per_key_under_ties(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Join" not in plan
     assert series.latest(rows.where("key IS NULL"), ["key"], ["at"], ["value"]).count() == 0
+
+
+def test_charges_meet_their_bills_before_they_are_summed(spark):
+    """A sum by bill and period before the join has about as many groups as lines, all held by a task at once."""
+    lines = spark.createDataFrame([(1, 10, 7, 7, "DB", 5.0), (1, 10, 7, None, "DB", 2.0), (1, 10, 7, 6, "CR", 1.5), (1, 10, 7, 6, "XX", 9.0),
+                                   (1, 10, 8, 7, "DB", 3.0), (2, 11, 7, 5, "DB", 4.0), (2, 11, 7, 5, "DB", None), (None, 12, 7, 7, "DB", 1.0)],
+                                  "service long, bill long, bill_period long, period long, sign string, amount double")
+    bills = spark.createDataFrame([(1, 10, 7, 7), (2, 11, 7, 7), (2, 11, 7, 7), (None, 12, 7, 7), (3, 13, 7, 7)],
+                                  "service long, bill long, bill_period long, period long")
+    got = extract.own_and_recovered(lines, bills)
+    assert sorted(tuple(r) for r in got.collect()) == [(10, 7.0, -1.5), (11, None, 8.0)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and plan.index("Aggregate [") < plan.index("Join Inner")

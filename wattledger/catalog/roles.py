@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..operators import joins
 from .registry import Tables
 
 FIRST_DAY = date(2024, 1, 1)
@@ -280,7 +281,7 @@ def charge_lines(t: Tables) -> DataFrame:
         F.col("l_extendedprice").alias("amount"), F.col("l_shipdate").alias("created_at"))
     owner = t.orders.select(F.col("o_orderkey").alias("bill"), F.col("o_custkey").alias("service"),
                             month_id("o_orderdate").alias("bill_period"))
-    return lines.join(owner, "bill")
+    return lines.join(joins.merged(owner), "bill")
 
 
 LINES = """lines AS (

@@ -17,7 +17,15 @@ def keep_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
 
 def keep_known(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """:func:`keep_keys` for stored keys that are distinct and complete already: they are joined as they are read."""
-    return rows.join(keys.select(*on), on, "left_semi")
+    return rows.join(merged(keys.select(*on)), on, "left_semi")
+
+
+def merged(side: DataFrame) -> DataFrame:
+    """A side of a join that grows with the facts: sorted and merged, never gathered on the driver.
+
+    Spark's size check goes by stored bytes, and compressed keys and dates take many times as much once read.
+    """
+    return side.hint("merge")
 
 
 def drop_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
@@ -78,7 +86,7 @@ def inside(points: DataFrame, windows: DataFrame, equal: dict[str, str], at: str
         cond = (F.col("__at") == F.col("__place")) & (F.col(at) >= F.col(start)) & (F.col(at) <= stop)
         for left, right in equal.items():
             cond = cond & (F.col(left) == F.col(right))
-        return dated.join(spread.hint("merge"), cond, how).drop("__at", "__place")
+        return dated.join(merged(spread), cond, how).drop("__at", "__place")
 
     if how != "inner":  # rows without a partner must not be told twice
         return met(F.lit(True), "month")

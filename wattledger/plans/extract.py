@@ -197,7 +197,7 @@ def open_orders(orders: DataFrame, activities: DataFrame, subscriptions: DataFra
     """Activities of the quality task whose order is neither cancelled nor closed."""
     live = orders.where((F.col("state") != settings["cancelled_state"]) & F.col("closed_at").isNull())
     mine = activities.where(F.col("task") == settings["quality_task"])
-    rows = mine.join(live.select("order", "state", "created_at"), "order")
+    rows = mine.join(joins.merged(live.select("order", "state", "created_at")), "order")
     rows = joins.lookup(rows, subscriptions, {"service": "service"}, {"premises": "premises"})
     rows = joins.lookup(rows, activity_names, {"activity": "code"}, {"text": "__activity"})
     rows = joins.lookup(rows, state_names, {"state": "code"}, {"text": "__state"})
@@ -217,7 +217,7 @@ def bills(accounts: DataFrame, invoices: DataFrame, bill_windows: DataFrame,
                                   F.col("month").alias("bill_month"), F.col("cycle"),
                                   F.col("ends").alias("__window_end"), "period")
     periods = use_periods.select("period", F.col("cycle"), "starts", F.col("ends").alias("__ends"))
-    rows = (accounts.join(invoices, "invoice").where(wanted)
+    rows = (accounts.join(joins.merged(invoices), "invoice").where(wanted)
             .join(windows, "bill_period").join(periods, ["period", "cycle"]))
     latest = series.last_rows(rows, ["service"],
                               [F.col("__window_end").desc(), F.col("bill").desc()],
@@ -233,16 +233,16 @@ def bills(accounts: DataFrame, invoices: DataFrame, bill_windows: DataFrame,
 def own_and_recovered(charge_lines: DataFrame, bills: DataFrame) -> DataFrame:
     """Signed charges of each bill, split by whether their period is that of the bill.
 
-    Lines are summed per bill and period before they meet the bills.
+    Lines meet their bills first: a bill has few lines, so sums by bill and period would be about as many
+    as the lines, and a task would hold them all at once.
     """
     key = ["service", "bill", "bill_period"]
-    sums = (charge_lines.withColumn("__signed", amounts.debit_or_credit("sign", "amount"))
-            .groupBy(*key, F.col("period").alias("__period")).agg(F.sum("__signed").alias("__sum")))
-    met = sums.join(bills, key)
+    signed = charge_lines.select(*key, F.col("period").alias("__period"), amounts.debit_or_credit("sign", "amount").alias("__signed"))
+    met = signed.join(joins.merged(bills), key)
     own = F.coalesce(F.col("__period"), F.col("period"))
     return met.groupBy("bill").agg(
-        groups.sum_where(own == F.col("period"), "__sum").alias("own_amount"),
-        groups.sum_where(own != F.col("period"), "__sum").alias("recovered_amount"))
+        groups.sum_where(own == F.col("period"), "__signed").alias("own_amount"),
+        groups.sum_where(own != F.col("period"), "__signed").alias("recovered_amount"))
 
 
 def charges(lines: DataFrame, accounts: DataFrame, invoices: DataFrame, bill_windows: DataFrame,
@@ -253,10 +253,10 @@ def charges(lines: DataFrame, accounts: DataFrame, invoices: DataFrame, bill_win
     A bill brings year and month of its period with it, and what a period is called and when it runs is put
     together first, so a line meets its bill once and one small table of periods once.
     """
-    billed = accounts.select("bill", "invoice").join(invoices.select("invoice", "bill_period"), "invoice")
+    billed = accounts.select("bill", "invoice").join(joins.merged(invoices.select("invoice", "bill_period")), "invoice")
     billed = joins.lookup(billed, bill_windows, {"bill_period": "bill_period"}, {"year": "bill_year", "month": "bill_month"}).drop("invoice")
     periods = joins.both_sides(use_periods.select("period", "starts", "ends"), bill_windows.select("period", "year", "month"), ["period"])
-    rows = lines.join(billed, "bill", "left")
+    rows = lines.join(joins.merged(billed), "bill", "left")
     rows = joins.lookup(rows, periods, {"period": "period"}, {"starts": "__starts", "ends": "__ends", "year": "__year", "month": "__month"})
     rows = joins.lookup(rows, concepts, {"concept_code": "code"}, {"text": "__concept"})
     rows = joins.lookup(rows, causes, {"cause_code": "code"}, {"text": "__cause"})
@@ -279,7 +279,7 @@ def requests(packages: DataFrame, motives: DataFrame, kinds: DataFrame, states:
              keys: DataFrame | None = None) -> DataFrame:
     """Requests of the services: kind and state must exist, the other names may not."""
     mine = motives if keys is None else joins.keep_keys(motives, keys, ["service"])
-    rows = mine.select("service", "request").join(packages, "request")
+    rows = mine.select("service", "request").join(joins.merged(packages), "request")
     rows = (rows.join(kinds.select(F.col("code").alias("kind_code"), F.col("text").alias("__kind")), "kind_code")
             .join(states.select(F.col("code").alias("state_code"), F.col("text").alias("__state")), "state_code"))
     rows = joins.lookup(rows, channels, {"channel_code": "code"}, {"text": "__channel"})
@@ -360,8 +360,8 @@ def review_orders(drivers: DataFrame, criticals: DataFrame, cases: DataFrame, or
         F.when(F.col("task").isin(*INVESTIGATION_TASKS), F.struct(case.alias("source"), F.col("request").alias("ref"))),
         F.when(F.col("activity") == settings["decision_activity"], F.struct(decision.alias("source"), F.col("order").alias("ref")))))
     serving = F.col("activity").isin(settings["review_activity"], settings["decision_activity"]) | F.col("task").isin(*INVESTIGATION_TASKS)
-    tagged = (activities.where(serving).join(orders.select("order", "created_at", "closed_at", "state"), "order")
-              .join(closed_by, "order", "left"))
+    tagged = (activities.where(serving).join(joins.merged(orders.select("order", "created_at", "closed_at", "state")), "order")
+              .join(joins.merged(closed_by), "order", "left"))
     tagged = tagged.select("order", "service", "task", "activity", "created_at", "closed_at", "state", "closed_by", F.explode(serves).alias("serves"))
     met = (tagged.select("*", "serves.*").drop("serves").join(named, ["source", "service", "ref"], "left")
            .where((F.col("source") == decision) | F.col("named").isNotNull()).join(spans, "service"))
