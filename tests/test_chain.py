@@ -5,8 +5,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from wattledger.catalog import chain_queries
+from wattledger.catalog import chain_queries, extract_queries, roles
 from wattledger.catalog.registry import Tables
+from wattledger.operators import joins
 from wattledger.plans import chain, extract
 from wattledger.sources import contracts
 
@@ -116,3 +117,12 @@ def test_charges_meet_their_bills_before_they_are_summed(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(10, 7.0, -1.5), (11, None, 8.0)]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate [") == 1 and plan.index("Aggregate [") < plan.index("Join Inner")
+
+
+def test_sides_that_grow_with_the_facts_are_not_gathered_on_the_driver(spark, tables, tmp_path):
+    spark.range(100).select(F.col("id").alias("service"), F.lit("s").alias("step")).write.parquet(str(tmp_path / "keys"))
+    keys = spark.read.parquet(str(tmp_path / "keys"))
+    for made in (chain_queries.sold_lines(tables), roles.charge_lines(tables), extract_queries.order_activities(tables),
+                 joins.keep_known(spark.range(100_000).withColumnRenamed("id", "service"), keys, ["service"])):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan

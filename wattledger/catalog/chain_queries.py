@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..checks import schemas
+from ..operators import joins
 from ..plans import chain, extract
-from ..session import shared_folder
+from ..session import shared_folder, written
 from ..sources import contracts, files
 from . import extract_queries as ex
 from . import roles
@@ -25,13 +26,13 @@ TABLES = ("open_orders", "services", "readings", "consumption", "review_orders",
 def sold_lines(t: Tables) -> DataFrame:
     """Line items with the customer and the day of their order."""
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
-    return lines.join(ex.line_owner(t), "l_orderkey").withColumns({
+    return lines.join(joins.merged(ex.line_owner(t)), "l_orderkey").withColumns({
         "kind": F.when(F.col("l_suppkey") % 2 == 0, 3).otherwise(6).cast("bigint"), "period": roles.month_id("l_shipdate")})
 
 
 def sources(t: Tables) -> dict[str, DataFrame]:
     """The given tables in the roles of the source tables. Three customers with neighbouring numbers share a premises."""
-    lines, part = sold_lines(t), F.col("l_partkey")
+    lines, part = written(sold_lines(t), "sold_lines"), F.col("l_partkey")
     premises = F.floor(F.col("c_custkey") / 3).cast("bigint")
     subscriptions, places, customers, frequencies, balances, billable, names = ex.master_parts(t)
     homes = t.customer.where(F.col("c_custkey") % 3 == 0).select(premises.alias("premises"), F.col("c_nationkey").alias("nation"))
@@ -48,7 +49,7 @@ def sources(t: Tables) -> dict[str, DataFrame]:
     cases = lines.where(F.col("l_returnflag") == "A")
     ref = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("activity_ref")
     return {
-        "orders": ex.order_states(t), "activities": ex.order_activities(t),
+        "orders": ex.order_states(t), "activities": written(ex.order_activities(t), "activities"),
         "subscriptions": subscriptions.drop("premises").withColumn("premises", F.floor(F.col("service") / 3).cast("bigint")),
         "premises": homes.join(places.withColumnRenamed("premises", "nation"), "nation").drop("nation"), "customers": customers, "frequencies": frequencies,
         "balances": balances, "billable": billable, "use_lines": used, "reading_lines": read, "use_periods": ex.month_periods(t),

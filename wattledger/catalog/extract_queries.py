@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..operators import joins
 from ..plans import extract
 from ..session import written
 from ..settings import DEFAULTS
@@ -376,7 +377,7 @@ def order_states(t: Tables):
 def order_activities(t: Tables):
     """Line items as activities of their order."""
     owner = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("service"))
-    return activities_of(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus").join(owner, "l_orderkey"))
+    return activities_of(t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus").join(joins.merged(owner), "l_orderkey"))
 
 
 def activities_of(lines):
@@ -572,7 +573,7 @@ def comments(t: Tables):
     dated = t.orders.select(F.col("o_orderkey").alias("order"), "o_orderdate")
     return t.conversations.select(
         F.col("conv_id").alias("order"), "turn", F.when(F.col("role") == "user", 1).when(F.col("role") == "assistant", 2).otherwise(3).alias("kind_code"),
-        F.col("text").alias("comment")).join(dated, "order").withColumn(
+        F.col("text").alias("comment")).join(joins.merged(dated), "order").withColumn(
         "recorded_at", F.timestamp_add("DAY", F.col("turn").cast("int"), "o_orderdate"))
 
 
