@@ -1,5 +1,6 @@
 """The chain of extracts: what drives what, empty steps, and how later sources are pruned."""
 
+import time
 from datetime import datetime
 
 import pytest
@@ -7,8 +8,10 @@ from pyspark.sql import functions as F
 
 from wattledger.catalog import chain_queries, extract_queries, roles
 from wattledger.catalog.registry import Tables
+from wattledger.functions import codes
 from wattledger.operators import joins
 from wattledger.plans import chain, extract
+from wattledger.session import written
 from wattledger.sources import contracts
 
 SF = "/root/testdata/sf0.001"
@@ -126,3 +129,57 @@ def test_sides_that_grow_with_the_facts_are_not_gathered_on_the_driver(spark, ta
                  joins.keep_known(spark.range(100_000).withColumnRenamed("id", "service"), keys, ["service"])):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_charges_and_activities_are_the_stored_lines(tables):
+    """The orders meet the lines once; the months there are come from a small stored table, not from another scan of all lines."""
+    sources = chain_queries.sources(tables)
+    for name in ("activities", "charge_lines", "use_lines", "criticals", "cases", "observations", "use_periods", "bill_windows"):
+        plan = sources[name]._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "lineitem.parquet" not in plan and "orders.parquet" not in plan, name
+    for name, made in (("activities", extract_queries.order_activities(tables)), ("charge_lines", roles.charge_lines(tables))):
+        assert sources[name].columns == made.columns or set(sources[name].columns) == set(made.columns)
+        own = sources[name].select(*made.columns)
+        assert own.exceptAll(made).count() == made.exceptAll(own).count() == 0, name
+
+
+def test_the_shuffle_files_of_a_step_go_as_it_ends(spark, tmp_path):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def kept():
+        found = blocks.getAllBlocks()
+        return {str(found.apply(i)) for i in range(found.size()) if str(found.apply(i)).startswith("shuffle_")}
+
+    landing = chain.Landing(spark, str(tmp_path))
+    rows = spark.range(1000).select((F.col("id") % 7).alias("service"), "id")
+    before = kept()
+    assert landing.store("sums", rows.groupBy("service").agg(F.sum("id").alias("n"))).count() == 7  # the count itself leaves its own
+    landing.hand("all", rows.select("service"))
+    written(rows.groupBy("service").count(), "counts")
+    until = time.time() + 20
+    while len(kept() - before) > 2 and time.time() < until:
+        time.sleep(0.2)
+    assert len(kept() - before) <= 2
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_a_step_deals_its_rows_by_service_once(spark, tmp_path):
+    landing = chain.Landing(spark, str(tmp_path))
+    landing.hand("services", spark.createDataFrame([(1,), (2,)], "service long"))
+    cells = spark.createDataFrame([(1, 5, 3), (2, 5, 3), (3, 5, 3)], "service long, period long, kind long")
+    lines = spark.createDataFrame([(1, 5, 3, 2.0), (1, 5, 3, 1.0), (2, 6, 3, 1.0), (3, 5, 3, 1.0), (None, 5, 3, 1.0)],
+                                  "service long, period long, kind long, amount double")
+    kept = landing.keep(lines, "services", "service")
+    sums = kept.groupBy("service", "period", "kind").agg(F.sum("amount").alias("amount"))
+    with landing.step():
+        both = sums.join(joins.merged(cells), ["service", "period", "kind"])
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert [tuple(r) for r in both.collect()] == [(1, 5, 3, 3.0)]
+    assert plan.count("Exchange hashpartitioning") == 3  # lines, keys and cells: the sums stay where they are
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_observations_outside_the_reviewed_cells_are_not_stored(built):
+    reviews, stored = built.get("review_orders"), built.spark.read.parquet(built.path("stored/observations"))
+    reviewed = keys(reviews.select("service", codes.leading_code("kind_text").cast("bigint").alias("kind"), "period").dropna(), "service", "kind", "period")
+    assert stored.count() > 0 and keys(stored, "service", "kind", "period") <= reviewed

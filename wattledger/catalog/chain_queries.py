@@ -24,15 +24,22 @@ TABLES = ("open_orders", "services", "readings", "consumption", "review_orders",
 
 
 def sold_lines(t: Tables) -> DataFrame:
-    """Line items with the customer and the day of their order."""
-    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate")
-    return lines.join(joins.merged(ex.line_owner(t)), "l_orderkey").withColumns({
+    """Line items with the customer and the month of their order: all that the lines need in any of their roles."""
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
+                              "l_linestatus", "l_shipdate")
+    owner = ex.line_owner(t).select("l_orderkey", "service", roles.month_id("o_orderdate").alias("bill_period"))
+    return lines.join(joins.merged(owner), "l_orderkey").withColumns({
         "kind": F.when(F.col("l_suppkey") % 2 == 0, 3).otherwise(6).cast("bigint"), "period": roles.month_id("l_shipdate")})
 
 
 def sources(t: Tables) -> dict[str, DataFrame]:
-    """The given tables in the roles of the source tables. Three customers with neighbouring numbers share a premises."""
+    """The given tables in the roles of the source tables. Three customers with neighbouring numbers share a premises.
+
+    Lines that know their order, and the few months there are, are written once for all their roles and steps.
+    """
     lines, part = written(sold_lines(t), "sold_lines"), F.col("l_partkey")
+    windows = written(ex.month_windows(t), "month_windows")
+    periods = written(ex.month_periods(t, windows), "month_periods")
     premises = F.floor(F.col("c_custkey") / 3).cast("bigint")
     subscriptions, places, customers, frequencies, balances, billable, names = ex.master_parts(t)
     homes = t.customer.where(F.col("c_custkey") % 3 == 0).select(premises.alias("premises"), F.col("c_nationkey").alias("nation"))
@@ -49,18 +56,18 @@ def sources(t: Tables) -> dict[str, DataFrame]:
     cases = lines.where(F.col("l_returnflag") == "A")
     ref = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("activity_ref")
     return {
-        "orders": ex.order_states(t), "activities": written(ex.order_activities(t), "activities"),
+        "orders": ex.order_states(t), "activities": ex.activities_of(lines),
         "subscriptions": subscriptions.drop("premises").withColumn("premises", F.floor(F.col("service") / 3).cast("bigint")),
         "premises": homes.join(places.withColumnRenamed("premises", "nation"), "nation").drop("nation"), "customers": customers, "frequencies": frequencies,
-        "balances": balances, "billable": billable, "use_lines": used, "reading_lines": read, "use_periods": ex.month_periods(t),
-        "bill_windows": ex.month_windows(t), "devices": ex.devices(t),
+        "balances": balances, "billable": billable, "use_lines": used, "reading_lines": read, "use_periods": periods,
+        "bill_windows": windows, "devices": ex.devices(t),
         "routes": t.customer.select(F.col("c_custkey").alias("service"), (F.col("c_custkey") % 5).cast("int").alias("route_cycle")),
         "criticals": lines.select("service", "kind", "period", ref),
         "cases": cases.select("service", "kind", "period", F.col("l_orderkey").alias("request"), F.col("l_shipdate").alias("recorded_at")),
         "changes": ex.changes(t.lineitem), "people": ex.people(t), "users": ex.users(t), "comments": ex.comments(t),
         "observations": lines.select("service", "kind", "period", F.col("l_shipdate").alias("observed_at"),
                                      F.concat("l_returnflag", "l_linestatus").alias("comment")),
-        "accounts": ex.accounts(t), "invoices": ex.invoices(t), "charge_lines": roles.charge_lines(t), "packages": packages, "motives": motives,
+        "accounts": ex.accounts(t), "invoices": ex.invoices(t), "charge_lines": roles.as_charges(lines, "service", "bill_period"), "packages": packages, "motives": motives,
         "investigations": cases.select("service", "kind", "period", F.col("l_orderkey").alias("request"), (part % 4).alias("state"),
                                        F.col("l_shipdate").alias("recorded_at")),
         "loss_files": ex.loss_sources(t)}

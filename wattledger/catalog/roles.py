@@ -273,12 +273,17 @@ def line_columns() -> dict[str, Column]:
         "tariff": (F.col("l_partkey") % 10).cast("double")}
 
 
-def charge_lines(t: Tables) -> DataFrame:
-    """Line items as charge lines of a bill, with the customer as service."""
-    lines = t.lineitem.withColumns(line_columns()).select(
+def as_charges(lines: DataFrame, *more: str) -> DataFrame:
+    """Line items as charge lines of a bill."""
+    return lines.withColumns(line_columns()).select(
         F.col("l_orderkey").alias("bill"), "period", "concept_code", "cause_code", "sign",
         "program_code", "document", "tariff", F.col("l_quantity").alias("units"),
-        F.col("l_extendedprice").alias("amount"), F.col("l_shipdate").alias("created_at"))
+        F.col("l_extendedprice").alias("amount"), F.col("l_shipdate").alias("created_at"), *more)
+
+
+def charge_lines(t: Tables) -> DataFrame:
+    """Line items as charge lines of a bill, with the customer as service."""
+    lines = as_charges(t.lineitem)
     owner = t.orders.select(F.col("o_orderkey").alias("bill"), F.col("o_custkey").alias("service"),
                             month_id("o_orderdate").alias("bill_period"))
     return lines.join(joins.merged(owner), "bill")

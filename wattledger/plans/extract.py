@@ -48,33 +48,37 @@ def first_periods(windows: DataFrame, by: list[str]) -> DataFrame:
 
 
 def analysed_cells(use_lines: DataFrame, reading_lines: DataFrame, use_periods: DataFrame,
-                   bill_windows: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """(service, period, type) cells of the last analysed period ends of each service."""
+                   bill_windows: DataFrame, settings: Settings = DEFAULTS, dated_periods: DataFrame | None = None) -> DataFrame:
+    """(service, period, type) cells of the last analysed period ends of each service.
+
+    ``dated_periods`` is the :func:`period_lookup` of the two tables, where it is at hand.
+    """
     keys = ["service", "period", "kind"]
     seen = sets.union_distinct(
         use_lines.where(F.col("method") == settings["billed_method"]).select(*keys),
         reading_lines.where(F.col("status") == READ_OK).select(*keys))
-    dated = seen.join(period_lookup(use_periods, bill_windows), "period")
+    dated = seen.join(period_lookup(use_periods, bill_windows) if dated_periods is None else dated_periods, "period")
     return series.last_distinct(dated, "service", "ends", settings["analysed_periods"])
 
 
 def readings(cells: DataFrame, use_lines: DataFrame, reading_lines: DataFrame,
              devices: DataFrame, kinds: DataFrame, notes: DataFrame,
-             settings: Settings = DEFAULTS) -> DataFrame:
+             settings: Settings = DEFAULTS, loss_lines: DataFrame | None = None) -> DataFrame:
     """Readings and billed use of the analysed cells, side by side per device.
 
     The cell is matched on the keys of the full outer join, which are filled from either
-    side; comparing with each side by OR would compare every pair of rows.
+    side; comparing with each side by OR would compare every pair of rows. ``loss_lines`` has the
+    lines in which losses are counted, where ``use_lines`` holds those of the cells only.
     """
     keys = ["service", "period", "kind", "device_id"]
     read = reading_lines.where(F.col("status") == READ_OK).drop("status")
     billed = (use_lines.where(F.col("method") == settings["billed_method"])
               .groupBy(*keys).agg(F.sum("amount").alias("billed_use")))
     both = joins.both_sides(read, billed, keys)
-    losses = (use_lines.where(F.col("method") == LOSS_METHOD)
+    losses = ((use_lines if loss_lines is None else loss_lines).where(F.col("method") == LOSS_METHOD)
               .groupBy("service", "kind", "bill_period").agg(F.count(F.lit(1)).alias("__losses")))
-    rows = (cells.join(both, ["service", "period", "kind"])
-            .join(losses, ["service", "kind", "bill_period"], "left"))
+    rows = (cells.join(losses, ["service", "kind", "bill_period"], "left")
+            .join(both, ["service", "period", "kind"]))
     rows = joins.lookup(rows, kinds, {"kind": "code"}, {"text": "__kind"})
     rows = joins.lookup(rows, devices, {"device_id": "id"},
                         {"device": "device", "digits": "digits", "factor": "factor"})
@@ -211,6 +215,12 @@ def bills(accounts: DataFrame, invoices: DataFrame, bill_windows: DataFrame,
           use_periods: DataFrame, charge_lines: DataFrame,
           settings: Settings = DEFAULTS) -> DataFrame:
     """The last analysed bills of each service, own and recovered amounts apart."""
+    return with_amounts(last_bills(accounts, invoices, bill_windows, use_periods, settings), charge_lines)
+
+
+def last_bills(accounts: DataFrame, invoices: DataFrame, bill_windows: DataFrame, use_periods: DataFrame,
+               settings: Settings = DEFAULTS) -> DataFrame:
+    """The last analysed bills of each service with their periods."""
     wanted = (F.col("invoice_kind") == INVOICE_KIND) | (
         F.col("program").isin(*INVOICE_PROGRAMS) & (F.col("state") == INVOICE_PENDING))
     windows = bill_windows.select("bill_period", F.col("year").alias("bill_year"),
@@ -219,9 +229,13 @@ def bills(accounts: DataFrame, invoices: DataFrame, bill_windows: DataFrame,
     periods = use_periods.select("period", F.col("cycle"), "starts", F.col("ends").alias("__ends"))
     rows = (accounts.join(joins.merged(invoices), "invoice").where(wanted)
             .join(windows, "bill_period").join(periods, ["period", "cycle"]))
-    latest = series.last_rows(rows, ["service"],
-                              [F.col("__window_end").desc(), F.col("bill").desc()],
-                              settings["analysed_periods"])
+    return series.last_rows(rows, ["service"],
+                            [F.col("__window_end").desc(), F.col("bill").desc()],
+                            settings["analysed_periods"])
+
+
+def with_amounts(latest: DataFrame, charge_lines: DataFrame) -> DataFrame:
+    """:func:`last_bills` in the layout of the extract, with their own and recovered amounts."""
     split = own_and_recovered(charge_lines, latest.select("service", "bill", "bill_period", "period"))
     return latest.join(split, "bill", "left").select(
         "service", "bill", "bill_period", "bill_year", "bill_month", "paid_at", "total", "paid",
@@ -250,14 +264,14 @@ def charges(lines: DataFrame, accounts: DataFrame, invoices: DataFrame, bill_win
             programs: DataFrame) -> DataFrame:
     """Charge lines with the billing period of their bill and named codes.
 
-    A bill brings year and month of its period with it, and what a period is called and when it runs is put
-    together first, so a line meets its bill once and one small table of periods once.
+    A bill brings year and month of its period with it, so a line meets its bill once; what its own period is
+    called and when it runs it looks up in two small tables.
     """
     billed = accounts.select("bill", "invoice").join(joins.merged(invoices.select("invoice", "bill_period")), "invoice")
     billed = joins.lookup(billed, bill_windows, {"bill_period": "bill_period"}, {"year": "bill_year", "month": "bill_month"}).drop("invoice")
-    periods = joins.both_sides(use_periods.select("period", "starts", "ends"), bill_windows.select("period", "year", "month"), ["period"])
     rows = lines.join(joins.merged(billed), "bill", "left")
-    rows = joins.lookup(rows, periods, {"period": "period"}, {"starts": "__starts", "ends": "__ends", "year": "__year", "month": "__month"})
+    rows = joins.lookup(rows, bill_windows, {"period": "period"}, {"year": "__year", "month": "__month"})
+    rows = joins.lookup(rows, use_periods, {"period": "period"}, {"starts": "__starts", "ends": "__ends"})
     rows = joins.lookup(rows, concepts, {"concept_code": "code"}, {"text": "__concept"})
     rows = joins.lookup(rows, causes, {"cause_code": "code"}, {"text": "__cause"})
     rows = joins.lookup(rows, programs, {"program_code": "code"}, {"text": "__program"})
