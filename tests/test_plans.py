@@ -356,6 +356,19 @@ def test_a_driver_without_period_matches_every_period(spark):
     assert sorted((r["order"], r["period"]) for r in rows) == [(1, 1), (2, 2)]
 
 
+def test_repeated_review_rows_multiply_nothing(spark):
+    """Rows of every branch twice, and a driver that many rows repeat: no list of them is gathered anywhere."""
+    acts = [(1, 9, 102010, 1, 100, 0), (2, 9, 102010, 1, 101, 0), (2, 9, 0, 769, 8, 500), (1, 9, 7400027, 1, 7, 0)]
+    args = list(review_inputs(spark, acts))
+    once = sorted(map(repr, extract.review_orders(*args).collect()))
+    for i in (0, 1, 2, 3, 4):
+        args[i] = args[i].unionByName(args[i])
+    twice = extract.review_orders(*args)
+    assert sorted(map(repr, twice.collect())) == once and len(once) > 2
+    plan = twice._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan
+
+
 def test_comments_are_cleaned_and_observations_need_an_open_order(spark):
     reviews = spark.createDataFrame([(1, 9, 3, 1, datetime(2026, 1, 1), None), (2, 9, None, 1, datetime(2026, 1, 1), None)],
                                     "order int, service int, kind int, period int, opened_at timestamp, ended_at timestamp")

@@ -354,46 +354,41 @@ def review_orders(drivers: DataFrame, criticals: DataFrame, cases: DataFrame, or
 
     ``drivers`` carries the period and window of the billing period; a driver without a period matches
     every period of its service and type. A service has few drivers by meaning (the analysed periods),
-    so they are gathered per service, and every source meets them once: by its period, or for cases by
-    the window of their day, or for decisions by the day of their order. Activities, orders and who closed
-    them meet by order; what names an activity (a critical by its reference, cases by their request) is
-    gathered by that name, one row each, so repeated rows on either side multiply nothing. The result has no
-    repeated rows. ``names`` holds the lookup tables (code, text) of task, activity, kind and state.
+    and every source meets them once: by its period, or for cases by the window of their day, or for
+    decisions by the day of their order. What names an activity (a critical by its reference, cases by their
+    request) is reduced to the distinct cells that are driven before activities meet it, so repeated rows
+    multiply nothing. Orders and who closed them are met by order, and only by the activities that are left then;
+    a decision needs the day of its order first. The result has no repeated rows. ``names`` holds the
+    lookup tables (code, text) of task, activity, kind and state.
     """
-    critical, case, decision = F.lit("critical"), F.lit("case"), F.lit("decision")
-    # the hash keeps the shuffle of the sum apart from that of the join, so a hot service can be split there
-    spans = drivers.groupBy("service", F.xxhash64("service").alias("__mix")).agg(
-        F.collect_set(F.struct("kind", "period", "window_start", "window_end")).alias("spans")).drop("__mix")
+    critical, case = F.lit("critical"), F.lit("case")
+    spans = joins.distinct_apart(drivers.select(*[F.col(c).alias(f"d_{c}") for c in ("service", "kind", "period")], "window_start", "window_end"))
     sources = criticals.select(critical.alias("source"), "service", "kind", "period", F.col("activity_ref").alias("ref"),
                                F.lit(None).cast("timestamp").alias("recorded_at")).unionByName(
         cases.select(case.alias("source"), "service", "kind", "period", F.col("request").alias("ref"), "recorded_at"))
-    named = sources.groupBy("source", "service", "ref").agg(F.collect_set(F.struct("kind", "period", "recorded_at")).alias("named"))
+    by_period = F.col("period").isNotNull() & (F.col("d_period").isNull() | (F.col("d_period") == F.col("period")))
+    wanted = F.coalesce(by_period, F.lit(False)) | F.col("recorded_at").between(F.col("window_start"), F.col("window_end"))
+    cell = (F.col("service") == F.col("d_service")) & (F.col("kind") == F.col("d_kind"))
+    named = sources.join(joins.merged(spans), cell & wanted, "left_semi").select("source", "service", "ref", "kind", "period").distinct()
 
     serves = F.array_compact(F.array(
         F.when(F.col("activity") == settings["review_activity"], F.struct(critical.alias("source"), F.col("activity_ref").alias("ref"))),
-        F.when(F.col("task").isin(*INVESTIGATION_TASKS), F.struct(case.alias("source"), F.col("request").alias("ref"))),
-        F.when(F.col("activity") == settings["decision_activity"], F.struct(decision.alias("source"), F.col("order").alias("ref")))))
-    serving = F.col("activity").isin(settings["review_activity"], settings["decision_activity"]) | F.col("task").isin(*INVESTIGATION_TASKS)
-    tagged = (activities.where(serving).join(joins.merged(orders.select("order", "created_at", "closed_at", "state")), "order")
-              .join(joins.merged(closed_by), "order", "left"))
-    tagged = tagged.select("order", "service", "task", "activity", "created_at", "closed_at", "state", "closed_by", F.explode(serves).alias("serves"))
-    met = (tagged.select("*", "serves.*").drop("serves").join(named, ["source", "service", "ref"], "left")
-           .where((F.col("source") == decision) | F.col("named").isNotNull()).join(spans, "service"))
-
-    def wanted(n: Column) -> Column:
-        def driven(d: Column) -> Column:
-            by_period = n["period"].isNotNull() & (d["period"].isNull() | (d["period"] == n["period"]))
-            return (d["kind"] == n["kind"]) & (F.coalesce(by_period, F.lit(False)) | n["recorded_at"].between(d["window_start"], d["window_end"]))
-
-        return F.exists("spans", driven)
-
-    cell = "array<struct<kind:bigint,period:bigint>>"
-    mine = F.transform(F.filter("named", wanted), lambda n: F.struct(n["kind"], n["period"])).cast(cell)
+        F.when(F.col("task").isin(*INVESTIGATION_TASKS), F.struct(case.alias("source"), F.col("request").alias("ref")))))
+    own = ["order", "service", "task", "activity"]
+    serving = (F.col("activity") == settings["review_activity"]) | F.col("task").isin(*INVESTIGATION_TASKS)
+    tagged = activities.where(serving).select(*own, F.explode(serves).alias("serves")).select(*own, "serves.*")
+    found = joins.merged(orders.select("order", "created_at", "closed_at", "state"))
+    met = tagged.join(joins.merged(named), ["source", "service", "ref"]).select(
+        *own, F.col("kind").cast("bigint").alias("kind"), F.col("period").cast("bigint").alias("period")).join(found, "order")
     # a decision belongs to every period in whose window its order was created
-    inside = F.filter("spans", lambda d: F.col("created_at").between(d["window_start"], d["window_end"]))
-    decided = F.transform(inside, lambda d: F.struct(F.lit(None).cast("bigint"), d["period"])).cast(cell)
-    cells = F.array_distinct(F.when(F.col("source") == decision, decided).otherwise(mine))
-    rows = (met.select("order", "service", "task", "activity", "created_at", "closed_at", "state", "closed_by", F.inline(cells)).distinct())
+    windows = spans.select("d_service", F.col("d_period").cast("bigint").alias("period"), "window_start", "window_end").distinct()
+    # as one value, so Spark asks no more of these orders than of the others and shuffles both as one
+    within = F.coalesce(F.col("created_at").between(F.col("window_start"), F.col("window_end")), F.lit(False))
+    inside = (F.col("service") == F.col("d_service")) & within
+    decided = (activities.where(F.col("activity") == settings["decision_activity"]).select(*own).join(found, "order")
+               .join(joins.merged(windows), inside).drop("d_service", "window_start", "window_end"))
+    rows = (met.unionByName(decided.withColumn("kind", F.lit(None).cast("bigint")))
+            .join(joins.merged(closed_by), "order", "left").distinct())
     rows = joins.lookup(rows, use_periods, {"period": "period"}, {"starts": "__starts", "ends": "__ends"})
     for name in ("task", "activity", "kind", "state"):
         rows = joins.lookup(rows, names[name], {name: "code"}, {"text": f"__{name}"})
